@@ -8,6 +8,7 @@ instead of failing the job under ANSI mode.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from itertools import chain
 
@@ -65,13 +66,54 @@ def hash_key(*cols: Column | str, sep: str = "|") -> Column:
     return F.sha2(text, 256)
 
 
+def format_guard(fmt: str) -> str:
+    """A regex every text that ``fmt`` can parse must match (necessary, not
+    sufficient): numeric fields become digit runs, text fields letter runs,
+    separators stay literal."""
+    out, i = [], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        run = j - i
+        if ch == "'":
+            k = fmt.index("'", i + 1)
+            out.append(re.escape(fmt[i + 1:k]))
+            j = k + 1
+        elif ch == "y":
+            out.append(r"\d{4,}" if run == 4 else r"\d+")
+        elif ch in "Md" and not (ch == "M" and run >= 3):
+            out.append(r"\d{1,2}")
+        elif ch in "ME" or ch == "L":
+            out.append(r"[A-Za-z]+")
+        elif ch.isalpha():
+            out.append(".+")
+        elif ch.isspace():
+            out.append(r"\s*")
+        else:
+            out.append(re.escape(ch * run))
+        i = j
+    return "^" + "".join(out) + "$"
+
+
 def parse_date(col: Column | str, formats: Iterable[str] = K.DATE_FORMATS,
                strip_prefix: bool = True) -> Column:
-    """First format that parses wins; none parses -> NULL."""
+    """First format that parses wins; none parses -> NULL.
+
+    A failed ``try_to_date`` costs a JVM exception, so each format is tried
+    only on texts matching its shape (``format_guard``): a well-formed value
+    is parsed once.  Only texts that no guarded attempt parses fall through
+    to trying every format, which keeps the result identical to a plain
+    ``coalesce`` over all formats.
+    """
+    formats = list(formats)
     text = F.trim(_c(col).cast("string"))
     if strip_prefix:
         text = strip_weekday(text)
-    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])
+    guarded = [F.when(text.rlike(format_guard(f)), F.try_to_date(text, f)) for f in formats]
+    every = F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    return F.coalesce(*guarded, every)
 
 
 def sanitize_id(col: Column | str, sentinel: str = K.BAD_CUSTOMER_ID,
