@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -35,6 +35,16 @@ def row_counts(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionByName, [row_count(df, name) for name, df in stages])
 
 
+def stage_counts(df: DataFrame, stages: Sequence[tuple[str, Column | None]]) -> DataFrame:
+    """Rows ``(stage, rows)`` for several filters of one relation in one pass:
+    ``None`` counts every row, a condition counts the rows it keeps."""
+    aggs = [(F.count(F.lit(1)) if cond is None else F.count_if(cond)).alias(f"__s{i}")
+            for i, (_, cond) in enumerate(stages)]
+    rows = F.array(*[F.struct(F.lit(name).alias("stage"), F.col(f"__s{i}").alias("rows"))
+                     for i, (name, _) in enumerate(stages)])
+    return df.agg(*aggs).select(F.inline(rows))
+
+
 def count_distinct(df: DataFrame, cols: Sequence[str], alias: str = "n_distinct") -> DataFrame:
     """Exact number of distinct ``cols`` tuples (F5); NULL-containing tuples not counted."""
     return df.agg(F.count_distinct(*[F.col(c) for c in cols]).alias(alias))

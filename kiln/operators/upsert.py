@@ -52,8 +52,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            set_cols: Mapping[str, Column | str] | None = None,
            insert_cols: Mapping[str, Column | str] | None = None,
            strict: bool = False,
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """New snapshot of ``target`` after merging ``source`` on ``keys``."""
+           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+           materialize: bool = True) -> DataFrame:
+    """New snapshot of ``target`` after merging ``source`` on ``keys``.
+
+    The source feeds the size check and three join branches; with
+    ``materialize`` it is computed once and checkpointed to the shared
+    ``spark.checkpoint.dir`` (lineage cut, survives executor loss).  Pass
+    ``materialize=False`` when the source is already a stored table.
+    """
     keys = list(keys)
     types = {f.name: f.dataType for f in target.schema.fields}
     tcols = target.columns
@@ -61,6 +68,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         set_cols = {c: c for c in tcols if c not in keys and c in source.columns}
     if insert_cols is None:
         insert_cols = {c: c for c in tcols if c in source.columns}
+    if materialize:
+        source = source.checkpoint(eager=True)
     if strict:
         check_unambiguous(target, source, keys)
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from kiln.functions import clean as C
 from kiln.functions import constants as K
+from kiln.functions.clean import month_start
 from kiln.operators.dedupe import dedupe
 from kiln.operators.lookup import rejects, resolve_key
 from kiln.operators.rollup import affected_periods, monthly_rollup, recompute_periods
@@ -107,36 +108,62 @@ def incremental_load(batch: DataFrame, products: DataFrame, state: FactState) ->
 
 
 # --- runner with table writes -------------------------------------------------
+MONTH = "month"
+MAX_BATCH_MONTHS = 100_000
+
+
+def _batch_months(df: DataFrame, date_col: str) -> list:
+    """Distinct months of a (materialised) batch.  A calendar-bounded list —
+    checked — used as a static partition filter."""
+    months = (df.select(month_start(date_col).alias(MONTH)).distinct()
+              .limit(MAX_BATCH_MONTHS + 1).collect())
+    if len(months) > MAX_BATCH_MONTHS:
+        raise ValueError("batch spans more months than the partition-filter bound")
+    return [r[MONTH] for r in months]
+
+
+def _merge_partitions(store: TableStore, layer: str, name: str, batch: DataFrame,
+                      keys: Sequence[str], part_col: str, months: list) -> None:
+    """Upsert ``batch`` into the month partitions it touches; other months are
+    neither read nor rewritten.  Exact because the month is a function of
+    the merge key (every key carries its date)."""
+    if not store.exists(layer, name):
+        store.write(batch, layer, name, partition_by=[part_col])
+        return
+    current = store.read_partitions(layer, name, part_col, months)
+    merged = upsert(current, batch.select(*current.columns), keys, materialize=False)
+    store.replace_partitions(merged, layer, name, [part_col])
+
+
 def run_fact_load(store: TableStore, bronze: DataFrame, products: DataFrame,
                   name: str = "orders", parent: str = "fact_orders") -> FactState:
-    """Full load when the child tables are absent, otherwise incremental.
-
-    Each layer is written before the next reads it, so every step reads a
-    committed snapshot (no lazy re-execution of the cleaning, and the lineage
-    is cut at every layer).
+    """Load one landing batch: a full load when the child tables are absent,
+    otherwise incremental — the same steps either way.
+
+    * the batch is written once as staging and everything else reads that
+      snapshot (the landing files are scanned once);
+    * silver and the daily gold fact are partitioned by month; the batch is
+      upserted into the months it touches only;
+    * the parent's sums for those months are recomputed from the whole daily
+      fact (replacing, never adding) and upserted into the parent's month
+      partitions; a parent key absent from the recomputation is kept.
     """
-    store.write(bronze, "bronze", name, mode="append")
     store.write(bronze, "bronze", f"staging_{name}")
     batch = store.read("bronze", f"staging_{name}")
-    if not store.exists("silver", name):
-        store.write(orders_silver(batch, products), "silver", name)
-        store.write(orders_gold(store.read("silver", name)), "gold", f"fact_{name}_daily")
-        gold = store.read("gold", f"fact_{name}_daily")
-        monthly = parent_rollup(gold)
-        new_parent = (upsert(store.read("gold", parent), monthly, PARENT_KEYS)
-                      if store.exists("gold", parent) else monthly)
-    else:
-        batch_silver = orders_silver(batch, products)
-        store.write(batch_silver, "silver", f"staging_{name}")
-        batch_silver = store.read("silver", f"staging_{name}")
-        store.write(upsert(store.read("silver", name), batch_silver, SILVER_KEYS), "silver", name)
-        batch_gold = orders_gold(batch_silver)
-        store.write(upsert(store.read("gold", f"fact_{name}_daily"), batch_gold, GOLD_KEYS),
-                    "gold", f"fact_{name}_daily")
-        gold = store.read("gold", f"fact_{name}_daily")
-        sums = recompute_periods(gold, "date", affected_periods(batch_gold, "date"),
-                                 ["product_code", "customer_code"], "sold_quantity")
-        new_parent = upsert(store.read("gold", parent), sums, PARENT_KEYS)
-    store.write(new_parent, "gold", parent)
-    return FactState(store.read("silver", name), store.read("gold", f"fact_{name}_daily"),
+    store.write(batch, "bronze", name, mode="append")
+
+    batch_silver = orders_silver(batch, products).withColumn(
+        MONTH, month_start("order_placement_date"))
+    store.write(batch_silver, "silver", f"staging_{name}")
+    batch_silver = store.read("silver", f"staging_{name}")
+    months = _batch_months(batch_silver, "order_placement_date")
+    _merge_partitions(store, "silver", name, batch_silver, SILVER_KEYS, MONTH, months)
+
+    daily = f"fact_{name}_daily"
+    batch_gold = orders_gold(batch_silver).withColumn(MONTH, month_start("date"))
+    _merge_partitions(store, "gold", daily, batch_gold, GOLD_KEYS, MONTH, months)
+
+    sums = parent_rollup(store.read_partitions("gold", daily, MONTH, months))
+    _merge_partitions(store, "gold", parent, sums, PARENT_KEYS, "date", months)
+    return FactState(store.read("silver", name), store.read("gold", daily),
                      store.read("gold", parent))

@@ -12,6 +12,15 @@ the same job.  Appends go into the current snapshot.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def _rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """REBALANCE on the partition columns before a partitioned write: AQE
+    groups rows of one partition value into few files of the advisory size
+    and splits a very large partition value over several tasks, so neither
+    tiny files nor one giant writer task arise."""
+    return df.hint("rebalance", *partition_by)
 
 
 class TableStore:
@@ -48,11 +57,14 @@ class TableStore:
     def exists(self, layer: str, name: str) -> bool:
         return bool(self._versions(layer, name))
 
-    def read(self, layer: str, name: str) -> DataFrame:
+    def read(self, layer: str, name: str, merge_schema: bool = False) -> DataFrame:
+        """Current snapshot.  ``merge_schema`` reconciles files written with
+        added columns (B4); it costs a footer-reading job, so it is opt-in."""
         path = self.current_path(layer, name)
         if path is None:
             raise FileNotFoundError(f"table {layer}.{name} does not exist")
-        return self.spark.read.option("mergeSchema", "true").parquet(path)
+        reader = self.spark.read.option("mergeSchema", "true") if merge_schema else self.spark.read
+        return reader.parquet(path)
 
     def write(self, df: DataFrame, layer: str, name: str, mode: str = "overwrite",
               partition_by: list[str] | None = None) -> str:
@@ -63,19 +75,37 @@ class TableStore:
         else:
             path = f"{self.folder(layer, name)}/v={(v[-1] + 1 if v else 1):06d}"
             mode = "overwrite"
-        w = df.write.mode(mode)
         if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
+            _rebalanced(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+        else:
+            df.write.mode(mode).parquet(path)
         return path
 
+    def read_partitions(self, layer: str, name: str, column: str, values: list) -> DataFrame:
+        """Only the partitions ``column`` in ``values`` (NULL allowed): a
+        partition filter, so the scan lists and reads just those folders."""
+        df = self.read(layer, name)
+        keep = [v for v in values if v is not None]
+        cond = F.col(column).isin(keep) if keep else F.lit(False)
+        if len(keep) < len(values):
+            cond = cond | F.col(column).isNull()
+        return df.filter(cond)
+
     def replace_partitions(self, df: DataFrame, layer: str, name: str,
                            partition_by: list[str]) -> str:
         """Replace only the partitions present in ``df`` in the current snapshot
-        (dynamic partition overwrite); creates the table if absent."""
+        (dynamic partition overwrite); creates the table if absent.
+
+        ``df`` may read the very partitions it replaces: new files go to the
+        job's staging folder and the partition folders are swapped only at
+        job commit, after every task (retries included) has read its input.
+        A job that fails before commit leaves the table untouched.  Other
+        partitions are neither read nor rewritten.
+        """
         path = self.current_path(layer, name)
         if path is None:
             return self.write(df, layer, name, partition_by=partition_by)
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (_rebalanced(df, partition_by).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_by).parquet(path))
         return path

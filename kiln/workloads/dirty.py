@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.operators.sizing import bounded_broadcast
+from kiln.sources.parquet import read_parquet
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def dirty_date(d: Column | str, key: Column | str, with_weekday: bool = True) -> Column:

@@ -18,6 +18,7 @@ from kiln.operators.lookup import fill_from_lookup, resolve_key
 from kiln.operators.rollup import (affected_periods, date_range, monthly_rollup,
                                    recompute_periods)
 from kiln.operators.union import append_parquet, read_evolving, union_evolving
+from kiln.operators.sizing import bounded_broadcast
 from kiln.operators.upsert import upsert
 from kiln.plans import dims, facts
 from kiln.session import scratch_path
@@ -242,14 +243,21 @@ def distinct_values_q(spark, sf):
 
 
 def row_counts_by_stage(spark, sf):
+    """Rows kept by each step of the fact cleaning, in two passes: one over
+    the raw lines (all / with quantity), one over the deduplicated lines
+    (all / with a known product)."""
     raw = D.order_lines(spark, sf)
     products = dims.products_silver(D.product_rows(spark, sf), divisions=D.TESTDATA_DIVISIONS)
-    cleaned = facts.orders_clean(raw)
-    deduped = dedupe(cleaned, ["order_id", "order_placement_date", "customer_id", "product_id"],
+    before = P.stage_counts(raw, [("1_raw", None),
+                                  ("2_with_quantity", C.to_double("order_qty").isNotNull())])
+    deduped = dedupe(facts.orders_clean(raw),
+                     ["order_id", "order_placement_date", "customer_id", "product_id"],
                      [F.col("order_qty").desc()])
-    resolved = resolve_key(deduped, products, "product_id", ["product_code"])
-    return P.row_counts([("1_raw", raw), ("2_with_quantity", cleaned),
-                         ("3_deduplicated", deduped), ("4_resolved", resolved)])
+    known = products.select("product_id").distinct().withColumn("__known", F.lit(True))
+    flagged = deduped.join(bounded_broadcast(known), "product_id", "left")
+    after = P.stage_counts(flagged, [("3_deduplicated", None),
+                                     ("4_resolved", F.col("__known").isNotNull())])
+    return before.unionByName(after)
 
 
 # --- data quality --------------------------------------------------------------------------
@@ -335,10 +343,19 @@ def upsert_set_columns(spark, sf):
                                "c_acctbal": "c_acctbal"})
 
 
+def _stored(spark, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table snapshot in scratch and read it back — the
+    parent tables of the upsert queries live on storage, not in a plan."""
+    store = TableStore(spark, scratch_path(spark, "tables"))
+    store.write(df, "gold", name)
+    return store.read("gold", name)
+
+
 def upsert_monthly_fact(spark, sf):
     lines = _monthly_lines(spark, sf)
-    stale = monthly_rollup(lines.filter(F.col("l_linenumber") != 1), "date",
-                           ["product_id", "customer_code"], "sold_quantity")
+    stale = _stored(spark, monthly_rollup(lines.filter(F.col("l_linenumber") != 1), "date",
+                                          ["product_id", "customer_code"], "sold_quantity"),
+                    "fact_orders")
     fresh = monthly_rollup(lines, "date", ["product_id", "customer_code"], "sold_quantity")
     return upsert(stale, fresh, ["date", "product_id", "customer_code"])
 
@@ -359,8 +376,9 @@ def affected_month_recompute(spark, sf):
     lines = _monthly_lines(spark, sf).drop("l_linenumber")
     in_batch = F.col("date") >= F.lit(BATCH_CUTOFF).cast("date")
     batch = lines.filter(in_batch)
-    parent_before = monthly_rollup(lines.filter(~in_batch), "date",
-                                   ["product_id", "customer_code"], "sold_quantity")
+    parent_before = _stored(spark, monthly_rollup(lines.filter(~in_batch), "date",
+                                                  ["product_id", "customer_code"], "sold_quantity"),
+                            "fact_orders")
     sums = recompute_periods(lines, "date", affected_periods(batch, "date"),
                              ["product_id", "customer_code"], "sold_quantity")
     return upsert(parent_before, sums, ["date", "product_id", "customer_code"])
