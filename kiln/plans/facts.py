@@ -48,13 +48,21 @@ def orders_clean(bronze: DataFrame) -> DataFrame:
 def orders_silver(bronze: DataFrame, products: DataFrame,
                   dedupe_keys: Sequence[str] = ("order_id", "order_placement_date",
                                                 "customer_id", "product_id")) -> DataFrame:
-    """Clean, keep one line per key (largest quantity first), resolve product_code.
-
-    Unknown product ids (placeholders, sentinel) are dropped by the inner
-    join; ``order_rejects`` returns them.
+    """Clean, drop repeated lines, resolve product_code, one row per merge key.
+
+    Repeated lines (same order, date, customer and product id) keep the
+    largest quantity.  Several product ids can resolve to one product_code
+    (the code hashes the product name); their lines are combined by summing
+    the quantity, so every merge key occurs once — MERGE stays unambiguous
+    and re-running a batch changes nothing.  Unknown product ids are dropped
+    by the inner join; ``order_rejects`` returns them.
     """
     df = dedupe(orders_clean(bronze), list(dedupe_keys), [F.col("order_qty").desc()])
-    return resolve_key(df, products, "product_id", ["product_code"])
+    resolved = resolve_key(df, products, "product_id", ["product_code"])
+    rest = [c for c in resolved.columns if c not in SILVER_KEYS and c != "order_qty"]
+    return (resolved.groupBy(*SILVER_KEYS)
+            .agg(F.sum("order_qty").alias("order_qty"), *[F.min(c).alias(c) for c in rest])
+            .select(*resolved.columns))
 
 
 def order_rejects(bronze: DataFrame, products: DataFrame) -> DataFrame:
