@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kiln.operators.dedupe import dedupe
 from kiln.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
 
@@ -48,6 +49,9 @@ def fill_from_lookup(df: DataFrame, fixes: DataFrame, on: str | Sequence[str],
                      max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Left join a correction table; keep ``column`` where set, else take the fix."""
     keys = _keys(on)
+    # one correction per key, whatever the table holds: a repeated key must
+    # not multiply the rows being fixed
+    fixes = dedupe(fixes.select(*keys, fix_column), keys)
     side = _dim_side(fixes, keys, [fix_column], max_broadcast_rows)
     cols = df.columns
     return (df.join(side, keys, "left")

@@ -90,12 +90,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
     # --- source rows with no target match --------------------------------
     tk = [f"__t_{k}" for k in keys]
-    target_keys = target.select(*[F.col(k).alias(t) for k, t in zip(keys, tk)])
+    # distinct: a hot target key is combined map-side before any shuffle
+    target_keys = target.select(*[F.col(k).alias(t) for k, t in zip(keys, tk)]).distinct()
     on_key = [F.col(k).cast(types[k]) == F.col(t) for k, t in zip(keys, tk)]
     if small:
         source_keys = F.broadcast(
             source.select(*[F.col(k).cast(types[k]).alias(t) for k, t in zip(keys, tk)]).distinct())
-        present = target_keys.join(source_keys, tk, "left_semi").distinct()
+        present = target_keys.join(source_keys, tk, "left_semi")
         # ``present`` is a subset of the source's keys, so it has the same bound.
         new = source.join(F.broadcast(present), on_key, "left_anti")
     else:
