@@ -28,6 +28,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kiln.operators.materialize import materialize as materialize_df
 from kiln.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, fits
 
 _M = "__kiln_matched"
@@ -57,9 +58,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """New snapshot of ``target`` after merging ``source`` on ``keys``.
 
     The source feeds the size check and three join branches; with
-    ``materialize`` it is computed once and checkpointed to the shared
-    ``spark.checkpoint.dir`` (lineage cut, survives executor loss).  Pass
-    ``materialize=False`` when the source is already a stored table.
+    ``materialize`` it is computed once and written as a table below the
+    shared ``spark.checkpoint.dir`` (lineage cut, survives executor loss).
+    Pass ``materialize=False`` when the source is already a stored table.
     """
     keys = list(keys)
     types = {f.name: f.dataType for f in target.schema.fields}
@@ -69,7 +70,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     if insert_cols is None:
         insert_cols = {c: c for c in tcols if c in source.columns}
     if materialize:
-        source = source.checkpoint(eager=True)
+        source = materialize_df(source, "upsert-source")
     if strict:
         check_unambiguous(target, source, keys)
 
