@@ -91,17 +91,18 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
     # --- source rows with no target match --------------------------------
     tk = [f"__t_{k}" for k in keys]
-    # distinct: a hot target key is combined map-side before any shuffle
-    target_keys = target.select(*[F.col(k).alias(t) for k, t in zip(keys, tk)]).distinct()
+    target_keys = target.select(*[F.col(k).alias(t) for k, t in zip(keys, tk)])
     on_key = [F.col(k).cast(types[k]) == F.col(t) for k, t in zip(keys, tk)]
     if small:
         source_keys = F.broadcast(
             source.select(*[F.col(k).cast(types[k]).alias(t) for k, t in zip(keys, tk)]).distinct())
-        present = target_keys.join(source_keys, tk, "left_semi")
-        # ``present`` is a subset of the source's keys, so it has the same bound.
+        # map-side semi join first (the target is not shuffled), then the
+        # distinct of a result bounded by the source's key count
+        present = target_keys.join(source_keys, tk, "left_semi").distinct()
         new = source.join(F.broadcast(present), on_key, "left_anti")
     else:
-        new = source.join(target_keys, on_key, "left_anti")
+        # distinct: a hot target key is combined map-side before the shuffle
+        new = source.join(target_keys.distinct(), on_key, "left_anti")
     inserted = new.select(*[
         (_expr(insert_cols[c]) if c in insert_cols else F.lit(None)).cast(types[c]).alias(c)
         for c in tcols])

@@ -11,6 +11,7 @@ re-run replaces the same months with the same numbers.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -144,21 +145,26 @@ def _merge_partitions(store: TableStore, layer: str, name: str, batch: DataFrame
 
 
 def run_fact_load(store: TableStore, bronze: DataFrame, products: DataFrame,
-                  name: str = "orders", parent: str = "fact_orders") -> FactState:
+                  name: str = "orders", parent: str = "fact_orders",
+                  load_id: str | None = None) -> FactState:
     """Load one landing batch: a full load when the child tables are absent,
     otherwise incremental — the same steps either way.
 
-    * the batch is written once as staging and everything else reads that
-      snapshot (the landing files are scanned once);
+    * the batch is written once, as partition ``load_id`` of the bronze
+      table (dynamic overwrite), and everything else reads that partition —
+      the landing files are scanned once, and replaying a batch with the
+      same ``load_id`` (e.g. a streaming batch id) overwrites instead of
+      appending twice;
     * silver and the daily gold fact are partitioned by month; the batch is
       upserted into the months it touches only;
     * the parent's sums for those months are recomputed from the whole daily
       fact (replacing, never adding) and upserted into the parent's month
       partitions; a parent key absent from the recomputation is kept.
     """
-    store.write(bronze, "bronze", f"staging_{name}")
-    batch = store.read("bronze", f"staging_{name}")
-    store.write(batch, "bronze", name, mode="append")
+    load_id = load_id or uuid.uuid4().hex
+    store.replace_partitions(bronze.withColumn("load_id", F.lit(load_id)), "bronze", name,
+                             ["load_id"])
+    batch = store.spark.read.parquet(f"{store.current_path('bronze', name)}/load_id={load_id}")
 
     batch_silver = orders_silver(batch, products).withColumn(
         MONTH, month_start("order_placement_date"))

@@ -42,7 +42,8 @@ def test_stream_feeds_fact_pipeline(spark, tmp):
     p = store.read("silver", "products")
 
     def batch(df, batch_id):
-        facts.run_fact_load(store, df.drop("file_name", "file_size", "read_timestamp"), p)
+        facts.run_fact_load(store, df.drop("file_name", "file_size", "read_timestamp"), p,
+                            load_id=f"{batch_id:012d}")
 
     n = ingest_available(spark, landing, list(facts.ORDER_COLS), f"{tmp}/ckpt", batch,
                          max_files_per_trigger=2)
