@@ -213,6 +213,27 @@ SELECT product_code, CAST(year AS VARCHAR) AS year, gross_price AS price_inr FRO
 QUALIFY row_number() OVER (
   PARTITION BY product_code, year
   ORDER BY CASE WHEN gross_price = 0 THEN 1 ELSE 0 END, month DESC NULLS LAST, gross_price) = 1""",
+    "dim_customers_pipeline": f"""
+WITH c AS (
+  SELECT DISTINCT c_custkey, c_name,
+         CASE WHEN c_custkey % 5 = 2 THEN (CASE WHEN c_custkey % 10 = 2 THEN n_name END)
+              ELSE n_name END AS city
+  FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT CAST(c_custkey AS VARCHAR) AS customer_code,
+       {_initcap('c_name')} || '-' || coalesce(city, 'unknown') AS customer,
+       'India' AS market, 'Sports Bar' AS platform, 'Acquisition' AS channel
+FROM c
+UNION ALL
+SELECT 'P' || CAST(n_nationkey AS VARCHAR), 'Parent-' || n_name, 'India', 'Retail', 'Direct' FROM nation""",
+    "dim_products_pipeline": f"""
+WITH {_PRODUCTS},
+conf AS (
+  SELECT product_code, regexp_extract(product_name, '\\(([^)]+)\\)', 1) AS variant,
+         {_DIVISION} AS division, category, product_name AS product
+  FROM prod QUALIFY row_number() OVER (PARTITION BY product_code ORDER BY product_id) = 1)
+SELECT product_code, variant, division, category, product,
+       CASE WHEN substr(product_code, 1, 1) < '8' THEN 'parent' END AS source_system
+FROM conf""",
     "fact_full_load": _FACT,
     "fact_incremental_load": _FACT,
     "fact_rejects": f"""

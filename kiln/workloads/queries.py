@@ -415,6 +415,53 @@ def dim_price_conform(spark, sf):
     return dims.prices_parent_source(dims.prices_gold(silver))
 
 
+def _landed(spark, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as landing CSV files and read back as text with lineage."""
+    path = scratch_path(spark, f"landing-{name}")
+    write_csv(df, path)
+    return read_csv(spark, f"{path}/*.csv", df.columns)
+
+
+def dim_customers_pipeline(spark, sf):
+    """Customer CSV -> bronze -> silver -> gold -> upsert (all columns) into a
+    parent that already holds its own customers, one per nation (L1, K1, B1, B3)."""
+    store = TableStore(spark, scratch_path(spark, "warehouse"))
+    parent = _t(spark, sf, "nation").select(
+        F.concat(F.lit("P"), F.col("n_nationkey").cast("string")).alias("customer_code"),
+        F.concat(F.lit("Parent-"), F.col("n_name")).alias("customer"),
+        F.lit("India").alias("market"), F.lit("Retail").alias("platform"),
+        F.lit("Direct").alias("channel"))
+    store.write(parent, "gold", "dim_customers")
+    n = _t(spark, sf, "nation")
+    corrections = (_t(spark, sf, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+                   .filter(F.col("c_custkey") % 10 == 2)
+                   .select(F.col("c_custkey").cast("string").alias("customer_id"),
+                           F.col("n_name").alias("correct_city")))
+    bronze = _landed(spark, D.customer_rows(spark, sf), "customers")
+    return dims.run_dimension(
+        store, "customers", bronze,
+        lambda b: dims.customers_silver(b, city_fixes=_nation_fixes(spark, sf),
+                                        allowed=n.select("n_name"), corrections=corrections),
+        dims.customers_gold, dims.customers_parent_source, "dim_customers", ["customer_code"])
+
+
+def dim_products_pipeline(spark, sf):
+    """Product CSV -> ... -> upsert with explicit column maps into a parent whose
+    extra column ``source_system`` is kept on update and NULL on insert (L2, K2)."""
+    store = TableStore(spark, scratch_path(spark, "warehouse"))
+    conformed = dims.products_parent_source(dims.products_gold(_products(spark, sf)))
+    parent = (conformed.filter(F.substring("product_code", 1, 1) < "8")
+              .withColumns({"variant": F.lit("old"), "division": F.lit("old"),
+                            "source_system": F.lit("parent")}))
+    store.write(parent, "gold", "dim_products")
+    bronze = _landed(spark, D.product_rows(spark, sf), "products")
+    return dims.run_dimension(
+        store, "products", bronze,
+        lambda b: dims.products_silver(b, divisions=D.TESTDATA_DIVISIONS),
+        dims.products_gold, dims.products_parent_source, "dim_products", ["product_code"],
+        set_cols=dims.PRODUCT_SET, insert_cols={"product_code": "product_code", **dims.PRODUCT_SET})
+
+
 def fact_full_load(spark, sf):
     lines = D.order_lines(spark, sf).drop("l_linenumber", "o_orderdate")
     return facts.full_load(lines, _products(spark, sf)).parent
@@ -486,6 +533,8 @@ QUERIES = {
     "dim_customers_conform": dim_customers_conform,
     "dim_products_conform": dim_products_conform,
     "dim_price_conform": dim_price_conform,
+    "dim_customers_pipeline": dim_customers_pipeline,
+    "dim_products_pipeline": dim_products_pipeline,
     "fact_full_load": fact_full_load,
     "fact_incremental_load": fact_incremental_load,
     "fact_rejects": fact_rejects,
