@@ -234,6 +234,21 @@ conf AS (
 SELECT product_code, variant, division, category, product,
        CASE WHEN substr(product_code, 1, 1) < '8' THEN 'parent' END AS source_system
 FROM conf""",
+    "dim_price_pipeline": f"""
+WITH {_PRODUCTS},
+pr AS (
+  SELECT CASE WHEN l_orderkey % 11 = 0 THEN '88888888' ELSE CAST(l_partkey AS VARCHAR) END AS product_id,
+         CAST(l_shipdate AS DATE) AS month,
+         CASE WHEN l_orderkey % 9 = 0 THEN 0.0 ELSE abs(l_extendedprice) END AS gross_price
+  FROM lineitem),
+g AS (SELECT p.product_code, pr.month, pr.gross_price, CAST(year(pr.month) AS INTEGER) AS year
+      FROM pr JOIN prod p ON pr.product_id = p.product_id)
+SELECT product_code, CAST(year AS VARCHAR) AS year, gross_price AS price_inr FROM g
+QUALIFY row_number() OVER (
+  PARTITION BY product_code, year
+  ORDER BY CASE WHEN gross_price = 0 THEN 1 ELSE 0 END, month DESC NULLS LAST, gross_price) = 1
+UNION ALL
+SELECT 'PB-' || p_brand, '2024', min(p_retailprice) FROM part GROUP BY p_brand""",
     "fact_full_load": _FACT,
     "fact_incremental_load": _FACT,
     "fact_rejects": f"""

@@ -462,6 +462,28 @@ def dim_products_pipeline(spark, sf):
         set_cols=dims.PRODUCT_SET, insert_cols={"product_code": "product_code", **dims.PRODUCT_SET})
 
 
+def dim_price_pipeline(spark, sf):
+    """Price CSV -> ... -> latest non-zero price per (product_code, year) upserted
+    (price only) into a parent that holds stale prices and brand-level rows
+    of its own (L3, K2)."""
+    store = TableStore(spark, scratch_path(spark, "warehouse"))
+    store.write(_products(spark, sf), "silver", "products")
+    products = store.read("silver", "products")
+    bronze = _landed(spark, D.price_rows(spark, sf), "gross_price")
+    child = dims.prices_parent_source(dims.prices_gold(dims.prices_silver(bronze, products)))
+    stale = child.filter(F.substring("product_code", 1, 1) < "8").withColumn("price_inr", F.lit(1.0))
+    own = (_t(spark, sf, "part").groupBy("p_brand")
+           .agg(F.min("p_retailprice").alias("price_inr"))
+           .select(F.concat(F.lit("PB-"), F.col("p_brand")).alias("product_code"),
+                   F.lit("2024").alias("year"), "price_inr"))
+    store.write(stale.unionByName(own), "gold", "dim_gross_price")
+    return dims.run_dimension(
+        store, "gross_price", bronze, lambda b: dims.prices_silver(b, products),
+        dims.prices_gold, dims.prices_parent_source, "dim_gross_price", list(dims.PRICE_KEYS),
+        set_cols={"price_inr": "price_inr"},
+        insert_cols={"product_code": "product_code", "year": "year", "price_inr": "price_inr"})
+
+
 def fact_full_load(spark, sf):
     lines = D.order_lines(spark, sf).drop("l_linenumber", "o_orderdate")
     return facts.full_load(lines, _products(spark, sf)).parent
@@ -535,6 +557,7 @@ QUERIES = {
     "dim_price_conform": dim_price_conform,
     "dim_customers_pipeline": dim_customers_pipeline,
     "dim_products_pipeline": dim_products_pipeline,
+    "dim_price_pipeline": dim_price_pipeline,
     "fact_full_load": fact_full_load,
     "fact_incremental_load": fact_incremental_load,
     "fact_rejects": fact_rejects,
