@@ -132,7 +132,8 @@ def _batch_months(df: DataFrame, date_col: str) -> list:
 
 
 def _merge_partitions(store: TableStore, layer: str, name: str, batch: DataFrame,
-                      keys: Sequence[str], part_col: str, months: list) -> None:
+                      keys: Sequence[str], part_col: str, months: list,
+                      materialize: bool = False) -> None:
     """Upsert ``batch`` into the month partitions it touches; other months are
     neither read nor rewritten.  Exact because the month is a function of
     the merge key (every key carries its date)."""
@@ -140,7 +141,7 @@ def _merge_partitions(store: TableStore, layer: str, name: str, batch: DataFrame
         store.write(batch, layer, name, partition_by=[part_col])
         return
     current = store.read_partitions(layer, name, part_col, months)
-    merged = upsert(current, batch.select(*current.columns), keys, materialize=False)
+    merged = upsert(current, batch.select(*current.columns), keys, materialize=materialize)
     store.replace_partitions(merged, layer, name, [part_col])
 
 
@@ -178,6 +179,7 @@ def run_fact_load(store: TableStore, bronze: DataFrame, products: DataFrame,
     _merge_partitions(store, "gold", daily, batch_gold, GOLD_KEYS, MONTH, months)
 
     sums = parent_rollup(store.read_partitions("gold", daily, MONTH, months))
-    _merge_partitions(store, "gold", parent, sums, PARENT_KEYS, "date", months)
+    # the sums are an aggregate, not a stored table: materialise them once
+    _merge_partitions(store, "gold", parent, sums, PARENT_KEYS, "date", months, materialize=True)
     return FactState(store.read("silver", name), store.read("gold", daily),
                      store.read("gold", parent))
