@@ -242,11 +242,18 @@ pr AS (
          CASE WHEN l_orderkey % 9 = 0 THEN 0.0 ELSE abs(l_extendedprice) END AS gross_price
   FROM lineitem),
 g AS (SELECT p.product_code, pr.month, pr.gross_price, CAST(year(pr.month) AS INTEGER) AS year
-      FROM pr JOIN prod p ON pr.product_id = p.product_id)
-SELECT product_code, CAST(year AS VARCHAR) AS year, gross_price AS price_inr FROM g
-QUALIFY row_number() OVER (
-  PARTITION BY product_code, year
-  ORDER BY CASE WHEN gross_price = 0 THEN 1 ELSE 0 END, month DESC NULLS LAST, gross_price) = 1
+      FROM pr JOIN prod p ON pr.product_id = p.product_id),
+child AS (
+  SELECT product_code, CAST(year AS VARCHAR) AS year, gross_price AS price_inr FROM g
+  QUALIFY row_number() OVER (
+    PARTITION BY product_code, year
+    ORDER BY CASE WHEN gross_price = 0 THEN 1 ELSE 0 END, month DESC NULLS LAST, gross_price) = 1),
+stale AS (SELECT DISTINCT product_code, '2000' AS year, 1.0 AS price_inr FROM prod
+          WHERE substr(product_code, 1, 1) < '8')
+SELECT * FROM child
+UNION ALL
+SELECT * FROM stale s WHERE NOT EXISTS (
+  SELECT 1 FROM child c WHERE c.product_code = s.product_code AND c.year = s.year)
 UNION ALL
 SELECT 'PB-' || p_brand, '2024', min(p_retailprice) FROM part GROUP BY p_brand""",
     "fact_full_load": _FACT,

@@ -464,14 +464,16 @@ def dim_products_pipeline(spark, sf):
 
 def dim_price_pipeline(spark, sf):
     """Price CSV -> ... -> latest non-zero price per (product_code, year) upserted
-    (price only) into a parent that holds stale prices and brand-level rows
-    of its own (L3, K2)."""
+    (price only) into a parent holding a stale 2000 price for part of the
+    products (updated where the child has that year, kept where not) and
+    brand-level rows of its own (L3, K2)."""
     store = TableStore(spark, scratch_path(spark, "warehouse"))
     store.write(_products(spark, sf), "silver", "products")
     products = store.read("silver", "products")
     bronze = _landed(spark, D.price_rows(spark, sf), "gross_price")
-    child = dims.prices_parent_source(dims.prices_gold(dims.prices_silver(bronze, products)))
-    stale = child.filter(F.substring("product_code", 1, 1) < "8").withColumn("price_inr", F.lit(1.0))
+    stale = (products.select("product_code").distinct()
+             .filter(F.substring("product_code", 1, 1) < "8")
+             .select("product_code", F.lit("2000").alias("year"), F.lit(1.0).alias("price_inr")))
     own = (_t(spark, sf, "part").groupBy("p_brand")
            .agg(F.min("p_retailprice").alias("price_inr"))
            .select(F.concat(F.lit("PB-"), F.col("p_brand")).alias("product_code"),
