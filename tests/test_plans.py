@@ -141,3 +141,17 @@ def test_fact_rejects_are_placeholders(spark):
     lines = _lines(spark).drop("l_linenumber", "o_orderdate")
     ids = {r.product_id for r in facts.order_rejects(lines, _products(spark)).select("product_id").distinct().collect()}
     assert "99999999" in ids
+
+
+def test_full_load_dedupe_variant_with_quantity_in_key(spark):
+    """Full-load style dedupe: five raw columns incl. quantity (before the id clean-up)."""
+    bronze = spark.createDataFrame([
+        ("1", "2025-07-01", "ABC987", "1", "5"), ("1", "2025-07-01", "ABC987", "1", "5"),
+        ("1", "2025-07-01", "ABC987", "1", "7"), ("2", "2025-07-01", "789101", "1", "1")],
+        "order_id string, order_placement_date string, customer_id string, product_id string, "
+        "order_qty string")
+    products = spark.createDataFrame([("1", "h")], "product_id string, product_code string")
+    five = facts.orders_silver(bronze, products, dedupe_keys=facts.ORDER_COLS)
+    four = facts.orders_silver(bronze, products)
+    assert sorted((r.order_id, r.order_qty) for r in five.collect()) == [("1", 12.0), ("2", 1.0)]
+    assert sorted((r.order_id, r.order_qty) for r in four.collect()) == [("1", 7.0), ("2", 1.0)]

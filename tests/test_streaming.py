@@ -31,3 +31,19 @@ def test_each_file_taken_exactly_once(spark, tmp):
     assert sorted(r.order_id for r in got.collect()) == ["1", "2", "3"]
     assert {r.file_name for r in got.collect()} == {
         "orders_2025_12_02.csv", "orders_2025_12_03.csv", "orders_2025_12_04.csv"}
+
+
+def test_archive_moves_taken_files(spark, tmp):
+    landing, ckpt, archive = f"{tmp}/landing", f"{tmp}/ckpt", f"{tmp}/archive"
+    land(landing, "orders_2025_12_02.csv", [("1", "2025/12/02", "789101", "25891501", "38.0")])
+    land(landing, "orders_2025_12_03.csv", [("2", "03-12-2025", "789101", "25891501", "310")])
+    seen = []
+    sink = lambda df, bid: seen.extend(r.order_id for r in df.collect())
+    ingest_available(spark, landing, COLS, ckpt, sink, max_files_per_trigger=1, archive_dir=archive)
+    land(landing, "orders_2025_12_04.csv", [("3", "2025-12-04", "789101", "25891501", "1")])
+    ingest_available(spark, landing, COLS, ckpt, sink, max_files_per_trigger=1, archive_dir=archive)
+    assert sorted(seen) == ["1", "2", "3"]
+    archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv")]
+    # archiving trails the batches; taken files leave the landing folder
+    assert "orders_2025_12_02.csv" in archived
+    assert "orders_2025_12_02.csv" not in os.listdir(landing)
