@@ -213,7 +213,7 @@ SELECT product_code, CAST(year AS VARCHAR) AS year, gross_price AS price_inr FRO
 QUALIFY row_number() OVER (
   PARTITION BY product_code, year
   ORDER BY CASE WHEN gross_price = 0 THEN 1 ELSE 0 END, month DESC NULLS LAST, gross_price) = 1""",
-    "dim_customers_pipeline": f"""
+    "dim_customers_load": f"""
 WITH c AS (
   SELECT DISTINCT c_custkey, c_name,
          CASE WHEN c_custkey % 5 = 2 THEN (CASE WHEN c_custkey % 10 = 2 THEN n_name END)
@@ -225,7 +225,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS customer_code,
 FROM c
 UNION ALL
 SELECT 'P' || CAST(n_nationkey AS VARCHAR), 'Parent-' || n_name, 'India', 'Retail', 'Direct' FROM nation""",
-    "dim_products_pipeline": f"""
+    "dim_products_load": f"""
 WITH {_PRODUCTS},
 conf AS (
   SELECT product_code, regexp_extract(product_name, '\\(([^)]+)\\)', 1) AS variant,
@@ -234,7 +234,7 @@ conf AS (
 SELECT product_code, variant, division, category, product,
        CASE WHEN substr(product_code, 1, 1) < '8' THEN 'parent' END AS source_system
 FROM conf""",
-    "dim_price_pipeline": f"""
+    "dim_price_load": f"""
 WITH {_PRODUCTS},
 pr AS (
   SELECT CASE WHEN l_orderkey % 11 = 0 THEN '88888888' ELSE CAST(l_partkey AS VARCHAR) END AS product_id,

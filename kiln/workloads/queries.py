@@ -422,7 +422,7 @@ def _landed(spark, df: DataFrame, name: str) -> DataFrame:
     return read_csv(spark, f"{path}/*.csv", df.columns)
 
 
-def dim_customers_pipeline(spark, sf):
+def dim_customers_load(spark, sf):
     """Customer CSV -> bronze -> silver -> gold -> upsert (all columns) into a
     parent that already holds its own customers, one per nation (L1, K1, B1, B3)."""
     store = TableStore(spark, scratch_path(spark, "warehouse"))
@@ -445,7 +445,7 @@ def dim_customers_pipeline(spark, sf):
         dims.customers_gold, dims.customers_parent_source, "dim_customers", ["customer_code"])
 
 
-def dim_products_pipeline(spark, sf):
+def dim_products_load(spark, sf):
     """Product CSV -> ... -> upsert with explicit column maps into a parent whose
     extra column ``source_system`` is kept on update and NULL on insert (L2, K2)."""
     store = TableStore(spark, scratch_path(spark, "warehouse"))
@@ -462,7 +462,7 @@ def dim_products_pipeline(spark, sf):
         set_cols=dims.PRODUCT_SET, insert_cols={"product_code": "product_code", **dims.PRODUCT_SET})
 
 
-def dim_price_pipeline(spark, sf):
+def dim_price_load(spark, sf):
     """Price CSV -> ... -> latest non-zero price per (product_code, year) upserted
     (price only) into a parent holding a stale 2000 price for part of the
     products (updated where the child has that year, kept where not) and
@@ -557,9 +557,9 @@ QUERIES = {
     "dim_customers_conform": dim_customers_conform,
     "dim_products_conform": dim_products_conform,
     "dim_price_conform": dim_price_conform,
-    "dim_customers_pipeline": dim_customers_pipeline,
-    "dim_products_pipeline": dim_products_pipeline,
-    "dim_price_pipeline": dim_price_pipeline,
+    "dim_customers_load": dim_customers_load,
+    "dim_products_load": dim_products_load,
+    "dim_price_load": dim_price_load,
     "fact_full_load": fact_full_load,
     "fact_incremental_load": fact_incremental_load,
     "fact_rejects": fact_rejects,

@@ -21,7 +21,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_stream_feeds_fact_pipeline(spark, tmp):
+def test_stream_feeds_fact_load(spark, tmp):
     """Daily landing files streamed one per micro-batch give the full-load answer."""
     lines = D.order_lines(spark, SF_SMALL)
     products = dims.products_silver(D.product_rows(spark, SF_SMALL), divisions=D.TESTDATA_DIVISIONS)
