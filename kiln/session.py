@@ -56,6 +56,32 @@ def build_session(
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    * scan splits of ``partition_bytes`` (one task reads ~256 MB);
+    * as many shuffle partitions as input splits (at least 2 per core, at
+      most ``max_partitions``); AQE coalesces them down to the advisory size
+      after each map stage, so a stage that filtered or projected most of
+      its input runs few, well-filled reducers;
+    * a reducer partition several times the advisory size counts as skewed
+      and is split (joins) or rebalanced (writes).
+    """
+    shuffle = min(max(2 * total_cores, -(-input_bytes // partition_bytes)), max_partitions)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 

@@ -95,3 +95,12 @@ def test_cleaning_stays_in_codegen(spark):
     df = spark.createDataFrame([("2025-07-01", "ABC")], "d string, i string")
     plan = df.select(C.parse_date("d"), C.sanitize_id("i"))._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_scale_conf_sizes_partitions():
+    from kiln.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4, total_cores=8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100_000
+    assert c["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    small = scale_conf(1 << 30, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
