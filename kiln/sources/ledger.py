@@ -1,26 +1,28 @@
 """File-once ingest: every landing file is loaded exactly once.
 
-A ledger table records the files already loaded.  One run:
-
-1. list the candidate files (Spark's own file index, the same listing any
-   ``spark.read`` does — metadata only, no data is read);
-2. anti join the listing against the ledger, in Spark;
-3. read only the new files, apply the typed projection, append to the
-   target;
-4. append the new files to the ledger.
-
-The target is partitioned by ``file_id`` (a hash of the file's full path:
-base names repeat across folders) and written with dynamic partition
-overwrite, so loading a file replaces exactly that file's rows.
-The ledger is appended *after* the data: a run killed in between leaves a
-file loaded but not recorded, and the next run loads it again into the same
-partition — an overwrite, not a duplicate.  Lost executors are Spark's task
-retries.  Structured Streaming's file source (``kiln.streaming``) gives the
-same guarantee through its checkpoint.
+A ledger table (append-only Parquet) records, per file, the load that took
+it: a ``pending`` row is written *before* the load's data, a ``done`` row
+after.  One run:
+
+1. finish any load that has ``pending`` rows but no ``done`` row (a run
+   that died): its files are read again and written to the *same* load
+   partition with dynamic partition overwrite — an overwrite, never a
+   duplicate;
+2. list the candidate files (the file index any ``spark.read`` builds —
+   metadata only, no data read) and anti join them with the ledger, in Spark;
+3. record the new files as ``pending`` under a fresh load id, read only
+   those files, apply the typed projection and write them as partition
+   ``load_id=<id>`` of the target; then record them ``done``.
+
+The target is partitioned by load, not by file, so a feed of millions of
+small files does not become millions of partition folders.  Lost executors
+are Spark's task retries; Structured Streaming's file source
+(``kiln.streaming``) gives the same guarantee through its checkpoint.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +33,9 @@ from kiln.sources.csv import read_csv
 
 LEDGER_SCHEMA = StructType([
     StructField("file_path", StringType(), False),
-    StructField("loaded_at", TimestampType(), True),
+    StructField("load_id", StringType(), False),
+    StructField("state", StringType(), False),
+    StructField("at", TimestampType(), True),
 ])
 
 
@@ -47,37 +51,64 @@ def list_files(spark: SparkSession, pattern: str, columns: Sequence[str]) -> lis
     return list(read_csv(spark, pattern, columns, lineage=False).inputFiles())
 
 
-def loaded_files(spark: SparkSession, ledger_path: str) -> DataFrame:
+def ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     if _exists(spark, ledger_path):
         return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
     return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
+def _record(spark: SparkSession, ledger_path: str, files: list[str], load_id: str,
+            state: str) -> None:
+    (spark.createDataFrame([(p, load_id, state) for p in files],
+                           "file_path string, load_id string, state string")
+     .withColumn("at", F.current_timestamp())
+     .write.mode("append").parquet(ledger_path))
+
+
+def _load(spark: SparkSession, files: list[str], columns: Sequence[str], target_path: str,
+          load_id: str, project: Callable[[DataFrame], DataFrame]) -> None:
+    batch = read_csv(spark, files, columns, lineage=False).select(
+        "*", F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_size").alias("file_size"))
+    (project(batch).withColumn("load_id", F.lit(load_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("load_id").parquet(target_path))
+
+
+def unfinished_loads(spark: SparkSession, ledger_path: str) -> dict[str, list[str]]:
+    """Loads recorded ``pending`` without a ``done``: load id -> its files."""
+    led = ledger(spark, ledger_path)
+    done = led.filter(F.col("state") == "done").select("load_id").distinct()
+    rows = (led.filter(F.col("state") == "pending").join(done, "load_id", "left_anti")
+            .select("load_id", "file_path").collect())
+    out: dict[str, list[str]] = {}
+    for r in rows:
+        out.setdefault(r.load_id, []).append(r.file_path)
+    return out
+
+
 def file_once_ingest(spark: SparkSession, pattern: str, columns: Sequence[str],
                      ledger_path: str, target_path: str,
                      project: Callable[[DataFrame], DataFrame] = lambda d: d) -> int:
     """Append rows of not-yet-loaded files under ``pattern`` to ``target_path``.
 
-    ``project`` is the typed projection (``CAST(date AS DATE)`` ...); it
-    must keep the ``file_id`` column.  Returns the number of files loaded by
-    this run.
+    ``project`` is the typed projection (``CAST(date AS DATE)`` ...).
+    Returns the number of new files loaded by this run.
     """
+    for load_id, files in unfinished_loads(spark, ledger_path).items():
+        _load(spark, files, columns, target_path, load_id, project)
+        _record(spark, ledger_path, files, load_id, "done")
     candidates = list_files(spark, pattern, columns)
     if not candidates:
         return 0
     offered = spark.createDataFrame([(p,) for p in candidates], "file_path string")
     new = [r.file_path for r in
-           offered.join(loaded_files(spark, ledger_path).select("file_path"),
+           offered.join(ledger(spark, ledger_path).select("file_path"),
                         "file_path", "left_anti").collect()]
     if not new:
         return 0
-    batch = read_csv(spark, new, columns, lineage=False).select(
-        "*", F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_size").alias("file_size"),
-        F.substring(F.sha2(F.col("_metadata.file_path"), 256), 1, 16).alias("file_id"))
-    (project(batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("file_id").parquet(target_path))
-    (spark.createDataFrame([(p,) for p in new], "file_path string")
-     .withColumn("loaded_at", F.current_timestamp())
-     .write.mode("append").parquet(ledger_path))
+    load_id = uuid.uuid4().hex
+    _record(spark, ledger_path, new, load_id, "pending")
+    _load(spark, new, columns, target_path, load_id, project)
+    _record(spark, ledger_path, new, load_id, "done")
     return len(new)

@@ -74,13 +74,13 @@ def file_once_ingest_q(spark: SparkSession, sf: str) -> DataFrame:
             F.col("o_custkey").try_cast("bigint").alias("o_custkey"),
             "o_orderstatus", F.col("o_totalprice").try_cast("double").alias("o_totalprice"),
             F.col("o_orderdate").try_cast("date").alias("o_orderdate"),
-            "o_orderpriority", "file_id")
+            "o_orderpriority")
 
     cols = [c for c in ORDER_TEXT_COLS]
     file_once_ingest(spark, f"{root}/landing/part=[01]/*.csv", cols, ledger, target, project)
     file_once_ingest(spark, f"{root}/landing/part=[01]/*.csv", cols, ledger, target, project)
     file_once_ingest(spark, f"{root}/landing/part=*/*.csv", cols, ledger, target, project)
-    return spark.read.parquet(target).drop("file_id")
+    return spark.read.parquet(target).drop("load_id")
 
 
 def dim_date_q(spark: SparkSession, sf: str) -> DataFrame:

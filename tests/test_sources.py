@@ -45,7 +45,7 @@ def test_file_once_ingest_loads_each_file_once(spark, tmp):
     def project(df):
         return df.select(F.col("order_id").cast("bigint").alias("order_id"),
                          F.to_date("order_placement_date").alias("date"),
-                         F.col("order_qty").cast("double").cast("bigint").alias("qty"), "file_id")
+                         F.col("order_qty").cast("double").cast("bigint").alias("qty"))
 
     assert file_once_ingest(spark, f"{landing}/*.csv", COLS, ledger, target, project) == 2
     assert file_once_ingest(spark, f"{landing}/*.csv", COLS, ledger, target, project) == 0
@@ -56,15 +56,21 @@ def test_file_once_ingest_loads_each_file_once(spark, tmp):
 
 
 def test_ledger_rerun_after_crash_overwrites_not_duplicates(spark, tmp):
+    from kiln.sources import ledger as L
     landing, ledger, target = f"{tmp}/landing", f"{tmp}/ledger", f"{tmp}/target"
     land(spark, landing, "a.csv", [("1", "2025-07-01", "1", "1", "1")])
-    keep = lambda df: df.select("order_id", "file_id")
-    file_once_ingest(spark, f"{landing}/*.csv", COLS, ledger, target, keep)
-    # simulate a run that wrote data but died before recording the ledger
-    import shutil
-    shutil.rmtree(ledger)
-    file_once_ingest(spark, f"{landing}/*.csv", COLS, ledger, target, keep)
-    assert spark.read.parquet(target).count() == 1
+    land(spark, landing, "b.csv", [("2", "2025-07-01", "1", "1", "1")])
+    keep = lambda df: df.select("order_id", "file_name")
+    # a run that recorded its files as pending and wrote the data, then died
+    files = L.list_files(spark, f"{landing}/a.csv", COLS)
+    L._record(spark, ledger, files, "crashed", "pending")
+    L._load(spark, files, COLS, target, "crashed", keep)
+    assert L.unfinished_loads(spark, ledger) == {"crashed": files}
+    # the next run finishes that load (overwrite) and takes only the new file
+    assert file_once_ingest(spark, f"{landing}/*.csv", COLS, ledger, target, keep) == 1
+    got = sorted((r.order_id, r.file_name) for r in spark.read.parquet(target).collect())
+    assert got == [("1", "a.csv"), ("2", "b.csv")]
+    assert L.unfinished_loads(spark, ledger) == {}
 
 
 def test_table_store_versions_and_partitions(spark, tmp):
