@@ -258,6 +258,7 @@ UNION ALL
 SELECT 'PB-' || p_brand, '2024', min(p_retailprice) FROM part GROUP BY p_brand""",
     "fact_full_load": _FACT,
     "fact_incremental_load": _FACT,
+    "fact_stream_load": _FACT,
     "fact_rejects": f"""
 WITH {_LINES}, {_PRODUCTS},
 q AS (SELECT * FROM lines UNION ALL SELECT * FROM lines WHERE l_linenumber % 7 = 0),

@@ -25,6 +25,7 @@ from kiln.session import scratch_path
 from kiln.sources.csv import read_csv, write_csv
 from kiln.sources.ledger import file_once_ingest
 from kiln.sources.tables import TableStore
+from kiln.streaming.ingest import ingest_available
 from kiln.workloads import dirty as D
 
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -508,6 +509,28 @@ def fact_incremental_load(spark, sf):
     return state.parent
 
 
+def fact_stream_load(spark, sf):
+    """Order lines landed as one CSV file per order year, drained by a file
+    stream (``availableNow``, four files per micro-batch); every micro-batch
+    runs the incremental fact load with its batch id as load id (M1 + L6)."""
+    root = scratch_path(spark, "stream")
+    lines = D.order_lines(spark, sf)
+    (lines.withColumn("year", F.year("o_orderdate")).drop("l_linenumber", "o_orderdate")
+     .repartition("year").write.partitionBy("year").option("header", "true")
+     .csv(f"{root}/landing"))
+    store = TableStore(spark, f"{root}/warehouse")
+    store.write(_products(spark, sf), "silver", "products")
+    products = store.read("silver", "products")
+
+    def batch(df, batch_id):
+        facts.run_fact_load(store, df.drop("file_name", "file_size", "read_timestamp"),
+                            products, load_id=f"{batch_id:012d}")
+
+    ingest_available(spark, f"{root}/landing/*/*.csv", list(facts.ORDER_COLS),
+                     f"{root}/checkpoint", batch, max_files_per_trigger=4)
+    return store.read("gold", "fact_orders").select(*facts.PARENT_KEYS, "sold_quantity")
+
+
 def fact_rejects(spark, sf):
     """Order lines dropped by the product resolution (placeholders, sentinel ids)."""
     lines = D.order_lines(spark, sf).drop("l_linenumber", "o_orderdate")
@@ -562,5 +585,6 @@ QUERIES = {
     "dim_price_load": dim_price_load,
     "fact_full_load": fact_full_load,
     "fact_incremental_load": fact_incremental_load,
+    "fact_stream_load": fact_stream_load,
     "fact_rejects": fact_rejects,
 }
