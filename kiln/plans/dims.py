@@ -17,7 +17,7 @@ from kiln.functions import clean as C
 from kiln.functions import constants as K
 from kiln.operators.dedupe import dedupe
 from kiln.operators.latest import latest_nonzero
-from kiln.operators.lookup import fill_from_lookup
+from kiln.operators.lookup import fill_from_lookup, resolve_key
 from kiln.operators.sizing import bounded_broadcast
 from kiln.operators.upsert import upsert
 from kiln.sources.tables import TableStore
@@ -72,6 +72,7 @@ def replace_values(df: DataFrame, col: str, fixes: Mapping[str, str] | DataFrame
     wrong, right = fixes.columns[:2]
     side = fixes.select(F.lower(F.col(wrong)) if case_insensitive else F.col(wrong),
                         F.col(right)).toDF("__fix_k", "__fix_v")
+    side = dedupe(side, ["__fix_k"])  # one fix per spelling: never multiplies rows
     key = F.lower(F.col(col)) if case_insensitive else F.col(col)
     cols = df.columns
     return (df.join(bounded_broadcast(side), key == F.col("__fix_k"), "left")
@@ -178,7 +179,6 @@ PRODUCT_SET = {c: c for c in ("variant", "division", "category", "product")}
 # --- L3: gross prices ---------------------------------------------------------------
 def prices_silver(bronze: DataFrame, products: DataFrame) -> DataFrame:
     """product_id, month, gross_price -> typed, keyed by product_code; unknown products dropped."""
-    from kiln.operators.lookup import resolve_key
     df = bronze.withColumns({
         "product_id": F.trim(F.col("product_id").cast("string")),
         "month": C.parse_date("month", strip_prefix=False),

@@ -94,5 +94,6 @@ def test_table_store_versions_and_partitions(spark, tmp):
 
 def test_read_parquet_spreads_single_split(spark, tmp):
     spark.range(1000).coalesce(1).write.parquet(f"{tmp}/one")
-    df = read_parquet(spark, f"{tmp}/one", min_partitions=4)
+    df = read_parquet(spark, f"{tmp}/one", min_partitions=4, min_bytes=0)
     assert df.rdd.getNumPartitions() == 4 and df.count() == 1000
+    assert read_parquet(spark, f"{tmp}/one", min_partitions=4).rdd.getNumPartitions() == 1
