@@ -197,3 +197,26 @@ def test_profile_and_dq(spark):
     assert (prof.rows, prof.distinct_keys, prof.nulls_name, prof.untrimmed_name) == (3, 2, 1, 1)
     assert rows(P.stage_counts(df, [("all", None), ("named", F.col("name").isNotNull())])) == \
         [("all", 3), ("named", 2)]
+
+
+def test_upsert_composite_key_with_null_component(spark):
+    target = spark.createDataFrame([("2025-07-01", "p", 1), ("2025-07-01", None, 2)],
+                                   "d string, p string, v int")
+    source = spark.createDataFrame([("2025-07-01", "p", 10), ("2025-07-01", None, 20)],
+                                   "d string, p string, v int")
+    out = rows(upsert(target, source, ["d", "p"]))
+    # (d, p) matches and is updated; a NULL in the key never matches -> kept + inserted
+    assert out == [("2025-07-01", "p", 10), ("2025-07-01", None, 2), ("2025-07-01", None, 20)]
+
+
+def test_snapshot_diff_null_key_and_repeats(spark):
+    before = spark.createDataFrame([(None, "a"), (1, "x"), (1, "x")], "k int, v string")
+    after = spark.createDataFrame([(None, "b"), (1, "x")], "k int, v string")
+    out = rows(snapshot_diff(before, after, ["k"]), "k", "v", "change_type")
+    # NULL keys pair with each other (NULL-safe); one of two identical rows removed
+    assert out == [(1, "x", "delete"), (None, "a", "update_preimage"), (None, "b", "update_postimage")]
+
+
+def test_dedupe_null_keys_form_one_group(spark):
+    df = spark.createDataFrame([(None, 2), (None, 1), (1, 5)], "k int, v int")
+    assert rows(dedupe(df, ["k"], ["v"])) == [(1, 5), (None, 1)]
