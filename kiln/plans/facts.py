@@ -165,7 +165,7 @@ def run_fact_load(store: TableStore, bronze: DataFrame, products: DataFrame,
     load_id = load_id or uuid.uuid4().hex
     store.replace_partitions(bronze.withColumn("load_id", F.lit(load_id)), "bronze", name,
                              ["load_id"])
-    batch = store.spark.read.parquet(f"{store.current_path('bronze', name)}/load_id={load_id}")
+    batch = store.read_partition_folder("bronze", name, "load_id", load_id)
 
     batch_silver = orders_silver(batch, products).withColumn(
         MONTH, month_start("order_placement_date"))

@@ -7,12 +7,21 @@ snapshot counts only once its ``_SUCCESS`` marker exists.  Readers always
 take the highest committed snapshot, so a job that dies mid-write leaves the
 previous snapshot in force, and a plan may read a table and overwrite it in
 the same job.  Appends go into the current snapshot.
+
+Each snapshot keeps its schema in ``_kiln_schema.json`` (ignored by Parquet
+readers, as every ``_`` file), so reads pass an explicit schema and skip
+the footer-reading job that schema inference would otherwise start.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+SCHEMA_FILE = "_kiln_schema.json"
 
 
 def _rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
@@ -46,6 +55,23 @@ class TableStore:
                 out.append(int(n[2:]))
         return sorted(out)
 
+    def _put_schema(self, path: str, schema: StructType) -> None:
+        p, fs = self._fs(f"{path}/{SCHEMA_FILE}")
+        out = fs.create(p, True)
+        out.write(bytearray(schema.json().encode("utf-8")))
+        out.close()
+
+    def _get_schema(self, path: str) -> StructType | None:
+        p, fs = self._fs(f"{path}/{SCHEMA_FILE}")
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return StructType.fromJson(json.loads(text))
+
     # --- public API --------------------------------------------------------
     def folder(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -63,9 +89,21 @@ class TableStore:
         path = self.current_path(layer, name)
         if path is None:
             raise FileNotFoundError(f"table {layer}.{name} does not exist")
-        reader = self.spark.read.option("mergeSchema", "true") if merge_schema else self.spark.read
+        if merge_schema:
+            return self.spark.read.option("mergeSchema", "true").parquet(path)
+        schema = self._get_schema(path)
+        reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
         return reader.parquet(path)
 
+    def read_partition_folder(self, layer: str, name: str, column: str, value: str) -> DataFrame:
+        """One partition folder read directly (no listing of the others)."""
+        path = self.current_path(layer, name)
+        schema = self._get_schema(path)
+        reader = self.spark.read
+        if schema is not None:
+            reader = reader.schema(StructType([f for f in schema.fields if f.name != column]))
+        return reader.parquet(f"{path}/{column}={value}")
+
     def write(self, df: DataFrame, layer: str, name: str, mode: str = "overwrite",
               partition_by: list[str] | None = None) -> str:
         """Overwrite = new snapshot; append = into the current snapshot."""
@@ -79,8 +117,22 @@ class TableStore:
             _rebalanced(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
         else:
             df.write.mode(mode).parquet(path)
+        self._put_schema(path, self._merged_schema(path, df, partition_by))
         return path
 
+    def _merged_schema(self, path: str, df: DataFrame, partition_by: list[str] | None) -> StructType:
+        """Schema of the snapshot after a write: partition columns last (as
+        Parquet partition discovery orders them); columns an append adds are
+        added to the stored schema."""
+        parts = list(partition_by or [])
+        fields = [f for f in df.schema.fields if f.name not in parts] + \
+                 [f for f in df.schema.fields if f.name in parts]
+        old = self._get_schema(path)
+        if old is None:
+            return StructType(fields)
+        known = {f.name for f in old.fields}
+        return StructType(list(old.fields) + [f for f in fields if f.name not in known])
+
     def read_partitions(self, layer: str, name: str, column: str, values: list) -> DataFrame:
         """Only the partitions ``column`` in ``values`` (NULL allowed): a
         partition filter, so the scan lists and reads just those folders."""
