@@ -42,8 +42,3 @@ def dedupe(df: DataFrame, keys: Sequence[str],
     tie = [F.col(c).asc_nulls_last() for c in _orderable(df, set(keys))]
     w = Window.partitionBy(*keys).orderBy(*order, *tie)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
-
-
-def distinct_rows(df: DataFrame) -> DataFrame:
-    """Exact duplicate rows removed (hash aggregate with map-side combine)."""
-    return df.dropDuplicates()

@@ -27,8 +27,3 @@ def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` if it provably fits, else ``df`` for a shuffle join."""
     return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def literal_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast a relation built from a literal list: its size is the literal's."""
-    return F.broadcast(df)

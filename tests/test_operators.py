@@ -220,3 +220,8 @@ def test_snapshot_diff_null_key_and_repeats(spark):
 def test_dedupe_null_keys_form_one_group(spark):
     df = spark.createDataFrame([(None, 2), (None, 1), (1, 5)], "k int, v int")
     assert rows(dedupe(df, ["k"], ["v"])) == [(1, 5), (None, 1)]
+
+
+def test_row_counts_of_stages(spark):
+    a = spark.range(10)
+    assert rows(P.row_counts([("all", a), ("even", a.filter("id % 2 = 0"))])) == [("all", 10), ("even", 5)]
