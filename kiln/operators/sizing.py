@@ -1,29 +1,52 @@
 """Broadcast only behind a checked size bound.
 
-``bounded_broadcast`` runs one cheap action — ``limit(max_rows + 1).count()``
-stops reading as soon as the bound is exceeded — and marks the relation for
-broadcast only when it fits.  Beyond the bound the relation is returned
-untouched and the planner uses a shuffle join (with AQE skew splitting).
-Callers pass relations whose size is bounded by the problem (months in a
-batch, a dimension, a correction list), so the check normally passes; when a
-"dimension" grows to billions of rows the same code keeps working.
+``fits`` runs one cheap action over at most ``max_rows + 1`` rows (every
+task stops after that many): it counts them and sums their measured size —
+the byte length of text and binary values, the JSON length of nested ones,
+16 bytes for every other value.  ``bounded_broadcast`` marks the relation
+for broadcast only when both the row and the byte bound hold; beyond them
+the relation is returned untouched and the planner uses a shuffle join
+(with AQE skew splitting).  Callers pass relations whose size is bounded by
+the problem (months in a batch, a dimension, a correction list, an upsert
+batch), so the check normally passes; when a "dimension" grows to billions
+of rows, or a batch carries wide rows, the same code keeps working.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-# Rows, not bytes: every relation we broadcast is a narrow key/value
-# projection, so 2M rows stay well below a few hundred MB on executors.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# measured data bytes; the hashed relation built from it is a small multiple
+DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
+
+
+def _value_bytes(df: DataFrame) -> Column:
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            parts.append(F.coalesce(F.length(F.to_json(c)), F.lit(0)))
+        else:
+            parts.append(F.lit(16))
+    return reduce(lambda a, b: a + b, parts, F.lit(0)).cast("bigint")
 
 
-def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+         max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` of data."""
+    r = (df.limit(max_rows + 1)
+         .agg(F.count(F.lit(1)).alias("n"), F.sum(_value_bytes(df)).alias("b")).first())
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """``broadcast(df)`` if it provably fits, else ``df`` for a shuffle join."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df

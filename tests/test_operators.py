@@ -225,3 +225,13 @@ def test_dedupe_null_keys_form_one_group(spark):
 def test_row_counts_of_stages(spark):
     a = spark.range(10)
     assert rows(P.row_counts([("all", a), ("even", a.filter("id % 2 = 0"))])) == [("all", 10), ("even", 5)]
+
+
+def test_fits_checks_rows_and_bytes(spark):
+    from kiln.operators.sizing import fits
+    df = spark.range(100).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("s"),
+                                 F.array(F.lit(1)).alias("a"))
+    assert fits(df, max_rows=100)
+    assert not fits(df, max_rows=99)
+    assert not fits(df, max_rows=100, max_bytes=50_000)   # ~100 KB of text
+    assert fits(df, max_rows=100, max_bytes=200_000)
