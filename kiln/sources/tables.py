@@ -133,6 +133,18 @@ class TableStore:
         known = {f.name for f in old.fields}
         return StructType(list(old.fields) + [f for f in fields if f.name not in known])
 
+    def vacuum(self, layer: str, name: str, keep: int = 2) -> list[str]:
+        """Delete all but the newest ``keep`` committed snapshots; returns the
+        removed paths.  Run it when no job still reads the older snapshots."""
+        versions = self._versions(layer, name)
+        removed = []
+        for v in versions[:-keep] if keep > 0 else versions:
+            path = f"{self.folder(layer, name)}/v={v:06d}"
+            p, fs = self._fs(path)
+            fs.delete(p, True)
+            removed.append(path)
+        return removed
+
     def read_partitions(self, layer: str, name: str, column: str, values: list) -> DataFrame:
         """Only the partitions ``column`` in ``values`` (NULL allowed): a
         partition filter, so the scan lists and reads just those folders."""

@@ -97,3 +97,13 @@ def test_read_parquet_spreads_single_split(spark, tmp):
     df = read_parquet(spark, f"{tmp}/one", min_partitions=4, min_bytes=0)
     assert df.rdd.getNumPartitions() == 4 and df.count() == 1000
     assert read_parquet(spark, f"{tmp}/one", min_partitions=4).rdd.getNumPartitions() == 1
+
+
+def test_table_store_vacuum_keeps_newest(spark, tmp):
+    store = TableStore(spark, tmp)
+    for i in range(4):
+        store.write(spark.createDataFrame([(i,)], "v int"), "gold", "t")
+    removed = store.vacuum("gold", "t", keep=2)
+    assert [p.rsplit("=", 1)[1] for p in removed] == ["000001", "000002"]
+    assert store.read("gold", "t").first().v == 3
+    assert store.current_path("gold", "t").endswith("v=000004")
