@@ -79,3 +79,11 @@ def test_recompute_joins_months_by_broadcast_semi_join(spark):
         .withColumn("d", F.to_date("d"))
     p = _plan(recompute_periods(gold, "d", affected_periods(gold, "d"), ["p"], "q"))
     assert "BroadcastHashJoin LeftSemi" in p or ("LeftSemi" in p and "Broadcast" in p)
+
+
+def test_flagship_shuffle_budget(spark):
+    from kiln.workloads.queries import fact_full_load
+    p = _plan(fact_full_load(spark, SF_SMALL))
+    # line dedupe, product-dimension dedupe, monthly sum — nothing more
+    assert p.count("Exchange hashpartitioning") <= 3
+    assert p.count("WindowGroupLimit") >= 2
