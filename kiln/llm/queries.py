@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 
 from kiln.llm.common import table
 from kiln.llm.mixing import mix_sources, word_count
+from kiln.llm.near_dups import near_duplicate_components
 from kiln.llm.ring import assign_shards
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_components(table(spark, sf_dir, "documents"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     docs = docs.select("doc_id", "source", word_count(F.col("text")).alias("words"))
@@ -27,6 +32,7 @@ def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op2_mix_sources": op2_mix_sources,
     "op7_ring_shards": op7_ring_shards,
 }
