@@ -7,10 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kiln.llm.common import stored, table
+from kiln.llm.decontaminate import without_leaks
+from kiln.llm.language import documents_in_known_languages
 from kiln.llm.mixing import mixed_documents
+from kiln.llm.near_dups import one_per_group
 from kiln.llm.ring import assign_shards
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the fused evidence settles; the others go."""
+    return documents_in_known_languages(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id."""
+    return one_per_group(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sources mixed to their target weights: documents left out, kept or repeated."""
     return mixed_documents(docs)
@@ -22,11 +40,14 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
     ("mix", mix),
     ("shard", shard),
 ]
 
-#: language ID and near-dedup cannot be put in SQL
+#: language ID and edit matching cannot be put in SQL
 ORACLE_SQL = None
 
 
