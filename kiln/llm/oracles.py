@@ -1,5 +1,152 @@
-"""DuckDB SQL for those training-data queries that SQL can express."""
+"""DuckDB SQL for those training-data queries that SQL can express.
+
+op3 (fitted model), op5 (edit distance of any stretch), op6 (tokenizer), op7
+(CRC-32), op9 (HTML) and op10 (SimHash) have none; tests compare them with
+brute force.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]+"
+
+OP1 = rf"""
+with recursive
+w as (
+  select doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') as ws
+  from documents),
+s as (
+  select distinct doc_id, case when len(ws) < 5 then array_to_string(ws, ' ')
+         else array_to_string(ws[i + 1 : i + 5], ' ') end as sh
+  from (select doc_id, ws, unnest(range(greatest(1, len(ws) - 4))) as i from w where len(ws) > 0)),
+d as (select doc_id, count(*) as n, md5(string_agg(sh, chr(31) order by sh)) as k from s group by doc_id),
+c as (select k, min(doc_id) as rep, any_value(n) as n from d group by k),
+cs as (select c.rep, c.n, s.sh from c join s on s.doc_id = c.rep),
+common as (
+  select a.rep as a, b.rep as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as x
+  from cs a join cs b on a.sh = b.sh and a.rep < b.rep group by a.rep, b.rep),
+links as (select a, b from common where 100 * x >= 85 * (na + nb - x)),
+edges as (select a, b from links union select b, a from links),
+reach(node, seen) as (
+  select rep, rep from c
+  union
+  select r.node, e.b from reach r join edges e on e.a = r.seen),
+comp as (select node, min(seen) as component from reach group by node)
+select doc.doc_id, coalesce(d.n, 0)::bigint as n_shingles,
+       coalesce(comp.component, doc.doc_id) as component_id,
+       doc.doc_id = coalesce(comp.component, doc.doc_id) as kept
+from documents doc left join d on d.doc_id = doc.doc_id
+left join c on c.k = d.k left join comp on comp.node = c.rep
+"""
+
+OP2 = rf"""
+with recursive
+docs as (
+  select doc_id, case when source is null then 't' else 's' || source end as sk,
+         coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::bigint as size from documents),
+src as (
+  select sk, sum(size)::bigint as s, [5, 2, 1][1 + (row_number() over (order by sk) - 1) % 3] as w
+  from docs group by sk),
+-- sources are capped in the order of 3 * size / weight until the common share fits all others
+ratio as (
+  select *, 3.0 * s / w as r, sum(s) over () as total from src),
+sorted as (
+  select *, sum(3 * s) over (order by r, sk rows unbounded preceding) - 3 * s as full_before,
+         sum(w) over (order by r desc, sk desc rows unbounded preceding) as free_from from ratio),
+cut as (
+  select min(r) as r from sorted where w::hugeint * (total - full_before) <= 3 * s::hugeint * free_from),
+tgt as (
+  select ratio.sk, s, ratio.r < cut.r as capped, w from ratio, cut),
+rest as (
+  select sum(s) - 3 * coalesce(sum(s) filter (where capped), 0) as left_over,
+         sum(w) filter (where not capped) as free, sum(s) as total from tgt),
+target as (
+  select sk, s, case when capped then (3 * s)::double
+         else (w * left_over)::double / free::double end as target, total from tgt, rest),
+blk as (
+  select *, greatest(ceil(s::double / b), least(s, 256))::bigint as nb
+  from (select *, least(2048, greatest(1, total // 131072)) as b from target)),
+share as (
+  select *, case when s > 0 then target * nb / s else 0.0 end as share from blk),
+placed as (
+  select *, coalesce(sum(share) over (order by sk rows between unbounded preceding and 1 preceding), 0) as before,
+         sum(share) over () as ideal from share),
+slots as (
+  select i as slot, (i * 2654435769) % 4294967296 as p
+  from (select unnest(range(round((select max(ideal) from placed))::bigint)) as i)),
+owned as (
+  select slot, sk, nb from slots join (
+    select sk, nb, floor(before * (4294967296.0 / ideal)) as lo,
+           case when before + share >= ideal * (1 - 1e-12) then 4294967296.0
+                else floor((before + share) * (4294967296.0 / ideal)) end as hi
+    from placed where share > 0) on p >= lo and p < hi),
+laps as (
+  select sk, k, count(*) as laps from (
+    select sk, r % nb as k, r // nb as lap
+    from (select sk, nb, row_number() over (partition by sk order by slot) - 1 as r from owned))
+  where lap < 3 group by sk, k),
+stream as (
+  select doc_id, docs.sk, size, s, target, nb, coalesce(sum(size) over (
+    partition by docs.sk order by ('0x' || substr(md5(concat_ws(chr(31), doc_id, docs.sk, size)), 1, 8))::bigint,
+    doc_id, size rows between unbounded preceding and 1 preceding), 0) as a
+  from docs join blk on blk.sk = docs.sk),
+piece as (
+  select doc_id, sk, a, size, s, nb, unnest(range((a::hugeint * nb // s)::bigint,
+         ((a + size - 1)::hugeint * nb // s)::bigint + 1)) as k from stream where size > 0),
+got as (
+  select doc_id, sum(laps * (least(a + size, ((k + 1)::hugeint * s + nb - 1) // nb)
+                             - greatest(a, (k::hugeint * s + nb - 1) // nb)))::bigint as taken
+  from piece join laps using (sk, k) group by doc_id)
+select doc_id, size, s as source_size, target, coalesce(taken, 0)::bigint as taken
+from stream left join got using (doc_id)
+"""
+
+OP4 = r"""
+with lines as (
+  select doc_id, unnest(string_split(text, chr(10))) as t, unnest(range(len(string_split(text, chr(10))))) as line
+  from documents where text is not null),
+units as (
+  select doc_id, line, regexp_extract_all(lower(t), '[^\s]+') as ws, length(t) as n,
+         coalesce(sum(length(t) + 1) over (partition by doc_id order by line
+                  rows between unbounded preceding and 1 preceding), 0) as start
+  from lines),
+hashed as (
+  select doc_id, line, start, start + n as "end", len(ws) as words, md5(array_to_string(ws, ' ')) as digest
+  from units where len(ws) >= 8),
+ranked as (
+  select *, row_number() over (partition by digest order by doc_id, line) as place,
+         first_value(doc_id) over (partition by digest order by doc_id, line) as kept_doc_id,
+         first_value(line) over (partition by digest order by doc_id, line) as kept_line
+  from hashed)
+select doc_id, line, start::bigint as start, "end"::bigint as "end", words, digest, kept_doc_id, kept_line
+from ranked where place > 1
+"""
+
+OP8 = r"""
+with split as (
+  select page_id, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end as rest
+  from pages),
+address as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from split),
+rules(h, p, verdict) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+  ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+fit as (
+  select page_id, arg_max(h || p, length(h || p)) as rule, arg_max(verdict, length(h || p)) as verdict
+  from (select distinct page_id, host, path from address) join rules
+    on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by page_id)
+select a.page_id, host, path, rule, coalesce(verdict, case
+  when regexp_matches(lower(path), '/(login|signin|signup|cart|checkout|search)(/|$)')
+    or regexp_matches(lower(host || path), '(^|[./])(ads|adserver|casino|porn|xxx)([./]|$)')
+    or regexp_matches(lower(host || path), '\.(zip|exe|jpg|png|gif|mp4)$') then 'block'
+  else 'allow' end) as verdict
+from address a left join fit using (page_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_near_duplicates": OP1,
+    "op2_mix_sources": OP2,
+    "op4_repeated_lines": OP4,
+    "op8_url_rules": OP8,
+}
