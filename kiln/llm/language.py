@@ -68,12 +68,13 @@ class TextModel:
         logs = np.log(smooth / smooth.sum(axis=1, keepdims=True)) if len(languages) else np.empty((0, BUCKETS))
         self.logs = np.vstack([logs, np.full((1, BUCKETS), -math.log(BUCKETS))]).T.astype(np.float32).copy()
 
-    def score(self, text: str | None) -> list[float]:
-        total = np.zeros(len(self.languages))
-        ids = _trigrams(text)
-        for i in range(0, len(ids), 1 << 16):  # a bounded slice of a long text at a time
-            total += self.logs[ids[i:i + (1 << 16)]].sum(axis=0, dtype=np.float64)
-        return (TEMPER * total).tolist()
+
+def _score(logs: np.ndarray, text: str | None) -> list[float]:
+    total = np.zeros(logs.shape[1])
+    ids = _trigrams(text)
+    for i in range(0, len(ids), 1 << 16):  # a bounded slice of a long text at a time
+        total += logs[ids[i:i + (1 << 16)]].sum(axis=0, dtype=np.float64)
+    return (TEMPER * total).tolist()
 
 
 def fit_text_model(rows: DataFrame, text: Column, label: Column, train_rows: int = TRAIN_ROWS) -> TextModel:
@@ -115,11 +116,11 @@ def _whole():
 
 
 def _scorer(rows: DataFrame, model: TextModel):
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # languages x BUCKETS floats
+    shared = rows.sparkSession.sparkContext.broadcast(model.logs)  # languages x BUCKETS floats
 
     @F.pandas_udf("array<double>")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t) for t in texts])
+        return pd.Series([_score(shared.value, t) for t in texts])
 
     return score
 

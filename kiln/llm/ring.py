@@ -37,7 +37,9 @@ def ring_points(spark: SparkSession, shards: int, virtual_nodes: int) -> DataFra
     """``(arc, pos, shard)``: the points in ring order, ``arc`` counting from 0."""
     points = (spark.range(shards * virtual_nodes)
               .select((F.col("id") % shards).cast("int").alias("shard"),
-                      hash32(F.concat(F.lit("point-"), F.col("id"))).alias("pos")))
+                      F.floor(F.col("id") / shards).alias("node"))
+              # a shard's points are the same however many shards there are
+              .select("shard", hash32("shard", "node").alias("pos")))
     return points.select((F.row_number().over(Window.orderBy("pos", "shard")) - 1).cast("int").alias("arc"),
                          "pos", "shard")
 
