@@ -59,11 +59,15 @@ def extract_parenthesised(col: Column | str, pattern: str = K.PARENTHESISED_PATT
 def hash_key(*cols: Column | str, sep: str = "|") -> Column:
     """SHA-256 hex business key over one or more text columns.
 
-    One column hashes its text as is; several are joined with ``sep``.
+    One column hashes its text as is.  Several are joined with ``sep``; inside
+    them ``sep`` and the backslash are escaped and NULL is written ``\\N``, so
+    different tuples never give the same text.
     """
     parts = [_c(c).cast("string") for c in cols]
-    text = parts[0] if len(parts) == 1 else F.concat_ws(sep, *parts)
-    return F.sha2(text, 256)
+    if len(parts) == 1:
+        return F.sha2(parts[0], 256)
+    safe = [F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit(sep), F.lit("\\" + sep)) for p in parts]
+    return F.sha2(F.concat_ws(sep, *[F.coalesce(p, F.lit("\\N")) for p in safe]), 256)
 
 
 def format_guard(fmt: str) -> str:

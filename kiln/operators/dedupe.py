@@ -3,7 +3,8 @@
 ``dropDuplicates(keys)`` keeps an arbitrary row per key, so two runs (or the
 two lazy re-executions of one plan) can keep different rows.  ``dedupe``
 keeps the first row per key under a *total* order: the caller's ``order_by``
-followed by every other column as tie-break.
+followed by every other column that has an order (all but maps) as
+tie-break.
 
 Plan shape: ``row_number() == 1`` is rewritten by Catalyst into a
 ``WindowGroupLimit`` that runs once *before* the shuffle (partial, per map
@@ -18,21 +19,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 _RN = "__kiln_rn"
 
 
 def _orderable(df: DataFrame, exclude: set[str]) -> list[str]:
-    from pyspark.sql.types import ArrayType, MapType, StructType
+    return [f.name for f in df.schema.fields if f.name not in exclude and _has_order(f.dataType)]
 
-    out = []
-    for f in df.schema.fields:
-        if f.name in exclude or isinstance(f.dataType, (MapType,)):
-            continue
-        if isinstance(f.dataType, (ArrayType, StructType)):
-            continue
-        out.append(f.name)
-    return out
+
+def _has_order(kind: DataType) -> bool:
+    """Everything but maps (and what holds one) can be sorted by."""
+    if isinstance(kind, ArrayType):
+        return _has_order(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (MapType, VariantType))
 
 
 def dedupe(df: DataFrame, keys: Sequence[str],
@@ -40,5 +42,6 @@ def dedupe(df: DataFrame, keys: Sequence[str],
     """One row per ``keys``: the first under ``order_by`` then all columns ascending."""
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     tie = [F.col(c).asc_nulls_last() for c in _orderable(df, set(keys))]
-    w = Window.partitionBy(*keys).orderBy(*order, *tie)
+    # with every column a key the rows of a group are equal and any order does
+    w = Window.partitionBy(*keys).orderBy(*(order + tie or [F.lit(1)]))
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions.clean import month_start
-from kiln.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
 
 def monthly_rollup(df: DataFrame, date_col: str, keys: Sequence[str],
@@ -39,19 +38,15 @@ def affected_periods(batch: DataFrame, date_col: str, out: str = "month") -> Dat
 
 
 def restrict_to_periods(fact: DataFrame, date_col: str, periods: DataFrame,
-                        period_col: str = "month",
-                        max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                        period_col: str = "month") -> DataFrame:
     """Rows of ``fact`` whose month is among ``periods``.
 
     The period list is distinct, so an inner join equals a left semi join;
-    the semi join never multiplies fact rows.  Months are few (bounded by the
-    calendar), so the list is broadcast after a size check.  When ``fact``
-    is stored partitioned by month and joined on that column, Spark adds
-    dynamic partition pruning on top.
+    the semi join never multiplies fact rows.  The list is made distinct here,
+    so it has at most one row per calendar month, and is broadcast.
     """
     keyed = fact.withColumn("__kiln_month", month_start(date_col))
-    months = bounded_broadcast(periods.select(F.col(period_col).alias("__kiln_month")),
-                               max_broadcast_rows)
+    months = F.broadcast(periods.select(month_start(period_col).alias("__kiln_month")).distinct())
     return keyed.join(months, "__kiln_month", "left_semi").drop("__kiln_month")
 
 

@@ -1,52 +1,33 @@
-"""Broadcast only behind a checked size bound.
-
-``fits`` runs one cheap action over at most ``max_rows + 1`` rows (every
-task stops after that many): it counts them and sums their measured size —
-the byte length of text and binary values, the JSON length of nested ones,
-16 bytes for every other value.  ``bounded_broadcast`` marks the relation
-for broadcast only when both the row and the byte bound hold; beyond them
-the relation is returned untouched and the planner uses a shuffle join
-(with AQE skew splitting).  Callers pass relations whose size is bounded by
-the problem (months in a batch, a dimension, a correction list, an upsert
-batch), so the check normally passes; when a "dimension" grows to billions
-of rows, or a batch carries wide rows, the same code keeps working.
+"""Broadcast only behind a checked size bound, without running a job.
+
+``fits`` asks the planner for its size estimate of the relation.  For a stored
+table that is the size of its files, known exactly from the file listing;
+projections and filters can only make the data smaller; a join multiplies
+its inputs' sizes, so a derived relation that might be large never passes.
+``bounded_broadcast`` marks the relation for broadcast when the estimate is
+within the bound.  Otherwise it is returned untouched: the planner uses a
+shuffle join, and AQE still turns that into a broadcast join if the relation
+proves small at run time, or splits a skewed key if it does not.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
-
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-# measured data bytes; the hashed relation built from it is a small multiple
-DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
-
-
-def _value_bytes(df: DataFrame) -> Column:
-    parts = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (StringType, BinaryType)):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
-        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
-            parts.append(F.coalesce(F.length(F.to_json(c)), F.lit(0)))
-        else:
-            parts.append(F.lit(16))
-    return reduce(lambda a, b: a + b, parts, F.lit(0)).cast("bigint")
-
-
-def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-         max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` of data."""
-    r = (df.limit(max_rows + 1)
-         .agg(F.count(F.lit(1)).alias("n"), F.sum(_value_bytes(df)).alias("b")).first())
-    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` if it provably fits, else ``df`` for a shuffle join."""
-    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
+
+#: estimated bytes (compressed files); the hashed relation is a small multiple of them
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's upper estimate of the relation's size; starts no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    return estimated_bytes(df) <= max_bytes
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if its estimated size is within the bound, else ``df`` for a shuffle join."""
+    return F.broadcast(df) if fits(df, max_bytes) else df

@@ -9,16 +9,16 @@
 
 MERGE rules kept: a NULL in the key never matches (so such a source row is
 inserted); several target rows matching one source row are all updated;
-several source rows matching one target row is an error when
-``strict=True`` (checked with one aggregate over the *matching* source keys).
+several source rows matching one target row is an error (``strict=False``
+gives every match a row instead).
 
-Plan shapes.  When the source (a batch) provably fits the broadcast bound,
+Plan shapes.  When the source (a batch) is within the broadcast bound,
 neither join moves the target: the update is a broadcast left join and the
 "already present" keys come from a broadcast semi join over the target's
 key columns only, after which inserts are an anti join of two small sides.
 The target — the large table — is scanned twice (once only its key
-columns) and never shuffled.  Beyond the bound both joins shuffle on the
-key; AQE splits a skewed target key in the left outer join.
+columns) and never shuffled.  Beyond the bound one full outer join moves
+each side once.
 """
 
 from __future__ import annotations
@@ -29,9 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.operators.materialize import materialize as materialize_df
-from kiln.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, fits
+from kiln.operators.sizing import DEFAULT_MAX_BROADCAST_BYTES, fits
 
-_M = "__kiln_matched"
+_M, _T = "__kiln_matched", "__kiln_target"
 
 
 class AmbiguousMergeError(ValueError):
@@ -43,24 +43,30 @@ def _expr(v: Column | str) -> Column:
 
 
 def check_unambiguous(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
-    dup = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-           .join(target.select(*keys), list(keys), "left_semi"))
-    if dup.limit(1).count() > 0:
+    """Raise if a key occurs several times in the source and at all in the target.
+
+    The target is only looked at if the source repeats a key.
+    """
+    dup = source.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    if dup.isEmpty():
+        return
+    if not dup.join(target.select(*keys), list(keys), "left_semi").isEmpty():
         raise AmbiguousMergeError(f"several source rows match one target row on {list(keys)}")
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            set_cols: Mapping[str, Column | str] | None = None,
            insert_cols: Mapping[str, Column | str] | None = None,
-           strict: bool = False,
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+           strict: bool = True,
+           max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
            materialize: bool = True) -> DataFrame:
     """New snapshot of ``target`` after merging ``source`` on ``keys``.
 
-    The source feeds the size check and three join branches; with
+    The source feeds the ambiguity check and the join branches; with
     ``materialize`` it is computed once and written as a table below the
-    shared ``spark.checkpoint.dir`` (lineage cut, survives executor loss).
-    Pass ``materialize=False`` when the source is already a stored table.
+    shared ``spark.checkpoint.dir`` (lineage cut, survives executor loss),
+    which also makes its size known.  Pass ``materialize=False`` when the
+    source is already a stored table.
     """
     keys = list(keys)
     types = {f.name: f.dataType for f in target.schema.fields}
@@ -74,37 +80,35 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     if strict:
         check_unambiguous(target, source, keys)
 
-    small = fits(source, max_broadcast_rows)
+    src_keys = [F.col(k).cast(types[k]).alias(k) for k in keys]
+    values = [_expr(v).cast(types[t]).alias(f"__s_{t}") for t, v in set_cols.items()]
+    updated = [(F.when(F.col(_M), F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c)
+                if c in set_cols else F.col(c)) for c in tcols]
+
+    if not fits(source, max_broadcast_bytes):
+        new = [(_expr(insert_cols[c]) if c in insert_cols else F.lit(None)).cast(types[c]).alias(f"__i_{c}")
+               for c in tcols]
+        upd = source.select(*src_keys, *values, *new, F.lit(True).alias(_M))
+        joined = target.withColumn(_T, F.lit(True)).join(upd, keys, "full_outer")
+        kept = [F.when(F.col(_M) & F.col(_T), F.col(f"__s_{c}")).otherwise(F.col(c)) if c in set_cols else F.col(c)
+                for c in tcols]
+        return joined.select(*[F.when(F.col(_T), k).otherwise(F.col(f"__i_{c}")).alias(c)
+                               for c, k in zip(tcols, kept)])
 
     # --- matched and unmatched target rows -------------------------------
-    src_keys = [F.col(k).cast(types[k]).alias(k) for k in keys]
-    upd = source.select(*src_keys,
-                        *[_expr(v).cast(types[t]).alias(f"__s_{t}") for t, v in set_cols.items()],
-                        F.lit(True).alias(_M))
-    if small:
-        upd = F.broadcast(upd)
-    joined = target.join(upd, keys, "left")
-    kept_or_updated = joined.select(*[
-        (F.when(F.col(_M), F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c)
-         if c in set_cols else F.col(c))
-        for c in tcols])
+    upd = source.select(*src_keys, *values, F.lit(True).alias(_M))
+    kept_or_updated = target.join(F.broadcast(upd), keys, "left").select(*updated)
 
     # --- source rows with no target match --------------------------------
     tk = [f"__t_{k}" for k in keys]
     target_keys = target.select(*[F.col(k).alias(t) for k, t in zip(keys, tk)])
     on_key = [F.col(k).cast(types[k]) == F.col(t) for k, t in zip(keys, tk)]
-    if small:
-        source_keys = F.broadcast(
-            source.select(*[F.col(k).cast(types[k]).alias(t) for k, t in zip(keys, tk)]).distinct())
-        # map-side semi join first (the target is not shuffled), then the
-        # distinct of a result bounded by the source's key count
-        present = target_keys.join(source_keys, tk, "left_semi").distinct()
-        new = source.join(F.broadcast(present), on_key, "left_anti")
-    else:
-        # distinct: a hot target key is combined map-side before the shuffle
-        new = source.join(target_keys.distinct(), on_key, "left_anti")
-    inserted = new.select(*[
+    source_keys = F.broadcast(
+        source.select(*[F.col(k).cast(types[k]).alias(t) for k, t in zip(keys, tk)]).distinct())
+    # map-side semi join first (the target is not shuffled), then the
+    # distinct of a result bounded by the source's key count
+    present = target_keys.join(source_keys, tk, "left_semi").distinct()
+    inserted = source.join(F.broadcast(present), on_key, "left_anti").select(*[
         (_expr(insert_cols[c]) if c in insert_cols else F.lit(None)).cast(types[c]).alias(c)
         for c in tcols])
-
     return kept_or_updated.unionByName(inserted)

@@ -76,7 +76,8 @@ def test_resolve_key_drops_unknown_and_rejects(spark):
     dim = spark.createDataFrame([("1", "h1"), ("2", "h2")], "product_id string, product_code string")
     assert rows(resolve_key(fact, dim, "product_id", ["product_code"])) == [("1", 10.0, "h1"), ("2", 5.0, "h2")]
     assert rows(rejects(fact, dim, "product_id")) == [("99999999", 1.0)]
-    assert "BroadcastHashJoin" in plan(resolve_key(fact, dim, "product_id", ["product_code"]))
+    known = spark.range(9).select(F.col("id").cast("string").alias("product_id"), F.lit("h").alias("product_code"))
+    assert "BroadcastHashJoin" in plan(resolve_key(fact, known, "product_id", ["product_code"]))
 
 
 def test_resolve_key_beyond_bound_shuffles(spark):
@@ -84,7 +85,7 @@ def test_resolve_key_beyond_bound_shuffles(spark):
     dim = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("c"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        p = plan(resolve_key(fact, dim, "k", ["c"], max_broadcast_rows=10))
+        p = plan(resolve_key(fact, dim, "k", ["c"], max_broadcast_bytes=10))
         assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -227,11 +228,60 @@ def test_row_counts_of_stages(spark):
     assert rows(P.row_counts([("all", a), ("even", a.filter("id % 2 = 0"))])) == [("all", 10), ("even", 5)]
 
 
-def test_fits_checks_rows_and_bytes(spark):
-    from kiln.operators.sizing import fits
-    df = spark.range(100).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("s"),
-                                 F.array(F.lit(1)).alias("a"))
-    assert fits(df, max_rows=100)
-    assert not fits(df, max_rows=99)
-    assert not fits(df, max_rows=100, max_bytes=50_000)   # ~100 KB of text
-    assert fits(df, max_rows=100, max_bytes=200_000)
+def test_fits_reads_the_planners_size_without_a_job(spark, tmp):
+    from kiln.operators.sizing import estimated_bytes, fits
+    spark.range(10_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("s")).write.parquet(f"{tmp}/t")
+    stored = spark.read.parquet(f"{tmp}/t")
+    size = estimated_bytes(stored)
+    assert size > 100_000 and fits(stored, size) and not fits(stored, size - 1)
+    other = stored.withColumnRenamed("s", "t")
+    assert not fits(stored.join(other, "id"), 10 * size)  # a join might be as large as the product
+
+
+def test_upsert_beyond_the_bound_is_one_full_outer_join(spark, tgt):
+    src = spark.createDataFrame([(2, "B", 20.0), (3, "c", 3.0), (None, "m", 9.0)], "k int, name string, v double")
+    small = rows(upsert(tgt, src, ["k"]))
+    large = upsert(tgt, src, ["k"], max_broadcast_bytes=0)
+    assert rows(large) == small and "FullOuter" in plan(large)
+    some = dict(set_cols={"v": "v"}, insert_cols={"k": "k", "v": "v"})
+    assert rows(upsert(tgt, src, ["k"], max_broadcast_bytes=0, **some)) == rows(upsert(tgt, src, ["k"], **some))
+
+
+def test_upsert_raises_on_ambiguity_by_default(spark, tgt):
+    src = spark.createDataFrame([(1, "x", 1.0), (1, "y", 2.0)], "k int, name string, v double")
+    with pytest.raises(AmbiguousMergeError):
+        upsert(tgt, src, ["k"])
+    assert upsert(tgt, src, ["k"], strict=False).count() == 5
+
+
+def test_scratch_scope_removes_its_copies(spark):
+    import os
+
+    from kiln.operators.materialize import materialize, scratch_scope
+    with scratch_scope(spark):
+        path = materialize(spark.range(3)).inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+
+
+def test_dedupe_ties_are_broken_by_nested_columns(spark):
+    df = spark.createDataFrame([(1, [3, 1], ("b", 1)), (1, [2, 9], ("c", 1)), (1, [2, 9], ("a", 2))],
+                               "k int, a array<int>, s struct<x:string,y:int>")
+    assert rows(dedupe(df, ["k"]).select("k", "s.x")) == [(1, "a")]
+
+
+def test_hash_key_tells_null_and_separator_apart(spark):
+    from kiln.functions.clean import hash_key
+    df = spark.createDataFrame([("a", None, "b"), ("a", "b", None), ("a|b", "", None), ("a", "b|", None),
+                                ("a", "\\N", "b"), ("a", "", "b"), ("a\\", "b", "c"), ("a", "\\b", "c")],
+                               "x string, y string, z string")
+    assert df.select(hash_key("x", "y", "z").alias("h")).distinct().count() == df.count()
+
+
+def test_scratch_root_is_refused_on_a_cluster_without_a_shared_folder():
+    from types import SimpleNamespace
+
+    from kiln.session import scratch_root
+    nothing = SimpleNamespace(get=lambda *a: None)
+    with pytest.raises(RuntimeError):
+        scratch_root(SimpleNamespace(conf=nothing, sparkContext=SimpleNamespace(getConf=lambda: nothing, master="yarn")))
