@@ -1,9 +1,9 @@
 """Session construction and the shared scratch folder.
 
 On a cluster the scratch folder is whatever ``spark.checkpoint.dir`` names (a
-shared file system every executor can reach).  Only when that setting is
-absent — local tests, the bench — do we create one under the system temp
-folder and register it, so ``DataFrame.checkpoint()`` works everywhere.
+shared file system every executor can reach); without that setting a cluster
+session is refused.  Only a ``local`` master (tests, the bench) gets one under
+the system temp folder, registered so that ``DataFrame.checkpoint()`` works.
 """
 
 from __future__ import annotations
@@ -57,18 +57,17 @@ def build_session(
 
 
 def scale_conf(input_bytes: int, total_cores: int,
-               partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict[str, str]:
+               partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input.
 
     * scan splits of ``partition_bytes`` (one task reads ~256 MB);
-    * as many shuffle partitions as input splits (at least 2 per core, at
-      most ``max_partitions``); AQE coalesces them down to the advisory size
+    * as many shuffle partitions as input splits (at least 2 per core); AQE coalesces them down to the advisory size
       after each map stage, so a stage that filtered or projected most of
       its input runs few, well-filled reducers;
     * a reducer partition several times the advisory size counts as skewed
       and is split (joins) or rebalanced (writes).
     """
-    shuffle = min(max(2 * total_cores, -(-input_bytes // partition_bytes)), max_partitions)
+    shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),
@@ -85,13 +84,16 @@ def scale_conf(input_bytes: int, total_cores: int,
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session; sets a local one only
-    when it is unset (tests, single-machine runs).
+    Reads ``spark.checkpoint.dir`` from the session.  When it is unset, a local
+    master gets a temp folder; any other master is an error, because its
+    executors could not see a folder of the driver's machine.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         root = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="kiln-scratch-")
         spark.conf.set(CHECKPOINT_CONF, root)
     sc = spark.sparkContext

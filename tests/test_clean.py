@@ -100,7 +100,7 @@ def test_cleaning_stays_in_codegen(spark):
 def test_scale_conf_sizes_partitions():
     from kiln.session import scale_conf
     c = scale_conf(100 * 1024 ** 4, total_cores=8000)
-    assert int(c["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(c["spark.sql.shuffle.partitions"]) == 409_600
     assert c["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     small = scale_conf(1 << 30, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
