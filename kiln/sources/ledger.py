@@ -1,114 +1,38 @@
 """File-once ingest: every landing file is loaded exactly once.
 
-A ledger table (append-only Parquet) records, per file, the load that took
-it: a ``pending`` row is written *before* the load's data, a ``done`` row
-after.  One run:
-
-1. finish any load that has ``pending`` rows but no ``done`` row (a run
-   that died): its files are read again and written to the *same* load
-   partition with dynamic partition overwrite — an overwrite, never a
-   duplicate;
-2. list the candidate files (the file index any ``spark.read`` builds —
-   metadata only, no data read) and anti join them with the ledger, in Spark;
-3. record the new files as ``pending`` under a fresh load id, read only
-   those files, apply the typed projection and write them as partition
-   ``load_id=<id>`` of the target; then record them ``done``.
-
-The target is partitioned by load, not by file, so a feed of millions of
-small files does not become millions of partition folders.  Lost executors
-are Spark's task retries; Structured Streaming's file source
-(``kiln.streaming``) gives the same guarantee through its checkpoint.
+The ledger is the checkpoint of a Structured Streaming file source: Spark
+records which files a micro-batch takes before it runs, and that it ran
+afterwards.  Each batch is written as partition ``load_id=<batch id>`` of the
+target with dynamic partition overwrite, so a batch that died half-way is
+taken again with the same files and overwrites its partition instead of
+adding rows twice.  No list of files is kept or compared here, and the target
+is partitioned by load, so a feed of very many small files does not become as many
+folders.  ``max_files_per_load`` bounds one load; the run goes on until
+nothing is left.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
-
-from kiln.sources.csv import read_csv
-
-LEDGER_SCHEMA = StructType([
-    StructField("file_path", StringType(), False),
-    StructField("load_id", StringType(), False),
-    StructField("state", StringType(), False),
-    StructField("at", TimestampType(), True),
-])
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
-def list_files(spark: SparkSession, pattern: str, columns: Sequence[str]) -> list[str]:
-    """Paths a batch read of ``pattern`` would open (file index only)."""
-    return list(read_csv(spark, pattern, columns, lineage=False).inputFiles())
 
-
-def ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    if _exists(spark, ledger_path):
-        return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
-    return spark.createDataFrame([], LEDGER_SCHEMA)
-
-
-def _record(spark: SparkSession, ledger_path: str, files: list[str], load_id: str,
-            state: str) -> None:
-    (spark.createDataFrame([(p, load_id, state) for p in files],
-                           "file_path string, load_id string, state string")
-     .withColumn("at", F.current_timestamp())
-     .write.mode("append").parquet(ledger_path))
-
-
-def _load(spark: SparkSession, files: list[str], columns: Sequence[str], target_path: str,
-          load_id: str, project: Callable[[DataFrame], DataFrame]) -> None:
-    batch = read_csv(spark, files, columns, lineage=False).select(
-        "*", F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_size").alias("file_size"))
-    (project(batch).withColumn("load_id", F.lit(load_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("load_id").parquet(target_path))
-
-
-def unfinished_loads(spark: SparkSession, ledger_path: str) -> dict[str, list[str]]:
-    """Loads recorded ``pending`` without a ``done``: load id -> its files."""
-    led = ledger(spark, ledger_path)
-    done = led.filter(F.col("state") == "done").select("load_id").distinct()
-    rows = (led.filter(F.col("state") == "pending").join(done, "load_id", "left_anti")
-            .select("load_id", "file_path").collect())
-    out: dict[str, list[str]] = {}
-    for r in rows:
-        out.setdefault(r.load_id, []).append(r.file_path)
-    return out
+from kiln.streaming.ingest import ingest_available
 
 
 def file_once_ingest(spark: SparkSession, pattern: str, columns: Sequence[str],
                      ledger_path: str, target_path: str,
-                     project: Callable[[DataFrame], DataFrame] = lambda d: d) -> int:
+                     project: Callable[[DataFrame], DataFrame] = lambda d: d,
+                     max_files_per_load: int | None = None) -> int:
     """Append rows of not-yet-loaded files under ``pattern`` to ``target_path``.
 
     ``project`` is the typed projection (``CAST(date AS DATE)`` ...).
-    Returns the number of new files loaded by this run.
+    Returns the number of loads that this run made.
     """
-    for load_id, files in unfinished_loads(spark, ledger_path).items():
-        _load(spark, files, columns, target_path, load_id, project)
-        _record(spark, ledger_path, files, load_id, "done")
-    candidates = list_files(spark, pattern, columns)
-    if not candidates:
-        return 0
-    offered = spark.createDataFrame([(p,) for p in candidates], "file_path string")
-    new = [r.file_path for r in
-           offered.join(ledger(spark, ledger_path).select("file_path"),
-                        "file_path", "left_anti").collect()]
-    if not new:
-        return 0
-    load_id = uuid.uuid4().hex
-    _record(spark, ledger_path, new, load_id, "pending")
-    _load(spark, new, columns, target_path, load_id, project)
-    _record(spark, ledger_path, new, load_id, "done")
-    return len(new)
+    def load(batch: DataFrame, batch_id: int) -> None:
+        (project(batch.drop("read_timestamp")).withColumn("load_id", F.lit(f"{batch_id:012d}"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("load_id").parquet(target_path))
+
+    return ingest_available(spark, pattern, columns, ledger_path, load, max_files_per_load)

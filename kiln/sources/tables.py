@@ -1,27 +1,36 @@
-"""Named Parquet tables with snapshot versions.
-
-Each ``(layer, name)`` table is a folder of numbered snapshots
-``<root>/<layer>/<name>/v=<n>``.  An overwrite — including the new snapshot
-an upsert produces from the table it read — goes to the next number, and a
-snapshot counts only once its ``_SUCCESS`` marker exists.  Readers always
-take the highest committed snapshot, so a job that dies mid-write leaves the
-previous snapshot in force, and a plan may read a table and overwrite it in
-the same job.  Appends go into the current snapshot.
-
-Each snapshot keeps its schema in ``_kiln_schema.json`` (ignored by Parquet
-readers, as every ``_`` file), so reads pass an explicit schema and skip
-the footer-reading job that schema inference would otherwise start.
+"""Named Parquet tables with atomic snapshots.
+
+A table ``(layer, name)`` is a folder with its data files and numbered
+manifests::
+
+    data/[<column>=<value>/]kiln_rev=<id>/part-*.parquet
+    manifest-<n>.json      schema and the live revision folders
+
+Every write adds files under a revision of its own and then publishes one new
+manifest by renaming it into place.  That rename is the commit: readers take
+the highest manifest and read exactly the folders it lists, so a job that
+dies before it leaves the previous state in force, whether it was writing one
+partition or all, and a plan may read a table and replace it in the same job.
+A partition that a write does not touch keeps its revision: it is neither
+read nor rewritten.
+
+The manifest carries the schema, merged on every append and partition
+replacement, so a column that a later batch adds is read as NULL from older
+files, and reads skip the footer-reading job of schema inference.
 """
 
 from __future__ import annotations
 
 import json
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-SCHEMA_FILE = "_kiln_schema.json"
+REV = "kiln_rev"
+_NAME = re.compile(r"manifest-(\d+)\.json$")
 
 
 def _rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
@@ -29,7 +38,17 @@ def _rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
     groups rows of one partition value into few files of the advisory size
     and splits a very large partition value over several tasks, so neither
     tiny files nor one giant writer task arise."""
-    return df.hint("rebalance", *partition_by)
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
+def _merged(old: StructType | None, new: StructType, partition_by: list[str]) -> StructType:
+    """Columns of ``old`` and what ``new`` adds, partition columns last (their order in the folders)."""
+    fields = list(old.fields) if old else []
+    known = {f.name for f in fields}
+    fields += [f for f in new.fields if f.name not in known]
+    by_name = {f.name: StructField(f.name, f.dataType, True) for f in fields}
+    return StructType([by_name[f.name] for f in fields if f.name not in partition_by]
+                      + [by_name[c] for c in partition_by])
 
 
 class TableStore:
@@ -47,107 +66,73 @@ class TableStore:
         p, fs = self._fs(self.folder(layer, name))
         if not fs.exists(p):
             return []
-        out = []
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if n.startswith("v=") and fs.exists(
-                    self._fs(f"{st.getPath().toString()}/_SUCCESS")[0]):
-                out.append(int(n[2:]))
-        return sorted(out)
-
-    def _put_schema(self, path: str, schema: StructType) -> None:
-        p, fs = self._fs(f"{path}/{SCHEMA_FILE}")
-        out = fs.create(p, True)
-        out.write(bytearray(schema.json().encode("utf-8")))
-        out.close()
+        found = (_NAME.match(st.getPath().getName()) for st in fs.listStatus(p))
+        return sorted(int(m[1]) for m in found if m)
 
-    def _get_schema(self, path: str) -> StructType | None:
-        p, fs = self._fs(f"{path}/{SCHEMA_FILE}")
-        if not fs.exists(p):
-            return None
+    def _manifest_path(self, layer: str, name: str, version: int) -> str:
+        return f"{self.folder(layer, name)}/manifest-{version:06d}.json"
+
+    def _load(self, layer: str, name: str, version: int) -> dict:
+        p, fs = self._fs(self._manifest_path(layer, name, version))
         stream = fs.open(p)
         try:
             text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return StructType.fromJson(json.loads(text))
+        return json.loads(text)
+
+    def _current(self, layer: str, name: str) -> dict | None:
+        versions = self._versions(layer, name)
+        return self._load(layer, name, versions[-1]) if versions else None
+
+    def _publish(self, layer: str, name: str, manifest: dict) -> None:
+        """Rename the new manifest into place; the first of two racing writers wins."""
+        versions = self._versions(layer, name)
+        target, fs = self._fs(self._manifest_path(layer, name, versions[-1] + 1 if versions else 1))
+        draft, _ = self._fs(f"{self.folder(layer, name)}/.draft-{uuid.uuid4().hex}")
+        out = fs.create(draft, True)
+        out.write(bytearray(json.dumps(manifest).encode("utf-8")))
+        out.close()
+        if fs.exists(target) or not fs.rename(draft, target):
+            raise RuntimeError(f"table {layer}.{name} was changed by another writer")
+
+    def _revisions(self, layer: str, name: str, depth: int, rev: str = "*") -> list[str]:
+        """Folders ``[<column>=<value>/]kiln_rev=<rev>`` below ``data``."""
+        base = f"{self.folder(layer, name)}/data"
+        p, fs = self._fs(f"{base}{'/*' * depth}/{REV}={rev}")
+        cut = len(fs.makeQualified(self._fs(base)[0]).toString()) + 1
+        return sorted(st.getPath().toString()[cut:] for st in fs.globStatus(p) or [])
 
     # --- public API --------------------------------------------------------
     def folder(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
-    def current_path(self, layer: str, name: str) -> str | None:
-        v = self._versions(layer, name)
-        return f"{self.folder(layer, name)}/v={v[-1]:06d}" if v else None
+    def version(self, layer: str, name: str) -> int:
+        """Number of the state in force; 0 if the table does not exist."""
+        return max(self._versions(layer, name), default=0)
 
     def exists(self, layer: str, name: str) -> bool:
         return bool(self._versions(layer, name))
 
-    def read(self, layer: str, name: str, merge_schema: bool = False) -> DataFrame:
-        """Current snapshot.  ``merge_schema`` reconciles files written with
-        added columns (B4); it costs a footer-reading job, so it is opt-in."""
-        path = self.current_path(layer, name)
-        if path is None:
+    def _read(self, layer: str, name: str, manifest: dict, live: list[str]) -> DataFrame:
+        schema = StructType.fromJson(manifest["schema"])
+        base = f"{self.folder(layer, name)}/data"
+        if not live:
+            return self.spark.createDataFrame([], schema)
+        with_rev = StructType(schema.fields + [StructField(REV, StringType(), True)])
+        return (self.spark.read.schema(with_rev).option("basePath", base)
+                .parquet(*[f"{base}/{x}" for x in live]).drop(REV))
+
+    def read(self, layer: str, name: str) -> DataFrame:
+        """The table as of its newest manifest."""
+        manifest = self._current(layer, name)
+        if manifest is None:
             raise FileNotFoundError(f"table {layer}.{name} does not exist")
-        if merge_schema:
-            return self.spark.read.option("mergeSchema", "true").parquet(path)
-        schema = self._get_schema(path)
-        reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
-        return reader.parquet(path)
-
-    def read_partition_folder(self, layer: str, name: str, column: str, value: str) -> DataFrame:
-        """One partition folder read directly (no listing of the others)."""
-        path = self.current_path(layer, name)
-        schema = self._get_schema(path)
-        reader = self.spark.read
-        if schema is not None:
-            reader = reader.schema(StructType([f for f in schema.fields if f.name != column]))
-        return reader.parquet(f"{path}/{column}={value}")
-
-    def write(self, df: DataFrame, layer: str, name: str, mode: str = "overwrite",
-              partition_by: list[str] | None = None) -> str:
-        """Overwrite = new snapshot; append = into the current snapshot."""
-        v = self._versions(layer, name)
-        if mode == "append" and v:
-            path = f"{self.folder(layer, name)}/v={v[-1]:06d}"
-        else:
-            path = f"{self.folder(layer, name)}/v={(v[-1] + 1 if v else 1):06d}"
-            mode = "overwrite"
-        if partition_by:
-            _rebalanced(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
-        else:
-            df.write.mode(mode).parquet(path)
-        self._put_schema(path, self._merged_schema(path, df, partition_by))
-        return path
-
-    def _merged_schema(self, path: str, df: DataFrame, partition_by: list[str] | None) -> StructType:
-        """Schema of the snapshot after a write: partition columns last (as
-        Parquet partition discovery orders them); columns an append adds are
-        added to the stored schema."""
-        parts = list(partition_by or [])
-        fields = [f for f in df.schema.fields if f.name not in parts] + \
-                 [f for f in df.schema.fields if f.name in parts]
-        old = self._get_schema(path)
-        if old is None:
-            return StructType(fields)
-        known = {f.name for f in old.fields}
-        return StructType(list(old.fields) + [f for f in fields if f.name not in known])
-
-    def vacuum(self, layer: str, name: str, keep: int = 2) -> list[str]:
-        """Delete all but the newest ``keep`` committed snapshots; returns the
-        removed paths.  Run it when no job still reads the older snapshots."""
-        versions = self._versions(layer, name)
-        removed = []
-        for v in versions[:-keep] if keep > 0 else versions:
-            path = f"{self.folder(layer, name)}/v={v:06d}"
-            p, fs = self._fs(path)
-            fs.delete(p, True)
-            removed.append(path)
-        return removed
+        return self._read(layer, name, manifest, manifest["live"])
 
     def read_partitions(self, layer: str, name: str, column: str, values: list) -> DataFrame:
         """Only the partitions ``column`` in ``values`` (NULL allowed): a
-        partition filter, so the scan lists and reads just those folders."""
+        partition filter, so the scan reads just those folders."""
         df = self.read(layer, name)
         keep = [v for v in values if v is not None]
         cond = F.col(column).isin(keep) if keep else F.lit(False)
@@ -155,21 +140,52 @@ class TableStore:
             cond = cond | F.col(column).isNull()
         return df.filter(cond)
 
+    def _write(self, df: DataFrame, layer: str, name: str, partition_by: list[str]) -> list[str]:
+        rev = uuid.uuid4().hex
+        (_rebalanced(df, partition_by).withColumn(REV, F.lit(rev)).write.mode("append")
+         .partitionBy(*partition_by, REV).parquet(f"{self.folder(layer, name)}/data"))
+        return self._revisions(layer, name, len(partition_by), rev)
+
+    def write(self, df: DataFrame, layer: str, name: str, mode: str = "overwrite",
+              partition_by: list[str] | None = None) -> None:
+        """Overwrite the table, or append to it (columns may be added by an append)."""
+        old = self._current(layer, name) if mode == "append" else None
+        parts = list(old["partition_by"] if old else partition_by or [])
+        new = self._write(df, layer, name, parts)
+        schema = _merged(StructType.fromJson(old["schema"]) if old else None, df.schema, parts)
+        self._publish(layer, name, {"partition_by": parts, "schema": json.loads(schema.json()),
+                                    "live": (old["live"] if old else []) + new})
+
     def replace_partitions(self, df: DataFrame, layer: str, name: str,
-                           partition_by: list[str]) -> str:
-        """Replace only the partitions present in ``df`` in the current snapshot
-        (dynamic partition overwrite); creates the table if absent.
-
-        ``df`` may read the very partitions it replaces: new files go to the
-        job's staging folder and the partition folders are swapped only at
-        job commit, after every task (retries included) has read its input.
-        A job that fails before commit leaves the table untouched.  Other
-        partitions are neither read nor rewritten.
+                           partition_by: list[str]) -> None:
+        """Replace only the partitions present in ``df``; creates the table if absent.
+
+        ``df`` may read the very partitions it replaces: their files stay, and
+        all replaced partitions change together when the manifest is published.
         """
-        path = self.current_path(layer, name)
-        if path is None:
-            return self.write(df, layer, name, partition_by=partition_by)
-        (_rebalanced(df, partition_by).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by).parquet(path))
-        return path
+        old = self._current(layer, name)
+        if old is None:
+            self.write(df, layer, name, partition_by=partition_by)
+            return
+        new = self._write(df, layer, name, partition_by)
+        replaced = {x.rpartition("/")[0] for x in new}
+        schema = _merged(StructType.fromJson(old["schema"]), df.schema, partition_by)
+        live = [x for x in old["live"] if x.rpartition("/")[0] not in replaced] + new
+        self._publish(layer, name, {"partition_by": partition_by, "schema": json.loads(schema.json()), "live": live})
+
+    def vacuum(self, layer: str, name: str, keep: int = 2) -> list[str]:
+        """Delete all but the newest ``keep`` manifests and the revision folders that none of
+        those lists; returns the removed folders.  Run it when no job is writing
+        the table or still reading an older state."""
+        versions = self._versions(layer, name)
+        kept = [self._load(layer, name, v) for v in versions[-keep:]] if keep > 0 else []
+        live = {x for m in kept for x in m["live"]}
+        depth = len(self._current(layer, name)["partition_by"]) if versions else 0
+        removed = [x for x in self._revisions(layer, name, depth) if x not in live]
+        for v in versions[:-keep] if keep > 0 else versions:
+            p, fs = self._fs(self._manifest_path(layer, name, v))
+            fs.delete(p, False)
+        for x in removed:
+            p, fs = self._fs(f"{self.folder(layer, name)}/data/{x}")
+            fs.delete(p, True)
+        return removed

@@ -1,6 +1,7 @@
 """Landing-folder ingest with Structured Streaming, exactly once per file (M1).
 
-``readStream.csv`` over the landing folder with an explicit text schema,
+``readStream.csv`` over the landing folder with an explicit text schema that
+every header is checked against,
 per-row lineage from ``_metadata``, ``trigger(availableNow=True)`` so each
 run drains what has landed and stops, and ``foreachBatch`` handing every
 micro-batch to a batch function (for example ``kiln.plans.facts`` through a
@@ -25,8 +26,10 @@ from kiln.sources.csv import text_schema
 def landing_stream(spark: SparkSession, landing: str, columns: Sequence[str],
                    max_files_per_trigger: int | None = None,
                    archive_dir: str | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(text_schema(columns))
-              .option("header", "true"))
+    """``columns`` is the header; a file with another one fails its batch (values are never put
+    into the wrong columns).  Files are taken whatever their age."""
+    reader = (spark.readStream.schema(text_schema(columns)).option("header", "true")
+              .option("enforceSchema", "false").option("maxFileAge", "36500d"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from kiln.sources.csv import read_csv, write_csv
@@ -47,7 +48,7 @@ def test_file_once_ingest_loads_each_file_once(spark, tmp):
                          F.to_date("order_placement_date").alias("date"),
                          F.col("order_qty").cast("double").cast("bigint").alias("qty"))
 
-    assert file_once_ingest(spark, f"{landing}/*.csv", COLS, ledger, target, project) == 2
+    assert file_once_ingest(spark, f"{landing}/*.csv", COLS, ledger, target, project, max_files_per_load=1) == 2
     assert file_once_ingest(spark, f"{landing}/*.csv", COLS, ledger, target, project) == 0
     land(spark, landing, "c.csv", [("4", "2025-07-03", "1", "1", "4")])
     assert file_once_ingest(spark, f"{landing}/*.csv", COLS, ledger, target, project) == 1
@@ -55,34 +56,51 @@ def test_file_once_ingest_loads_each_file_once(spark, tmp):
     assert got == [1, 2, 3, 4]
 
 
-def test_ledger_rerun_after_crash_overwrites_not_duplicates(spark, tmp):
-    from kiln.sources import ledger as L
+def test_load_that_died_is_taken_again_and_overwrites(spark, tmp):
     landing, ledger, target = f"{tmp}/landing", f"{tmp}/ledger", f"{tmp}/target"
     land(spark, landing, "a.csv", [("1", "2025-07-01", "1", "1", "1")])
+
+    def dies(df):
+        # the data is written, then the load fails before it is recorded
+        df.select("order_id", "file_name").withColumn("load_id", F.lit("000000000000")).write.mode("append") \
+            .partitionBy("load_id").parquet(target)
+        raise RuntimeError("lost")
+
+    with pytest.raises(Exception):
+        file_once_ingest(spark, f"{landing}/*.csv", COLS, ledger, target, dies)
     land(spark, landing, "b.csv", [("2", "2025-07-01", "1", "1", "1")])
     keep = lambda df: df.select("order_id", "file_name")
-    # a run that recorded its files as pending and wrote the data, then died
-    files = L.list_files(spark, f"{landing}/a.csv", COLS)
-    L._record(spark, ledger, files, "crashed", "pending")
-    L._load(spark, files, COLS, target, "crashed", keep)
-    assert L.unfinished_loads(spark, ledger) == {"crashed": files}
-    # the next run finishes that load (overwrite) and takes only the new file
-    assert file_once_ingest(spark, f"{landing}/*.csv", COLS, ledger, target, keep) == 1
+    # the dead load is made again with its file, the new file in a load of its own
+    assert file_once_ingest(spark, f"{landing}/*.csv", COLS, ledger, target, keep) == 2
     got = sorted((r.order_id, r.file_name) for r in spark.read.parquet(target).collect())
     assert got == [("1", "a.csv"), ("2", "b.csv")]
-    assert L.unfinished_loads(spark, ledger) == {}
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp):
+    os.makedirs(f"{tmp}/l")
+    with open(f"{tmp}/l/a.csv", "w") as f:
+        f.write("customer_id,order_id,channel\n7,1,web\n8,2\n")
+    df = read_csv(spark, f"{tmp}/l/*.csv", ["order_id", "customer_id"], lineage=False, corrupt=True)
+    assert df.columns == ["order_id", "customer_id", "channel", "_corrupt_record"]
+    assert [tuple(r) for r in df.orderBy("order_id").collect()] == [("1", "7", "web", None), ("2", "8", None, "8,2")]
+    with pytest.raises(ValueError):
+        read_csv(spark, f"{tmp}/l/*.csv", ["order_qty"])
+    with open(f"{tmp}/l/b.csv", "w") as f:
+        f.write("order_id,customer_id,channel\n1,7,web\n")
+    with pytest.raises(Exception, match="(?i)header"):  # two headers in one read
+        read_csv(spark, f"{tmp}/l/*.csv", lineage=False).collect()
 
 
 def test_table_store_versions_and_partitions(spark, tmp):
     store = TableStore(spark, tmp)
-    assert not store.exists("gold", "t")
+    assert not store.exists("gold", "t") and store.version("gold", "t") == 0
     df = spark.createDataFrame([(1, "2025-07"), (2, "2025-08")], "v int, m string")
     store.write(df, "gold", "t", partition_by=["m"])
-    # read and overwrite the same table in one plan: new snapshot
+    # read and overwrite the same table in one plan: new state
     store.write(store.read("gold", "t").withColumn("v", F.col("v") * 10), "gold", "t",
                 partition_by=["m"])
     assert sorted(r.v for r in store.read("gold", "t").collect()) == [10, 20]
-    assert store.current_path("gold", "t").endswith("v=000002")
+    assert store.version("gold", "t") == 2
     # replace one partition only
     cur = store.read_partitions("gold", "t", "m", ["2025-08"])
     store.replace_partitions(cur.withColumn("v", F.col("v") + 1), "gold", "t", ["m"])
@@ -92,6 +110,42 @@ def test_table_store_versions_and_partitions(spark, tmp):
     assert store.read("gold", "t").count() == 3
 
 
+def test_partition_replacement_is_atomic_and_adds_columns(spark, tmp, monkeypatch):
+    store = TableStore(spark, tmp)
+    store.write(spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "v int, m string"), "gold", "t", partition_by=["m"])
+    before = store.read("gold", "t")
+    change = spark.createDataFrame([(10, "x", "a"), (20, "y", "b"), (30, "z", None)], "v int, w string, m string")
+
+    def killed(*a):
+        raise RuntimeError("killed before publishing")
+
+    monkeypatch.setattr(TableStore, "_publish", killed)
+    with pytest.raises(RuntimeError):
+        store.replace_partitions(change, "gold", "t", ["m"])
+    monkeypatch.undo()
+    assert sorted(r.v for r in store.read("gold", "t").collect()) == [1, 2, 3] and store.version("gold", "t") == 1
+    store.replace_partitions(change.filter("m is null or m = 'a'"), "gold", "t", ["m"])
+    got = sorted(((r.v, r.w, r.m) for r in store.read("gold", "t").collect()), key=str)
+    assert got == [(10, "x", "a"), (2, None, "b"), (30, "z", None)]
+    assert sorted(r.v for r in before.collect()) == [1, 2, 3]  # a reader of the old state is not disturbed
+    store.replace_partitions(change.limit(0), "gold", "t", ["m"])
+    assert store.read("gold", "t").count() == 3
+    removed = store.vacuum("gold", "t", keep=1)
+    assert len(removed) == 5 and store.read("gold", "t").count() == 3  # two replaced, three of the killed job
+
+
+def test_racing_writers_do_not_overwrite_each_other(spark, tmp, monkeypatch):
+    store = TableStore(spark, tmp)
+    store.write(spark.range(1), "gold", "t")
+    stale = store._versions("gold", "t")
+    store.write(spark.range(2), "gold", "t")
+    monkeypatch.setattr(TableStore, "_versions", lambda *a: stale)
+    with pytest.raises(RuntimeError):
+        store.write(spark.range(3), "gold", "t")
+    monkeypatch.undo()
+    assert store.read("gold", "t").count() == 2
+
+
 def test_read_parquet_spreads_single_split(spark, tmp):
     spark.range(1000).coalesce(1).write.parquet(f"{tmp}/one")
     df = read_parquet(spark, f"{tmp}/one", min_partitions=4, min_bytes=0)
@@ -103,7 +157,8 @@ def test_table_store_vacuum_keeps_newest(spark, tmp):
     store = TableStore(spark, tmp)
     for i in range(4):
         store.write(spark.createDataFrame([(i,)], "v int"), "gold", "t")
-    removed = store.vacuum("gold", "t", keep=2)
-    assert [p.rsplit("=", 1)[1] for p in removed] == ["000001", "000002"]
+    assert len(store.vacuum("gold", "t", keep=2)) == 2
+    assert store._versions("gold", "t") == [3, 4]
     assert store.read("gold", "t").first().v == 3
-    assert store.current_path("gold", "t").endswith("v=000004")
+    store.write(spark.createDataFrame([], "v int"), "gold", "t")
+    assert store.read("gold", "t").count() == 0 and store.read("gold", "t").columns == ["v"]
