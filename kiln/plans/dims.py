@@ -18,6 +18,7 @@ from kiln.functions import constants as K
 from kiln.operators.dedupe import dedupe
 from kiln.operators.latest import latest_nonzero
 from kiln.operators.lookup import fill_from_lookup, resolve_key
+from kiln.operators.materialize import scratch_scope
 from kiln.operators.sizing import bounded_broadcast
 from kiln.operators.upsert import upsert
 from kiln.sources.tables import TableStore
@@ -96,17 +97,17 @@ def customers_silver(bronze: DataFrame,
                      corrections: DataFrame | None = None,
                      market: str = K.CUSTOMER_MARKET, platform: str = K.CUSTOMER_PLATFORM,
                      channel: str = K.CUSTOMER_CHANNEL) -> DataFrame:
-    """customer_id, customer_name, city (+ lineage) -> cleaned, one row per id.
+    """customer_id, customer_name, city (+ lineage) -> cleaned, one row per id as it came.
 
-    ``corrections`` is a ``(customer_id, correct_city)`` table for cities
+    Repeated rows are dropped by the raw id; ids that are no number then
+    become the sentinel, so all of these customers stay.  ``corrections`` is a ``(customer_id, correct_city)`` table for cities
     that stay missing after the spelling fixes.
     """
-    df = bronze.withColumns({
+    df = dedupe(bronze, ["customer_id"]).withColumns({
         "customer_id": C.sanitize_id("customer_id", K.BAD_CUSTOMER_ID),
         "customer_name": C.normalize_name("customer_name"),
         "city": F.trim(F.col("city")),
     })
-    df = dedupe(df, ["customer_id"])
     df = keep_allowed(replace_values(df, "city", city_fixes), "city", allowed)
     if corrections is not None:
         df = fill_from_lookup(df, corrections, "customer_id", "city", "correct_city")
@@ -122,7 +123,8 @@ def customers_silver(bronze: DataFrame,
 def customer_corrections(spark: SparkSession,
                          mapping: Mapping[str, str] = K.CITY_CORRECTIONS) -> DataFrame:
     """The per-customer city fixes as a literal relation."""
-    return spark.createDataFrame(list(mapping.items()), "customer_id string, correct_city string")
+    rows = [F.struct(F.lit(k).alias("customer_id"), F.lit(v).alias("correct_city")) for k, v in mapping.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def customers_gold(silver: DataFrame) -> DataFrame:
@@ -131,7 +133,9 @@ def customers_gold(silver: DataFrame) -> DataFrame:
 
 
 def customers_parent_source(gold: DataFrame) -> DataFrame:
-    return gold.select(F.col("customer_id").alias("customer_code"), "customer", "market",
+    """One row per customer_code (the merge key); customers without a number share the sentinel,
+    of which the first by name stands for all."""
+    return dedupe(gold, ["customer_id"], [F.col("customer").asc()]).select(F.col("customer_id").alias("customer_code"), "customer", "market",
                        "platform", "channel")
 
 
@@ -144,16 +148,16 @@ def products_silver(bronze: DataFrame,
     The spelling fix is applied to the name *and* the category, and the
     category map is looked up on the fixed spelling.  ``product_code`` is the
     SHA-256 of the fixed name; ``product_id`` keeps digits only (else the
-    sentinel).  One row per product_id.
+    sentinel).  Repeated rows are dropped by the raw id, so every product keeps
+    its row and code, those without a number too.
     """
     pattern, repl = typo
     fixed_map = {re.sub(pattern, repl, k): v for k, v in divisions.items()}
-    df = bronze.withColumns({
+    df = dedupe(bronze, ["product_id"]).withColumns({
         "product_id": C.sanitize_id("product_id", K.BAD_PRODUCT_ID),
         "product_name": C.fix_typo(F.trim(F.col("product_name")), pattern, repl),
         "category": C.fix_typo(C.title_case(F.trim(F.col("category"))), pattern, repl),
     })
-    df = dedupe(df, ["product_id"])
     return df.withColumns({
         "division": C.map_category("category", fixed_map),
         "variations": C.extract_parenthesised("product_name"),
@@ -173,6 +177,15 @@ def products_parent_source(gold: DataFrame) -> DataFrame:
     return dedupe(src, ["product_code"], [F.col("product_id").asc()]).drop("product_id")
 
 
+def product_keys(products: DataFrame) -> DataFrame:
+    """``(product_id, product_code)`` with every real id once: the side to resolve ids against.
+
+    The sentinel stands for several products, so it resolves nothing.
+    """
+    known = products.filter(F.col("product_id") != K.BAD_PRODUCT_ID).select("product_id", "product_code")
+    return known.groupBy("product_id").agg(F.min("product_code").alias("product_code"))
+
+
 PRODUCT_SET = {c: c for c in ("variant", "division", "category", "product")}
 
 
@@ -184,7 +197,7 @@ def prices_silver(bronze: DataFrame, products: DataFrame) -> DataFrame:
         "month": C.parse_date("month", strip_prefix=False),
         "gross_price": C.clean_number_abs("gross_price"),
     })
-    return resolve_key(df, products, "product_id", ["product_code"])
+    return resolve_key(df, product_keys(products), "product_id", ["product_code"])
 
 
 def prices_gold(silver: DataFrame) -> DataFrame:
@@ -213,9 +226,8 @@ def run_dimension(store: TableStore, name: str, bronze: DataFrame, silver_fn, go
     store.write(silver_fn(store.read("bronze", name)), "silver", name)
     store.write(gold_fn(store.read("silver", name)), "gold", f"sb_dim_{name}")
     source = parent_source_fn(store.read("gold", f"sb_dim_{name}"))
-    if store.exists("gold", parent):
-        new = upsert(store.read("gold", parent), source, keys, set_cols, insert_cols)
-    else:
-        new = source
-    store.write(new, "gold", parent)
+    with scratch_scope(store.spark):
+        if store.exists("gold", parent):
+            source = upsert(store.read("gold", parent), source, keys, set_cols, insert_cols)
+        store.write(source, "gold", parent)
     return store.read("gold", parent)

@@ -1,12 +1,16 @@
 """Fact plans: full load, incremental load, parent rollup.
 
 Daily order lines (order_id, order_placement_date, customer_id, product_id,
-order_qty as text) are cleaned, deduplicated on the merge key *after* the
-ids are cleaned, resolved to a product_code, kept at daily grain in the
-child's gold fact and rolled up to (month, product_code, customer_code) for
-the parent.  An incremental batch upserts into silver and gold, then
-recomputes only the months the batch touched and upserts those sums: a
-re-run replaces the same months with the same numbers.
+order_qty as text) are cleaned, deduplicated on the line key *after* the
+ids are cleaned, resolved to a product_code, kept at daily grain per product
+id in the child's gold fact and rolled up to (month, product_code,
+customer_code) for the parent.  An incremental batch upserts into silver and
+gold, then recomputes only the months the batch touched and upserts those
+sums: a re-run replaces the same months with the same numbers, and the result
+does not depend on how the lines were split into batches.
+
+Lines that cannot be loaded (no quantity, no order id, a date in no known
+format, a product id without a product) are rejects with a reason.
 """
 
 from __future__ import annotations
@@ -23,65 +27,60 @@ from kiln.functions import constants as K
 from kiln.functions.clean import month_start
 from kiln.operators.dedupe import dedupe
 from kiln.operators.lookup import rejects, resolve_key
+from kiln.operators.materialize import materialize, scratch_scope
 from kiln.operators.rollup import affected_periods, monthly_rollup, recompute_periods
 from kiln.operators.upsert import upsert
+from kiln.plans.dims import product_keys
 from kiln.sources.tables import TableStore
 
 ORDER_COLS = ("order_id", "order_placement_date", "customer_id", "product_id", "order_qty")
-SILVER_KEYS = ("order_id", "order_placement_date", "customer_id", "product_code")
-GOLD_KEYS = ("order_id", "date", "customer_code", "product_code")
+# several product ids can share a product_code, so the line keys carry the id
+SILVER_KEYS = ("order_id", "order_placement_date", "customer_id", "product_id")
+GOLD_KEYS = ("order_id", "date", "customer_code", "product_id")
 PARENT_KEYS = ("date", "product_code", "customer_code")
+REASON = "reject_reason"
+
+
+def _typed(bronze: DataFrame) -> DataFrame:
+    """Typed order lines, every one of them, with ``reject_reason`` (NULL: none)."""
+    typed = bronze.withColumns({
+        "order_qty": C.to_double("order_qty"),
+        "order_id": F.trim(F.col("order_id").cast("string")),
+        "order_placement_date": C.parse_date("order_placement_date"),
+        "customer_id": C.sanitize_id("customer_id", K.BAD_CUSTOMER_ID),
+        "product_id": F.trim(F.col("product_id").cast("string")),
+    })
+    return typed.withColumn(REASON, F.when(F.col("order_qty").isNull(), "no_quantity")
+                            .when(F.col("order_id").isNull(), "no_order_id")
+                            .when(F.col("order_placement_date").isNull(), "bad_date"))
 
 
 def orders_clean(bronze: DataFrame) -> DataFrame:
-    """Typed order lines; lines without a quantity are dropped."""
-    return (bronze
-            .withColumn("order_qty", C.to_double("order_qty"))
-            .filter(F.col("order_qty").isNotNull())
-            .withColumns({
-                "order_id": F.trim(F.col("order_id").cast("string")),
-                "order_placement_date": C.parse_date("order_placement_date"),
-                "customer_id": C.sanitize_id("customer_id", K.BAD_CUSTOMER_ID),
-                "product_id": F.trim(F.col("product_id").cast("string")),
-            }))
-
-
-def orders_resolved(bronze: DataFrame, products: DataFrame,
-                    dedupe_keys: Sequence[str] = ("order_id", "order_placement_date",
-                                                  "customer_id", "product_id")) -> DataFrame:
+    """Typed order lines that have an order id, a date and a quantity."""
+    return _typed(bronze).filter(F.col(REASON).isNull()).drop(REASON)
+
+
+def orders_silver(bronze: DataFrame, products: DataFrame,
+                  dedupe_keys: Sequence[str] = SILVER_KEYS) -> DataFrame:
     """Clean, drop repeated lines, resolve product_code.
 
     Repeated lines (same order, date, customer and product id) keep the
-    largest quantity.  Unknown product ids (placeholders, sentinel) are
-    dropped by the inner join; ``order_rejects`` returns them.
+    largest quantity, so every line key occurs once.  Unknown product ids
+    (placeholders, sentinel) are dropped by the inner join; ``order_rejects``
+    returns them.
     """
     df = dedupe(orders_clean(bronze), list(dedupe_keys), [F.col("order_qty").desc()])
-    return resolve_key(df, products, "product_id", ["product_code"])
-
-
-def to_merge_grain(resolved: DataFrame) -> DataFrame:
-    """One row per merge key.
-
-    Several product ids can resolve to one product_code (the code hashes the
-    product name); their lines are combined by summing the quantity, so every
-    merge key occurs once — MERGE stays unambiguous and re-running a batch
-    changes nothing.
-    """
-    rest = [c for c in resolved.columns if c not in SILVER_KEYS and c != "order_qty"]
-    return (resolved.groupBy(*SILVER_KEYS)
-            .agg(F.sum("order_qty").alias("order_qty"), *[F.min(c).alias(c) for c in rest])
-            .select(*resolved.columns))
-
-
-def orders_silver(bronze: DataFrame, products: DataFrame,
-                  dedupe_keys: Sequence[str] = ("order_id", "order_placement_date",
-                                                "customer_id", "product_id")) -> DataFrame:
-    """Silver order lines: cleaned, deduplicated, resolved, one row per merge key."""
-    return to_merge_grain(orders_resolved(bronze, products, dedupe_keys))
+    return resolve_key(df, product_keys(products), "product_id", ["product_code"])
 
 
 def order_rejects(bronze: DataFrame, products: DataFrame) -> DataFrame:
-    return rejects(orders_clean(bronze), products, "product_id")
+    """The landed lines that silver leaves out, as they came, with ``reject_reason``."""
+    judged = bronze.withColumn("__raw", F.struct(*[F.col(f"`{c}`") for c in bronze.columns]))
+    judged = _typed(judged)
+    unknown = rejects(judged.filter(F.col(REASON).isNull()), product_keys(products), "product_id")
+    both = judged.filter(F.col(REASON).isNotNull()).select("__raw", REASON).unionByName(
+        unknown.select("__raw", F.lit("unknown_product").alias(REASON)))
+    return both.select("__raw.*", REASON)
 
 
 def orders_gold(silver: DataFrame) -> DataFrame:
@@ -105,16 +104,10 @@ class FactState:
 
 def full_load(bronze: DataFrame, products: DataFrame,
               parent: DataFrame | None = None) -> FactState:
-    """All landing files at once.
-
-    The monthly sums are taken from the resolved lines, not from silver: the
-    merge-key grain only re-groups quantities that the monthly sum adds up
-    anyway, so skipping it gives the same totals with one full shuffle less.
-    """
-    resolved = orders_resolved(bronze, products)
-    silver = to_merge_grain(resolved)
+    """All landing files at once."""
+    silver = orders_silver(bronze, products)
     gold = orders_gold(silver)
-    monthly = parent_rollup(orders_gold(resolved))
+    monthly = parent_rollup(gold)
     new_parent = monthly if parent is None else upsert(parent, monthly, PARENT_KEYS)
     return FactState(silver, gold, new_parent)
 
@@ -138,17 +131,12 @@ def incremental_load(batch: DataFrame, products: DataFrame, state: FactState) ->
 
 # --- runner with table writes -------------------------------------------------
 MONTH = "month"
-MAX_BATCH_MONTHS = 100_000
 
 
 def _batch_months(df: DataFrame, date_col: str) -> list:
-    """Distinct months of a (materialised) batch.  A calendar-bounded list —
-    checked — used as a static partition filter."""
-    months = (df.select(month_start(date_col).alias(MONTH)).distinct()
-              .limit(MAX_BATCH_MONTHS + 1).collect())
-    if len(months) > MAX_BATCH_MONTHS:
-        raise ValueError("batch spans more months than the partition-filter bound")
-    return [r[MONTH] for r in months]
+    """Distinct months of a (materialised) batch: the static partition filter of the merges.
+    One entry per calendar month, whatever the number of lines."""
+    return [r[MONTH] for r in df.select(month_start(date_col).alias(MONTH)).distinct().collect()]
 
 
 def _merge_partitions(store: TableStore, layer: str, name: str, batch: DataFrame,
@@ -156,12 +144,16 @@ def _merge_partitions(store: TableStore, layer: str, name: str, batch: DataFrame
                       materialize: bool = False) -> None:
     """Upsert ``batch`` into the month partitions it touches; other months are
     neither read nor rewritten.  Exact because the month is a function of
-    the merge key (every key carries its date)."""
+    the merge key (every key carries its date).  Columns that the batch adds
+    are added to the table."""
     if not store.exists(layer, name):
         store.write(batch, layer, name, partition_by=[part_col])
         return
     current = store.read_partitions(layer, name, part_col, months)
-    merged = upsert(current, batch.select(*current.columns), keys, materialize=materialize)
+    added = {f.name: F.lit(None).cast(f.dataType) for f in batch.schema.fields if f.name not in current.columns}
+    if added:
+        current = current.withColumns(added)
+    merged = upsert(current, batch, keys, materialize=materialize)
     store.replace_partitions(merged, layer, name, [part_col])
 
 
@@ -172,34 +164,35 @@ def run_fact_load(store: TableStore, bronze: DataFrame, products: DataFrame,
     otherwise incremental — the same steps either way.
 
     * the batch is written once, as partition ``load_id`` of the bronze
-      table (dynamic overwrite), and everything else reads that partition —
-      the landing files are scanned once, and replaying a batch with the
-      same ``load_id`` (e.g. a streaming batch id) overwrites instead of
-      appending twice;
+      table, and everything else reads that partition — the landing files are
+      scanned once, and replaying a batch with the same ``load_id`` (e.g. a
+      streaming batch id) replaces it instead of appending twice; columns the
+      batch adds stay in bronze and silver;
+    * its rejects are written as partition ``load_id`` of the rejects table;
     * silver and the daily gold fact are partitioned by month; the batch is
       upserted into the months it touches only;
     * the parent's sums for those months are recomputed from the whole daily
       fact (replacing, never adding) and upserted into the parent's month
       partitions; a parent key absent from the recomputation is kept.
+
+    The staged batch and the recomputed sums are scratch copies, deleted at the end.
     """
     load_id = load_id or uuid.uuid4().hex
-    store.replace_partitions(bronze.withColumn("load_id", F.lit(load_id)), "bronze", name,
-                             ["load_id"])
-    batch = store.read_partition_folder("bronze", name, "load_id", load_id)
-
-    batch_silver = orders_silver(batch, products).withColumn(
-        MONTH, month_start("order_placement_date"))
-    store.write(batch_silver, "silver", f"staging_{name}")
-    batch_silver = store.read("silver", f"staging_{name}")
-    months = _batch_months(batch_silver, "order_placement_date")
-    _merge_partitions(store, "silver", name, batch_silver, SILVER_KEYS, MONTH, months)
-
+    load = F.lit(load_id)
+    store.replace_partitions(bronze.withColumn("load_id", load), "bronze", name, ["load_id"])
+    landed = store.read_partitions("bronze", name, "load_id", [load_id]).drop("load_id")
     daily = f"fact_{name}_daily"
-    batch_gold = orders_gold(batch_silver).withColumn(MONTH, month_start("date"))
-    _merge_partitions(store, "gold", daily, batch_gold, GOLD_KEYS, MONTH, months)
-
-    sums = parent_rollup(store.read_partitions("gold", daily, MONTH, months))
-    # the sums are an aggregate, not a stored table: materialise them once
-    _merge_partitions(store, "gold", parent, sums, PARENT_KEYS, "date", months, materialize=True)
+    with scratch_scope(store.spark):
+        store.replace_partitions(order_rejects(landed, products).withColumn("load_id", load),
+                                 "silver", f"rejects_{name}", ["load_id"])
+        batch = materialize(orders_silver(landed, products).withColumn(
+            MONTH, month_start("order_placement_date")), f"staging-{name}")
+        months = _batch_months(batch, "order_placement_date")
+        _merge_partitions(store, "silver", name, batch, SILVER_KEYS, MONTH, months)
+        gold = orders_gold(batch).withColumn(MONTH, month_start("date"))
+        _merge_partitions(store, "gold", daily, gold, GOLD_KEYS, MONTH, months)
+        sums = parent_rollup(store.read_partitions("gold", daily, MONTH, months))
+        # the sums are an aggregate, not a stored table: materialise them once
+        _merge_partitions(store, "gold", parent, sums, PARENT_KEYS, "date", months, materialize=True)
     return FactState(store.read("silver", name), store.read("gold", daily),
                      store.read("gold", parent))

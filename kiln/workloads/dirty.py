@@ -62,6 +62,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(qty_text).alias("order_qty"),
         F.col("l_linenumber"),
         F.col("o_orderdate"),
+        F.col("l_partkey"),
     )
     repeated = out.filter(F.col("l_linenumber") % 7 == 0)
     return out.unionByName(repeated)

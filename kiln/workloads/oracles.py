@@ -27,29 +27,38 @@ SELECT CAST(date_trunc('month', date) AS DATE) AS date, product_id, customer_cod
        CAST(sum(sold_quantity) AS BIGINT) AS sold_quantity
 FROM monthly GROUP BY ALL"""
 
-# product dimension as the product plan builds it from ``part``
+# every product of ``part``: raw ids are distinct, so none is a repeated row; ids with
+# letters share the sentinel, which no order line or price carries
 _PRODUCTS = f"""prod_raw AS (
   SELECT CASE WHEN p_partkey % 17 = 0 THEN '9999999' ELSE CAST(p_partkey AS VARCHAR) END AS product_id,
          (CASE WHEN p_partkey % 3 IN (0, 1) THEN 'Protein ' ELSE '' END) || p_name || ' ('
            || CAST(p_size AS VARCHAR) || 'g)' AS product_name,
          {_initcap('p_type')} AS category
   FROM part),
-prod AS (
-  SELECT *, sha256(product_name) AS product_code FROM prod_raw
-  QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY product_name, category) = 1)"""
+prod AS (SELECT *, sha256(product_name) AS product_code FROM prod_raw)"""
 
-_FACT = f"""WITH {_LINES}, {_PRODUCTS},
+# daily lines: the largest quantity of a line key, with the product's code; {where} restricts the lines
+_DAILY = f"""{_LINES}, {_PRODUCTS},
 clean AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(o_orderdate AS DATE) AS date,
          CASE WHEN o_custkey % 23 = 0 THEN '999999' ELSE CAST(o_custkey AS VARCHAR) END AS customer_code,
          CASE WHEN l_orderkey % 13 = 0 THEN '99999999' ELSE CAST(l_partkey AS VARCHAR) END AS product_id,
-         l_quantity AS qty
+         l_quantity AS qty, l_orderkey
   FROM lines WHERE (l_orderkey + l_linenumber) % 19 <> 0),
-dedup AS (SELECT order_id, date, customer_code, product_id, max(qty) AS qty FROM clean GROUP BY ALL)
-SELECT CAST(date_trunc('month', d.date) AS DATE) AS date, p.product_code, d.customer_code,
-       CAST(sum(d.qty) AS BIGINT) AS sold_quantity
-FROM dedup d JOIN prod p ON d.product_id = p.product_id
-GROUP BY ALL"""
+daily AS (
+  SELECT order_id, date, customer_code, c.product_id, any_value(product_code) AS product_code, max(qty) AS qty
+  FROM clean c JOIN prod p ON c.product_id = p.product_id {{where}}
+  GROUP BY ALL)"""
+
+
+def _monthly_fact(where: str = "") -> str:
+    return f"""WITH {_DAILY.format(where=where)}
+SELECT CAST(date_trunc('month', date) AS DATE) AS date, product_code, customer_code,
+       CAST(sum(qty) AS BIGINT) AS sold_quantity
+FROM daily GROUP BY ALL"""
+
+
+_FACT = _monthly_fact()
 
 _DIVISION = """CASE category WHEN 'Economy' THEN 'Value' WHEN 'Standard' THEN 'Core'
   WHEN 'Promo' THEN 'Core' WHEN 'Small' THEN 'Compact' WHEN 'Medium' THEN 'Compact' END"""
@@ -199,7 +208,8 @@ FROM c""",
 WITH {_PRODUCTS}
 SELECT product_code, regexp_extract(product_name, '\\(([^)]+)\\)', 1) AS variant,
        {_DIVISION} AS division, category, product_name AS product
-FROM prod QUALIFY row_number() OVER (PARTITION BY product_code ORDER BY product_id) = 1""",
+FROM prod QUALIFY row_number() OVER (
+  PARTITION BY product_code ORDER BY product_id, division NULLS LAST, category) = 1""",
     "dim_price_conform": f"""
 WITH {_PRODUCTS},
 pr AS (
@@ -230,7 +240,8 @@ WITH {_PRODUCTS},
 conf AS (
   SELECT product_code, regexp_extract(product_name, '\\(([^)]+)\\)', 1) AS variant,
          {_DIVISION} AS division, category, product_name AS product
-  FROM prod QUALIFY row_number() OVER (PARTITION BY product_code ORDER BY product_id) = 1)
+  FROM prod QUALIFY row_number() OVER (
+    PARTITION BY product_code ORDER BY product_id, division NULLS LAST, category) = 1)
 SELECT product_code, variant, division, category, product,
        CASE WHEN substr(product_code, 1, 1) < '8' THEN 'parent' END AS source_system
 FROM conf""",
@@ -259,11 +270,39 @@ SELECT 'PB-' || p_brand, '2024', min(p_retailprice) FROM part GROUP BY p_brand""
     "fact_full_load": _FACT,
     "fact_incremental_load": _FACT,
     "fact_stream_load": _FACT,
+    "fact_replay": _monthly_fact("WHERE l_orderkey % 29 <> 0"),
+    "fact_daily_gold": f"""WITH {_DAILY.format(where="")}
+SELECT order_id, date, product_code, customer_code, product_id, qty AS sold_quantity FROM daily""",
+    "fact_schema_drift": f"""WITH {_DAILY.format(where="")}
+SELECT order_id, date AS order_placement_date, customer_code AS customer_id, product_id, qty AS order_qty,
+       product_code, CASE WHEN CAST(order_id AS BIGINT) % 2 = 1 THEN 'web' END AS channel FROM daily""",
     "fact_rejects": f"""
 WITH {_LINES}, {_PRODUCTS},
 q AS (SELECT * FROM lines UNION ALL SELECT * FROM lines WHERE l_linenumber % 7 = 0),
-c AS (SELECT CASE WHEN l_orderkey % 13 = 0 THEN '99999999' ELSE CAST(l_partkey AS VARCHAR) END AS product_id
-      FROM q WHERE (l_orderkey + l_linenumber) % 19 <> 0)
-SELECT product_id, count(*) AS rows FROM c WHERE product_id NOT IN (SELECT product_id FROM prod)
+c AS (SELECT CASE WHEN l_orderkey % 13 = 0 THEN '99999999' ELSE CAST(l_partkey AS VARCHAR) END AS product_id,
+             CASE WHEN (l_orderkey + l_linenumber) % 19 = 0 THEN 'no_quantity'
+                  WHEN l_orderkey % 29 = 0 THEN 'bad_date' END AS reason
+      FROM q)
+SELECT coalesce(reason, 'unknown_product') AS reject_reason, product_id, count(*) AS rows FROM c
+WHERE reason IS NOT NULL OR product_id NOT IN (SELECT product_id FROM prod)
 GROUP BY ALL""",
+    "dedupe_five_columns": f"""
+WITH {_LINES}
+SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(o_orderdate AS DATE) AS order_placement_date,
+       CASE WHEN o_custkey % 23 = 0 THEN '999999' ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
+       CASE WHEN l_orderkey % 13 = 0 THEN '99999999' ELSE CAST(l_partkey AS VARCHAR) END AS product_id,
+       l_quantity AS order_qty
+FROM lines WHERE (l_orderkey + l_linenumber) % 19 <> 0""",
+    "fill_from_literal_table": """
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
+       CASE WHEN c_custkey % 10 <> 0 THEN c_mktsegment WHEN c_custkey = 10 THEN 'BUILDING'
+            WHEN c_custkey = 20 THEN 'MACHINERY' WHEN c_custkey = 30 THEN 'HOUSEHOLD' END AS segment
+FROM customer""",
+    "hash_key_with_nulls": r"""
+SELECT c_custkey, sha256(
+  coalesce(CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END, '\N') || '|' ||
+  coalesce(CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 4 = 0 THEN ''
+                ELSE 'a\|b' || CAST(c_custkey AS VARCHAR) END, '\N') || '|' ||
+  coalesce(CASE WHEN c_custkey % 2 <> 0 THEN 'x' END, '\N')) AS key
+FROM customer""",
 }

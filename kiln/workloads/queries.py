@@ -22,13 +22,14 @@ from kiln.operators.sizing import bounded_broadcast
 from kiln.operators.upsert import upsert
 from kiln.plans import dims, facts
 from kiln.session import scratch_path
-from kiln.sources.csv import read_csv, write_csv
+from kiln.sources.csv import LINEAGE_COLS, read_csv, write_csv
 from kiln.sources.ledger import file_once_ingest
 from kiln.sources.tables import TableStore
 from kiln.streaming.ingest import ingest_available
 from kiln.workloads import dirty as D
 
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+LINE_COLS = facts.ORDER_COLS
 ORDER_TEXT_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                    "o_orderdate", "o_orderpriority")
 
@@ -60,7 +61,7 @@ def csv_roundtrip_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def file_once_ingest_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Parent feed in four files; runs offer {0,1}, then {0,1} again, then all four."""
+    """Parent feed in four folders; runs offer {0,1}, then {0,1} again, then all four."""
     root = scratch_path(spark, "feed")
     od = _t(spark, sf, "orders").select(
         *[F.date_format(c, "yyyy-MM-dd").alias(c) if c == "o_orderdate"
@@ -80,7 +81,7 @@ def file_once_ingest_q(spark: SparkSession, sf: str) -> DataFrame:
     cols = [c for c in ORDER_TEXT_COLS]
     file_once_ingest(spark, f"{root}/landing/part=[01]/*.csv", cols, ledger, target, project)
     file_once_ingest(spark, f"{root}/landing/part=[01]/*.csv", cols, ledger, target, project)
-    file_once_ingest(spark, f"{root}/landing/part=*/*.csv", cols, ledger, target, project)
+    file_once_ingest(spark, f"{root}/landing/part=*/*.csv", cols, ledger, target, project, max_files_per_load=1)
     return spark.read.parquet(target).drop("load_id")
 
 
@@ -254,7 +255,7 @@ def row_counts_by_stage(spark, sf):
     deduped = dedupe(facts.orders_clean(raw),
                      ["order_id", "order_placement_date", "customer_id", "product_id"],
                      [F.col("order_qty").desc()])
-    known = products.select("product_id").distinct().withColumn("__known", F.lit(True))
+    known = dims.product_keys(products).select("product_id", F.lit(True).alias("__known"))
     flagged = deduped.join(bounded_broadcast(known), "product_id", "left")
     after = P.stage_counts(flagged, [("3_deduplicated", None),
                                      ("4_resolved", F.col("__known").isNotNull())])
@@ -370,7 +371,7 @@ def snapshot_diff_q(spark, sf):
     return snapshot_diff(before, after, ["c_custkey"])
 
 
-BATCH_CUTOFF = "2001-06-01"
+BATCH_CUTOFF = "2001-06-15"  # inside a month: the parent already holds a part of it
 
 
 def affected_month_recompute(spark, sf):
@@ -488,54 +489,140 @@ def dim_price_load(spark, sf):
 
 
 def fact_full_load(spark, sf):
-    lines = D.order_lines(spark, sf).drop("l_linenumber", "o_orderdate")
+    lines = D.order_lines(spark, sf).select(*LINE_COLS)
     return facts.full_load(lines, _products(spark, sf)).parent
 
 
-FACT_CUTOFF = "2000-01-01"
+FACT_CUTOFF = "2000-06-15"
 
 
-def fact_incremental_load(spark, sf):
-    """Batch 1 (orders before the cutoff) as a full load, batch 2 as an
-    incremental load, each layer written as a table snapshot in scratch."""
+def _two_batches(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Order lines in two batches that meet in many months and orders.
+
+    The first has the orders before a date inside a month, without the lines
+    of products whose id divides by 5, and with a quantity too large by one in
+    every 7th order.  The second has everything left, and every 7th order again
+    as it should be.  All lines of an order with one product are in one batch.
+    """
     lines = D.order_lines(spark, sf)
-    first = F.col("o_orderdate") < F.lit(FACT_CUTOFF).cast("timestamp_ntz")
+    order = F.col("order_id").cast("bigint")
+    late = ((F.col("o_orderdate") >= F.lit(FACT_CUTOFF).cast("timestamp_ntz"))
+            | (F.col("l_partkey") % 5 == 0))
+    wrong = (C.to_double("order_qty") + 1).cast("string")
+    first = lines.filter(~late).withColumn(
+        "order_qty", F.when(order % 7 == 0, wrong).otherwise(F.col("order_qty")))
+    return first.select(*LINE_COLS), lines.filter(late | (order % 7 == 0)).select(*LINE_COLS)
+
+
+def _fact_store(spark, sf) -> tuple[TableStore, DataFrame]:
     store = TableStore(spark, scratch_path(spark, "warehouse"))
     store.write(_products(spark, sf), "silver", "products")
-    products = store.read("silver", "products")
-    facts.run_fact_load(store, lines.filter(first).drop("l_linenumber", "o_orderdate"), products)
-    state = facts.run_fact_load(store, lines.filter(~first).drop("l_linenumber", "o_orderdate"),
-                                products)
-    return state.parent
+    return store, store.read("silver", "products")
+
+
+def _incremental(spark, sf) -> facts.FactState:
+    store, products = _fact_store(spark, sf)
+    first, second = _two_batches(spark, sf)
+    facts.run_fact_load(store, first, products)
+    return facts.run_fact_load(store, second, products)
+
+
+def fact_incremental_load(spark, sf):
+    """A full load of the first batch, an incremental load of the second, which corrects and
+    completes months and orders of the first (L6, K4)."""
+    return _incremental(spark, sf).parent
+
+
+def fact_daily_gold(spark, sf):
+    """The child's daily fact after both batches, one row per order, day, customer and product id."""
+    return _incremental(spark, sf).gold.drop("month")
 
 
 def fact_stream_load(spark, sf):
-    """Order lines landed as one CSV file per order year, drained by a file
-    stream (``availableNow``, four files per micro-batch); every micro-batch
+    """Order lines landed as CSV files that each hold orders of all months, drained by a file
+    stream (``availableNow``, half of the files per micro-batch); every micro-batch
     runs the incremental fact load with its batch id as load id (M1 + L6)."""
     root = scratch_path(spark, "stream")
-    lines = D.order_lines(spark, sf)
-    (lines.withColumn("year", F.year("o_orderdate")).drop("l_linenumber", "o_orderdate")
-     .repartition("year").write.partitionBy("year").option("header", "true")
-     .csv(f"{root}/landing"))
-    store = TableStore(spark, f"{root}/warehouse")
-    store.write(_products(spark, sf), "silver", "products")
-    products = store.read("silver", "products")
+    files = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    (D.order_lines(spark, sf).select(*LINE_COLS)
+     .repartition(files, "order_id").write.option("header", "true").csv(f"{root}/landing"))
+    store, products = _fact_store(spark, sf)
 
     def batch(df, batch_id):
         facts.run_fact_load(store, df.drop("file_name", "file_size", "read_timestamp"),
                             products, load_id=f"{batch_id:012d}")
 
-    ingest_available(spark, f"{root}/landing/*/*.csv", list(facts.ORDER_COLS),
-                     f"{root}/checkpoint", batch, max_files_per_trigger=4)
+    ingest_available(spark, f"{root}/landing/*.csv", list(LINE_COLS),
+                     f"{root}/checkpoint", batch, max_files_per_trigger=-(-files // 2))
     return store.read("gold", "fact_orders").select(*facts.PARENT_KEYS, "sold_quantity")
 
 
+def _with_bad_dates(spark, sf) -> DataFrame:
+    """Order lines with a date in no known format in every 29th order."""
+    order = F.col("order_id").cast("bigint")
+    return D.order_lines(spark, sf).select(*LINE_COLS).withColumn(
+        "order_placement_date", F.when(order % 29 == 0, F.lit("soon")).otherwise(F.col("order_placement_date")))
+
+
+def fact_replay(spark, sf):
+    """One batch, with bad dates in it, loaded three times under one load id."""
+    store, products = _fact_store(spark, sf)
+    lines = _with_bad_dates(spark, sf)
+    for _ in range(3):
+        state = facts.run_fact_load(store, lines, products, load_id="replayed")
+    return state.parent
+
+
 def fact_rejects(spark, sf):
-    """Order lines dropped by the product resolution (placeholders, sentinel ids)."""
-    lines = D.order_lines(spark, sf).drop("l_linenumber", "o_orderdate")
-    return (facts.order_rejects(lines, _products(spark, sf))
-            .groupBy("product_id").agg(F.count(F.lit(1)).alias("rows")))
+    """Rejected order lines of a loaded batch by reason and product id."""
+    store, products = _fact_store(spark, sf)
+    for _ in range(2):
+        facts.run_fact_load(store, _with_bad_dates(spark, sf), products, load_id="replayed")
+    return (store.read("silver", "rejects_orders").groupBy("reject_reason", "product_id")
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+def fact_schema_drift(spark, sf):
+    """Two landing batches by CSV; the later has another column order and one more column.
+
+    Returns silver: the column is there, NULL for lines of the first batch only.
+    """
+    store, products = _fact_store(spark, sf)
+    lines = D.order_lines(spark, sf).select(*LINE_COLS)
+    odd = F.col("order_id").cast("bigint") % 2 == 1
+    later = lines.filter(odd).withColumn("channel", F.lit("web")).select("channel", *reversed(LINE_COLS))
+    for batch, name in ((lines.filter(~odd), "orders-1"), (later, "orders-2")):
+        landed = _landed(spark, batch, name).drop(*LINEAGE_COLS)
+        facts.run_fact_load(store, landed, products)
+    return store.read("silver", "orders").drop("month")
+
+
+def dedupe_five_columns(spark, sf):
+    """Order lines repeated in all five columns dropped; another quantity is another line (F8)."""
+    return dedupe(facts.orders_clean(D.order_lines(spark, sf).select(*LINE_COLS)), list(LINE_COLS))
+
+
+CUSTOMER_CORRECTIONS = {"10": "BUILDING", "20": "MACHINERY", "30": "HOUSEHOLD", "7": "FURNITURE"}
+
+
+def fill_from_literal_table(spark, sf):
+    """Missing segments filled from a literal relation of corrections."""
+    c = _t(spark, sf, "customer")
+    k = F.col("c_custkey")
+    df = c.select(k.cast("string").alias("customer_id"),
+                  F.when(k % 10 != 0, F.col("c_mktsegment")).alias("segment"))
+    fixes = dims.customer_corrections(spark, CUSTOMER_CORRECTIONS)
+    return fill_from_lookup(df, fixes, "customer_id", "segment", "correct_city")
+
+
+def hash_key_with_nulls(spark, sf):
+    """Business key of three parts of which some are NULL or empty."""
+    c = _t(spark, sf, "customer")
+    k = F.col("c_custkey")
+    parts = [F.when(k % 3 != 0, F.col("c_mktsegment")),
+             F.when(k % 5 != 0, F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("a|b"), k.cast("string")))),
+             F.when(k % 2 != 0, F.lit("x"))]
+    return c.select("c_custkey", C.hash_key(*parts).alias("key"))
 
 
 QUERIES = {
@@ -587,4 +674,10 @@ QUERIES = {
     "fact_incremental_load": fact_incremental_load,
     "fact_stream_load": fact_stream_load,
     "fact_rejects": fact_rejects,
+    "fact_replay": fact_replay,
+    "fact_daily_gold": fact_daily_gold,
+    "fact_schema_drift": fact_schema_drift,
+    "dedupe_five_columns": dedupe_five_columns,
+    "fill_from_literal_table": fill_from_literal_table,
+    "hash_key_with_nulls": hash_key_with_nulls,
 }

@@ -107,10 +107,13 @@ def _products(spark):
 def test_incremental_equals_full(spark, tmp):
     lines = _lines(spark)
     products = _products(spark)
-    full = facts.full_load(lines.drop("l_linenumber", "o_orderdate"), products).parent
-    first = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
-    b1 = lines.filter(first).drop("l_linenumber", "o_orderdate")
-    b2 = lines.filter(~first).drop("l_linenumber", "o_orderdate")
+    full = facts.full_load(lines.select(*facts.ORDER_COLS), products).parent
+    first = (F.col("o_orderdate") < F.lit("1998-01-15").cast("timestamp_ntz")) & (F.col("l_partkey") % 3 > 0)
+    b1 = lines.filter(first).select(*facts.ORDER_COLS)
+    b2 = lines.filter(~first).select(*facts.ORDER_COLS)
+    meet = facts.affected_periods(facts.orders_clean(b1), "order_placement_date").join(
+        facts.affected_periods(facts.orders_clean(b2), "order_placement_date"), "month")
+    assert meet.count() > 5  # months that both batches touch
     lazy = facts.incremental_load(b2, products, facts.full_load(b1, products)).parent
     want = srt(tuple(r) for r in full.collect())
     assert srt(tuple(r) for r in lazy.select(*full.columns).collect()) == want
@@ -128,17 +131,17 @@ def test_incremental_equals_full(spark, tmp):
 
 
 def test_batch_order_does_not_matter(spark, tmp):
-    lines = _lines(spark).drop("o_orderdate")
+    lines = _lines(spark)
     products = _products(spark)
-    odd = F.col("order_id").cast("bigint") % 2 == 1
-    a, b = lines.filter(odd).drop("l_linenumber"), lines.filter(~odd).drop("l_linenumber")
+    odd = F.col("l_partkey") % 2 == 1  # the products of one order land in both batches
+    a, b = lines.filter(odd).select(*facts.ORDER_COLS), lines.filter(~odd).select(*facts.ORDER_COLS)
     s1 = facts.incremental_load(b, products, facts.full_load(a, products)).parent
     s2 = facts.incremental_load(a, products, facts.full_load(b, products)).parent
     assert srt(tuple(r) for r in s1.collect()) == srt(tuple(r) for r in s2.select(*s1.columns).collect())
 
 
 def test_fact_rejects_are_placeholders(spark):
-    lines = _lines(spark).drop("l_linenumber", "o_orderdate")
+    lines = _lines(spark).select(*facts.ORDER_COLS)
     ids = {r.product_id for r in facts.order_rejects(lines, _products(spark)).select("product_id").distinct().collect()}
     assert "99999999" in ids
 
@@ -153,5 +156,50 @@ def test_full_load_dedupe_variant_with_quantity_in_key(spark):
     products = spark.createDataFrame([("1", "h")], "product_id string, product_code string")
     five = facts.orders_silver(bronze, products, dedupe_keys=facts.ORDER_COLS)
     four = facts.orders_silver(bronze, products)
-    assert sorted((r.order_id, r.order_qty) for r in five.collect()) == [("1", 12.0), ("2", 1.0)]
+    assert sorted((r.order_id, r.order_qty) for r in five.collect()) == [("1", 5.0), ("1", 7.0), ("2", 1.0)]
     assert sorted((r.order_id, r.order_qty) for r in four.collect()) == [("1", 7.0), ("2", 1.0)]
+
+
+def test_rows_with_bad_ids_all_stay(spark, tmp):
+    products = spark.createDataFrame([("A (1g)", "XYZ1", "energy bars"), ("B (2g)", "XYZ2", "energy bars"),
+                                      ("B (2g)", "XYZ2", "energy bars"), ("C (3g)", "3", "energy bars")],
+                                     "product_name string, product_id string, category string")
+    silver = dims.products_silver(products)
+    assert sorted((r.product_id, r.variations) for r in silver.collect()) == [("3", "3g"), ("9999999", "1g"), ("9999999", "2g")]
+    assert dims.products_parent_source(dims.products_gold(silver)).count() == 3
+    assert [r.product_id for r in dims.product_keys(silver).collect()] == ["3"]
+    customers = spark.createDataFrame([("AB1", "x", "Pune"), ("AB2", "y", "Pune"), ("AB2", "y", "Pune"), ("5", "z", "Pune")],
+                                      "customer_id string, customer_name string, city string")
+    silver = dims.customers_silver(customers)
+    assert sorted((r.customer_id, r.customer_name) for r in silver.collect()) == [("5", "Z"), ("999999", "X"), ("999999", "Y")]
+    src = dims.customers_parent_source(dims.customers_gold(silver))
+    assert [r.customer_code for r in src.orderBy("customer_code").collect()] == ["5", "999999"]
+
+
+def test_replay_with_bad_dates_changes_nothing(spark, tmp):
+    cols = "order_id string, order_placement_date string, customer_id string, product_id string, order_qty string"
+    batch = spark.createDataFrame([("1", "2025-07-01", "789101", "1", "5"), ("2", "soon", "789101", "1", "3"),
+                                   ("3", "2025-07-02", "789101", "1", "many"), (None, "2025-07-02", "789101", "1", "1"),
+                                   ("4", "2025-07-02", "789101", "77", "1")], cols)
+    products = spark.createDataFrame([("1", "h")], "product_id string, product_code string")
+    store = TableStore(spark, tmp)
+    for _ in range(3):
+        state = facts.run_fact_load(store, batch, products, load_id="a")
+        assert [tuple(r) for r in state.parent.select(*facts.PARENT_KEYS, "sold_quantity").collect()] == [
+            (dt.date(2025, 7, 1), "h", "789101", 5)]
+        assert state.silver.count() == state.gold.count() == 1
+    rejects = store.read("silver", "rejects_orders")
+    assert sorted((r.order_id or "", r.order_qty, r.reject_reason) for r in rejects.collect()) == [
+        ("", "1", "no_order_id"), ("2", "3", "bad_date"), ("3", "many", "no_quantity"), ("4", "1", "unknown_product")]
+
+
+def test_two_ids_of_one_product_in_two_batches(spark, tmp):
+    cols = "order_id string, order_placement_date string, customer_id string, product_id string, order_qty string"
+    line = lambda pid, q: ("1", "2025-07-01", "789101", pid, q)
+    products = spark.createDataFrame([("1", "h"), ("2", "h")], "product_id string, product_code string")
+    want = [(dt.date(2025, 7, 1), "h", "789101", 5)]
+    for batches in ([[line("1", "2"), line("2", "3")]], [[line("1", "9")], [line("2", "3"), line("1", "2")]]):
+        store = TableStore(spark, f"{tmp}/{len(batches)}")
+        for rows in batches:
+            state = facts.run_fact_load(store, spark.createDataFrame(rows, cols), products)
+        assert [tuple(r) for r in state.parent.select(*facts.PARENT_KEYS, "sold_quantity").collect()] == want
