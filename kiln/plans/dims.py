@@ -220,8 +220,12 @@ PRICE_KEYS = ("product_code", "year")
 def run_dimension(store: TableStore, name: str, bronze: DataFrame, silver_fn, gold_fn,
                   parent_source_fn, parent: str, keys: Sequence[str],
                   set_cols: Mapping[str, Column | str] | None = None,
-                  insert_cols: Mapping[str, Column | str] | None = None) -> DataFrame:
-    """bronze -> silver -> gold -> upsert into the parent table; returns the new parent."""
+                  insert_cols: Mapping[str, Column | str] | None = None,
+                  keep_states: int = 3) -> DataFrame:
+    """bronze -> silver -> gold -> upsert into the parent table; returns the new parent.
+
+    Of every table the newest ``keep_states`` states stay on disk.
+    """
     store.write(bronze, "bronze", name)
     store.write(silver_fn(store.read("bronze", name)), "silver", name)
     store.write(gold_fn(store.read("silver", name)), "gold", f"sb_dim_{name}")
@@ -230,4 +234,6 @@ def run_dimension(store: TableStore, name: str, bronze: DataFrame, silver_fn, go
         if store.exists("gold", parent):
             source = upsert(store.read("gold", parent), source, keys, set_cols, insert_cols)
         store.write(source, "gold", parent)
+    for layer, table in (("bronze", name), ("silver", name), ("gold", f"sb_dim_{name}"), ("gold", parent)):
+        store.vacuum(layer, table, keep_states)
     return store.read("gold", parent)

@@ -159,7 +159,7 @@ def _merge_partitions(store: TableStore, layer: str, name: str, batch: DataFrame
 
 def run_fact_load(store: TableStore, bronze: DataFrame, products: DataFrame,
                   name: str = "orders", parent: str = "fact_orders",
-                  load_id: str | None = None) -> FactState:
+                  load_id: str | None = None, keep_states: int = 3) -> FactState:
     """Load one landing batch: a full load when the child tables are absent,
     otherwise incremental — the same steps either way.
 
@@ -175,7 +175,8 @@ def run_fact_load(store: TableStore, bronze: DataFrame, products: DataFrame,
       fact (replacing, never adding) and upserted into the parent's month
       partitions; a parent key absent from the recomputation is kept.
 
-    The staged batch and the recomputed sums are scratch copies, deleted at the end.
+    The staged batch and the recomputed sums are scratch copies, deleted at the
+    end; of every table the newest ``keep_states`` states stay on disk.
     """
     load_id = load_id or uuid.uuid4().hex
     load = F.lit(load_id)
@@ -194,5 +195,9 @@ def run_fact_load(store: TableStore, bronze: DataFrame, products: DataFrame,
         sums = parent_rollup(store.read_partitions("gold", daily, MONTH, months))
         # the sums are an aggregate, not a stored table: materialise them once
         _merge_partitions(store, "gold", parent, sums, PARENT_KEYS, "date", months, materialize=True)
+    for layer, table in (("bronze", name), ("silver", f"rejects_{name}"), ("silver", name), ("gold", daily),
+                         ("gold", parent)):
+        if store.exists(layer, table):
+            store.vacuum(layer, table, keep_states)
     return FactState(store.read("silver", name), store.read("gold", daily),
                      store.read("gold", parent))
