@@ -4,8 +4,8 @@ For a row with text t, declared language d, host h with address suffix s:
 
     P(l | t, d, h)  ~  P(t | l)**TEMPER * P(d | l) * P(l | h)
 
-* ``P(t | l)``: hashed byte trigrams of the whole text in lower case, fitted
-  on a bounded sample of labelled rows (``train_rows`` per language, drawn by a
+* ``P(t | l)``: hashed byte trigrams around the letters of the whole text in lower case,
+  fitted on a bounded sample of labelled rows (``train_rows`` per language, drawn by a
   hash of the row's text).  ``und`` is a language in which every trigram
   is equally likely; it wins for text in none of the languages.  Trigrams of
   one text are far from independent, hence the tempering.
@@ -22,8 +22,8 @@ scores); counts are combined on the map side.  The host table grows with the
 hosts: it is joined as a stored table, so the planner broadcasts it only while
 its real size is small and else shuffles, splitting a hot host.
 
-Defined cases: a NULL or empty text (or one of fewer than three bytes) has no
-text evidence and is rejected; a NULL declaration or host counts as a value
+Defined cases: a NULL text, or one of fewer than three bytes, has no text
+evidence and is rejected; a text without letters is judged by declaration and host; a NULL declaration or host counts as a value
 of its own; without labelled rows every row is ``und`` and rejected.
 """
 
@@ -43,20 +43,25 @@ UNKNOWN = "und"
 BUCKETS = 1 << 16
 #: labelled rows per language that the text model is fitted on (about; drawn by hash)
 TRAIN_ROWS = 2_000
-#: weight of one trigram, and the most trigrams whose evidence counts in full
+#: weight of one trigram
 TEMPER = 0.2
 #: a language needs this share of the labelled rows to be modelled
 MIN_SHARE = 0.001
-#: pseudo-count of unseen trigrams; strength of the smoothing of host and suffix
-ALPHA, STRENGTH = 0.05, 20.0
-UNKNOWN_PRIOR = 1e-3
+#: share of a language's probability that is spread evenly over all trigrams (names, codes, typing errors)
+EVEN = 0.05
+#: strength of the smoothing of host and suffix
+STRENGTH = 20.0
+UNKNOWN_PRIOR = 1e-4
+#: digits, punctuation and white space say nothing about the language
+_LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
 def _trigrams(text: str | None) -> np.ndarray:
-    b = np.frombuffer((text or "").lower().encode("utf-8", "replace"), np.uint8).astype(np.uint32)
-    if len(b) < 3:
-        return np.empty(0, np.uint32)
-    return (((b[:-2] << 16) | (b[1:-1] << 8) | b[2:]) * np.uint32(2654435761)) >> np.uint32(16)
+    """Hashed buckets of the byte trigrams around each letter byte."""
+    plain = (text or "").lower().encode("utf-8", "replace").translate(_LETTERS)
+    b = np.frombuffer(b" " + plain + b" ", np.uint8).astype(np.uint32)
+    ids = (((b[:-2] << 16) | (b[1:-1] << 8) | b[2:]) * np.uint32(2654435761)) >> np.uint32(16)
+    return ids[b[1:-1] != 32]
 
 
 class TextModel:
@@ -64,8 +69,8 @@ class TextModel:
 
     def __init__(self, languages: Sequence[str], counts: np.ndarray):
         self.languages = [*languages, UNKNOWN]
-        smooth = counts + ALPHA
-        logs = np.log(smooth / smooth.sum(axis=1, keepdims=True)) if len(languages) else np.empty((0, BUCKETS))
+        shares = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
+        logs = np.log((1 - EVEN) * shares + EVEN / BUCKETS)
         self.logs = np.vstack([logs, np.full((1, BUCKETS), -math.log(BUCKETS))]).T.astype(np.float32).copy()
 
 
