@@ -102,23 +102,24 @@ from stream left join got using (doc_id)
 """
 
 OP4 = r"""
-with lines as (
-  select doc_id, unnest(string_split(text, chr(10))) as t, unnest(range(len(string_split(text, chr(10))))) as line
+with cut as (
+  select doc_id, regexp_extract_all(text, '\n|[^\n]+?(?:[.!?][ \t]+|\n|\z)') as us
   from documents where text is not null),
-units as (
-  select doc_id, line, regexp_extract_all(lower(t), '[^\s]+') as ws, length(t) as n,
-         coalesce(sum(length(t) + 1) over (partition by doc_id order by line
+units as (select doc_id, unnest(us) as t, unnest(range(len(us))) as unit from cut),
+placed as (
+  select doc_id, unit, regexp_extract_all(lower(t), '[^\s]+') as ws, length(t) - ends_with(t, chr(10))::int as n,
+         coalesce(sum(length(t)) over (partition by doc_id order by unit
                   rows between unbounded preceding and 1 preceding), 0) as start
-  from lines),
+  from units),
 hashed as (
-  select doc_id, line, start, start + n as "end", len(ws) as words, md5(array_to_string(ws, ' ')) as digest
-  from units where len(ws) >= 8),
+  select doc_id, unit, start, start + n as "end", len(ws) as words, md5(array_to_string(ws, ' ')) as digest
+  from placed where len(ws) >= 7),
 ranked as (
-  select *, row_number() over (partition by digest order by doc_id, line) as place,
-         first_value(doc_id) over (partition by digest order by doc_id, line) as kept_doc_id,
-         first_value(line) over (partition by digest order by doc_id, line) as kept_line
+  select *, row_number() over (partition by digest order by doc_id, unit) as place,
+         first_value(doc_id) over (partition by digest order by doc_id, unit) as kept_doc_id,
+         first_value(unit) over (partition by digest order by doc_id, unit) as kept_unit
   from hashed)
-select doc_id, line, start::bigint as start, "end"::bigint as "end", words, digest, kept_doc_id, kept_line
+select doc_id, unit, start::bigint as start, "end"::bigint as "end", words, digest, kept_doc_id, kept_unit
 from ranked where place > 1
 """
 

@@ -11,7 +11,7 @@ from kiln.llm.common import table
 from kiln.llm.decontaminate import find_leaks
 from kiln.llm.extract import extract_text
 from kiln.llm.language import fit_text_model, identify
-from kiln.llm.lines import repeated_lines
+from kiln.llm.lines import repeated_units
 from kiln.llm.mixing import mix_sources, word_count
 from kiln.llm.near_dups import near_duplicate_components
 from kiln.llm.packing import pack_documents
@@ -52,7 +52,7 @@ def page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_lines(table(spark, sf_dir, "documents"))
+    return repeated_units(table(spark, sf_dir, "documents"))
 
 
 def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
 import corpus_pipeline
+import duckdb
 from helpers import awkward_documents
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from kiln.llm.oracles import ORACLES
 
 SF = "/root/testdata/sf0.001"
 
@@ -12,6 +14,20 @@ def test_every_operator_is_registered():
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
 
 
+def test_queries_match_duckdb(spark):
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    for name, sql in ORACLES.items():
+        df = queries()[name](spark, SF)
+        cur = con.execute(sql)
+        names = [d[0] for d in cur.description]
+        assert sorted(names) == sorted(df.columns)
+        plain = lambda v: round(v, 6) if isinstance(v, float) else v
+        got = sorted((tuple(plain(v) for v in r) for r in df.select(*names).collect()), key=str)
+        assert got == sorted((tuple(plain(v) for v in r) for r in cur.fetchall()), key=str), name
+
+
 def test_pipeline_against_its_parts(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = corpus_pipeline.run(spark, SF)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from kiln.llm import decontaminate as leaks
 from kiln.llm import extract, packing, simhash, url_rules
 from kiln.llm.language import documents_in_known_languages, fit_text_model, identify
-from kiln.llm.lines import repeated_lines, without_repeats
+from kiln.llm.lines import repeated_units, without_repeats
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,11 +35,13 @@ def test_language_uses_declaration_and_host_where_the_text_is_short(spark):
     rows = [(i, prose(i, 60), "en", "news.example.uk") for i in range(40)]
     rows += [(100 + i, " ".join(w[::-1] + "ß" for w in prose(i, 60).split()), "de", "zeitung.example.de") for i in range(40)]
     rows += [(200, "ok", "de", "zeitung.example.de"), (201, "ok.", "en", "news.example.uk"),
-             (202, "слова на другом языке " * 20, "en", "news.example.uk"), (203, None, "en", "x"), (204, "", None, None)]
+             (202, "слова на другом языке " * 20, "en", "news.example.uk"), (203, None, "en", "x"), (204, "", None, None),
+             (205, "theof 4572244787104698 andin +1 (252) 555-8630 72.224.129.199 isfor", "en", "news.example.uk")]
     df = frame(spark, rows, "doc_id long, text string, lang string, host string")
-    model = fit_text_model(df, F.col("text"), F.col("lang"))
+    model = fit_text_model(df.filter("doc_id < 200"), F.col("text"), F.col("lang"))
     got = {r.doc_id: r for r in identify(df, F.col("text"), F.col("lang"), F.col("host"), model).collect()}
     assert got[201].detected == "en" and got[202].detected == "und" and not got[202].accepted
+    assert got[205].accepted and got[205].detected == "en"  # numbers and codes are no evidence
     assert not got[203].accepted and not got[204].accepted
     assert all(got[i].accepted and got[i].detected == "en" for i in range(40))
     assert all(got[100 + i].detected == "de" for i in range(40))
@@ -58,28 +60,47 @@ def test_language_awkward_rows(spark):
 
 # --- lines ------------------------------------------------------------------
 
-def test_repeated_lines_against_brute_force(spark):
+def test_repeated_units_against_brute_force(spark):
     r = random.Random(5)
-    pool = [prose(i, 8 + i % 5).replace("\n", " ") for i in range(30)]
-    docs = [(i, "\n".join(r.choice(pool) if r.random() < 0.4 else prose(1000 + 40 * i + k, r.randrange(1, 12))
-                          .replace("\n", " ") for k in range(r.randrange(0, 9)))) for i in range(80)]
+    pool = [prose(i, 7 + i % 5).replace("\n", " ").rstrip(".") for i in range(30)]
+
+    def text(i):
+        out = ""
+        for k in range(r.randrange(0, 12)):
+            own = prose(1000 + 40 * i + k, r.randrange(1, 12)).replace("\n", " ")
+            out += (r.choice(pool) if r.random() < 0.4 else own) + r.choice([".\n", ". ", "!  ", "\n\n", " and "])
+        return out
+
+    docs = [(i, text(i)) for i in range(80)]
     df = frame(spark, docs, "doc_id long, text string").repartition(3)
-    first, want = {}, set()
+    first, want = {}, {}
     for d, t in docs:
-        for k, line in enumerate(t.split("\n")):
-            words = line.lower().split()
-            if len(words) >= 8:
-                at = first.setdefault(" ".join(words), (d, k))
-                if at != (d, k):
-                    want.add((d, k, *at))
-    got = repeated_lines(df).collect()
-    assert {(x.doc_id, x.line, x.kept_doc_id, x.kept_line) for x in got} == want and len(got) == len(want) > 20
+        at = 0
+        for line in t.split("\n"):
+            for unit in re.split(r"(?<=[.!?])(?=[ \t])", line):  # blanks lead the unit here
+                a, b = at + len(unit) - len(unit.lstrip(" \t")), at + len(unit)
+                at = b
+                words = unit.lower().split()
+                if len(words) >= 7 and first.setdefault(" ".join(words), (d, a)) != (d, a):
+                    want[d, a] = (first[" ".join(words)][0], t[a:b].rstrip(" \t"))
+            at += 1
+    got = repeated_units(df).collect()
     texts = dict(docs)
-    assert all(texts[x.doc_id][x.start:x.end] == texts[x.doc_id].split("\n")[x.line] for x in got)
+    assert {(x.doc_id, x.start): (x.kept_doc_id, texts[x.doc_id][x.start:x.end].rstrip(" \t")) for x in got} == want
+    assert len(got) == len(want) > 20
     for x in without_repeats(df).collect():
-        gone = {k for d, k, _, _ in want if d == x.doc_id}
-        assert x.text == "\n".join(l for k, l in enumerate(texts[x.doc_id].split("\n")) if k not in gone)
-        assert {s.line for s in x.removed} == gone
+        left, old = "", texts[x.doc_id]
+        for a, b in zip([0] + [s.end for s in x.removed], [s.start for s in x.removed] + [len(old)]):
+            left += old[a:b]
+        assert x.text == left and {(x.doc_id, s.start) for s in x.removed} == {k for k in want if k[0] == x.doc_id}
+
+
+def test_passage_inside_a_line_is_found(spark):
+    passage = " ".join(prose(70 + i, 9).replace("\n", " ").replace(".", "") + "." for i in range(6))
+    rows = [(i, f"own{i} words before {passage} and own words{i} after") for i in range(3)]
+    got = repeated_units(frame(spark, rows, "doc_id long, text string")).collect()
+    # the first sentence is glued to what stands before
+    assert sorted((x.doc_id, x.kept_doc_id) for x in got) == [(1, 0)] * 5 + [(2, 0)] * 5
 
 
 def test_lines_awkward_rows(spark):
@@ -89,7 +110,7 @@ def test_lines_awkward_rows(spark):
     assert out.columns == [c for c in df.columns if c != "removed"] + ["removed"] and len(rows) == df.count()
     assert [x.removed for x in rows if x.doc_id == 1] == [[]]
     assert all(len(x.removed) > 5 for x in rows if x.doc_id == 2)  # both copies, the repeated row too
-    assert repeated_lines(empty_like(df)).count() == 0 and without_repeats(empty_like(df)).count() == 0
+    assert repeated_units(empty_like(df)).count() == 0 and without_repeats(empty_like(df)).count() == 0
 
 
 # --- decontamination --------------------------------------------------------
@@ -272,7 +293,7 @@ def test_best_region_against_all_stretches(scores):
 # --- SimHash ----------------------------------------------------------------
 
 def plain_fingerprint(text):
-    from kiln.llm.near_dups import _STEP, _mix, _WORD_HASHES
+    from kiln.llm.near_dups import _STEP, _mix, word_hashes
     words = (text or "").encode().translate(simhash._LOWER).split()
     counts = defaultdict(int)
     width = min(3, len(words))
@@ -280,7 +301,7 @@ def plain_fingerprint(text):
         h = np.uint64(width)
         for w in words[i:i + width]:
             with np.errstate(over="ignore"):
-                h = h * _STEP + np.uint64(_WORD_HASHES[w])
+                h = h * _STEP + word_hashes([w])[0]
         with np.errstate(over="ignore"):
             counts[int(_mix(np.array([h]))[0])] += 1
     votes = [0] * 64
