@@ -69,8 +69,8 @@ def _is_notice(name: str, attrs: str) -> bool:
 
 
 def tokens_of(page: str) -> Iterator[tuple[str, str, int, bool]]:
-    """``(kind, value, block, marked)``: kind is ``tag`` or the scoring class of a text (``out`` for what
-    is never content), block counts the block-level borders passed, marked tells if it lies in a marked article."""
+    """``(kind, value, block, marked)``: kind is ``tag`` or the scoring class of a text (``out tag`` and
+    ``out`` for what is never content), block counts the block-level borders passed, marked tells if it lies in a marked article."""
     stack: list[tuple[str, bool, bool]] = []  # name, never content, marked
     block = 0
     for found in _TOKEN.finditer(page):
@@ -83,7 +83,7 @@ def tokens_of(page: str) -> Iterator[tuple[str, str, int, bool]]:
                 stack) and stack[-1][2]
         elif name:
             name = name.lower()
-            inside = bool(stack) and stack[-1][2]
+            out, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
             if name in BLOCKS:
                 block += 1
             if found["close"]:
@@ -97,10 +97,10 @@ def tokens_of(page: str) -> Iterator[tuple[str, str, int, bool]]:
                         break
                     if stack[k][0] in BLOCKS:
                         break
-                own = bool(stack) and stack[-1][1]
-                inside = bool(stack) and stack[-1][2]
-                stack.append((name, own or _is_notice(name, found["attrs"]), inside or name in MARKS))
-            yield "tag", name, block, inside and name not in MARKS
+                out, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                out = out or _is_notice(name, found["attrs"])
+                stack.append((name, out, inside or name in MARKS))
+            yield "out tag" if out else "tag", name, block, inside and name not in MARKS
 
 
 def _features(page: str) -> Iterator[tuple[str, bool, int]]:
@@ -108,7 +108,7 @@ def _features(page: str) -> Iterator[tuple[str, bool, int]]:
     for kind, value, _, marked in tokens_of(page):
         if kind == "tag":
             yield f"tag {value if value in BLOCKS or value in EMPTY or value in NEVER else 'other'}", marked, 1
-        elif kind != "out":
+        elif kind not in ("out", "out tag"):
             n = len(value.split())
             if n:
                 yield f"word {kind}", marked, n
@@ -152,11 +152,12 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 
 def main_text(page: str | None, weights: dict[str, float]) -> str:
-    tokens = [t for t in tokens_of(page or "") if t[0] == "tag" or t[1].strip()]
+    tags = ("tag", "out tag")
+    tokens = [t for t in tokens_of(page or "") if t[0] in tags or t[1].strip()]
     scores = []
     for kind, value, _, _ in tokens:
-        if kind == "tag":
-            scores.append(weights.get(f"tag {value}", weights.get("tag other", -0.05)))
+        if kind in tags:  # what is taken out of the region is no border of it
+            scores.append(-0.05 if kind == "out tag" else weights.get(f"tag {value}", weights.get("tag other", -0.05)))
         else:
             scores.append(0.0 if kind == "out" else weights.get(f"word {kind}", 1.0) * len(value.split()))
     start, end = best_region(scores)
@@ -164,11 +165,11 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     first, last, seen, blocks = start, end, -1, {}
     for token in tokens_of(page or ""):
         kind, value, block, _ = token
-        if kind == "tag" or value.strip():
+        if kind in tags or value.strip():
             seen += 1
         if seen >= last:
             break
-        if kind not in ("tag", "out") and first <= seen:
+        if kind not in (*tags, "out") and first <= seen:
             blocks.setdefault(block, []).append(entities.unescape(value))
         elif kind == "tag" and value == "br" and first <= seen:
             blocks.setdefault(block, []).append(" ")
