@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,6 +37,15 @@ def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def process_wide(name: str, make: Callable):
+    """One object per Python worker process, kept from task to task (the functions themselves come
+    anew with every task)."""
+    kept = vars(sys).setdefault("_kiln_process_wide", {})
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def hash32(*cols: Column | str) -> Column:
     """The first 32 bits of an MD5 over the values, as a long from 0 to 2**32 - 1."""
     parts = [F.coalesce(F.col(c).cast("string") if isinstance(c, str) else c.cast("string"), F.lit("\x00"))

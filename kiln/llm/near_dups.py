@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import small_side, stored
+from kiln.llm.common import process_wide, small_side, stored
 from kiln.llm.components import components
 
 WORDS = 5
@@ -48,7 +48,7 @@ MARGIN = 3.5
 #: buckets of the value-count sketch (a fixed size: one byte each is broadcast)
 SKETCH_BITS = 17
 #: members of a list block that are compared at once
-BLOCK = 256
+BLOCK = 512
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -65,7 +65,9 @@ class _WordHashes(dict):
         return h
 
 
-_WORD_HASHES = _WordHashes()
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    known = process_wide("word hashes", _WordHashes)
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -83,7 +85,7 @@ def shingle_set(text: bytes | None, words: int = WORDS) -> np.ndarray:
     found = (text or b"").translate(_LOWER).split()
     if not found:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_WORD_HASHES.__getitem__, found), np.uint64, len(found))
+    h = word_hashes(found)
     width = min(words, len(h))
     last = len(h) - width + 1
     s = np.full(last, width, np.uint64)
@@ -232,30 +234,59 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(confirm, "a long, b long")
 
 
-def _block_links(rows: list, threshold: int, percent: int) -> list[tuple[int, int]]:
-    """Links that join different components among the members of one block pair.
+def _low_bytes(classes: DataFrame) -> DataFrame:
+    """``(node, n_shingles, low)``: the low byte of each signature value.  Equal values have equal bytes,
+    so counting equal bytes never misses a collision."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = [np.frombuffer(s, "<u4").astype(np.uint8).tobytes() for s in batch.column("signature").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n_shingles"), pa.array(low, pa.binary())],
+                                             names=["node", "n_shingles", "low"])
+
+    return classes.mapInArrow(cut, "node long, n_shingles long, low binary")
+
+
+def _hits(group: dict, threshold: int, percent: int) -> list[tuple[int, np.ndarray]]:
+    """``(i, js)``: for the asking members of a block the members of other components that collide often enough.
+
+    A pair meets in many lists.  It is looked at only in the first of its
+    common lists, long lists first (``keys`` has every member's lists in that
+    order), so a group of near copies is settled in one or two of them.
+    """
+    low = np.array([np.frombuffer(x, np.uint8) for x in group["low"]])
+    sizes, labels = np.array(group["n_shingles"]), np.array(group["label"])
+    width = max(map(len, group["keys"]))
+    keys = np.array([k + [-1] * (width - len(k)) for k in group["keys"]], np.int64)
+    here, out = np.array(group["key"]), []
+    asks = np.array(group["asks"])
+    for i in np.flatnonzero(asks):
+        same = labels != labels[i]
+        same &= np.minimum(sizes, sizes[i]) * 100 >= np.maximum(sizes, sizes[i]) * percent
+        same[:i] &= ~asks[:i]  # two asking members meet once
+        js = np.flatnonzero(same)
+        js = js[(low[js] == low[i]).sum(axis=1) >= threshold]
+        if len(js):
+            common = np.isin(keys[js], keys[i]) & (keys[js] >= 0)
+            first = np.take_along_axis(keys[js], common.argmax(axis=1)[:, None], 1)[:, 0]
+            js = js[first == here[i]]
+        if len(js):
+            out.append((int(i), js))
+    return out
 
-    Members are ``(node, label, signature, text)``.  Collisions are counted for
-    all pairs at once; pairs at the threshold are confirmed on full sets by
-    one product of document-by-shingle tables.
+
+def _block_links(group: dict, threshold: int, percent: int) -> list[tuple[int, int]]:
+    """Links that join different components among the members of one block.
+
+    The candidates are confirmed on full sets, all at once by products of
+    document-by-shingle tables over bounded slices of the shingles.
     """
-    nodes = np.array([r[0] for r in rows])
-    label = {r[1]: i for i, r in enumerate(rows)}
-    root = list(range(len(rows)))
-    labels = np.array([label[r[1]] for r in rows])
-    signatures = np.array([np.frombuffer(r[2], "<u4") for r in rows])
-    asked = np.flatnonzero([r[4] for r in rows])  # outside the list's largest component
-    hits = []
-    for i in asked:
-        same = (signatures == signatures[i]).sum(axis=1) >= threshold
-        same &= labels != labels[i]
-        hits += [(i, j) for j in np.flatnonzero(same)]
-    if not hits:
+    hits = _hits(group, threshold, percent)
+    used = sorted({i for i, _ in hits} | {int(j) for _, js in hits for j in js})
+    if not used:
         return []
-    used = sorted({i for pair in hits for i in pair})
     place = {i: k for k, i in enumerate(used)}
-    sets = [shingle_set(rows[i][3]) for i in used]
-    sizes = np.array([len(s) for s in sets])
+    sets = [shingle_set(group["text"][i]) for i in used]
+    sizes = np.array([len(x) for x in sets])
     every, which = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), sizes)
     shared = np.flatnonzero(np.bincount(which, minlength=len(every)) > 1)
@@ -264,56 +295,68 @@ def _block_links(rows: list, threshold: int, percent: int) -> list[tuple[int, in
     inside = column[which] >= 0
     owner, which = owner[inside], column[which[inside]]
     common = np.zeros((len(sets), len(sets)), np.float64)
-    for start in range(0, len(shared), 4096):  # a bounded slice of the shingles at a time
+    for start in range(0, len(shared), 4096):
         part = (which >= start) & (which < start + 4096)
         table = np.zeros((len(sets), min(4096, len(shared) - start)), np.float32)
         table[owner[part], which[part] - start] = 1
         common += table @ table.T
 
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
 
     out = []
-    for i, j in hits:
-        a, b = find(labels[i]), find(labels[j])
-        p, q = place[i], place[j]
-        if a != b and _linked(int(common[p, q]), int(sizes[p]), int(sizes[q]), percent):
-            root[max(a, b)] = min(a, b)
-            out.append((int(nodes[i]), int(nodes[j])))
+    for i, js in hits:
+        for j in js.tolist():
+            a, b = find(group["label"][i]), find(group["label"][j])
+            p, q = place[i], place[j]
+            if a != b and _linked(int(common[p, q]), int(sizes[p]), int(sizes[q]), percent):
+                root[max(a, b)] = min(a, b)
+                out.append((group["node"][i], group["node"][j]))
     return out
 
 
+_SEAT = ("pair", "key", "node", "label", "asks", "n_shingles", "low", "keys")
+
+
 def _links_in_lists(members: DataFrame, classes: DataFrame, docs: DataFrame,
                     threshold: int, percent: int) -> DataFrame:
     """Links between different components that meet in one list.
 
-    ``members(key, node, label)``.  A list is cut by set size (a class spans one
-    similarity step, so linked sets lie in the same or the next class) and by
-    a hash into blocks of about ``BLOCK`` members.  Only members outside the
-    list's largest component need asking: their blocks meet all blocks of a
-    near size, a block pair is one group.
+    ``members(key, node, label)``.  A list of up to ``BLOCK`` members is one
+    block.  A longer one is cut by set size (a class spans one similarity step,
+    so linked sets lie in the same or the next class) and by a hash into
+    parts; only members outside the list's largest component need asking, and
+    their parts meet all parts of a near size.  First only signature bytes are
+    brought together; texts follow for the members that collide.
     """
-    sized = classes.select("node", F.floor(F.log("n_shingles") / math.log(100 / percent)).alias("step"))
     labels = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    lists = labels.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("largest"),
+    lists = labels.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.sum("n").alias("n"),
                                       F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").drop("kinds")
-    members = stored(members.join(lists, "key").join(sized, "node")
-                     .select("key", "node", "label", "step", (F.col("label") != F.col("largest")).alias("asks")),
-                     "open-lists")
-    counts = (members.groupBy("key", "step", "asks").agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int")).drop("n"))
-    placed = members.join(counts, ["key", "step", "asks"]).withColumn(
+    low = _low_bytes(classes)
+    opened = stored(members.join(lists, "key").select(
+        "key", "node", "label", "n", (F.col("label") != F.col("largest")).alias("asks")), "open-lists")
+    # a node is in as many lists as its prefix is long at most
+    nodes = opened.groupBy("node").agg(F.transform(F.sort_array(F.collect_list(
+        F.struct((-F.col("n")).alias("n"), "key"))), lambda x: x["key"]).alias("keys"))
+    nodes = stored(nodes.join(low, "node").withColumn(
+        "step", F.floor(F.log("n_shingles") / math.log(100 / percent))), "open-nodes")
+
+    short = opened.filter(F.col("n") <= BLOCK).select(F.xxhash64("key").alias("pair"), "key", "node", "label", "asks")
+    long = opened.filter(F.col("n") > BLOCK).join(nodes.select("node", "step"), "node")
+    counts = (long.groupBy("key", "step", "asks").agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("parts", F.ceil(2 * F.col("n") / BLOCK).cast("int")).drop("n"))
+    placed = long.join(counts, ["key", "step", "asks"]).withColumn(
         "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    # block pairs: an asking block with every block of the same or a neighbouring step
-    block = counts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    ask = block.filter("asks").select("key", F.col("step").alias("a_step"), F.col("part").alias("a_part"))
-    other = block.select("key", F.col("step").alias("b_step"), F.col("asks").alias("b_asks"),
-                         F.col("part").alias("b_part"))
+    part = counts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    ask = part.filter("asks").select("key", F.col("step").alias("a_step"), F.col("part").alias("a_part"))
+    other = part.select("key", F.col("step").alias("b_step"), F.col("asks").alias("b_asks"),
+                        F.col("part").alias("b_part"))
     near = ask.join(other, "key").filter(F.abs(F.col("a_step") - F.col("b_step")) <= 1)
-    # two asking blocks meet once
+    # two asking parts meet once
     near = near.filter("not b_asks or a_step < b_step or (a_step = b_step and a_part <= b_part)")
     near = near.withColumn("pair", F.xxhash64("key", "a_step", "a_part", "b_step", "b_asks", "b_part"))
     seats = near.select(
@@ -322,18 +365,24 @@ def _links_in_lists(members: DataFrame, classes: DataFrame, docs: DataFrame,
             F.struct(F.col("a_step").alias("step"), F.lit(True).alias("asks"), F.col("a_part").alias("part")),
             F.struct(F.col("b_step").alias("step"), F.col("b_asks").alias("asks"), F.col("b_part").alias("part"))
         ))).alias("s")).select("key", "pair", "s.step", "s.asks", "s.part")
-    nodes = stored(members.select("node").distinct(), "open-nodes")
-    texts = _texts_of(docs, nodes).join(classes.select("node", "signature"), "node")
-    seated = (placed.join(seats, ["key", "step", "asks", "part"])
-              .select("pair", "node", "label", "asks").join(texts, "node"))
+    seated = placed.join(seats, ["key", "step", "asks", "part"]).select("pair", "key", "node", "label", "asks")
+    seated = seated.unionByName(short).join(nodes.drop("step"), "node").select(*_SEAT)
+
+    def colliding(key: tuple, group: pa.Table) -> pa.Table:
+        hits = _hits(group.to_pydict(), threshold, percent)
+        return group.take(pa.array(sorted({i for i, _ in hits} | {int(j) for _, js in hits for j in js}), pa.int64()))
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in seated.schema.fields)
+    rest = stored(seated.groupBy("pair").applyInArrow(colliding, schema), "colliding")
+    wanted = stored(rest.select("node").distinct(), "colliding-nodes")
 
     def links(key: tuple, group: pa.Table) -> pa.Table:
-        rows = list(zip(*[group.column(c).to_pylist() for c in ("node", "label", "signature", "text", "asks")]))
-        found = _block_links(rows, threshold, percent)
+        found = _block_links(group.to_pydict(), threshold, percent)
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
                          "b": pa.array([b for _, b in found], pa.int64())})
 
-    return seated.groupBy("pair").applyInArrow(links, "a long, b long")
+    return (rest.join(stored(_texts_of(docs, wanted), "colliding-texts"), "node")
+            .groupBy("pair").applyInArrow(links, "a long, b long"))
 
 
 def _same_id(known: DataFrame, owners: DataFrame) -> DataFrame:

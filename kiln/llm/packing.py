@@ -20,6 +20,7 @@ no rows; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kiln.llm.common import process_wide
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: the pre-tokenizer pattern that belongs to the byte-level BPE vocabularies (a fixed value)
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -154,10 +157,12 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``doc_rows[i]`` of the partition) from its token ``chunk_starts[i]`` on.
     """
     with open(vocabulary, "rb") as f:  # under a megabyte; executors get its bytes
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+        content = f.read()
+    shared, name = docs.sparkSession.sparkContext.broadcast(content), hashlib.md5(content).hexdigest()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(shared.value), TaskContext.get().partitionId()
+        encoder = process_wide(f"encoder {name}", lambda: Encoder(shared.value))
+        part = TaskContext.get().partitionId()
         chunks, tokens, block, row = [], 0, 0, 0
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.llm.common import stored
-from kiln.llm.near_dups import _LOWER, _STEP, _WORD_HASHES, _mix
+from kiln.llm.near_dups import _LOWER, _STEP, _mix, word_hashes
 
 BITS, BLOCKS, RADIUS, TERM_WORDS = 64, 5, 3, 3
 #: ranges of ids per shuffle partition
@@ -41,7 +41,7 @@ def fingerprint(text: str | None) -> int:
     words = (text or "").encode("utf-8", "replace").translate(_LOWER).split()
     if not words:
         return 0
-    h = np.fromiter(map(_WORD_HASHES.__getitem__, words), np.uint64, len(words))
+    h = word_hashes(words)
     width = min(TERM_WORDS, len(h))
     last = len(h) - width + 1
     s = np.full(last, width, np.uint64)
