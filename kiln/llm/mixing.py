@@ -42,7 +42,7 @@ MAX_BLOCK = 2048
 #: a source is cut into this many blocks at least (or one per word)
 MIN_BLOCKS = 256
 #: rows of a source that one task sorts
-ROWS_PER_PART = 20_000
+ROWS_PER_PART = 2_000
 
 
 @dataclass
