@@ -1,9 +1,10 @@
 import corpus_pipeline
 import duckdb
-from helpers import awkward_documents
+from helpers import awkward_documents, frame, prose
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from kiln.llm.near_dups import one_per_group
 from kiln.llm.oracles import ORACLES
 
 SF = "/root/testdata/sf0.001"
@@ -43,6 +44,35 @@ def test_pipeline_against_its_parts(spark):
     assert all(texts[r.doc_id] == r.text for r in rows)
 
 
+def shingles(text):
+    w = text.lower().split()
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+
+def test_near_duplicate_stage_links_from_four_fifths_on(spark):
+    docs, i = {}, 0
+    for group in range(12):  # copies of which many lie between 0.80 and 0.85
+        base = prose(500 + group, 150 + 40 * group).split(" ")
+        for copy in range(8):
+            words = list(base)
+            for k in range(copy):
+                words[(k + 1) * len(words) // 9] = f"edit{i}x{k}"
+            docs[i] = " ".join(words)
+            i += 1
+    sets, label, between = {d: shingles(t) for d, t in docs.items()}, {d: d for d in docs}, 0
+    for a in docs:
+        for b in range(a + 1, i):
+            x, both = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+            between += 80 * both <= 100 * x < 85 * both
+            if 100 * x >= 80 * both:
+                lo, hi = sorted((label[a], label[b]))
+                label = {d: lo if at == hi else at for d, at in label.items()}
+    df = frame(spark, list(docs.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()}
+    assert between > 20 and got == {d for d in docs if label[d] == d}
+    assert got < {r.doc_id for r in one_per_group(df).collect()}
+
+
 def test_stages_take_awkward_documents(spark):
     docs = awkward_documents(spark)
     for name, stage in corpus_pipeline.STAGES:
