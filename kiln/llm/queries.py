@@ -16,7 +16,7 @@ from kiln.llm.mixing import mix_sources, word_count
 from kiln.llm.near_dups import near_duplicate_components
 from kiln.llm.packing import pack_documents
 from kiln.llm.ring import assign_shards
-from kiln.llm.simhash import document_fingerprints
+from kiln.llm.simhash import COPY_RADIUS, document_fingerprints
 from kiln.llm.url_rules import host_of, judge_urls
 
 
@@ -81,7 +81,7 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_fingerprints(table(spark, sf_dir, "documents"))
+    return document_fingerprints(table(spark, sf_dir, "documents"), radius=COPY_RADIUS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -6,11 +6,14 @@ fewer).  Each term votes with the 64 signed bits of its hash, with weight
 are whole numbers, so equal texts have equal fingerprints on any machine.
 
 Search: the 64 bits are cut into ``BLOCKS`` blocks.  Two fingerprints within
-Hamming distance r differ in at most r blocks, so they agree on some ``BLOCKS - r``
-of them.  There is one table for every choice of those blocks, keyed by the
-chosen bits (the fingerprint permuted so that they lead); equal keys are
-candidates, and the full distance decides.  Classes of equal fingerprints
-are searched once.  More blocks make longer keys, for larger corpora.
+Hamming distance r differ in at most ``r // BLOCKS`` bits of some block.  There is
+one table for every block, keyed by its bits (the fingerprint permuted so that
+they lead); a query looks up all keys so near to its own, and the full distance
+decides.  Classes of equal fingerprints are searched once.  The queries are
+broadcast in blocks of bounded size; every task searches the tables of its own
+fingerprints and returns one sum per query, so no pair is shuffled and a large
+group of near copies is searched wherever its rows lie.  The work is queries times
+classes times the share of keys that are looked up (0.8 % at radius 11).
 
 Defined cases: a NULL text is empty; an empty text has fingerprint 0; rows
 without an id come last in descending order; equal rows follow each other;
@@ -26,13 +29,18 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.llm.common import stored
 from kiln.llm.near_dups import _LOWER, _STEP, _mix, word_hashes
 
-BITS, BLOCKS, RADIUS, TERM_WORDS = 64, 5, 3, 3
+BITS, BLOCKS, RADIUS, TERM_WORDS = 64, 4, 3, 3
+BLOCK_BITS = BITS // BLOCKS
+#: holds near copies from five-word similarity 0.8 on (see the README for the recall)
+COPY_RADIUS = 11
+#: queries that are broadcast at once, fingerprints of one set of tables, candidates compared at once
+QUERIES, TABLE_ROWS, CANDIDATES = 1 << 18, 1 << 18, 1 << 20
 #: ranges of ids per shuffle partition
 RANGES = 4
 
@@ -137,39 +145,100 @@ def fingerprints_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: s
     return _with_next(rows).mapInArrow(work, OUT)
 
 
-def _tables(fingerprints: DataFrame, blocks: int, radius: int) -> DataFrame:
-    """``fingerprints(bits)`` once per block table: ``(table, key, bits)``."""
-    edges = [BITS * k // blocks for k in range(blocks + 1)]
-    masks = []
-    for chosen in combinations(range(blocks), blocks - radius):
-        mask = sum(((1 << (edges[b + 1] - edges[b])) - 1) << edges[b] for b in chosen)
-        masks.append(mask - (1 << 64) if mask >> 63 else mask)
-    keys = F.array(*[F.col("bits").bitwiseAND(F.lit(m).cast("long")) for m in masks])
-    return fingerprints.select("bits", F.posexplode(keys).alias("table", "key"))
-
-
-def distance(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b))
-
-
-def within_radius(queries: DataFrame, fingerprints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """``(query, bits, distance)``: for the distinct ``queries(bits)`` all distinct ``fingerprints(bits)`` in the radius."""
-    left = _tables(queries, blocks, radius).withColumnRenamed("bits", "query")
-    near = (left.join(_tables(fingerprints, blocks, radius), ["table", "key"])
-            .withColumn("distance", distance(F.col("query"), F.col("bits"))).filter(F.col("distance") <= radius))
-    return near.select("query", "bits", "distance").distinct()
+def _near_masks(width: int, radius: int) -> np.ndarray:
+    """All ``width``-bit numbers with at most ``radius`` bits set."""
+    return np.array([sum(1 << bit for bit in bits) for k in range(radius + 1)
+                     for bits in combinations(range(width), k)], np.int64)
+
+
+def _block(values: np.ndarray, block: int) -> np.ndarray:
+    return ((values >> np.uint64(block * BLOCK_BITS)) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
+
+
+def near_sums(queries: np.ndarray, prints: np.ndarray, weights: np.ndarray, radius: int) -> np.ndarray:
+    """For every query the sum of the weights of the fingerprints within the radius."""
+    sums = np.zeros(len(queries), np.int64)
+    inner = radius // BLOCKS
+    masks = _near_masks(BLOCK_BITS, inner)
+    for block in range(BLOCKS):
+        keys = _block(prints, block)
+        order = np.argsort(keys, kind="stable")
+        table, heavy = prints[order], weights[order]
+        starts = np.concatenate(([0], np.cumsum(np.bincount(keys, minlength=1 << BLOCK_BITS))))
+        wanted = _block(queries, block)
+        for mask in masks:
+            first = starts[wanted ^ mask]
+            sizes = starts[(wanted ^ mask) + 1] - first
+            asked = np.flatnonzero(sizes)
+            ends = np.cumsum(sizes[asked])
+            at = 0
+            while at < len(asked):  # a bounded number of candidates at a time, one query at least
+                done = ends[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(ends, done + CANDIDATES, side="right")))
+                part = asked[at:to]
+                who = np.repeat(part, sizes[part])
+                where = np.arange(len(who)) + np.repeat(first[part] - (ends[at:to] - sizes[part] - done), sizes[part])
+                apart = queries[who] ^ table[where]
+                near = np.bitwise_count(apart) <= radius
+                who, where, apart = who[near], where[near], apart[near]
+                new = np.ones(len(who), bool)  # a pair counts in the first block that it meets in
+                for before in range(block):
+                    new &= np.bitwise_count(_block(apart, before)) > inner
+                np.add.at(sums, who[new], heavy[where[new]])
+                at = to
+    return sums
+
+
+def within_radius(classes: DataFrame, radius: int) -> DataFrame:
+    """``(bits, n_near)``: for the ``asked`` ones of the distinct ``classes(bits, n, asked)`` the sum of ``n``
+    over all classes within the radius.
+
+    The queries are read in blocks of about ``QUERIES``, each block one scan over the classes.
+    """
+    asked = classes.filter("asked").select("bits")
+    parts = max(1, -(-asked.count() // QUERIES))
+    out = None
+    for part in range(parts):
+        block = asked if parts == 1 else asked.filter(F.pmod(F.xxhash64("bits"), F.lit(parts)) == part)
+        queries = block.toPandas()["bits"].to_numpy(np.int64)
+        shared = classes.sparkSession.sparkContext.broadcast(queries)
+
+        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            own = shared.value.view(np.uint64)
+            sums = np.zeros(len(own), np.int64)
+            held, rows = [], 0
+
+            def searched() -> np.ndarray:
+                bits, n = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+                return near_sums(own, bits.view(np.uint64), n, radius)
+
+            for batch in batches:
+                held.append([batch.column(c).to_numpy().astype(np.int64) for c in ("bits", "n")])
+                rows += batch.num_rows
+                if rows >= TABLE_ROWS:
+                    sums += searched()
+                    held, rows = [], 0
+            if rows:
+                sums += searched()
+            hit = np.flatnonzero(sums)
+            for i in range(0, len(hit), 10_000):
+                some = hit[i:i + 10_000]
+                yield pa.RecordBatch.from_arrays([pa.array(shared.value[some]), pa.array(sums[some])],
+                                                 names=["bits", "n"])
+
+        found = classes.select("bits", "n").mapInArrow(search, "bits long, n long")
+        out = found if out is None else out.unionByName(found)
+    return out.groupBy("bits").agg(F.sum("n").alias("n_near"))
 
 
 def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", query_step: int = 20,
-                          radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+                          radius: int = RADIUS) -> DataFrame:
     """Fingerprints with edits, plus ``class_id`` (smallest id with the same fingerprint) and, for every
     ``query_step``-th id, ``n_near``: how many documents (itself included) lie within the radius."""
     prints = stored(fingerprints_with_edits(docs, id_col, text_col), "fingerprints")
     classes = stored(prints.groupBy("bits").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n"),
                                                 F.max(F.col("doc_id") % query_step == 0).alias("asked")), "classes")
-    near = within_radius(classes.filter("asked").select("bits"), classes.select("bits"), radius, blocks)
-    sums = (near.join(classes.select("bits", "n"), "bits").groupBy(F.col("query").alias("bits"))
-            .agg(F.sum("n").alias("n_near")))
+    sums = within_radius(classes, radius)
     found = stored(classes.select("bits", "class_id").join(sums, "bits", "left"), "class-search")
     hexed = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
     return prints.join(found, "bits").select(

@@ -362,3 +362,37 @@ def test_block_tables_share_a_key_within_the_radius(x, flips):
     edges = [64 * k // simhash.BLOCKS for k in range(simhash.BLOCKS + 1)]
     same = [b for b in range(simhash.BLOCKS) if (x ^ y) >> edges[b] & ((1 << (edges[b + 1] - edges[b])) - 1) == 0]
     assert len(same) >= simhash.BLOCKS - simhash.RADIUS
+
+
+@pytest.mark.parametrize("radius", [0, 3, 11, 14])
+def test_near_sums_against_brute_force(radius, monkeypatch):
+    r = np.random.default_rng(radius)
+    centres = r.integers(0, 2**64, 20, np.uint64)
+    prints = []
+    for _ in range(1500):
+        x = int(r.choice(centres)) if r.random() < 0.7 else int(r.integers(0, 2**64, dtype=np.uint64))
+        for bit in r.choice(64, r.integers(0, 18), replace=False):
+            x ^= 1 << int(bit)
+        prints.append(x)
+    prints = np.array(prints, np.uint64)
+    weights, queries = r.integers(1, 9, 1500), prints[:200]
+    want = [int(weights[np.bitwise_count(prints ^ q) <= radius].sum()) for q in queries]
+    assert simhash.near_sums(queries, prints, weights, radius).tolist() == want
+    monkeypatch.setattr(simhash, "CANDIDATES", 7)
+    assert simhash.near_sums(queries, prints, weights, radius).tolist() == want
+
+
+def test_near_copies_lie_in_the_radius_of_the_query(spark):
+    from __spark_entry__ import queries
+    from kiln.llm.near_dups import shingle_set
+
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    sets = {d: set(shingle_set(t.encode()).tolist()) for d, t in docs.items() if t}
+    got = {r.doc_id: r for r in queries()["op10_simhash"](spark, "/root/testdata/sf0.01").collect()}
+    prints = {d: int(r.fingerprint, 16) for d, r in got.items()}
+    pairs = [(a, b) for a in sets for b in sets if a < b and docs[a] != docs[b] and sets[a] & sets[b]
+             and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert len(pairs) >= 5 and all((prints[a] ^ prints[b]).bit_count() <= simhash.COPY_RADIUS for a, b in pairs)
+    for d, r in got.items():
+        want = sum((prints[d] ^ x).bit_count() <= simhash.COPY_RADIUS for x in prints.values())
+        assert r.n_near == (want if d % 20 == 0 else None)
