@@ -45,8 +45,8 @@ BUCKETS = 1 << 16
 TRAIN_ROWS = 2_000
 #: weight of one trigram
 TEMPER = 0.2
-#: a language needs this share of the labelled rows to be modelled
-MIN_SHARE = 0.001
+#: a language needs this many characters of distinct labelled texts to be modelled, however common others are
+MIN_CHARS = 1_000
 #: share of a language's probability that is spread evenly over all trigrams (names, codes, typing errors)
 EVEN = 0.05
 #: strength of the smoothing of host and suffix
@@ -83,11 +83,13 @@ def _score(logs: np.ndarray, text: str | None) -> list[float]:
 
 
 def fit_text_model(rows: DataFrame, text: Column, label: Column, train_rows: int = TRAIN_ROWS) -> TextModel:
-    """Fitted on about ``train_rows`` rows of each language with at least ``MIN_SHARE`` of the labels."""
+    """Fitted on about ``train_rows`` rows of each language with at least ``MIN_CHARS`` of labelled text."""
     rows = rows.select(text.cast("string").alias("text"), _declaration(label).alias("label")).filter(
         "label is not null and label <> ''")
-    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-             .withColumn("all", F.sum("n").over(_whole())).filter(F.col("n") >= MIN_SHARE * F.col("all")).collect()}
+    texts = rows.groupBy("label", F.md5("text").alias("digest")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.length("text")).alias("chars"))
+    sizes = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"))
+             .filter(F.col("chars") >= MIN_CHARS).collect()}
     languages = sorted(sizes)
     if not languages:
         return TextModel([], np.zeros((0, BUCKETS)))
@@ -115,11 +117,6 @@ def _declaration(label: Column) -> Column:
     return F.lower(F.substring_index(label.cast("string"), "-", 1))
 
 
-def _whole():
-    from pyspark.sql import Window
-    return Window.partitionBy()
-
-
 def _scorer(rows: DataFrame, model: TextModel):
     shared = rows.sparkSession.sparkContext.broadcast(model.logs)  # languages x BUCKETS floats
 

@@ -58,6 +58,17 @@ def test_language_awkward_rows(spark):
     assert documents_in_known_languages(unlabelled).count() == 0
 
 
+def test_rare_language_beside_a_common_one(spark):
+    rare = [(i, " ".join(w[::-1] + "ß" for w in prose(i, 40).split()), "xx", "b") for i in range(30)]
+    other = [(100, "слова на другом языке " * 20, "ru", "b")]  # 440 characters are too little evidence
+    few = frame(spark, rare + other, "doc_id long, text string, lang string, source string")
+    common = spark.range(1000, 36_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("the and of to in is that it was for on are with "), "id").alias("text"),
+        F.lit("en").alias("lang"), F.lit("a").alias("source"))
+    kept = {r.doc_id for r in documents_in_known_languages(few.unionByName(common)).filter("doc_id < 1000").collect()}
+    assert kept == {r.doc_id for r in documents_in_known_languages(few).collect()} == set(range(30))
+
+
 # --- lines ------------------------------------------------------------------
 
 def test_repeated_units_against_brute_force(spark):
