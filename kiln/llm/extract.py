@@ -6,7 +6,8 @@ on labelled pages (pages that mark their article with ``<article>`` or
 ``<main>``; a bounded sample drawn by hash).  One linear scan finds the contiguous
 stretch with the greatest sum, the content region.  Its text is returned
 without what never belongs to an article (menus, forms, notices, comments,
-scripts and so on, told by element name or by a word of class, id or role).
+scripts and so on, told by element name or by a word of class, id or role; a
+so named element that holds most of the article or page is a wrapper and stays).
 
 Blocks are joined by a line feed; white space inside a block is one blank;
 character references are decoded.
@@ -47,6 +48,10 @@ NOTICES = frozenset("ad ads advert adverts advertisement advertising banner brea
                     "consent cookie cookies disqus footer header menu modal nav navbar navigation newsletter notice "
                     "popup promo promoted related share sharing sidebar social sponsor sponsored subscribe toolbar "
                     "widget".split())
+#: words that leave a compound a notice (``comment-list``, ``footer-inner``); others do not (``has-sidebar``)
+NEUTRAL = frozenset("area bar block body bottom box button buttons container content form inner items left link links "
+                    "list main page posts primary right secondary section site slot top unit wrapper".split())
+DISCUSSION = frozenset("comment comments disqus".split())
 MARKS = frozenset(("article", "main"))
 CLOSED_BY = {"p": BLOCKS, "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")),
              "td": frozenset(("td", "th", "tr")), "th": frozenset(("td", "th", "tr")), "tr": frozenset(("tr",)),
@@ -59,35 +64,45 @@ _TOKEN = re.compile(
     |</?[a-zA-Z][^>]*(?:>|\Z)|(?P<text>[^<]+|<)""", re.S | re.I | re.X)
 _CLASS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[a-z0-9]+")
-
-
-def _is_notice(name: str, attrs: str) -> bool:
-    if name in NEVER:
-        return True
-    return bool(attrs) and name not in ("html", "body") and any(
-        part in NOTICES for found in _CLASS.findall(attrs) for part in _PART.findall("".join(found).lower()))
-
-
-def tokens_of(page: str) -> Iterator[tuple[str, str, int, bool]]:
-    """``(kind, value, block, marked)``: kind is ``tag`` or the scoring class of a text (``out tag`` and
-    ``out`` for what is never content), block counts the block-level borders passed, marked tells if it lies in a marked article."""
-    stack: list[tuple[str, bool, bool]] = []  # name, never content, marked
-    block = 0
+_MAY_BE = re.compile(r"(?:class|id|role)\s*=", re.I)
+
+
+def _notice(name: str, attrs: str) -> str:
+    """``notice`` or ``discussion`` by the words of class, id and role, or nothing."""
+    if not attrs or name in ("html", "body", "main"):
+        return ""
+    kind = ""
+    for found in _CLASS.findall(attrs):
+        for word in "".join(found).lower().split():
+            parts = set(_PART.findall(word))
+            if parts & NOTICES and parts <= NOTICES | NEUTRAL:
+                if parts & DISCUSSION:
+                    return "discussion"
+                kind = "notice"
+    return kind
+
+
+def _scan(page: str, wrappers: frozenset[int]) -> Iterator[tuple[str, str, int, bool, tuple[tuple[int, str], ...]]]:
+    """The tokens of ``tokens_of``, each with the ``(number, kind)`` of the notices it lies in; ``wrappers`` are
+    numbers of notices that are none."""
+    stack: list[tuple[str, bool, bool, tuple]] = []  # name, never content, marked, notices
+    block = number = 0
     for found in _TOKEN.finditer(page):
         name = found["name"]
         if found["text"] is not None:
-            around = next((n for n, _, _ in reversed(stack) if n in BLOCKS), "none")
-            out = bool(stack) and stack[-1][1]
-            link = any(n == "a" for n, _, _ in stack)
-            yield "out" if out else around + (" link" if link else ""), found["text"], block, bool(
-                stack) and stack[-1][2]
+            around = next((s[0] for s in reversed(stack) if s[0] in BLOCKS), "none")
+            _, never, inside, notices = stack[-1] if stack else ("", False, False, ())
+            out = never or any(n not in wrappers for n, _ in notices)
+            link = any(s[0] == "a" for s in stack)
+            yield ("never" if never else "out" if out else around + (" link" if link else ""), found["text"], block,
+                   inside, notices)
         elif name:
             name = name.lower()
-            out, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            _, never, inside, notices = stack[-1] if stack else ("", False, False, ())
             if name in BLOCKS:
                 block += 1
             if found["close"]:
-                if any(n == name for n, _, _ in stack):
+                if any(s[0] == name for s in stack):
                     while stack.pop()[0] != name:
                         pass
             elif name not in EMPTY and not found["attrs"].endswith("/"):
@@ -97,10 +112,42 @@ def tokens_of(page: str) -> Iterator[tuple[str, str, int, bool]]:
                         break
                     if stack[k][0] in BLOCKS:
                         break
-                out, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-                out = out or _is_notice(name, found["attrs"])
-                stack.append((name, out, inside or name in MARKS))
-            yield "out tag" if out else "tag", name, block, inside and name not in MARKS
+                _, never, inside, notices = stack[-1] if stack else ("", False, False, ())
+                never = never or name in NEVER
+                kind = _notice(name, found["attrs"])
+                if kind:
+                    notices = (*notices, (number, kind))
+                    number += 1
+                # a comment marked as an article marks no article of the page
+                marks = name in MARKS and kind != "discussion"
+                stack.append((name, never, inside or marks, notices))
+            out = never or any(n not in wrappers for n, _ in notices)
+            yield "out tag" if out else "tag", name, block, inside and name not in MARKS, notices
+
+
+def _wrappers(page: str) -> frozenset[int]:
+    """Notices around the page's text: those that hold most words of its marked articles or, if it marks
+    none, most of its words (a discussion may well be longer than the text)."""
+    held: dict[tuple[int, str], list[int]] = {}
+    words, marked_words = 0, 0
+    for kind, value, _, marked, notices in _scan(page, frozenset()):
+        if kind not in ("never", "tag", "out tag"):
+            n = len(value.split())
+            words += n
+            marked_words += n * marked
+            for notice in notices if n else ():
+                sums = held.setdefault(notice, [0, 0])
+                sums[0] += n
+                sums[1] += n * marked
+    return frozenset(number for (number, kind), (n, marked) in held.items() if (
+        2 * marked > marked_words if marked_words else 2 * n > words and kind != "discussion"))
+
+
+def tokens_of(page: str) -> Iterator[tuple[str, str, int, bool]]:
+    """``(kind, value, block, marked)``: kind is ``tag`` or the scoring class of a text (``out tag`` and
+    ``out`` for what is never content), block counts the block-level borders passed, marked tells if it lies in a marked article."""
+    for kind, value, block, marked, _ in _scan(page, _wrappers(page) if _MAY_BE.search(page) else frozenset()):
+        yield "out" if kind == "never" else kind, value, block, marked
 
 
 def _features(page: str) -> Iterator[tuple[str, bool, int]]:
@@ -153,7 +200,8 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 def main_text(page: str | None, weights: dict[str, float]) -> str:
     tags = ("tag", "out tag")
-    tokens = [t for t in tokens_of(page or "") if t[0] in tags or t[1].strip()]
+    all_tokens = list(tokens_of(page or ""))
+    tokens = [t for t in all_tokens if t[0] in tags or t[1].strip()]
     scores = []
     for kind, value, _, _ in tokens:
         if kind in tags:  # what is taken out of the region is no border of it
@@ -163,7 +211,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     start, end = best_region(scores)
     # blanks between inline elements matter, so the region is read again with them
     first, last, seen, blocks = start, end, -1, {}
-    for token in tokens_of(page or ""):
+    for token in all_tokens:
         kind, value, block, _ = token
         if kind in tags or value.strip():
             seen += 1

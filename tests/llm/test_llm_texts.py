@@ -281,6 +281,23 @@ def test_main_text_of_one_page(spark):
     assert extract.main_text(PAGE.replace("<article>", '<div class="post">').replace("</article>", "</div>"), weights) == want
 
 
+@pytest.mark.parametrize("start,end", [
+    ('<div class="content has-sidebar">', "</div>"), ('<main class="with-sidebar">', "</main>"),
+    ('<div class="elementor-widget">', "</div>"), ('<div class="widget">', "</div>"), ('<div id="sidebar menu">', "</div>")])
+def test_main_text_inside_a_wrapper(start, end):
+    parts = [prose(i, 60) for i in range(4)]
+    text = "".join(f"<p>{p}</p>" for p in parts)
+    notes = '<div class="cookie-notice">We use cookies</div><div class="comment-list"><p>nice post</p></div>'
+    want = "\n".join(" ".join(p.split()) for p in parts)
+    for inner in (text, f"<article>{text}</article>"):
+        for page in (f"<body>{start}{notes}{inner}{end}</body>", f"<body>{start}{inner}{end}{notes}</body>"):
+            assert extract.main_text(page, {}) == want
+    each = "".join(f'<div class="elementor-widget">{p}</div>' for p in parts)
+    assert extract.main_text(f"<article>{each}</article>", {}) == want
+    talk = "".join(f'<article class="comment-body"><p>{prose(50 + i, 90)}</p></article>' for i in range(9))
+    assert extract.main_text(f'<body>{text}<div id="comments">{talk}</div></body>', {}) == want
+
+
 def test_main_text_awkward_rows(spark):
     pages = ["", None, "plain words only", "<p>unclosed <b>bold", "<<>><p", "<p>a</p>" * 5000, "<nav>menu</nav>", PAGE, PAGE,
              '<div title="x>y">text</div>', "<article></article>", "<p class='a>open quote"]
