@@ -32,6 +32,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_stored(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``stored`` or an operator wrote below ``spark.checkpoint.dir``, once nothing reads it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast a *stored* table of few narrow columns if its counted rows stay below the bound."""
     return F.broadcast(df) if df.count() <= max_rows else df

@@ -1,7 +1,7 @@
 """DuckDB SQL for those training-data queries that SQL can express.
 
 op3 (fitted model), op5 (edit distance of any stretch), op6 (tokenizer), op7
-(CRC-32), op9 (HTML) and op10 (SimHash) have none; tests compare them with
+(CRC-32), op9 (HTML), op10 and op12 (SimHash) have none; tests compare them with
 brute force.
 """
 
@@ -145,9 +145,53 @@ select a.page_id, host, path, rule, coalesce(verdict, case
 from address a left join fit using (page_id)
 """
 
+
+def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Plain k-means in whole numbers: every part against every entry, round by round."""
+    steps = [f"""
+kept as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pieces as materialized (
+  select vec_id, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] as c
+  from kept, (select unnest(range({parts})) as p)),
+b0 as materialized (
+  select p, row_number() over (partition by p order by vec_id) - 1 as e, c from pieces
+  where vec_id in (select vec_id from kept order by vec_id limit {entries}))"""]
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} as materialized (
+  select vec_id, p, any_value(c) as c, min(struct_pack(d := d, e := e)) as best from (
+    select x.vec_id, x.p, x.c, b.e,
+           coalesce(list_sum(list_transform(list_zip(x.c, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 0) as d
+    from pieces x join b{k} b on b.p = x.p) group by vec_id, p)""")
+        if k < rounds:
+            steps.append(f"""
+b{k + 1} as materialized (
+  select b.p, b.e, coalesce(n.c, b.c) as c from b{k} b left join (
+    select p, e, list(m order by i) as c from (
+      select p, e, i, (s - ((s % n) + n) % n) // n as m from (
+        select p, best.e as e, i, sum(c[i])::hugeint as s, count(*) as n
+        from a{k}, unnest(range(1, len(c) + 1)) as t(i) group by all)) group by p, e) n on n.p = b.p and n.e = b.e)""")
+    return f"""with {",".join(steps)},
+coded as (
+  select vec_id, string_agg(printf('%02x', best.e), '' order by p) as code, sum(best.d)::bigint as error
+  from a{rounds} group by vec_id),
+joined as (select k.vec_id, k.label, code, error from kept k join coded using (vec_id)),
+books as (
+  select sha256(string_agg(x, ',' order by p, e, i)) as digest from (
+    select p, e, unnest(range(1, len(c) + 1)) as i, unnest(c)::varchar as x from b{rounds}))
+select vec_id, code, error, label, sum(error) over (partition by label)::bigint as label_error, digest as codebooks_sha256
+from joined, books"""
+
+
+OP13 = _vector_codes()
+
 ORACLES: dict[str, str] = {
     "op1_near_duplicates": OP1,
     "op2_mix_sources": OP2,
     "op4_repeated_lines": OP4,
     "op8_url_rules": OP8,
+    "op13_vector_codes": OP13,
 }

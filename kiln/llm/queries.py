@@ -17,7 +17,9 @@ from kiln.llm.near_dups import near_duplicate_components
 from kiln.llm.packing import pack_documents
 from kiln.llm.ring import assign_shards
 from kiln.llm.simhash import COPY_RADIUS, document_fingerprints
+from kiln.llm.simhash_dups import simhash_components
 from kiln.llm.url_rules import host_of, judge_urls
+from kiln.llm.vector_codes import vector_codes
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +86,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(table(spark, sf_dir, "documents"), radius=COPY_RADIUS)
 
 
+def op12_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents: fingerprint of the whole text and component of fingerprints within two bits."""
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings: eight-part codes of a ball k-means codebook, with exact integer errors."""
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_near_duplicates, op2_mix_sources, op3_language, op4_repeated_lines, op5_benchmark_leaks,
-        op6_packed_tokens, op7_ring_shards, op8_url_rules, op9_main_text, op10_simhash, page_language)}
+        op6_packed_tokens, op7_ring_shards, op8_url_rules, op9_main_text, op10_simhash,
+        op12_simhash_near_duplicates, op13_vector_codes, page_language)}
