@@ -1,10 +1,10 @@
-"""Broadcast only behind a checked size bound, without running a job.
+"""Broadcast only behind a checked size, without running a job.
 
 ``fits`` asks the planner for its size estimate of the relation.  For a stored
-table that is the size of its files, known exactly from the file listing;
-projections and filters can only make the data smaller; a join multiplies
-its inputs' sizes, so a derived relation that might be large never passes.
-``bounded_broadcast`` marks the relation for broadcast when the estimate is
+table that is the size of its files, known exactly from the file listing.  Files are compressed
+and a hashed relation is not, so the estimate is taken ``EXPANSION`` times.  Filters do not lower the estimate and a join
+multiplies its inputs', but an ``explode`` is not seen: store such a relation before asking.
+``bounded_broadcast`` marks the relation for broadcast when that is
 within the bound.  Otherwise it is returned untouched: the planner uses a
 shuffle join, and AQE still turns that into a broadcast join if the relation
 proves small at run time, or splits a skewed key if it does not.
@@ -15,17 +15,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: estimated bytes (compressed files); the hashed relation is a small multiple of them
-DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+#: bytes of the hashed relation
+DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
+#: bytes of a hashed row for a byte of a compressed file
+EXPANSION = 8
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's upper estimate of the relation's size; starts no job."""
+    """The optimizer's estimate of the relation's size; starts no job."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    return estimated_bytes(df) <= max_bytes
+    return EXPANSION * estimated_bytes(df) <= max_bytes
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:

@@ -221,19 +221,20 @@ def run_dimension(store: TableStore, name: str, bronze: DataFrame, silver_fn, go
                   parent_source_fn, parent: str, keys: Sequence[str],
                   set_cols: Mapping[str, Column | str] | None = None,
                   insert_cols: Mapping[str, Column | str] | None = None,
-                  keep_states: int = 3) -> DataFrame:
+                  gold_prefix: str = "sb_dim_") -> DataFrame:
     """bronze -> silver -> gold -> upsert into the parent table; returns the new parent.
 
-    Of every table the newest ``keep_states`` states stay on disk.
+    The child's gold table is ``<gold_prefix><name>``.
     """
+    store.finish("gold", parent)
     store.write(bronze, "bronze", name)
     store.write(silver_fn(store.read("bronze", name)), "silver", name)
-    store.write(gold_fn(store.read("silver", name)), "gold", f"sb_dim_{name}")
-    source = parent_source_fn(store.read("gold", f"sb_dim_{name}"))
+    store.write(gold_fn(store.read("silver", name)), "gold", f"{gold_prefix}{name}")
+    source = parent_source_fn(store.read("gold", f"{gold_prefix}{name}"))
     with scratch_scope(store.spark):
         if store.exists("gold", parent):
-            source = upsert(store.read("gold", parent), source, keys, set_cols, insert_cols)
-        store.write(source, "gold", parent)
-    for layer, table in (("bronze", name), ("silver", name), ("gold", f"sb_dim_{name}"), ("gold", parent)):
-        store.vacuum(layer, table, keep_states)
+            # the parent source is made with one row per key
+            store.replace(upsert(store.read("gold", parent), source, keys, set_cols, insert_cols, unique=True), "gold", parent)
+        else:
+            store.write(source, "gold", parent)
     return store.read("gold", parent)

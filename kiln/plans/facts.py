@@ -4,41 +4,48 @@ Daily order lines (order_id, order_placement_date, customer_id, product_id,
 order_qty as text) are cleaned, deduplicated on the line key *after* the
 ids are cleaned, resolved to a product_code, kept at daily grain per product
 id in the child's gold fact and rolled up to (month, product_code,
-customer_code) for the parent.  An incremental batch upserts into silver and
-gold, then recomputes only the months the batch touched and upserts those
-sums: a re-run replaces the same months with the same numbers, and the result
-does not depend on how the lines were split into batches.
-
-Lines that cannot be loaded (no quantity, no order id, a date in no known
-format, a product id without a product) are rejects with a reason.
+customer_code) for the parent.  An incremental batch merges into silver,
+then gold and the parent's sums are recomputed for the months the batch touched only: a re-run replaces the
+same months with the same numbers.
+
+Which value of a line stands is decided by its *sequence* (the load id, then a column of the batch such as the
+file name, if one is given), never by the order in which batches arrive: the highest sequence wins, and among lines of
+one sequence the largest quantity.  Load ids must therefore sort in the order in which the
+loads are valid.  Lines that occur once give the same result however they are split into batches.
+
+Lines that cannot be loaded (a broken row, no quantity, no order id, a date in no known
+format, a product id without a product) are rejects with a reason.  Rejects whose product arrives
+later are loaded by ``reload_rejects`` and leave the rejects.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions import clean as C
 from kiln.functions import constants as K
 from kiln.functions.clean import month_start
 from kiln.operators.dedupe import dedupe
-from kiln.operators.lookup import rejects, resolve_key
+from kiln.operators.diff import CHANGE_TYPE
+from kiln.operators.lookup import resolve_key
 from kiln.operators.materialize import materialize, scratch_scope
 from kiln.operators.rollup import affected_periods, monthly_rollup, recompute_periods
-from kiln.operators.upsert import upsert
+from kiln.operators.upsert import upsert, upsert_changes
 from kiln.plans.dims import product_keys
-from kiln.sources.tables import TableStore
+from kiln.sources.csv import CORRUPT
+from kiln.sources.tables import LOAD, TableStore, in_periods, new_load_id
 
 ORDER_COLS = ("order_id", "order_placement_date", "customer_id", "product_id", "order_qty")
 # several product ids can share a product_code, so the line keys carry the id
 SILVER_KEYS = ("order_id", "order_placement_date", "customer_id", "product_id")
 GOLD_KEYS = ("order_id", "date", "customer_code", "product_id")
 PARENT_KEYS = ("date", "product_code", "customer_code")
-REASON = "reject_reason"
+REASON, ACCEPTED = "reject_reason", ""
+MONTH, SEQ = "month", "load_seq"
 
 
 def _typed(bronze: DataFrame) -> DataFrame:
@@ -50,14 +57,15 @@ def _typed(bronze: DataFrame) -> DataFrame:
         "customer_id": C.sanitize_id("customer_id", K.BAD_CUSTOMER_ID),
         "product_id": F.trim(F.col("product_id").cast("string")),
     })
-    return typed.withColumn(REASON, F.when(F.col("order_qty").isNull(), "no_quantity")
+    reason = F.when(F.col(CORRUPT).isNotNull(), "broken_row") if CORRUPT in bronze.columns else F
+    return typed.withColumn(REASON, reason.when(F.col("order_qty").isNull(), "no_quantity")
                             .when(F.col("order_id").isNull(), "no_order_id")
                             .when(F.col("order_placement_date").isNull(), "bad_date"))
 
 
 def orders_clean(bronze: DataFrame) -> DataFrame:
     """Typed order lines that have an order id, a date and a quantity."""
-    return _typed(bronze).filter(F.col(REASON).isNull()).drop(REASON)
+    return _typed(bronze).filter(F.col(REASON).isNull()).drop(REASON, CORRUPT)
 
 
 def orders_silver(bronze: DataFrame, products: DataFrame,
@@ -73,14 +81,18 @@ def orders_silver(bronze: DataFrame, products: DataFrame,
     return resolve_key(df, product_keys(products), "product_id", ["product_code"])
 
 
+def judge_lines(bronze: DataFrame, products: DataFrame) -> DataFrame:
+    """Every line typed and resolved in one pass: ``product_code``, ``reject_reason`` (empty: accepted) and the
+    line as it came in ``__raw``."""
+    raw = bronze.withColumn("__raw", F.struct(*[F.col(f"`{c}`") for c in bronze.columns]))
+    judged = resolve_key(_typed(raw), product_keys(products), "product_id", ["product_code"], how="left")
+    unknown = F.when(F.col("product_code").isNull(), "unknown_product")
+    return judged.withColumn(REASON, F.coalesce(F.col(REASON), unknown, F.lit(ACCEPTED)))
+
+
 def order_rejects(bronze: DataFrame, products: DataFrame) -> DataFrame:
     """The landed lines that silver leaves out, as they came, with ``reject_reason``."""
-    judged = bronze.withColumn("__raw", F.struct(*[F.col(f"`{c}`") for c in bronze.columns]))
-    judged = _typed(judged)
-    unknown = rejects(judged.filter(F.col(REASON).isNull()), product_keys(products), "product_id")
-    both = judged.filter(F.col(REASON).isNotNull()).select("__raw", REASON).unionByName(
-        unknown.select("__raw", F.lit("unknown_product").alias(REASON)))
-    return both.select("__raw.*", REASON)
+    return judge_lines(bronze, products).filter(F.col(REASON) != ACCEPTED).select("__raw.*", REASON)
 
 
 def orders_gold(silver: DataFrame) -> DataFrame:
@@ -130,74 +142,184 @@ def incremental_load(batch: DataFrame, products: DataFrame, state: FactState) ->
 
 
 # --- runner with table writes -------------------------------------------------
-MONTH = "month"
+def _line_batch(judged: DataFrame) -> DataFrame:
+    """One row per line key of the accepted lines: the highest sequence, then the largest quantity."""
+    lines = judged.filter(F.col(REASON) == ACCEPTED).drop("__raw", REASON, CORRUPT)
+    latest = dedupe(lines, list(SILVER_KEYS), [F.col(SEQ).desc(), F.col("order_qty").desc()])
+    return latest.withColumn(MONTH, month_start("order_placement_date"))
+
+
+def _touched(judged: DataFrame) -> DataFrame:
+    """The months of the accepted lines, a few rows that never leave the executors."""
+    return (judged.filter(F.col(REASON) == ACCEPTED)
+            .select(month_start("order_placement_date").alias(MONTH)).distinct())
+
+
+def _both_columns(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``a`` with the columns that only ``b`` has as NULL."""
+    return a.withColumns({f.name: F.lit(None).cast(f.dataType) for f in b.schema.fields if f.name not in a.columns})
+
+
+@dataclass
+class _Names:
+    """The tables of one kind of line."""
+
+    name: str
+    parent: str
+
+    @property
+    def daily(self) -> str:
+        return f"fact_{self.name}_daily"
 
+    @property
+    def rejects(self) -> str:
+        return f"rejects_{self.name}"
 
-def _batch_months(df: DataFrame, date_col: str) -> list:
-    """Distinct months of a (materialised) batch: the static partition filter of the merges.
-    One entry per calendar month, whatever the number of lines."""
-    return [r[MONTH] for r in df.select(month_start(date_col).alias(MONTH)).distinct().collect()]
+    @property
+    def changes(self) -> str:
+        return f"changes_{self.name}"
 
 
-def _merge_partitions(store: TableStore, layer: str, name: str, batch: DataFrame,
-                      keys: Sequence[str], part_col: str, months: list,
-                      materialize: bool = False) -> None:
-    """Upsert ``batch`` into the month partitions it touches; other months are
-    neither read nor rewritten.  Exact because the month is a function of
-    the merge key (every key carries its date).  Columns that the batch adds
-    are added to the table."""
-    if not store.exists(layer, name):
-        store.write(batch, layer, name, partition_by=[part_col])
-        return
-    current = store.read_partitions(layer, name, part_col, months)
-    added = {f.name: F.lit(None).cast(f.dataType) for f in batch.schema.fields if f.name not in current.columns}
-    if added:
-        current = current.withColumns(added)
-    merged = upsert(current, batch, keys, materialize=materialize)
-    store.replace_partitions(merged, layer, name, [part_col])
+def land_lines(store: TableStore, bronze: DataFrame, products: DataFrame, name: str = "orders",
+               load_id: str | None = None, sequence: Column | None = None) -> DataFrame:
+    """Write a landing batch to bronze and its rejects beside it, each as the partition ``load_id``; returns the
+    judged lines (a stored copy that feeds everything else).
+
+    The landing files are scanned once and lines are typed once.  Taking the
+    same load again replaces its partitions.  ``sequence`` is an expression over the batch's columns.
+    """
+    load_id = load_id or new_load_id()
+    landed = store.write_load(bronze, "bronze", name, load_id)
+    seq = F.lit(load_id) if sequence is None else F.concat_ws("/", F.lit(load_id), sequence.cast("string"))
+    judged = materialize(judge_lines(landed, products).withColumn(SEQ, seq), f"judged-{name}")
+    store.write_load(judged.filter(F.col(REASON) != ACCEPTED).select("__raw.*", REASON),
+                     "silver", _Names(name, "").rejects, load_id)
+    return judged
+
+
+def _merge_lines(store: TableStore, judged: DataFrame, names: _Names, load_id: str, replace_periods: bool,
+                 change_feed: bool) -> None:
+    """Merge judged lines into silver, gold and parent.
+
+    Every table that is there already is staged before any is published.
+    """
+    name, daily, parent = names.name, names.daily, names.parent
+    batch = materialize(_line_batch(judged), f"batch-{name}")
+    months = _touched(judged)
+    staged: list[tuple[DataFrame, str, str, str]] = []
+
+    def put(df: DataFrame, layer: str, table: str, by: str, there: bool) -> DataFrame:
+        """Stage what may read its own table; a table that is not there yet is written at once."""
+        if not there:
+            return store.write(df, layer, table, partition_by=[by])
+        staged.append((store.stage(df, name, load_id, layer, table, [by]), layer, table, by))
+        return staged[-1][0]
+
+    if store.exists("silver", name):
+        # partition pruning by the join: exact, because the month is a function of the line key
+        current = _both_columns(in_periods(store.read("silver", name, batch.schema), MONTH, months), batch)
+        older = F.coalesce(F.substring_index(SEQ, "/", 1), F.lit("")) <= load_id
+        base = current.filter(~older) if replace_periods else current
+        merged = upsert(base, batch, SILVER_KEYS, materialize=False, unique=True, sequence=SEQ)
+    elif store.exists("gold", daily):
+        raise ValueError(f"the daily fact {daily} has no silver table {name} that it could be made from")
+    else:
+        current, older, merged = batch.limit(0), F.lit(True), batch
+    if change_feed and not store.has_load("silver", names.changes, load_id):
+        # a load taken again changes nothing: its feed stays that of the first time
+        values = {c: c for c in batch.columns if c not in (*SILVER_KEYS, SEQ)}
+        changes = upsert_changes(current, batch, SILVER_KEYS, values, materialize=False, unique=True, sequence=SEQ)
+        if replace_periods:
+            left = current.filter(older).join(batch.select(*SILVER_KEYS), list(SILVER_KEYS), "left_anti")
+            changes = changes.unionByName(left.withColumn(CHANGE_TYPE, F.lit("delete")))
+        store.write_load(changes.drop(SEQ, MONTH), "silver", names.changes, load_id)
+    silver = put(merged, "silver", name, MONTH, store.exists("silver", name))
+
+    # silver's new months are complete, so gold's are their projection and the parent's sums final
+    gold = put(orders_gold(silver).withColumn(MONTH, month_start("date")), "gold", daily, MONTH, store.exists("gold", daily))
+    sums = parent_rollup(gold)
+    there = store.exists("gold", parent)
+    if there:
+        held = in_periods(store.read("gold", parent, sums.schema), "date", months.withColumnRenamed(MONTH, "date"))
+        if replace_periods:
+            # not matched by source: the child's own keys that its daily fact no longer has
+            was = orders_gold(current).select(month_start("date").alias("date"), *PARENT_KEYS[1:]).distinct()
+            gone = was.join(sums.select(*PARENT_KEYS), list(PARENT_KEYS), "left_anti")
+            held = held.join(gone, list(PARENT_KEYS), "left_anti")
+        sums = upsert(held, sums, PARENT_KEYS, unique=True)
+    put(sums, "gold", parent, "date", there)
+
+    for df, layer, table, by in staged:
+        store.publish(df, layer, table, [by])
+
+
+def _state(store: TableStore, judged: DataFrame, names: _Names) -> FactState:
+    batch = _line_batch(judged)
+    gold = orders_gold(batch)
+    return FactState(store.read("silver", names.name, batch.schema), store.read("gold", names.daily, gold.withColumn(
+        MONTH, month_start("date")).schema), store.read("gold", names.parent, parent_rollup(gold).schema))
 
 
 def run_fact_load(store: TableStore, bronze: DataFrame, products: DataFrame,
-                  name: str = "orders", parent: str = "fact_orders",
-                  load_id: str | None = None, keep_states: int = 3) -> FactState:
+                  name: str = "orders", parent: str = "fact_orders", load_id: str | None = None,
+                  sequence: Column | None = None, replace_periods: bool = False,
+                  change_feed: bool = False) -> FactState:
     """Load one landing batch: a full load when the child tables are absent,
     otherwise incremental — the same steps either way.
 
-    * the batch is written once, as partition ``load_id`` of the bronze
-      table, and everything else reads that partition — the landing files are
-      scanned once, and replaying a batch with the same ``load_id`` (e.g. a
-      streaming batch id) replaces it instead of appending twice; columns the
+    * ``land_lines`` writes the batch as partition ``load_id`` of bronze, and its rejects; columns the
       batch adds stay in bronze and silver;
-    * its rejects are written as partition ``load_id`` of the rejects table;
     * silver and the daily gold fact are partitioned by month; the batch is
-      upserted into the months it touches only;
+      merged into the months it touches only, by sequence (see above);
     * the parent's sums for those months are recomputed from the whole daily
       fact (replacing, never adding) and upserted into the parent's month
       partitions; a parent key absent from the recomputation is kept.
 
-    The staged batch and the recomputed sums are scratch copies, deleted at the
-    end; of every table the newest ``keep_states`` states stay on disk.
+    With ``replace_periods`` the batch restates its months: lines of those months that it does not hold
+    are deleted (but for lines of a later load), and the parent loses the child's keys that have vanished; rows
+    of others in the parent stay.  ``change_feed`` writes what the merge changed in silver to
+    ``silver.changes_<name>``.
+
+    Load ids sort in the order of validity; a random batch gets one that is later than all before.
+    A load that died is run again with the same id.
+    """
+    load_id, names = load_id or new_load_id(), _Names(name, parent)
+    store.begin(name, load_id)
+    with scratch_scope(store.spark):
+        judged = land_lines(store, bronze, products, name, load_id, sequence)
+        _merge_lines(store, judged, names, load_id, replace_periods, change_feed)
+        store.end(name, load_id)
+        return _state(store, judged, names)
+
+
+def reload_rejects(store: TableStore, products: DataFrame, name: str = "orders", parent: str = "fact_orders",
+                   load_id: str | None = None) -> FactState:
+    """Load the rejected lines whose product has arrived since, in the place of their own loads.
+
+    The lines keep the sequence of the load they came with, so they do not overwrite later values.
+    They leave the rejects after the facts hold them: a run that dies in between finds
+    them again, and loading them twice changes nothing.
     """
-    load_id = load_id or uuid.uuid4().hex
-    load = F.lit(load_id)
-    store.replace_partitions(bronze.withColumn("load_id", load), "bronze", name, ["load_id"])
-    landed = store.read_partitions("bronze", name, "load_id", [load_id]).drop("load_id")
-    daily = f"fact_{name}_daily"
+    load_id, names = load_id or new_load_id(), _Names(name, parent)
+    store.begin(name, load_id)
     with scratch_scope(store.spark):
-        store.replace_partitions(order_rejects(landed, products).withColumn("load_id", load),
-                                 "silver", f"rejects_{name}", ["load_id"])
-        batch = materialize(orders_silver(landed, products).withColumn(
-            MONTH, month_start("order_placement_date")), f"staging-{name}")
-        months = _batch_months(batch, "order_placement_date")
-        _merge_partitions(store, "silver", name, batch, SILVER_KEYS, MONTH, months)
-        gold = orders_gold(batch).withColumn(MONTH, month_start("date"))
-        _merge_partitions(store, "gold", daily, gold, GOLD_KEYS, MONTH, months)
-        sums = parent_rollup(store.read_partitions("gold", daily, MONTH, months))
-        # the sums are an aggregate, not a stored table: materialise them once
-        _merge_partitions(store, "gold", parent, sums, PARENT_KEYS, "date", months, materialize=True)
-    for layer, table in (("bronze", name), ("silver", f"rejects_{name}"), ("silver", name), ("gold", daily),
-                         ("gold", parent)):
-        if store.exists(layer, table):
-            store.vacuum(layer, table, keep_states)
-    return FactState(store.read("silver", name), store.read("gold", daily),
-                     store.read("gold", parent))
+        held = store.read("silver", names.rejects)
+        known = product_keys(products).select("product_id").distinct()
+        here = F.trim(F.col("product_id").cast("string"))
+        found = held.filter(F.col(REASON) == "unknown_product").join(
+            known.withColumnRenamed("product_id", "__known"), here == F.col("__known"), "left_semi")
+        judged = materialize(judge_lines(found.drop(REASON), products).withColumn(SEQ, F.col(LOAD)).drop(LOAD),
+                             f"judged-{name}")
+        if not judged.isEmpty():
+            _merge_lines(store, judged, names, load_id, replace_periods=False, change_feed=False)
+            gone = F.when(F.col(REASON) == "unknown_product", here)  # NULL: matches no product
+            loads = materialize(found.select(LOAD).distinct(), "reloaded")  # one row per load
+            touched = held.join(F.broadcast(loads), LOAD, "left_semi")
+            left = touched.join(known.withColumnRenamed("product_id", "__known"), gone == F.col("__known"), "left_anti")
+            left = store.stage(left, name, load_id, "silver", names.rejects, [LOAD])
+            emptied = loads.join(left.select(LOAD).distinct(), LOAD, "left_anti").collect()
+            store.publish(left, "silver", names.rejects, [LOAD])
+            for row in emptied:
+                store.drop_load("silver", names.rejects, row[LOAD])
+        store.end(name, load_id)
+        return _state(store, judged, names)

@@ -1,39 +1,44 @@
-"""Named Parquet tables with atomic snapshots.
-
-A table ``(layer, name)`` is a folder with its data files and numbered
-manifests::
-
-    data/[<column>=<value>/]kiln_rev=<id>/part-*.parquet
-    manifest-<n>.json      schema and the live revision folders
-
-Every write adds files under a revision of its own and then publishes one new
-manifest by renaming it into place.  That rename is the commit: readers take
-the highest manifest and read exactly the folders it lists, so a job that
-dies before it leaves the previous state in force, whether it was writing one
-partition or all, and a plan may read a table and replace it in the same job.
-A partition that a write does not touch keeps its revision: it is neither
-read nor rewritten.
-
-The manifest carries the schema, merged on every append and partition
-replacement, so a column that a later batch adds is read as NULL from older
-files, and reads skip the footer-reading job of schema inference.
+"""Named Parquet tables written and read by Spark alone.
+
+A table ``(layer, name)`` is a folder of Parquet files, partitioned by columns where that helps:
+
+* a load writes its own partition ``load_id=<id>`` (``write_load``), so taking a load again replaces it;
+* partitions are replaced by Spark's *dynamic partition overwrite*: those present in the
+  data are replaced, all others are neither read nor written;
+* reads merge the schemas of the files (``mergeSchema``), so a column that a later write adds is NULL in
+  older rows.
+
+A plan may not overwrite what it reads.  Data derived from the table it replaces is therefore *staged*: first
+computed into a folder of its own below ``_staged/<group>/<id>``, then published from there.
+Nothing of the table changes before all stages of a load are complete.  A load that dies
+before that leaves the tables as they were; one that dies while publishing is finished by
+running it again with the same id, because a complete stage is published as it is and not computed again
+from half replaced tables.  While a stage of another id is left, ``begin`` refuses.
+Publishing is not atomic for concurrent readers, and a table has one writer at a time.
 """
 
 from __future__ import annotations
 
-import json
 import re
-import uuid
+import time
+from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-REV = "kiln_rev"
-_NAME = re.compile(r"manifest-(\d+)\.json$")
+#: partition column of loads; its values are text whatever they look like
+LOAD = "load_id"
+_SAFE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
+
+
+def new_load_id() -> str:
+    """Ids that sort in the order of their making."""
+    return f"{time.time_ns():020d}"
 
 
-def _rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
+def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """REBALANCE on the partition columns before a partitioned write: AQE
     groups rows of one partition value into few files of the advisory size
     and splits a very large partition value over several tasks, so neither
@@ -41,14 +46,13 @@ def _rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def _merged(old: StructType | None, new: StructType, partition_by: list[str]) -> StructType:
-    """Columns of ``old`` and what ``new`` adds, partition columns last (their order in the folders)."""
-    fields = list(old.fields) if old else []
-    known = {f.name for f in fields}
-    fields += [f for f in new.fields if f.name not in known]
-    by_name = {f.name: StructField(f.name, f.dataType, True) for f in fields}
-    return StructType([by_name[f.name] for f in fields if f.name not in partition_by]
-                      + [by_name[c] for c in partition_by])
+def in_periods(table: DataFrame, column: str, periods: DataFrame) -> DataFrame:
+    """Rows of ``table``, partitioned by ``column``, whose value is in ``periods(column)``.
+
+    A semi join with the broadcast list (one row per period): Spark reuses it at run time to scan only
+    those partitions (dynamic partition pruning), and no value passes through the driver program.
+    """
+    return table.join(F.broadcast(periods.select(column).distinct()), column, "left_semi")
 
 
 class TableStore:
@@ -56,136 +60,106 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # --- file-system helpers (Hadoop FS: works on HDFS, S3, local) --------
+    # --- folders (Hadoop FS: works on HDFS, S3, local) ----------------------
     def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _versions(self, layer: str, name: str) -> list[int]:
-        p, fs = self._fs(self.folder(layer, name))
-        if not fs.exists(p):
-            return []
-        found = (_NAME.match(st.getPath().getName()) for st in fs.listStatus(p))
-        return sorted(int(m[1]) for m in found if m)
+    def _there(self, path: str) -> bool:
+        p, fs = self._fs(path)
+        return fs.exists(p)
 
-    def _manifest_path(self, layer: str, name: str, version: int) -> str:
-        return f"{self.folder(layer, name)}/manifest-{version:06d}.json"
+    def _delete(self, path: str) -> None:
+        p, fs = self._fs(path)
+        fs.delete(p, True)
 
-    def _load(self, layer: str, name: str, version: int) -> dict:
-        p, fs = self._fs(self._manifest_path(layer, name, version))
-        stream = fs.open(p)
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(text)
-
-    def _current(self, layer: str, name: str) -> dict | None:
-        versions = self._versions(layer, name)
-        return self._load(layer, name, versions[-1]) if versions else None
-
-    def _publish(self, layer: str, name: str, manifest: dict) -> None:
-        """Rename the new manifest into place; the first of two racing writers wins."""
-        versions = self._versions(layer, name)
-        target, fs = self._fs(self._manifest_path(layer, name, versions[-1] + 1 if versions else 1))
-        draft, _ = self._fs(f"{self.folder(layer, name)}/.draft-{uuid.uuid4().hex}")
-        out = fs.create(draft, True)
-        out.write(bytearray(json.dumps(manifest).encode("utf-8")))
-        out.close()
-        if fs.exists(target) or not fs.rename(draft, target):
-            raise RuntimeError(f"table {layer}.{name} was changed by another writer")
-
-    def _revisions(self, layer: str, name: str, depth: int, rev: str = "*") -> list[str]:
-        """Folders ``[<column>=<value>/]kiln_rev=<rev>`` below ``data``."""
-        base = f"{self.folder(layer, name)}/data"
-        p, fs = self._fs(f"{base}{'/*' * depth}/{REV}={rev}")
-        cut = len(fs.makeQualified(self._fs(base)[0]).toString()) + 1
-        return sorted(st.getPath().toString()[cut:] for st in fs.globStatus(p) or [])
-
-    # --- public API --------------------------------------------------------
     def folder(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
-    def version(self, layer: str, name: str) -> int:
-        """Number of the state in force; 0 if the table does not exist."""
-        return max(self._versions(layer, name), default=0)
-
     def exists(self, layer: str, name: str) -> bool:
-        return bool(self._versions(layer, name))
-
-    def _read(self, layer: str, name: str, manifest: dict, live: list[str]) -> DataFrame:
-        schema = StructType.fromJson(manifest["schema"])
-        base = f"{self.folder(layer, name)}/data"
-        if not live:
-            return self.spark.createDataFrame([], schema)
-        with_rev = StructType(schema.fields + [StructField(REV, StringType(), True)])
-        return (self.spark.read.schema(with_rev).option("basePath", base)
-                .parquet(*[f"{base}/{x}" for x in live]).drop(REV))
-
-    def read(self, layer: str, name: str) -> DataFrame:
-        """The table as of its newest manifest."""
-        manifest = self._current(layer, name)
-        if manifest is None:
-            raise FileNotFoundError(f"table {layer}.{name} does not exist")
-        return self._read(layer, name, manifest, manifest["live"])
-
-    def read_partitions(self, layer: str, name: str, column: str, values: list) -> DataFrame:
-        """Only the partitions ``column`` in ``values`` (NULL allowed): a
-        partition filter, so the scan reads just those folders."""
-        df = self.read(layer, name)
-        keep = [v for v in values if v is not None]
-        cond = F.col(column).isin(keep) if keep else F.lit(False)
-        if len(keep) < len(values):
-            cond = cond | F.col(column).isNull()
-        return df.filter(cond)
-
-    def _write(self, df: DataFrame, layer: str, name: str, partition_by: list[str]) -> list[str]:
-        rev = uuid.uuid4().hex
-        (_rebalanced(df, partition_by).withColumn(REV, F.lit(rev)).write.mode("append")
-         .partitionBy(*partition_by, REV).parquet(f"{self.folder(layer, name)}/data"))
-        return self._revisions(layer, name, len(partition_by), rev)
+        return self._there(self.folder(layer, name))
+
+    # --- reads ---------------------------------------------------------------
+    def _scan(self, path: str) -> DataFrame:
+        df = self.spark.read.option("mergeSchema", "true").parquet(path)
+        typed = StructType([StructField(f.name, StringType()) if f.name == LOAD else f for f in df.schema.fields])
+        return df if typed == df.schema else self.spark.read.schema(typed).parquet(path)
+
+    def read(self, layer: str, name: str, empty: StructType | None = None) -> DataFrame:
+        """The whole table.  A table that never got a row has no file to tell its columns: it reads as
+        an empty one of the schema ``empty``, and is an error without that."""
+        try:
+            return self._scan(self.folder(layer, name))
+        except AnalysisException as e:
+            if empty is None or e.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+                raise
+            return self.spark.createDataFrame([], empty)
 
+    # --- writes of data that does not read the table --------------------------
     def write(self, df: DataFrame, layer: str, name: str, mode: str = "overwrite",
-              partition_by: list[str] | None = None) -> None:
-        """Overwrite the table, or append to it (columns may be added by an append)."""
-        old = self._current(layer, name) if mode == "append" else None
-        parts = list(old["partition_by"] if old else partition_by or [])
-        new = self._write(df, layer, name, parts)
-        schema = _merged(StructType.fromJson(old["schema"]) if old else None, df.schema, parts)
-        self._publish(layer, name, {"partition_by": parts, "schema": json.loads(schema.json()),
-                                    "live": (old["live"] if old else []) + new})
-
-    def replace_partitions(self, df: DataFrame, layer: str, name: str,
-                           partition_by: list[str]) -> None:
-        """Replace only the partitions present in ``df``; creates the table if absent.
-
-        ``df`` may read the very partitions it replaces: their files stay, and
-        all replaced partitions change together when the manifest is published.
+              partition_by: Sequence[str] = ()) -> DataFrame:
+        """Overwrite the table, or append to it (an append may add columns); returns the columns of ``df``."""
+        _rebalanced(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(self.folder(layer, name))
+        return self.spark.read.schema(df.schema).parquet(self.folder(layer, name))
+
+    def _load_folder(self, layer: str, name: str, load_id: str) -> str:
+        if not _SAFE.fullmatch(load_id):
+            raise ValueError(f"{load_id!r} cannot name a folder")
+        return f"{self.folder(layer, name)}/{LOAD}={load_id}"
+
+    def has_load(self, layer: str, name: str, load_id: str) -> bool:
+        return self._there(f"{self._load_folder(layer, name, load_id)}/_SUCCESS")
+
+    def write_load(self, df: DataFrame, layer: str, name: str, load_id: str) -> DataFrame:
+        """Write ``df`` as the partition of one load, whatever it held before; returns that partition."""
+        path = self._load_folder(layer, name, load_id)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_load(self, layer: str, name: str, load_id: str) -> None:
+        self._delete(self._load_folder(layer, name, load_id))
+
+    # --- staged writes ---------------------------------------------------------
+    def _stage_folder(self, group: str, load_id: str = "") -> str:
+        return f"{self.root}/_staged/{group}" + (f"/{load_id}" if load_id else "")
+
+    def begin(self, group: str, load_id: str) -> None:
+        """Refuse to start while a load with another id is unfinished."""
+        p, fs = self._fs(self._stage_folder(group))
+        left = {st.getPath().getName() for st in fs.listStatus(p)} - {load_id} if fs.exists(p) else set()
+        if left:
+            raise RuntimeError(f"the load {sorted(left)} of {group} did not finish: run it again with its id first")
+
+    def stage(self, df: DataFrame, group: str, load_id: str, layer: str, name: str,
+              partition_by: Sequence[str] = ()) -> DataFrame:
+        """Compute ``df`` into the stage of a table, unless that is complete already; returns the staged rows."""
+        path = f"{self._stage_folder(group, load_id)}/{layer}/{name}"
+        if not self._there(f"{path}/_SUCCESS"):
+            _rebalanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def publish(self, staged: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> None:
+        """Replace the partitions present in ``staged`` (the whole table if it is not partitioned)."""
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if partition_by else "static")
+         .partitionBy(*partition_by).parquet(self.folder(layer, name)))
+
+    def end(self, group: str, load_id: str) -> None:
+        """Drop the stages of a load; everything is published."""
+        self._delete(self._stage_folder(group, load_id))
+
+    def replace(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> None:
+        """Stage and publish one table; ``df`` may read what it replaces.
+
+        ``finish`` has to run before ``df`` is made, if a run may have died here.
         """
-        old = self._current(layer, name)
-        if old is None:
-            self.write(df, layer, name, partition_by=partition_by)
-            return
-        new = self._write(df, layer, name, partition_by)
-        replaced = {x.rpartition("/")[0] for x in new}
-        schema = _merged(StructType.fromJson(old["schema"]), df.schema, partition_by)
-        live = [x for x in old["live"] if x.rpartition("/")[0] not in replaced] + new
-        self._publish(layer, name, {"partition_by": partition_by, "schema": json.loads(schema.json()), "live": live})
-
-    def vacuum(self, layer: str, name: str, keep: int = 2) -> list[str]:
-        """Delete all but the newest ``keep`` manifests and the revision folders that none of
-        those lists; returns the removed folders.  Run it when no job is writing
-        the table or still reading an older state."""
-        versions = self._versions(layer, name)
-        kept = [self._load(layer, name, v) for v in versions[-keep:]] if keep > 0 else []
-        live = {x for m in kept for x in m["live"]}
-        depth = len(self._current(layer, name)["partition_by"]) if versions else 0
-        removed = [x for x in self._revisions(layer, name, depth) if x not in live]
-        for v in versions[:-keep] if keep > 0 else versions:
-            p, fs = self._fs(self._manifest_path(layer, name, v))
-            fs.delete(p, False)
-        for x in removed:
-            p, fs = self._fs(f"{self.folder(layer, name)}/data/{x}")
-            fs.delete(p, True)
-        return removed
+        group, load_id = f"{layer}-{name}", "replace"
+        self.publish(self.stage(df, group, load_id, layer, name, partition_by), layer, name, partition_by)
+        self.end(group, load_id)
+
+    def finish(self, layer: str, name: str, partition_by: Sequence[str] = ()) -> None:
+        """Publish what a ``replace`` that died had staged completely; drop what it had not."""
+        group, load_id = f"{layer}-{name}", "replace"
+        path = f"{self._stage_folder(group, load_id)}/{layer}/{name}"
+        if self._there(f"{path}/_SUCCESS"):
+            self.publish(self._scan(path), layer, name, partition_by)
+        self.end(group, load_id)

@@ -60,6 +60,18 @@ FROM daily GROUP BY ALL"""
 
 _FACT = _monthly_fact()
 
+# the parent's own row of every month
+_OWN_ROWS = """
+UNION ALL
+SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE), 'own', '0', 1 FROM orders"""
+
+# the quantity of the latest load that has the order: the third, else the second, else the first
+_SEQUENCED = f"""WITH {_DAILY.format(where="")}
+SELECT order_id, date, product_code, customer_code, product_id,
+       qty + CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN 0 WHEN CAST(order_id AS BIGINT) % 2 = 0 THEN 7 ELSE 2 END
+         AS sold_quantity
+FROM daily"""
+
 _DIVISION = """CASE category WHEN 'Economy' THEN 'Value' WHEN 'Standard' THEN 'Core'
   WHEN 'Promo' THEN 'Core' WHEN 'Small' THEN 'Compact' WHEN 'Medium' THEN 'Compact' END"""
 
@@ -286,6 +298,56 @@ c AS (SELECT CASE WHEN l_orderkey % 13 = 0 THEN '99999999' ELSE CAST(l_partkey A
 SELECT coalesce(reason, 'unknown_product') AS reject_reason, product_id, count(*) AS rows FROM c
 WHERE reason IS NOT NULL OR product_id NOT IN (SELECT product_id FROM prod)
 GROUP BY ALL""",
+    "fact_sequenced_in_order": _SEQUENCED,
+    "fact_sequenced_late": _SEQUENCED,
+    "fact_month_keep": _FACT + _OWN_ROWS,
+    "fact_month_replace": _monthly_fact(
+        "WHERE date < DATE '2000-06-01' OR CAST(c.product_id AS BIGINT) % 7 <> 0") + _OWN_ROWS,
+    "fact_late_products": f"""{_FACT}
+UNION ALL
+SELECT CAST(NULL AS DATE), reason, 'rejects', count(*) FROM (
+  SELECT CASE WHEN (l_orderkey + l_linenumber) % 19 = 0 THEN 'no_quantity' ELSE 'unknown_product' END AS reason
+  FROM (SELECT * FROM lines UNION ALL SELECT * FROM lines WHERE l_linenumber % 7 = 0)
+  WHERE (l_orderkey + l_linenumber) % 19 = 0
+     OR (CASE WHEN l_orderkey % 13 = 0 THEN '99999999' ELSE CAST(l_partkey AS VARCHAR) END) NOT IN (SELECT product_id FROM prod))
+GROUP BY reason""",
+    "fact_change_feed": f"""WITH {_LINES}, {_PRODUCTS},
+clean AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(o_orderdate AS DATE) AS order_placement_date,
+         CASE WHEN o_custkey % 23 = 0 THEN '999999' ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
+         CASE WHEN l_orderkey % 13 = 0 THEN '99999999' ELSE CAST(l_partkey AS VARCHAR) END AS product_id,
+         l_quantity AS qty, o_orderdate >= TIMESTAMP '2000-06-15' OR l_partkey % 5 = 0 AS late, l_orderkey % 7 = 0 AS wrong
+  FROM lines WHERE (l_orderkey + l_linenumber) % 19 <> 0),
+b1 AS (
+  SELECT order_id, order_placement_date, customer_id, product_id, max(CASE WHEN wrong THEN qty + 1 ELSE qty END) AS qty
+  FROM clean WHERE NOT late GROUP BY ALL),
+b2 AS (
+  SELECT order_id, order_placement_date, customer_id, product_id, max(qty) AS qty
+  FROM clean WHERE late OR wrong GROUP BY ALL),
+both_ AS (
+  SELECT b2.*, b1.qty AS was, b1.order_id IS NOT NULL AS had
+  FROM b2 LEFT JOIN b1 USING (order_id, order_placement_date, customer_id, product_id)),
+feed AS (
+  SELECT * EXCLUDE (was, had), 'insert' AS change_type FROM both_ WHERE NOT had
+  UNION ALL SELECT * EXCLUDE (was, had), 'update_postimage' FROM both_ WHERE had AND was <> qty
+  UNION ALL SELECT * REPLACE (was AS qty) EXCLUDE (was, had), 'update_preimage' FROM both_ WHERE had AND was <> qty)
+SELECT order_id, order_placement_date, customer_id, feed.product_id, qty AS order_qty, product_code, change_type
+FROM feed JOIN prod ON feed.product_id = prod.product_id""",
+    "fact_stream_mixed_headers": f"""WITH {_LINES}, {_PRODUCTS},
+q AS (
+  SELECT *, CASE WHEN l_orderkey % 13 = 0 THEN '99999999' ELSE CAST(l_partkey AS VARCHAR) END AS product_id
+  FROM (SELECT * FROM lines UNION ALL SELECT * FROM lines WHERE l_linenumber % 7 = 0)),
+judged AS (
+  SELECT *, CASE WHEN l_orderkey % 4 = 3 THEN 'broken_row'
+                 WHEN (l_orderkey + l_linenumber) % 19 = 0 THEN 'no_quantity'
+                 WHEN product_id NOT IN (SELECT product_id FROM prod) THEN 'unknown_product' END AS reason FROM q)
+SELECT reason AS what, count(*) AS rows FROM judged WHERE reason IS NOT NULL GROUP BY reason
+UNION ALL
+SELECT CASE WHEN l_orderkey % 4 = 1 THEN 'web' ELSE 'shop' END AS what, count(DISTINCT (l_orderkey, l_partkey)) AS rows
+FROM judged WHERE reason IS NULL GROUP BY 1""",
+    "schema_widening": """
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer, CAST(floor(o_totalprice) AS DOUBLE) AS amount,
+       CASE WHEN o_orderkey % 4 IN (1, 2) THEN o_orderpriority END AS o_orderpriority FROM orders""",
     "dedupe_five_columns": f"""
 WITH {_LINES}
 SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(o_orderdate AS DATE) AS order_placement_date,

@@ -15,8 +15,7 @@ from kiln.operators.dedupe import dedupe
 from kiln.operators.diff import snapshot_diff
 from kiln.operators.latest import latest_nonzero
 from kiln.operators.lookup import fill_from_lookup, resolve_key
-from kiln.operators.rollup import (affected_periods, date_range, monthly_rollup,
-                                   recompute_periods)
+from kiln.operators.rollup import affected_periods, date_range, monthly_rollup
 from kiln.operators.union import append_parquet, read_evolving, union_evolving
 from kiln.operators.sizing import bounded_broadcast
 from kiln.operators.upsert import upsert
@@ -24,7 +23,7 @@ from kiln.plans import dims, facts
 from kiln.session import scratch_path
 from kiln.sources.csv import LINEAGE_COLS, read_csv, write_csv
 from kiln.sources.ledger import file_once_ingest
-from kiln.sources.tables import TableStore
+from kiln.sources.tables import TableStore, in_periods
 from kiln.streaming.ingest import ingest_available
 from kiln.workloads import dirty as D
 
@@ -305,7 +304,7 @@ def append_batches(spark, sf):
     path = scratch_path(spark, "append")
     append_parquet(od.filter(F.col("o_orderkey") % 2 == 0), path)
     append_parquet(od.filter(F.col("o_orderkey") % 2 == 1), path)
-    return spark.read.parquet(path)
+    return read_evolving(spark, path)
 
 
 def schema_evolving_union(spark, sf):
@@ -319,6 +318,23 @@ def schema_evolving_union(spark, sf):
                           stored.filter(F.col("o_orderkey") % 3 == 0).drop("o_totalprice"))
 
 
+def schema_widening(spark, sf):
+    """Four batches whose columns get wider: int, bigint, double and text keys and amounts, one column more."""
+    od = _t(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    path = scratch_path(spark, "widen")
+
+    def batch(part: int, key: str, amount: str, *more):
+        append_parquet(od.filter(k % 4 == part).select(k.alias("o_orderkey"), F.col("o_custkey").cast(key).alias("customer"),
+                                                       F.floor("o_totalprice").cast(amount).alias("amount"), *more), path)
+
+    batch(0, "int", "int")
+    batch(1, "bigint", "bigint", "o_orderpriority")
+    batch(2, "int", "double", "o_orderpriority")
+    batch(3, "string", "bigint")
+    return read_evolving(spark, path)
+
+
 # --- upserts / change feed ------------------------------------------------------------------
 _CUST = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
@@ -346,11 +362,9 @@ def upsert_set_columns(spark, sf):
 
 
 def _stored(spark, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table snapshot in scratch and read it back — the
+    """Write ``df`` as a table in scratch and read it back — the
     parent tables of the upsert queries live on storage, not in a plan."""
-    store = TableStore(spark, scratch_path(spark, "tables"))
-    store.write(df, "gold", name)
-    return store.read("gold", name)
+    return TableStore(spark, scratch_path(spark, "tables")).write(df, "gold", name)
 
 
 def upsert_monthly_fact(spark, sf):
@@ -359,7 +373,7 @@ def upsert_monthly_fact(spark, sf):
                                           ["product_id", "customer_code"], "sold_quantity"),
                     "fact_orders")
     fresh = monthly_rollup(lines, "date", ["product_id", "customer_code"], "sold_quantity")
-    return upsert(stale, fresh, ["date", "product_id", "customer_code"])
+    return upsert(stale, fresh, ["date", "product_id", "customer_code"], unique=True)
 
 
 def snapshot_diff_q(spark, sf):
@@ -375,15 +389,16 @@ BATCH_CUTOFF = "2001-06-15"  # inside a month: the parent already holds a part o
 
 
 def affected_month_recompute(spark, sf):
-    lines = _monthly_lines(spark, sf).drop("l_linenumber")
+    """The daily fact is a month-partitioned table; the batch's months prune the scan at run time."""
+    store = TableStore(spark, scratch_path(spark, "tables"))
+    lines = _monthly_lines(spark, sf).drop("l_linenumber").withColumn("month", C.month_start("date"))
+    daily = store.write(lines, "gold", "daily", partition_by=["month"])
     in_batch = F.col("date") >= F.lit(BATCH_CUTOFF).cast("date")
-    batch = lines.filter(in_batch)
-    parent_before = _stored(spark, monthly_rollup(lines.filter(~in_batch), "date",
-                                                  ["product_id", "customer_code"], "sold_quantity"),
-                            "fact_orders")
-    sums = recompute_periods(lines, "date", affected_periods(batch, "date"),
-                             ["product_id", "customer_code"], "sold_quantity")
-    return upsert(parent_before, sums, ["date", "product_id", "customer_code"])
+    keys = ["product_id", "customer_code"]
+    parent_before = store.write(monthly_rollup(daily.filter(~in_batch), "date", keys, "sold_quantity"), "gold", "fact_orders")
+    months = affected_periods(daily.filter(in_batch), "date")
+    sums = monthly_rollup(in_periods(daily, "month", months), "date", keys, "sold_quantity")
+    return upsert(parent_before, sums, ["date", *keys], unique=True)
 
 
 # --- dimension and fact plans ------------------------------------------------------------------
@@ -470,8 +485,7 @@ def dim_price_load(spark, sf):
     products (updated where the child has that year, kept where not) and
     brand-level rows of its own (L3, K2)."""
     store = TableStore(spark, scratch_path(spark, "warehouse"))
-    store.write(_products(spark, sf), "silver", "products")
-    products = store.read("silver", "products")
+    products = store.write(_products(spark, sf), "silver", "products")
     bronze = _landed(spark, D.price_rows(spark, sf), "gross_price")
     stale = (products.select("product_code").distinct()
              .filter(F.substring("product_code", 1, 1) < "8")
@@ -516,8 +530,7 @@ def _two_batches(spark, sf) -> tuple[DataFrame, DataFrame]:
 
 def _fact_store(spark, sf) -> tuple[TableStore, DataFrame]:
     store = TableStore(spark, scratch_path(spark, "warehouse"))
-    store.write(_products(spark, sf), "silver", "products")
-    return store, store.read("silver", "products")
+    return store, store.write(_products(spark, sf), "silver", "products")
 
 
 def _incremental(spark, sf) -> facts.FactState:
@@ -538,6 +551,15 @@ def fact_daily_gold(spark, sf):
     return _incremental(spark, sf).gold.drop("month")
 
 
+def _streamed(spark, root: str, store: TableStore, products: DataFrame, files_per_batch: int) -> DataFrame:
+    def batch(df, batch_id):
+        facts.run_fact_load(store, df.drop(*LINEAGE_COLS), products, load_id=f"{batch_id:012d}")
+
+    ingest_available(spark, f"{root}/landing/*.csv", list(LINE_COLS), f"{root}/checkpoint", batch,
+                     max_files_per_trigger=files_per_batch)
+    return store.read("gold", "fact_orders").select(*facts.PARENT_KEYS, "sold_quantity")
+
+
 def fact_stream_load(spark, sf):
     """Order lines landed as CSV files that each hold orders of all months, drained by a file
     stream (``availableNow``, half of the files per micro-batch); every micro-batch
@@ -547,14 +569,30 @@ def fact_stream_load(spark, sf):
     (D.order_lines(spark, sf).select(*LINE_COLS)
      .repartition(files, "order_id").write.option("header", "true").csv(f"{root}/landing"))
     store, products = _fact_store(spark, sf)
+    return _streamed(spark, root, store, products, -(-files // 2))
 
-    def batch(df, batch_id):
-        facts.run_fact_load(store, df.drop("file_name", "file_size", "read_timestamp"),
-                            products, load_id=f"{batch_id:012d}")
 
-    ingest_available(spark, f"{root}/landing/*.csv", list(LINE_COLS),
-                     f"{root}/checkpoint", batch, max_files_per_trigger=-(-files // 2))
-    return store.read("gold", "fact_orders").select(*facts.PARENT_KEYS, "sold_quantity")
+def fact_stream_mixed_headers(spark, sf):
+    """Files of one landing folder, taken in one micro-batch, with three forms of header: the usual one, columns in another
+    order with one more, and no customer column; then broken rows in a fourth form (M1, A1, B4)."""
+    root = scratch_path(spark, "stream")
+    order = F.col("order_id").cast("bigint")
+    lines = D.order_lines(spark, sf).select(*LINE_COLS)
+    forms = [lines.filter(order % 4 == 0),
+             lines.filter(order % 4 == 1).withColumn("channel", F.lit("web")).select("channel", *reversed(LINE_COLS)),
+             lines.filter(order % 4 == 2).drop("customer_id")]
+    for df in forms:
+        df.write.mode("append").option("header", "true").csv(f"{root}/landing")
+    # rows of two values under a header of one
+    two = F.concat_ws(",", F.lit("broken"), F.col("order_id"))
+    (lines.filter(order % 4 == 3).select(two.alias("order_id")).write.mode("append").option("header", "true")
+     .option("sep", "\t").csv(f"{root}/landing"))  # so that the comma is not quoted
+    store, products = _fact_store(spark, sf)
+    _streamed(spark, root, store, products, 1_000_000)
+    loaded = store.read("silver", "orders").select(
+        F.coalesce("channel", F.lit("shop")).alias("what"), F.lit(1).alias("n"))
+    rejected = store.read("silver", "rejects_orders").select(F.col("reject_reason").alias("what"), F.lit(1).alias("n"))
+    return loaded.unionByName(rejected).groupBy("what").agg(F.count("n").alias("rows"))
 
 
 def _with_bad_dates(spark, sf) -> DataFrame:
@@ -574,13 +612,90 @@ def fact_replay(spark, sf):
 
 
 def fact_rejects(spark, sf):
-    """Rejected order lines of a loaded batch by reason and product id."""
+    """Rejected order lines of a landed batch by reason and product id."""
     store, products = _fact_store(spark, sf)
-    facts.run_fact_load(store, _with_bad_dates(spark, sf), products)
+    facts.land_lines(store, _with_bad_dates(spark, sf), products)
     return (store.read("silver", "rejects_orders").groupBy("reject_reason", "product_id")
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
+def _sequenced_batches(spark, sf) -> dict[str, DataFrame]:
+    """Three loads that give every line of some orders a different quantity: the latest load that has it is right."""
+    lines = D.order_lines(spark, sf).select(*LINE_COLS)
+    order = F.col("order_id").cast("bigint")
+    plus = lambda n: lines.withColumn("order_qty", (C.to_double("order_qty") + n).cast("string"))
+    return {"2024-01": plus(2), "2024-02": plus(7).filter(order % 2 == 0), "2024-03": lines.filter(order % 3 == 0)}
+
+
+def _sequenced(spark, sf, arrival: list[str]) -> DataFrame:
+    store, products = _fact_store(spark, sf)
+    batches = _sequenced_batches(spark, sf)
+    for load in arrival:
+        state = facts.run_fact_load(store, batches[load], products, load_id=load)
+    return state.gold.drop("month")
+
+
+def fact_sequenced_in_order(spark, sf):
+    """Conflicting quantities of one line in three loads that arrive in order (K1, K3)."""
+    return _sequenced(spark, sf, ["2024-01", "2024-02", "2024-03"])
+
+
+def fact_sequenced_late(spark, sf):
+    """The same loads, the newest first and the oldest last and twice: no older value overwrites a newer one (K1, K3)."""
+    return _sequenced(spark, sf, ["2024-03", "2024-02", "2024-01", "2024-01"])
+
+
+def _restated(spark, sf, replace: bool) -> DataFrame:
+    """A second load restates the months from a cutoff on, without the lines of products whose id divides by 7.
+
+    The parent holds a row of its own in every month.
+    """
+    store, products = _fact_store(spark, sf)
+    lines = D.order_lines(spark, sf)
+    own = (_t(spark, sf, "orders").select(C.month_start("o_orderdate").alias("date")).distinct()
+           .select("date", F.lit("own").alias("product_code"), F.lit("0").alias("customer_code"),
+                   F.lit(1).cast("bigint").alias("sold_quantity")))
+    store.write(own, "gold", "fact_orders", partition_by=["date"])
+    facts.run_fact_load(store, lines.select(*LINE_COLS), products, load_id="1")
+    again = lines.filter((F.col("o_orderdate") >= F.lit("2000-06-01").cast("timestamp_ntz")) & (F.col("l_partkey") % 7 != 0))
+    return facts.run_fact_load(store, again.select(*LINE_COLS), products, load_id="2", replace_periods=replace).parent
+
+
+def fact_month_replace(spark, sf):
+    """Keys that vanish from a restated month leave the parent; the parent's own rows stay (K4)."""
+    return _restated(spark, sf, replace=True)
+
+
+def fact_month_keep(spark, sf):
+    """By default a key that a later load of its month does not have stays (K4)."""
+    return _restated(spark, sf, replace=False)
+
+
+def fact_late_products(spark, sf):
+    """Lines of products that arrive after the lines: rejected first, loaded once the products are there, though
+    the reload runs twice (E1)."""
+    store = TableStore(spark, scratch_path(spark, "warehouse"))
+    everything = _products(spark, sf)
+    few = store.write(everything.filter(F.crc32("product_id") % 5 != 0), "silver", "products_before")
+    facts.run_fact_load(store, D.order_lines(spark, sf).select(*LINE_COLS), few)
+    products = store.write(everything, "silver", "products")
+    for _ in range(2):
+        state = facts.reload_rejects(store, products)
+    left = (store.read("silver", "rejects_orders").groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows"))
+            .select(F.lit(None).cast("date").alias("date"), F.col("reject_reason").alias("product_code"),
+                    F.lit("rejects").alias("customer_code"), F.col("rows").alias("sold_quantity")))
+    return state.parent.unionByName(left)
+
+
+def fact_change_feed(spark, sf):
+    """What the merge of the second of two batches changed in silver, from the merge itself."""
+    store, products = _fact_store(spark, sf)
+    first, second = _two_batches(spark, sf)
+    facts.run_fact_load(store, first, products, load_id="1")
+    facts.run_fact_load(store, second, products, load_id="2", change_feed=True)
+    return store.read("silver", "changes_orders").drop("load_id")
+
+
 def fact_schema_drift(spark, sf):
     """Two landing batches by CSV; the later has another column order and one more column.
 
@@ -593,7 +708,7 @@ def fact_schema_drift(spark, sf):
     for batch, name in ((lines.filter(~odd), "orders-1"), (later, "orders-2")):
         landed = _landed(spark, batch, name).drop(*LINEAGE_COLS)
         facts.run_fact_load(store, landed, products)
-    return store.read("silver", "orders").drop("month")
+    return store.read("silver", "orders").drop("month", "load_seq")
 
 
 def dedupe_five_columns(spark, sf):
@@ -676,6 +791,14 @@ QUERIES = {
     "fact_replay": fact_replay,
     "fact_daily_gold": fact_daily_gold,
     "fact_schema_drift": fact_schema_drift,
+    "fact_sequenced_in_order": fact_sequenced_in_order,
+    "fact_sequenced_late": fact_sequenced_late,
+    "fact_month_replace": fact_month_replace,
+    "fact_month_keep": fact_month_keep,
+    "fact_late_products": fact_late_products,
+    "fact_change_feed": fact_change_feed,
+    "fact_stream_mixed_headers": fact_stream_mixed_headers,
+    "schema_widening": schema_widening,
     "dedupe_five_columns": dedupe_five_columns,
     "fill_from_literal_table": fill_from_literal_table,
     "hash_key_with_nulls": hash_key_with_nulls,

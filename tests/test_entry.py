@@ -3,7 +3,7 @@ import math
 import duckdb
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from kiln.workloads.oracles import ORACLES
 from kiln.workloads.queries import QUERIES
 

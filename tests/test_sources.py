@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from kiln.sources.csv import read_csv, write_csv
 from kiln.sources.ledger import file_once_ingest
 from kiln.sources.parquet import read_parquet
-from kiln.sources.tables import TableStore
+from kiln.sources.tables import TableStore, in_periods
 
 COLS = ["order_id", "order_placement_date", "customer_id", "product_id", "order_qty"]
 
@@ -91,59 +91,87 @@ def test_csv_columns_are_taken_by_name(spark, tmp):
         read_csv(spark, f"{tmp}/l/*.csv", lineage=False).collect()
 
 
-def test_table_store_versions_and_partitions(spark, tmp):
+def test_table_store_partitions_and_columns(spark, tmp):
     store = TableStore(spark, tmp)
-    assert not store.exists("gold", "t") and store.version("gold", "t") == 0
-    df = spark.createDataFrame([(1, "2025-07"), (2, "2025-08")], "v int, m string")
-    store.write(df, "gold", "t", partition_by=["m"])
-    # read and overwrite the same table in one plan: new state
-    store.write(store.read("gold", "t").withColumn("v", F.col("v") * 10), "gold", "t",
-                partition_by=["m"])
-    assert sorted(r.v for r in store.read("gold", "t").collect()) == [10, 20]
-    assert store.version("gold", "t") == 2
-    # replace one partition only
-    cur = store.read_partitions("gold", "t", "m", ["2025-08"])
-    store.replace_partitions(cur.withColumn("v", F.col("v") + 1), "gold", "t", ["m"])
-    assert sorted((r.m, r.v) for r in store.read("gold", "t").collect()) == [("2025-07", 10), ("2025-08", 21)]
-    store.write(spark.createDataFrame([(3, "2025-09")], "v int, m string"), "gold", "t", mode="append",
-                partition_by=["m"])
+    assert not store.exists("gold", "t")
+    store.write(spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "v int, m string"), "gold", "t", partition_by=["m"])
+    # read and replace some partitions of one table: the others stay as they are
+    old = store.read("gold", "t")
+    change = old.filter("m is null or m = 'a'").withColumn("v", F.col("v") * 10).withColumn("w", F.lit("x"))
+    store.replace(change, "gold", "t", ["m"])
+    got = sorted(((r.v, r.w, r.m) for r in store.read("gold", "t").collect()), key=str)
+    assert got == [(10, "x", "a"), (2, None, "b"), (30, "x", None)]
+    store.replace(change.limit(0), "gold", "t", ["m"])
     assert store.read("gold", "t").count() == 3
+    # a whole table that reads itself
+    store.write(spark.range(3), "gold", "u")
+    store.replace(store.read("gold", "u").select(F.col("id") + 1), "gold", "u")
+    assert sorted(r[0] for r in store.read("gold", "u").collect()) == [1, 2, 3]
+    assert os.listdir(f"{tmp}/_staged/gold-u") == []
 
 
-def test_partition_replacement_is_atomic_and_adds_columns(spark, tmp, monkeypatch):
+def test_loads_replace_their_own_partition(spark, tmp):
     store = TableStore(spark, tmp)
-    store.write(spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "v int, m string"), "gold", "t", partition_by=["m"])
-    before = store.read("gold", "t")
-    change = spark.createDataFrame([(10, "x", "a"), (20, "y", "b"), (30, "z", None)], "v int, w string, m string")
+    for load, rows in (("007", [(1,)]), ("2024-01-01", [(2,), (3,)]), ("007", [(4,)])):
+        store.write_load(spark.createDataFrame(rows, "v int"), "bronze", "t", load)
+    # ids stay text whatever they look like
+    assert sorted((r.load_id, r.v) for r in store.read("bronze", "t").collect()) == [
+        ("007", 4), ("2024-01-01", 2), ("2024-01-01", 3)]
+    with pytest.raises(ValueError):
+        store.write_load(spark.range(1), "bronze", "t", "../x")
+    empty = spark.createDataFrame([], "v int, load_id string")
+    store.write_load(empty.drop("load_id").limit(0), "bronze", "e", "1")
+    assert store.read("bronze", "e", empty.schema).count() == store.read("bronze", "missing", empty.schema).count() == 0
+
+
+def test_a_replacement_that_dies_is_finished(spark, tmp, monkeypatch):
+    store = TableStore(spark, tmp)
+    store.write(spark.range(3), "gold", "t")
 
-    def killed(*a):
-        raise RuntimeError("killed before publishing")
+    def dies(self, staged, layer, name, partition_by=()):
+        self._delete(self.folder(layer, name))  # as far as an overwrite comes that is killed
+        raise RuntimeError("killed")
 
-    monkeypatch.setattr(TableStore, "_publish", killed)
+    monkeypatch.setattr(TableStore, "publish", dies)
     with pytest.raises(RuntimeError):
-        store.replace_partitions(change, "gold", "t", ["m"])
+        store.replace(store.read("gold", "t").select(F.col("id") + 10), "gold", "t")
     monkeypatch.undo()
-    assert sorted(r.v for r in store.read("gold", "t").collect()) == [1, 2, 3] and store.version("gold", "t") == 1
-    store.replace_partitions(change.filter("m is null or m = 'a'"), "gold", "t", ["m"])
-    got = sorted(((r.v, r.w, r.m) for r in store.read("gold", "t").collect()), key=str)
-    assert got == [(10, "x", "a"), (2, None, "b"), (30, "z", None)]
-    assert sorted(r.v for r in before.collect()) == [1, 2, 3]  # a reader of the old state is not disturbed
-    store.replace_partitions(change.limit(0), "gold", "t", ["m"])
+    assert not store.exists("gold", "t")
+    store.finish("gold", "t")
+    assert sorted(r[0] for r in store.read("gold", "t").collect()) == [10, 11, 12]
+    store.finish("gold", "t")  # nothing is left to finish
     assert store.read("gold", "t").count() == 3
-    removed = store.vacuum("gold", "t", keep=1)
-    assert len(removed) == 5 and store.read("gold", "t").count() == 3  # two replaced, three of the killed job
 
 
-def test_racing_writers_do_not_overwrite_each_other(spark, tmp, monkeypatch):
+def test_dynamic_partition_pruning(spark, tmp):
     store = TableStore(spark, tmp)
-    store.write(spark.range(1), "gold", "t")
-    stale = store._versions("gold", "t")
-    store.write(spark.range(2), "gold", "t")
-    monkeypatch.setattr(TableStore, "_versions", lambda *a: stale)
-    with pytest.raises(RuntimeError):
-        store.write(spark.range(3), "gold", "t")
-    monkeypatch.undo()
-    assert store.read("gold", "t").count() == 2
+    table = store.write(spark.range(100).withColumn("m", F.col("id") % 4), "gold", "t", partition_by=["m"])
+    periods = spark.createDataFrame([(1, "x"), (2, "x"), (2, "x"), (3, "y")], "m long, kind string").filter("kind = 'x'")
+    pruned = in_periods(table, "m", periods)
+    assert "dynamicpruningexpression" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert pruned.count() == 50
+
+
+def test_appended_batches_are_widened(spark, tmp):
+    from kiln.operators.union import append_parquet, read_evolving, wider
+    from pyspark.sql.types import (DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, NullType,
+                                   StringType, TimestampType)
+    frame = lambda rows, kind: append_parquet(spark.createDataFrame(rows, kind), f"{tmp}/t")
+    frame([(1, 5)], "k int, v int")
+    frame([(2, 1 << 40)], "k int, v bigint")
+    frame([(3, 6)], "k int, v int")
+    assert dict(read_evolving(spark, f"{tmp}/t").dtypes) == {"k": "int", "v": "bigint"}
+    frame([(2.5, 4)], "v double, k int")
+    assert {r.k: r.v for r in read_evolving(spark, f"{tmp}/t").collect()} == {1: 5.0, 2: float(1 << 40), 3: 6.0, 4: 2.5}
+    frame([("many", 5, True)], "v string, k int, late boolean")
+    got = read_evolving(spark, f"{tmp}/t")
+    assert {r.k: (r.v, r.late) for r in got.collect()}[5] == ("many", True) and dict(got.dtypes)["v"] == "string"
+    for a, b, c in ((IntegerType(), LongType(), LongType()), (LongType(), FloatType(), DoubleType()),
+                    (DoubleType(), StringType(), StringType()), (NullType(), DateType(), DateType()),
+                    (DateType(), TimestampType(), TimestampType()), (DateType(), LongType(), StringType()),
+                    (DecimalType(10, 2), DecimalType(5, 4), DecimalType(12, 4)), (DecimalType(4, 2), IntegerType(), DecimalType(12, 2)),
+                    (DecimalType(38, 2), LongType(), DecimalType(38, 2))):
+        assert wider(a, b) == wider(b, a) == c
 
 
 def test_read_parquet_spreads_single_split(spark, tmp):
@@ -151,14 +179,3 @@ def test_read_parquet_spreads_single_split(spark, tmp):
     df = read_parquet(spark, f"{tmp}/one", min_partitions=4, min_bytes=0)
     assert df.rdd.getNumPartitions() == 4 and df.count() == 1000
     assert read_parquet(spark, f"{tmp}/one", min_partitions=4).rdd.getNumPartitions() == 1
-
-
-def test_table_store_vacuum_keeps_newest(spark, tmp):
-    store = TableStore(spark, tmp)
-    for i in range(4):
-        store.write(spark.createDataFrame([(i,)], "v int"), "gold", "t")
-    assert len(store.vacuum("gold", "t", keep=2)) == 2
-    assert store._versions("gold", "t") == [3, 4]
-    assert store.read("gold", "t").first().v == 3
-    store.write(spark.createDataFrame([], "v int"), "gold", "t")
-    assert store.read("gold", "t").count() == 0 and store.read("gold", "t").columns == ["v"]
