@@ -146,6 +146,41 @@ from address a left join fit using (page_id)
 """
 
 
+OP11 = r"""
+with
+pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+w as materialized (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from pieces),
+total as (select lang, sum(len(ws))::bigint as n from w group by lang),
+f as materialized (
+  select lang, k, phrase, count(*) as f from (
+    select lang, k, array_to_string(ws[i : i + k - 1], ' ') as phrase from (
+      select lang, ws, k, unnest(range(1, len(ws) - k + 2)) as i from w, (select unnest(range(1, 5)) as k)))
+  group by all having count(*) >= 30),
+cuts as (
+  select lang, phrase, f as a, c, array_to_string(p[1 : c], ' ') as first, array_to_string(p[c + 1 : k], ' ') as rest from (
+    select *, string_split(phrase, ' ') as p, unnest(range(1, k)) as c from f where k > 1)),
+best as (
+  select cuts.lang, cuts.phrase, a, min(struct_pack(score := (2000000::hugeint * a) // (x.f + y.f), c := c, l := x.f, r := y.f)) as b
+  from cuts join f x on x.lang = cuts.lang and x.phrase = first join f y on y.lang = cuts.lang and y.phrase = rest
+  group by cuts.lang, cuts.phrase, a),
+parts as (
+  select lang, part, max(f) as f from (
+    select lang, f, array_to_string(p[i : i + m - 1], ' ') as part from (
+      select *, unnest(range(1, k - m + 2)) as i from (
+        select *, string_split(phrase, ' ') as p, unnest(range(2, k)) as m from f where k > 2)))
+  group by all),
+ranked as (
+  select best.lang, best.phrase, a, b.l as l, b.r as r, b.score::bigint as score, row_number() over (
+    partition by best.lang order by b.score desc, a desc, best.phrase) as rank
+  from best left join parts on parts.lang = best.lang and part = best.phrase
+  where parts.f is null or 100 * parts.f::hugeint < 80 * a::hugeint)
+select ranked.lang, rank, phrase, a, l, r, n, score from ranked join total on total.lang = ranked.lang where rank <= 2000
+"""
+
+
 def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
     """Plain k-means in whole numbers: every part against every entry, round by round."""
     steps = [f"""
@@ -193,5 +228,6 @@ ORACLES: dict[str, str] = {
     "op2_mix_sources": OP2,
     "op4_repeated_lines": OP4,
     "op8_url_rules": OP8,
+    "op11_phrases": OP11,
     "op13_vector_codes": OP13,
 }

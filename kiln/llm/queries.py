@@ -15,6 +15,7 @@ from kiln.llm.lines import repeated_units
 from kiln.llm.mixing import mix_sources, word_count
 from kiln.llm.near_dups import near_duplicate_components
 from kiln.llm.packing import pack_documents
+from kiln.llm.phrases import mine_phrases
 from kiln.llm.ring import assign_shards
 from kiln.llm.simhash import COPY_RADIUS, document_fingerprints
 from kiln.llm.simhash_dups import simhash_components
@@ -86,6 +87,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(table(spark, sf_dir, "documents"), radius=COPY_RADIUS)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents: the 2,000 best collocations of every language."""
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def op12_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents: fingerprint of the whole text and component of fingerprints within two bits."""
     return simhash_components(table(spark, sf_dir, "documents"))
@@ -100,4 +106,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_near_duplicates, op2_mix_sources, op3_language, op4_repeated_lines, op5_benchmark_leaks,
         op6_packed_tokens, op7_ring_shards, op8_url_rules, op9_main_text, op10_simhash,
-        op12_simhash_near_duplicates, op13_vector_codes, page_language)}
+        op11_phrases, op12_simhash_near_duplicates, op13_vector_codes, page_language)}
