@@ -19,7 +19,8 @@ the one interval are the extensions, their numbers the counts.
 
 Sums between 1 and 3 are by a 64-bit hash of language and words; two phrases that share one can only
 make a phrase live on too long, and step 3 counts words.  What is shuffled are a shard's distinct
-phrases, so a very common word, phrase or copied text is one row per shard.  Nothing is
+phrases, as packed arrays by range of hashes, so a very common word, phrase or copied text is one entry per shard
+and ranges are even.  A task that sums a range answers each shard which of its own entries live.  Nothing is
 broadcast but stored tables of fewer than ``SMALL`` counted rows.
 
 Scoring is grouped SQL: a phrase is joined with the counts of its parts at every cut, the least score counts,
@@ -50,7 +51,9 @@ DEPTH, MIN_COUNT, TOP = 4, 30, 2000
 CONTAINED = 80
 SCALE = 2_000_000
 #: words of a shard (a task holds one shard at a time)
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 19
+#: words of the corpus for each range of hashes that one task sums
+RANGE_WORDS = 1 << 21
 #: rows of a broadcast side
 SMALL = 500_000
 
@@ -196,15 +199,18 @@ def build_shards(docs: DataFrame, text: Column, lang: Column, shard_words: int =
     return rows.mapInArrow(work, INDEX)
 
 
+ROW = ("shard", "forward", "backward", "langs", "lang_of", "words")
+
+
 class _Row:
     """A row of the index table."""
 
-    def __init__(self, table: pa.Table, transforms: bool = True):
+    def __init__(self, table: pa.Table):
         value = lambda c: table.column(c)[0].as_py()
         self.shard = value("shard")
         self.langs, self.lang_of = value("langs"), np.frombuffer(value("lang_of"), "<i4")
         self.words = value("words").split(b"\n")
-        self.index = BiIndex(*(np.frombuffer(value(c), "<i4") for c in ("forward", "backward"))) if transforms else None
+        self.index = BiIndex(*(np.frombuffer(value(c), "<i4") for c in ("forward", "backward")))
 
     def word_hashes(self) -> np.ndarray:
         seeds = [xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) for x in self.langs]
@@ -219,85 +225,137 @@ def phrase_key(hashes: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
     return key.view(np.int64)
 
 
-COUNTS = "shard long, size int, a int, b int, c int, d int, key long, n long"
+#: a shard's entries in one range of hashes
+PACKED = "part int, shard long, keys binary, counts binary"
+
+
+def _packed(shard: int, keys: np.ndarray, n: np.ndarray, parts: int) -> pa.Table:
+    part = ((keys.view(np.uint64) >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    keys, n = keys[order], n[order].astype("<u4")
+    used, starts = np.unique(part[order], return_index=True)
+    ends = [*starts[1:], len(keys)]
+    return pa.table([pa.array(used, pa.int32()), pa.array(np.full(len(used), shard, np.int64)),
+                     *(pa.array([x[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()) for x in (keys, n))],
+                    names=["part", "shard", "keys", "counts"])
+
+
+def _living(packed: DataFrame, min_count: int) -> DataFrame:
+    """``(shard, keys)``: the entries of each shard that reach the minimum over all shards."""
+    def work(group: pa.Table) -> pa.Table:
+        rows = [np.frombuffer(x, np.int64) for x in group.column("keys").to_pylist()]
+        counts = np.concatenate([np.frombuffer(x, "<u4") for x in group.column("counts").to_pylist()])
+        _, which = np.unique(np.concatenate(rows), return_inverse=True)
+        lives = (np.bincount(which, weights=counts) >= min_count)[which]  # sums are exact below 2**53
+        ends = np.cumsum([len(r) for r in rows])
+        kept = [r[m] for r, m in zip(rows, np.split(lives, ends[:-1]))]
+        return pa.table([group.column("shard").combine_chunks(), pa.array([k.tobytes() for k in kept], pa.binary())],
+                        names=["shard", "keys"]).filter(pa.array([len(k) > 0 for k in kept]))
+
+    return packed.groupBy("part").applyInArrow(work, "shard long, keys binary")
+
 
+class _Levels:
+    """Enumeration of a shard's phrases, level by level."""
 
-def _counted(shard: int, hashes: np.ndarray, words: list[np.ndarray], n: np.ndarray) -> Iterator[pa.Table]:
-    columns = [np.asarray(w, np.int32) for w in words] + [np.zeros(len(n), np.int32)] * (DEPTH - len(words))
-    yield pa.table({"shard": np.full(len(n), shard, np.int64), "size": np.full(len(n), len(words), np.int32),
-                    **dict(zip("abcd", columns)), "key": phrase_key(hashes, words), "n": n.astype(np.int64)})
+    def __init__(self, row: _Row):
+        self.index, self.hashes, self.size = row.index, row.word_hashes(), len(row.words)
 
+    def keys(self, *words: np.ndarray) -> np.ndarray:
+        return phrase_key(self.hashes, list(words))
 
-def words_and_pairs(index: DataFrame) -> DataFrame:
-    """Counts of all words and word pairs of each shard (``COUNTS``)."""
+    def words(self) -> tuple[dict, np.ndarray]:
+        at = self.index.words()
+        return at, at["word"]
+
+    def pairs(self, at: dict, a: np.ndarray) -> tuple[dict, np.ndarray, np.ndarray]:
+        two = self.index.extend(at, "right")
+        return two, a[two["parent"]], two["word"]
+
+    def longer(self, two: dict, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+        """Counts and words of threes and fours all of whose pairs are among the given ones."""
+        alive = np.sort(a.astype(np.int64) * self.size + b)
+
+        def lives(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            return _among(alive, x.astype(np.int64) * self.size + y)
+
+        three = self.index.extend(two, "right")
+        a, b, c = a[three["parent"]], b[three["parent"]], three["word"]
+        keep = lives(b, c)
+        three, a, b, c = _take(three, keep), a[keep], b[keep], c[keep]
+        yield three["n"], [a, b, c]
+        four = self.index.extend(three, "left")
+        four = _take(four, lives(four["word"], a[four["parent"]]))
+        at = four["parent"]
+        yield four["n"], [four["word"], a[at], b[at], c[at]]
+
+
+def _among(ordered: np.ndarray, x: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(x), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, x), len(ordered) - 1)] == x
+
+
+def words_and_pairs(index: DataFrame, parts: int) -> DataFrame:
+    """All words and word pairs of each shard (``PACKED``)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = _Row(pa.Table.from_batches([batch.slice(k, 1)]))
-                hashes, words = row.word_hashes(), row.index.words()
-                pairs = row.index.extend(words, "right")
-                for gram, n in (([words["word"]], words["n"]), ([words["word"][pairs["parent"]], pairs["word"]], pairs["n"])):
-                    for table in _counted(row.shard, hashes, gram, n):
-                        yield from table.to_batches(max_chunksize=200_000)
+                levels = _Levels(row)
+                one, a = levels.words()
+                two, a2, b2 = levels.pairs(one, a)
+                yield from _packed(row.shard, np.concatenate((levels.keys(a), levels.keys(a2, b2))),
+                                   np.concatenate((one["n"], two["n"])), parts).to_batches()
+
+    return index.select(*ROW).mapInArrow(work, PACKED)
+
 
-    return index.mapInArrow(work, COUNTS)
+def _living_keys(table: pa.Table) -> np.ndarray:
+    return np.sort(np.concatenate([np.frombuffer(x, np.int64) for x in table.column("keys").to_pylist()]))
 
 
-def longer_phrases(index: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Counts of phrases of 3 and 4 words of each shard all of whose word pairs are in ``pairs``."""
+def longer_phrases(index: DataFrame, living: DataFrame, parts: int) -> DataFrame:
+    """Phrases of 3 and 4 words of each shard all of whose word pairs live (``PACKED``)."""
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        nothing = pa.table({x.split()[0]: pa.array([], pa.int64() if x.endswith("long") else pa.int32()) for x in COUNTS.split(", ")})
+        nothing = pa.table([pa.array([], t) for t in (pa.int32(), pa.int64(), pa.binary(), pa.binary())],
+                           names=["part", "shard", "keys", "counts"])
         if not left.num_rows or not right.num_rows:
             return nothing
-        row = _Row(left)
-        hashes, words, size = row.word_hashes(), row.index.words(), len(row.words)
-        alive = np.sort(right.column("a").to_numpy().astype(np.int64) * size + right.column("b").to_numpy())
-
-        def lives(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            key = a.astype(np.int64) * size + b
-            return alive[np.minimum(np.searchsorted(alive, key), len(alive) - 1)] == key
-
-        two = row.index.extend(words, "right")
-        a, b = words["word"][two["parent"]], two["word"]
-        keep = lives(a, b)
-        two, a, b = _take(two, keep), a[keep], b[keep]
-        three = row.index.extend(two, "right")
-        a, b, c = a[three["parent"]], b[three["parent"]], three["word"]
-        keep = lives(b, c)
-        three, a, b, c = _take(three, keep), a[keep], b[keep], c[keep]
-        four = row.index.extend(three, "left")
-        keep = lives(four["word"], a[four["parent"]])
-        four = _take(four, keep)
-        at = four["parent"]
-        return pa.concat_tables([*_counted(row.shard, hashes, [a, b, c], three["n"]),
-                                 *_counted(row.shard, hashes, [four["word"], a[at], b[at], c[at]], four["n"])])
+        row, alive = _Row(left), _living_keys(right)
+        levels = _Levels(row)
+        two, a, b = levels.pairs(*levels.words())
+        keep = _among(alive, levels.keys(a, b))
+        found = [(levels.keys(*words), n) for n, words in levels.longer(_take(two, keep), a[keep], b[keep])]
+        return _packed(row.shard, *(np.concatenate(x) for x in zip(*found)), parts)
 
-    return index.groupBy("shard").cogroup(pairs.groupBy("shard")).applyInArrow(work, COUNTS)
+    return (index.select(*ROW).groupBy("shard").cogroup(living.groupBy("shard")).applyInArrow(work, PACKED))
 
 
-def _living(counts: DataFrame, min_count: int) -> DataFrame:
-    """The rows of ``counts`` whose phrase reaches the minimum over all shards."""
-    keys = stored(counts.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count).select("key"), "living-keys")
-    return counts.join(small_side(keys, SMALL), "key", "left_semi")
-
-
-def _in_words(index: DataFrame, counts: DataFrame, min_count: int) -> DataFrame:
+def _in_words(index: DataFrame, living: DataFrame, min_count: int) -> DataFrame:
     """``(lang, phrase, size, f)``: the counts of all shards summed, phrases in words."""
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         schema = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("size", pa.int32()), ("n", pa.int64())])
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        row = _Row(left, transforms=False)
-        grams = zip(right.column("size").to_pylist(), *(right.column(c).to_pylist() for c in "abcd"))
-        phrases, langs = [], []
-        for size, *ids in grams:
-            phrases.append(b" ".join([row.words[i] for i in ids[:size]]))
-            langs.append(row.langs[row.lang_of[ids[0]]])
-        return pa.table([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()),
-                         right.column("size").combine_chunks(), right.column("n").combine_chunks()], schema=schema)
-
-    spelt = (index.select("shard", "langs", "lang_of", "words").groupBy("shard")
-             .cogroup(counts.groupBy("shard")).applyInArrow(work, "lang string, phrase binary, size int, n long"))
+        row, alive = _Row(left), _living_keys(right)
+        levels = _Levels(row)
+        one, a1 = levels.words()
+        two, a2, b2 = levels.pairs(one, a1)
+        keep = _among(alive, levels.keys(a2, b2))
+        two, a2, b2 = _take(two, keep), a2[keep], b2[keep]
+        out = []
+        for n, words in ((one["n"], [a1]), (two["n"], [a2, b2]), *levels.longer(two, a2, b2)):
+            keep = _among(alive, levels.keys(*words))
+            ids = [w[keep].tolist() for w in words]
+            out.append(pa.table([pa.array([row.langs[x] for x in row.lang_of[ids[0]]], pa.string()),
+                                 pa.array([b" ".join([row.words[i] for i in gram]) for gram in zip(*ids)], pa.binary()),
+                                 pa.array(np.full(keep.sum(), len(words), np.int32)), pa.array(n[keep].astype(np.int64))],
+                                schema=schema))
+        return pa.concat_tables(out)
+
+    spelt = (index.select(*ROW).groupBy("shard").cogroup(living.groupBy("shard"))
+             .applyInArrow(work, "lang string, phrase binary, size int, n long"))
     return (spelt.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count)
             .withColumn("phrase", F.col("phrase").cast("string")))
 
@@ -307,12 +365,11 @@ def phrase_counts(docs: DataFrame, text: Column, lang: Column, min_count: int =
     """``(lang, phrase, size, f)`` of all phrases of up to ``DEPTH`` words that occur ``min_count`` times in
     their language, and ``(lang, total)``: all words of a language."""
     index = stored(build_shards(docs, text, lang, shard_words), "phrase-index")
-    counts = stored(words_and_pairs(index), "words-and-pairs")
-    living = stored(_living(counts, min_count), "living-pairs")
-    longer = stored(longer_phrases(index, living.filter("size = 2").select("shard", "a", "b")), "longer-phrases")
-    living = living.unionByName(_living(longer, min_count))
-    phrases = stored(_in_words(index, living, min_count), "phrases")
-
+    total = index.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0] or 0
+    parts = max(1, -(-total // RANGE_WORDS))
+    living = stored(_living(words_and_pairs(index, parts), min_count), "living-pairs")
+    longer = stored(_living(longer_phrases(index, living, parts), min_count), "living-phrases")
+    phrases = stored(_in_words(index, living.unionByName(longer), min_count), "phrases")
     words = (index.select(F.explode(F.arrays_zip("langs", "sizes")).alias("x"))
              .groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.sizes").alias("total")).filter("total > 0"))
     return phrases, words

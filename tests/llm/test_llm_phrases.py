@@ -73,10 +73,11 @@ def test_intervals_count_every_phrase():
         assert got == dict(want)
 
 
-@pytest.mark.parametrize("shard_words, small", [(1 << 21, 500_000), (60, 0)])
+@pytest.mark.parametrize("shard_words, small", [(1 << 21, 500_000), (400, 0)])
 def test_phrases_match_brute_force(spark, monkeypatch, shard_words, small):
-    """One shard, and hundreds of shards with shuffled instead of broadcast joins."""
+    """One shard, and many shards with shuffled instead of broadcast joins."""
     monkeypatch.setattr(P, "SMALL", small)
+    monkeypatch.setattr(P, "RANGE_WORDS", max(300, small))
     docs = texts(3, 250) + [("en", "same words here again " * 50)] * 20
     rows = frame(spark, docs, "lang string, text string").repartition(4)
     got = P.mine_phrases(rows, min_count=6, top=40, shard_words=shard_words).collect()
