@@ -13,13 +13,16 @@ white space one blank.
   column of the table is two integers as wide as the item.
 
 Scale: documents are only scanned, never shuffled.  The benchmark is a table of
-its own: it is read in blocks of at most ``BLOCK_CHARS`` characters (counted
-first), each block one scan, so what is broadcast has a fixed bound however
-large the benchmark grows.
+its own: equal items are one, and its distinct texts are read in blocks of about ``BLOCK_CHARS`` characters (counted
+first), each block one scan.  A task holds the automaton of one block, whatever the size of the benchmark; the
+driver holds the texts of one block at a time and builds no automaton, but the blocks it has broadcast
+stay with Spark until the plan has run.
 
 Defined cases: a NULL or empty text matches nothing, a NULL or empty item is
 matched by nothing; an item of under ``CHARS_PER_ERROR`` characters has to occur as
-it is, as whole words; equal items and equal documents are all reported.
+it is, as whole words; equal items and equal documents are all reported.  Short items are found in ordinary
+text by chance: an item of fewer than ``REMOVAL_CHARS`` normalised characters is reported, but
+``without_leaks`` removes no document for it.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ from pyspark.sql import functions as F
 CHARS_PER_ERROR = 12
 #: characters of benchmark text held by one automaton
 BLOCK_CHARS = 4_000_000
+#: normalised characters that an item needs for documents to be removed on it (two errors; about four words)
+REMOVAL_CHARS = 24
 
 _PLAIN = bytes(32 if c < 48 or 58 <= c < 65 or 91 <= c < 97 or 123 <= c < 128 else c for c in range(256))
 
@@ -140,15 +145,19 @@ class Matcher:
         return [(self.items[w][0], d, max(0, a - 1), b - 1) for w, (d, a, b) in sorted(found.items())]
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Matcher]:
-    """The benchmark as matchers of bounded size."""
-    items = benchmark.select(F.col(f"`{id_col}`").cast("long").alias("id"),
-                             F.col(f"`{text_col}`").cast("string").alias("text")).filter("text is not null")
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return benchmark.select(F.col(f"`{id_col}`").cast("long").alias("item_id"),
+                            F.col(f"`{text_col}`").cast("string").alias("item")).filter("item is not null")
+
+
+def _blocks(items: DataFrame) -> Iterator[list[str]]:
+    """The distinct texts of the items in lists of bounded size."""
+    texts = items.select("item").distinct()
+    chars = texts.agg(F.sum(F.length("item"))).first()[0] or 0
     parts = -(-chars // BLOCK_CHARS) if chars > BLOCK_CHARS else 1
     for part in range(parts):
-        block = items if parts == 1 else items.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == part)
-        yield Matcher([(r["id"], r["text"]) for r in block.orderBy("id", "text").collect()])
+        block = texts if parts == 1 else texts.filter(F.pmod(F.xxhash64("item"), F.lit(parts)) == part)
+        yield [r["item"] for r in block.orderBy("item").collect()]
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -159,32 +168,37 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
+    items = _items(benchmark, item_col, item_text_col)
     out = None
-    for matcher in _blocks(benchmark, item_col, item_text_col):
-        shared = docs.sparkSession.sparkContext.broadcast([(m[0], m[1]) for m in matcher.items])
+    for block in _blocks(items):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own = Matcher(shared.value)
+            own = Matcher(list(enumerate(shared.value)))
             for batch in batches:
-                hits = [(doc, *hit) for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"))
-                        for hit in own.find(text.as_py())]
+                hits = [(doc, shared.value[which], *hit)
+                        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"))
+                        for which, *hit in own.find(text.as_py())]
                 columns = list(zip(*hits)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
-                                                 names=["doc_id", "item_id", "distance", "start", "end"])
+                kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
+                                                 names=["doc_id", "item", "distance", "start", "end"])
 
-        part = rows.mapInArrow(find, "doc_id long, item_id long, distance long, start long, end long")
+        part = rows.mapInArrow(find, "doc_id long, item string, distance long, start long, end long")
         out = part if out is None else out.unionByName(part)
-    return out
+    # every item with that text is leaked
+    return out.join(items, "item").select("doc_id", "item_id", "distance", "start", "end")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that no item contaminates."""
-    for matcher in _blocks(benchmark, item_col, item_text_col):
-        shared = docs.sparkSession.sparkContext.broadcast([(m[0], m[1]) for m in matcher.items])
+    """The rows of ``docs`` that no item of ``REMOVAL_CHARS`` normalised characters or more contaminates."""
+    for block in _blocks(_items(benchmark, item_col, item_text_col)):
+        long_items = [(k, item) for k, item in enumerate(block) if len(normalised(item)) >= REMOVAL_CHARS]
+        shared = docs.sparkSession.sparkContext.broadcast(long_items)
 
         @F.pandas_udf("boolean")
-        def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def clean(batches: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
             own = Matcher(shared.value)
             for texts in batches:
                 yield pd.Series([not own.find(t, first_only=True) for t in texts], dtype=bool)
