@@ -51,7 +51,9 @@ NOTICES = frozenset("ad ads advert adverts advertisement advertising banner brea
 #: words that leave a compound a notice (``comment-list``, ``footer-inner``); others do not (``has-sidebar``)
 NEUTRAL = frozenset("area bar block body bottom box button buttons container content form inner items left link links "
                     "list main page posts primary right secondary section site slot top unit wrapper".split())
-DISCUSSION = frozenset("comment comments disqus".split())
+DISCUSSION = frozenset("comment comments discussion discussions disqus replies review reviews".split())
+#: first words of a compound that names a state, not a thing (``has-comments``)
+STATES = frozenset("can has hide is no show with without".split())
 MARKS = frozenset(("article", "main"))
 CLOSED_BY = {"p": BLOCKS, "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")),
              "td": frozenset(("td", "th", "tr")), "th": frozenset(("td", "th", "tr")), "tr": frozenset(("tr",)),
@@ -74,7 +76,11 @@ def _notice(name: str, attrs: str) -> str:
     kind = ""
     for found in _CLASS.findall(attrs):
         for word in "".join(found).lower().split():
-            parts = set(_PART.findall(word))
+            order = _PART.findall(word)
+            parts = set(order)
+            # a compound is what its last word says (``user-comments``)
+            if order and order[-1] in DISCUSSION and order[0] not in STATES:
+                return "discussion"
             if parts & NOTICES and parts <= NOTICES | NEUTRAL:
                 if parts & DISCUSSION:
                     return "discussion"
@@ -82,71 +88,94 @@ def _notice(name: str, attrs: str) -> str:
     return kind
 
 
-def _scan(page: str, wrappers: frozenset[int]) -> Iterator[tuple[str, str, int, bool, tuple[tuple[int, str], ...]]]:
-    """The tokens of ``tokens_of``, each with the ``(number, kind)`` of the notices it lies in; ``wrappers`` are
-    numbers of notices that are none."""
-    stack: list[tuple[str, bool, bool, tuple]] = []  # name, never content, marked, notices
-    block = number = 0
+#: what an open element tells about its content: its name, never content, in a marked article, innermost notice
+#: (a number, -1 for none), in a notice, nearest block, in a link
+_Open = tuple[str, bool, bool, int, bool, str, bool]
+_PAGE: _Open = ("", False, False, -1, False, "none", False)
+#: only these end an open element of another name
+_CLOSERS = frozenset().union(*CLOSED_BY.values())
+
+
+def _scan(page: str, wrappers: frozenset[int], notices: list[tuple[int, str]]) -> Iterator[tuple[str, str, int, bool, int]]:
+    """The tokens of ``tokens_of``, each with the number of the innermost notice it lies in.  ``notices`` is filled with
+    the ``(outer notice, kind)`` of each; ``wrappers`` are numbers of notices that are none.
+
+    One step a token, whatever the depth: an open element knows what holds for its content.
+    """
+    stack: list[_Open] = []
+    count: dict[str, int] = {}
+    block = 0
     for found in _TOKEN.finditer(page):
         name = found["name"]
         if found["text"] is not None:
-            around = next((s[0] for s in reversed(stack) if s[0] in BLOCKS), "none")
-            _, never, inside, notices = stack[-1] if stack else ("", False, False, ())
-            out = never or any(n not in wrappers for n, _ in notices)
-            link = any(s[0] == "a" for s in stack)
+            _, never, inside, notice, out, around, link = stack[-1] if stack else _PAGE
             yield ("never" if never else "out" if out else around + (" link" if link else ""), found["text"], block,
-                   inside, notices)
+                   inside, notice)
         elif name:
             name = name.lower()
-            _, never, inside, notices = stack[-1] if stack else ("", False, False, ())
+            _, never, inside, notice, out, around, link = stack[-1] if stack else _PAGE
             if name in BLOCKS:
                 block += 1
             if found["close"]:
-                if any(s[0] == name for s in stack):
-                    while stack.pop()[0] != name:
-                        pass
+                if count.get(name):
+                    gone = ""
+                    while gone != name:
+                        gone = stack.pop()[0]
+                        count[gone] -= 1
             elif name not in EMPTY and not found["attrs"].endswith("/"):
-                for k in range(len(stack) - 1, -1, -1):  # an open paragraph ends where a block begins
-                    if name in CLOSED_BY.get(stack[k][0], ()):
+                for k in range(len(stack) - 1, -1, -1) if name in _CLOSERS else ():
+                    if name in CLOSED_BY.get(stack[k][0], ()):  # an open paragraph ends where a block begins
+                        for gone in stack[k:]:
+                            count[gone[0]] -= 1
                         del stack[k:]
                         break
                     if stack[k][0] in BLOCKS:
                         break
-                _, never, inside, notices = stack[-1] if stack else ("", False, False, ())
+                _, never, inside, notice, out, around, link = stack[-1] if stack else _PAGE
                 never = never or name in NEVER
                 kind = _notice(name, found["attrs"])
                 if kind:
-                    notices = (*notices, (number, kind))
-                    number += 1
+                    out = out or len(notices) not in wrappers
+                    notices.append((notice, kind))
+                    notice = len(notices) - 1
                 # a comment marked as an article marks no article of the page
                 marks = name in MARKS and kind != "discussion"
-                stack.append((name, never, inside or marks, notices))
-            out = never or any(n not in wrappers for n, _ in notices)
-            yield "out tag" if out else "tag", name, block, inside and name not in MARKS, notices
+                stack.append((name, never, inside or marks, notice, out, name if name in BLOCKS else around,
+                              link or name == "a"))
+                count[name] = count.get(name, 0) + 1
+                inside = inside or marks
+            yield "out tag" if never or out else "tag", name, block, inside and name not in MARKS, notice
 
 
 def _wrappers(page: str) -> frozenset[int]:
     """Notices around the page's text: those that hold most words of its marked articles or, if it marks
     none, most of its words (a discussion may well be longer than the text)."""
-    held: dict[tuple[int, str], list[int]] = {}
+    notices: list[tuple[int, str]] = []
+    held: dict[int, list[int]] = {}
     words, marked_words = 0, 0
-    for kind, value, _, marked, notices in _scan(page, frozenset()):
+    for kind, value, _, marked, notice in _scan(page, frozenset(), notices):
         if kind not in ("never", "tag", "out tag"):
             n = len(value.split())
             words += n
             marked_words += n * marked
-            for notice in notices if n else ():
+            if n and notice >= 0:
                 sums = held.setdefault(notice, [0, 0])
                 sums[0] += n
                 sums[1] += n * marked
-    return frozenset(number for (number, kind), (n, marked) in held.items() if (
-        2 * marked > marked_words if marked_words else 2 * n > words and kind != "discussion"))
+    for number in range(len(notices) - 1, -1, -1):  # inner notices come after those around them
+        outer, sums = notices[number][0], held.get(number)
+        if sums and outer >= 0:
+            around = held.setdefault(outer, [0, 0])
+            around[0] += sums[0]
+            around[1] += sums[1]
+    return frozenset(k for k, (n, marked) in held.items() if (
+        2 * marked > marked_words if marked_words else 2 * n > words and notices[k][1] != "discussion"))
 
 
 def tokens_of(page: str) -> Iterator[tuple[str, str, int, bool]]:
     """``(kind, value, block, marked)``: kind is ``tag`` or the scoring class of a text (``out tag`` and
     ``out`` for what is never content), block counts the block-level borders passed, marked tells if it lies in a marked article."""
-    for kind, value, block, marked, _ in _scan(page, _wrappers(page) if _MAY_BE.search(page) else frozenset()):
+    for kind, value, block, marked, _ in _scan(page, _wrappers(page) if _MAY_BE.search(page) else frozenset(), []):
         yield "out" if kind == "never" else kind, value, block, marked
 
 
