@@ -22,9 +22,13 @@ scores); counts are combined on the map side.  The host table grows with the
 hosts: it is joined as a stored table, so the planner broadcasts it only while
 its real size is small and else shuffles, splitting a hot host.
 
-Defined cases: a NULL text, or one of fewer than three bytes, has no text
-evidence and is rejected; a text without letters is judged by declaration and host; a NULL declaration or host counts as a value
-of its own; without labelled rows every row is ``und`` and rejected.
+A language with too little labelled text to be modelled (``MIN_CHARS``) cannot be told from its text.  A text in none of the
+modelled languages that declares such a language is taken at its word and accepted, so no row is
+lost because its language is rare.
+
+Defined cases: a NULL, empty or blank text is in no language and is rejected; a text without letters is
+judged by declaration and host; a NULL declaration or host counts as a value
+of its own; without any modelled language every text that declares one is in that, and the others are ``und`` and rejected.
 """
 
 from __future__ import annotations
@@ -183,18 +187,23 @@ def identify(rows: DataFrame, text: Column, declared: Column, host: Column, mode
     fused = (marked.join(prior, (F.col("__host") == F.col("__h")) & (F.col("__suffix") == F.col("__hs")))
              .join(likely, F.col("__declared") == F.col("__d"))
              .withColumn("__post", _softmax(add(F.col("__logs"), add(F.col("__prior"), F.col("__declares"))))))
-    no_text = F.coalesce(F.octet_length(text.cast("string")), F.lit(0)) < 3
+    no_text = F.coalesce(F.trim(F.translate(text.cast("string"), "\t\n\x0b\x0c\r", "     ")), F.lit("")) == ""
+    said = F.nullif(_declaration(declared), F.lit(""))
+    unmodelled = said.isNotNull() & ~said.isin(model.languages)
     best = lambda a: F.element_at(names, F.array_position(a, F.array_max(a)).cast("int"))
     fused = fused.withColumns({
         "__best": F.when(no_text, F.lit(UNKNOWN)).otherwise(best(F.col("__post"))),
         "__text": F.when(no_text, F.lit(UNKNOWN)).otherwise(best(F.col("__logs"))),
         "__top": F.array_max("__post")})
+    # in no modelled language, and declares one that has no model
+    fused = fused.withColumn("__trusted", unmodelled & ~no_text & (F.col("__best") == UNKNOWN))
+    fused = fused.withColumn("__best", F.when(F.col("__trusted"), said).otherwise(F.col("__best")))
     return (fused.drop("detected", "posterior", "text_language", "accepted")
             .withColumns({"detected": F.col("__best"), "posterior": F.round("__top", 9),
                           "text_language": F.col("__text"),
-                          "accepted": (F.col("__best") != UNKNOWN) & (F.col("__top") >= min_posterior)})
+                          "accepted": F.col("__trusted") | (F.col("__best") != UNKNOWN) & (F.col("__top") >= min_posterior)})
             .drop("__declared", "__host", "__suffix", "__logs", "__h", "__hs", "__prior", "__d", "__declares",
-                  "__post", "__best", "__text", "__top"))
+                  "__post", "__best", "__text", "__top", "__trusted"))
 
 
 def documents_in_known_languages(docs: DataFrame, text_col: str = "text", declared_col: str = "lang",
