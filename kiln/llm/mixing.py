@@ -208,18 +208,19 @@ def mixed_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     per block run.  Empty documents carry no words and are not taken.
     """
     cols = docs.columns
-    key = ["__id", "__source", "__size"]
+    key = ["__id", "__source", "__size", "__hash"]  # rows equal in all of these are equal texts
     rows = docs.withColumns({
+        "__hash": F.coalesce(F.md5(F.col(f"`{text_col}`").cast("string").cast("binary")), F.lit("")),
         "__id": F.coalesce(F.concat(F.lit("i"), F.col(f"`{id_col}`").cast("string")), F.lit("n")),
         "__source": _source_key(F.col(f"`{source_col}`")), "__size": word_count(F.col(f"`{text_col}`"))})
-    narrow = stored(rows.select(F.col("__id").alias("id"), F.col(f"`{source_col}`").alias("source"), "__size"),
-                    "mix-input")
-    mix = mix_sources(narrow, F.col("__size"), "id", "source", **options)
+    narrow = stored(rows.select(F.col("__id").alias("id"), F.col(f"`{source_col}`").alias("source"), "__size",
+                                F.col("__hash").alias("text_hash")), "mix-input")
+    mix = mix_sources(narrow, F.col("__size"), "id", "source", tie_cols=["text_hash"], **options)
     laps = mix.slots.groupBy("source_key", "block").agg(F.count(F.lit(1)).alias("laps"))
     placed = mix.docs.withColumn("block", F.col("first_block")).join(laps, ["source_key", "block"], "left")
     # equal keys share their laps: every one of the n rows gets laps // n, the first laps % n one more
     chosen = (placed.groupBy(F.col("id").alias("__id"), F.col("source_key").alias("__source"),
-                             F.col("size").alias("__size"))
+                             F.col("size").alias("__size"), F.col("text_hash").alias("__hash"))
               .agg(F.coalesce(F.sum("laps"), F.lit(0)).alias("__laps"), F.count(F.lit(1)).alias("__n"))
               .filter("__laps > 0"))
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))

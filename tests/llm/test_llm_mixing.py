@@ -76,3 +76,10 @@ def test_mixed_documents_follow_the_targets(spark):
     total = sum(word_n for word_n in words.values())
     for s, share in (("s0", 5 / 8), ("s1", 2 / 8), ("s2", 1 / 8)):
         assert abs(words[s] / total - share) < 0.03
+
+
+def test_equal_ids_with_different_texts_keep_their_own_copies(spark):
+    rows = [(None if i % 2 else 7, f"word{i} " * 40, "a") for i in range(60)] + [(100, "one two", "b")]
+    docs = frame(spark, rows, "doc_id long, text string, source string")
+    runs = [sorted(r.text for r in mixed_documents(docs.repartition(n)).collect()) for n in (1, 3, 5)]
+    assert runs[0] == runs[1] == runs[2] and set(runs[0]) <= {t for _, t, _ in rows}

@@ -60,13 +60,23 @@ def test_language_awkward_rows(spark):
 
 def test_rare_language_beside_a_common_one(spark):
     rare = [(i, " ".join(w[::-1] + "ß" for w in prose(i, 40).split()), "xx", "b") for i in range(30)]
-    other = [(100, "слова на другом языке " * 20, "ru", "b")]  # 440 characters are too little evidence
+    # 440 characters are too little evidence for a model, but no reason to lose the rows that say what they are
+    other = [(100, "слова на другом языке " * 20, "ru", "b"), (101, "слова на другом языке " * 20, None, "b")]
     few = frame(spark, rare + other, "doc_id long, text string, lang string, source string")
     common = spark.range(1000, 36_000).select(
         F.col("id").alias("doc_id"), F.concat(F.lit("the and of to in is that it was for on are with "), "id").alias("text"),
         F.lit("en").alias("lang"), F.lit("a").alias("source"))
     kept = {r.doc_id for r in documents_in_known_languages(few.unionByName(common)).filter("doc_id < 1000").collect()}
-    assert kept == {r.doc_id for r in documents_in_known_languages(few).collect()} == set(range(30))
+    assert kept == {r.doc_id for r in documents_in_known_languages(few).collect()} == {*range(30), 100}
+    judged = identify(few, F.col("text"), F.col("lang"), F.col("source"), fit_text_model(few, F.col("text"), F.col("lang")))
+    assert {r.doc_id: (r.detected, r.accepted) for r in judged.collect() if r.doc_id >= 100} == {100: ("ru", True), 101: ("und", False)}
+
+
+def test_short_texts_are_judged_by_declaration(spark):
+    rows = [(i, prose(i, 60), "en", "a") for i in range(40)] + [(100 + k, t, "en", "a") for k, t in enumerate(
+        ("1", "12", "123", "a", "é", "\t \n", "", None))]
+    kept = documents_in_known_languages(frame(spark, rows, "doc_id long, text string, lang string, source string"))
+    assert {r.doc_id for r in kept.collect()} == {*range(40), 100, 101, 102, 103, 104}
 
 
 # --- lines ------------------------------------------------------------------
@@ -167,11 +177,32 @@ def test_leaks_awkward_rows(spark):
     assert sorted((r.doc_id, r.item_id, r.distance) for r in got) == [
         (1, 1, 0), (2, 1, 0), (2, 1, 0), (3, 1, 0), (8, 4, 0), (9, 4, 0)]
     kept = leaks.without_leaks(df, items)
-    assert kept.columns == df.columns and kept.count() == df.count() - 6
+    # "one two" is reported, but too short to remove documents on
+    assert kept.columns == df.columns and kept.count() == df.count() - 4
     assert leaks.without_leaks(df, items.limit(0)).count() == df.count()
     assert leaks.find_leaks(df, items.limit(0)).count() == leaks.find_leaks(empty_like(df), items).count() == 0
 
 
+def test_short_items_are_reported_but_remove_nothing(spark):
+    docs = frame(spark, [(i, prose(i, 80) + " over the hill and far away") for i in range(20)], "doc_id long, text string")
+    items = frame(spark, [(1, "The"), (2, "over the hill"), (3, "the hill and far"), (4, "Over the hill, and far away!"),
+                          (4, "over the hill and far away"), (6, "Over the hill, and far away!")], "item_id long, text string")
+    found = leaks.find_leaks(docs, items).collect()
+    want = {}
+    for r in docs.collect():
+        text = leaks.normalised(r.text)
+        for i in items.collect():
+            plain = leaks.normalised(i.text)
+            hit = semi_global(plain, text)[0] <= leaks.errors(len(plain)) if leaks.errors(len(plain)) else f" {plain} " in f" {text} "
+            want[r.doc_id, i.item_id] = want.get((r.doc_id, i.item_id), 0) + hit
+    got = {}
+    for r in found:
+        got[r.doc_id, r.item_id] = got.get((r.doc_id, r.item_id), 0) + 1
+    assert got == {k: n for k, n in want.items() if n} and got[3, 4] == 2 and got[3, 6] == 1  # equal items, each
+    assert leaks.without_leaks(docs, items.filter("item_id <= 3")).count() == 20
+    assert leaks.without_leaks(docs, items).count() == 0
+
+
 def test_benchmark_in_several_blocks(spark, monkeypatch):
     items = frame(spark, [(i, prose(300 + i, 30)) for i in range(12)], "item_id long, text string")
     docs = frame(spark, [(i, prose(i, 10) + " " + prose(300 + i, 30) + " end") for i in range(15)], "doc_id long, text string")
@@ -281,6 +312,23 @@ def test_main_text_of_one_page(spark):
     assert extract.main_text(PAGE.replace("<article>", '<div class="post">').replace("</article>", "</div>"), weights) == want
 
 
+@pytest.mark.parametrize("name, kept", [
+    ("user-comments", False), ("reader-discussion", False), ("reviews", False), ("comment-list", False), ("post_replies", False),
+    ("has-comments", True), ("elementor-widget", True), ("reviewed", True)])
+def test_discussions_by_compound_names(name, kept):
+    weights = {"word p": 11.0, "tag div": -0.05, "tag p": -0.05}
+    page = f"<article><p>one two three</p></article><div class='{name}'><p>four five</p></div>"
+    assert extract.main_text(page, weights) == ("one two three\nfour five" if kept else "one two three")
+
+
+@pytest.mark.parametrize("tag", ["<b>", "<div class=ad>", "<option>", "<p><b>", "</i>"])
+def test_unclosed_elements_take_linear_time(tag):
+    import time
+    start = time.perf_counter()
+    extract.main_text((tag + "x ") * 100_000, {})
+    assert time.perf_counter() - start < 20  # 1 to 4 s; the square would be minutes
+
+
 @pytest.mark.parametrize("start,end", [
     ('<div class="content has-sidebar">', "</div>"), ('<main class="with-sidebar">', "</main>"),
     ('<div class="elementor-widget">', "</div>"), ('<div class="widget">', "</div>"), ('<div id="sidebar menu">', "</div>")])
