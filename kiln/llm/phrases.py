@@ -44,18 +44,20 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.llm.common import small_side, stored
+from kiln.llm.common import arrow_rows, small_side, stored
 
 DEPTH, MIN_COUNT, TOP = 4, 30, 2000
 #: a phrase is part of a longer one if that has this share (per cent) of its occurrences
 CONTAINED = 80
 SCALE = 2_000_000
 #: words of a shard (a task holds one shard at a time)
-SHARD_WORDS = 1 << 19
+SHARD_WORDS = 1 << 18
 #: words of the corpus for each range of hashes that one task sums
 RANGE_WORDS = 1 << 21
 #: rows of a broadcast side
 SMALL = 500_000
+#: rows that Python gets at once: texts, and shards or their entries
+TEXT_ROWS, SHARD_ROWS = 500, 4
 
 #: A-Z in lower case; the cuts . , ; : ! ? and 0x0A-0x0D become a byte that no UTF-8 text has
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else 0xFF if c in b".,;:!?\x0a\x0b\x0c\x0d" else c for c in range(256))
@@ -364,12 +366,15 @@ def phrase_counts(docs: DataFrame, text: Column, lang: Column, min_count: int =
                   shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
     """``(lang, phrase, size, f)`` of all phrases of up to ``DEPTH`` words that occur ``min_count`` times in
     their language, and ``(lang, total)``: all words of a language."""
-    index = stored(build_shards(docs, text, lang, shard_words), "phrase-index")
+    spark = docs.sparkSession
+    with arrow_rows(spark, TEXT_ROWS):
+        index = stored(build_shards(docs, text, lang, shard_words), "phrase-index")
     total = index.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0] or 0
     parts = max(1, -(-total // RANGE_WORDS))
-    living = stored(_living(words_and_pairs(index, parts), min_count), "living-pairs")
-    longer = stored(_living(longer_phrases(index, living, parts), min_count), "living-phrases")
-    phrases = stored(_in_words(index, living.unionByName(longer), min_count), "phrases")
+    with arrow_rows(spark, SHARD_ROWS):
+        living = stored(_living(words_and_pairs(index, parts), min_count), "living-pairs")
+        longer = stored(_living(longer_phrases(index, living, parts), min_count), "living-phrases")
+        phrases = stored(_in_words(index, living.unionByName(longer), min_count), "phrases")
     words = (index.select(F.explode(F.arrays_zip("langs", "sizes")).alias("x"))
              .groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.sizes").alias("total")).filter("total > 0"))
     return phrases, words
