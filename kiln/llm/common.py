@@ -40,15 +40,19 @@ def delete_stored(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Jobs run inside send at most ``rows`` rows to Python at once: for tables of large values."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+def lean_steps(spark: SparkSession, rows: int) -> Iterator[None]:
+    """For jobs that each write a table: at most ``rows`` rows go to Python at once (for large
+    values), and a job's shuffle files are deleted when it has ended."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+              "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

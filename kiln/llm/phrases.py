@@ -17,7 +17,7 @@ the one interval are the extensions, their numbers the counts.
    lives (a phrase occurs no more often than its parts).  Counts are summed again.
 3. The living phrases of all lengths are written out in words and summed for good.
 
-Sums between 1 and 3 are by a 64-bit hash of language and words; two phrases that share one can only
+Sums between 1 and 3 are by a hash of language and words (the range and 32 bits inside of it); two phrases that share one can only
 make a phrase live on too long, and step 3 counts words.  What is shuffled are a shard's distinct
 phrases, as packed arrays by range of hashes, so a very common word, phrase or copied text is one entry per shard
 and ranges are even.  A task that sums a range answers each shard which of its own entries live.  Nothing is
@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.llm.common import arrow_rows, small_side, stored
+from kiln.llm.common import lean_steps, small_side, stored
 
 DEPTH, MIN_COUNT, TOP = 4, 30, 2000
 #: a phrase is part of a longer one if that has this share (per cent) of its occurrences
@@ -166,8 +166,12 @@ class _Shard:
         return ids[np.concatenate(([True], (ids[1:] > 0) | (ids[:-1] > 0)))]  # one separator between pieces
 
 
-INDEX = ("shard long, forward binary, backward binary, langs array<string>, sizes array<bigint>, lang_of binary, "
-         "words binary")
+INDEX = ("shard long, length long, forward binary, backward binary, langs array<string>, sizes array<bigint>, "
+         "lang_of binary, words binary")
+
+
+def _symbol_type(n_words: int) -> str:
+    return "<u2" if n_words <= 1 << 16 else "<i4"
 
 
 def build_shards(docs: DataFrame, text: Column, lang: Column, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -180,8 +184,10 @@ def build_shards(docs: DataFrame, text: Column, lang: Column, shard_words: int =
 
         def row(shard: _Shard) -> pa.RecordBatch:
             symbols = shard.symbols()
-            columns = [pa.array([task << 24 | made], pa.int64()),
-                       *(pa.array([transform(s).astype("<i4").tobytes()], pa.binary()) for s in (symbols, symbols[::-1])),
+            kind = _symbol_type(len(shard.words))
+            columns = [pa.array([task << 24 | made], pa.int64()), pa.array([len(symbols)], pa.int64()),
+                       *(pa.array([pa.compress(transform(s).astype(kind).tobytes(), "zstd", asbytes=True)], pa.binary())
+                         for s in (symbols, symbols[::-1])),
                        pa.array([list(shard.langs)], pa.list_(pa.string())),
                        pa.array([list(shard.sizes.values())], pa.list_(pa.int64())),
                        pa.array([np.array([x for x, _ in shard.words], "<i4").tobytes()], pa.binary()),
@@ -201,7 +207,7 @@ def build_shards(docs: DataFrame, text: Column, lang: Column, shard_words: int =
     return rows.mapInArrow(work, INDEX)
 
 
-ROW = ("shard", "forward", "backward", "langs", "lang_of", "words")
+ROW = ("shard", "length", "forward", "backward", "langs", "lang_of", "words")
 
 
 class _Row:
@@ -212,7 +218,9 @@ class _Row:
         self.shard = value("shard")
         self.langs, self.lang_of = value("langs"), np.frombuffer(value("lang_of"), "<i4")
         self.words = value("words").split(b"\n")
-        self.index = BiIndex(*(np.frombuffer(value(c), "<i4") for c in ("forward", "backward")))
+        kind = np.dtype(_symbol_type(len(self.words)))
+        self.index = BiIndex(*(np.frombuffer(pa.decompress(value(c), kind.itemsize * value("length"), "zstd"), kind)
+                               for c in ("forward", "backward")))
 
     def word_hashes(self) -> np.ndarray:
         seeds = [xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) for x in self.langs]
@@ -227,34 +235,46 @@ def phrase_key(hashes: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
     return key.view(np.int64)
 
 
-#: a shard's entries in one range of hashes
+#: a shard's entries in one range of hashes: the low half of each key, and counts in one byte or in four
 PACKED = "part int, shard long, keys binary, counts binary"
+_SCHEMA = pa.schema([("part", pa.int32()), ("shard", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def _slots(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Range (by the high half of the key) and low half: what tells phrases apart before they are counted in words."""
+    keys = keys.view(np.uint64)
+    return ((keys >> np.uint64(32)) % np.uint64(parts)) << np.uint64(32) | keys & np.uint64(0xFFFFFFFF)
 
 
 def _packed(shard: int, keys: np.ndarray, n: np.ndarray, parts: int) -> pa.Table:
-    part = ((keys.view(np.uint64) >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
-    order = np.argsort(part, kind="stable")
-    keys, n = keys[order], n[order].astype("<u4")
-    used, starts = np.unique(part[order], return_index=True)
-    ends = [*starts[1:], len(keys)]
-    return pa.table([pa.array(used, pa.int32()), pa.array(np.full(len(used), shard, np.int64)),
-                     *(pa.array([x[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()) for x in (keys, n))],
-                    names=["part", "shard", "keys", "counts"])
+    slots, out = _slots(keys, parts), []
+    for these, kind in ((n < 256, "u1"), (n >= 256, "<u4")):
+        own = slots[these]
+        order = np.argsort(own)
+        own, counts = own[order], n[these][order].astype(kind)
+        used, starts = np.unique(own >> np.uint64(32), return_index=True)
+        low, ends = own.astype("<u4"), [*starts[1:], len(own)]
+        out.append(pa.table([pa.array(used.astype(np.int32)), pa.array(np.full(len(used), shard, np.int64)),
+                             *(pa.array([x[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()) for x in (low, counts))],
+                            schema=_SCHEMA))
+    return pa.concat_tables(out)
 
 
 def _living(packed: DataFrame, min_count: int) -> DataFrame:
-    """``(shard, keys)``: the entries of each shard that reach the minimum over all shards."""
+    """``(part, shard, keys)``: the entries of each shard that reach the minimum over all shards."""
     def work(group: pa.Table) -> pa.Table:
-        rows = [np.frombuffer(x, np.int64) for x in group.column("keys").to_pylist()]
-        counts = np.concatenate([np.frombuffer(x, "<u4") for x in group.column("counts").to_pylist()])
+        rows = [np.frombuffer(x, "<u4") for x in group.column("keys").to_pylist()]
+        counts = np.concatenate([np.frombuffer(x, "u1" if len(x) == len(r) else "<u4")
+                                 for x, r in zip(group.column("counts").to_pylist(), rows)])
         _, which = np.unique(np.concatenate(rows), return_inverse=True)
         lives = (np.bincount(which, weights=counts) >= min_count)[which]  # sums are exact below 2**53
         ends = np.cumsum([len(r) for r in rows])
         kept = [r[m] for r, m in zip(rows, np.split(lives, ends[:-1]))]
-        return pa.table([group.column("shard").combine_chunks(), pa.array([k.tobytes() for k in kept], pa.binary())],
-                        names=["shard", "keys"]).filter(pa.array([len(k) > 0 for k in kept]))
+        return pa.table([group.column("part").combine_chunks(), group.column("shard").combine_chunks(),
+                         pa.array([k.tobytes() for k in kept], pa.binary())],
+                        names=["part", "shard", "keys"]).filter(pa.array([len(k) > 0 for k in kept]))
 
-    return packed.groupBy("part").applyInArrow(work, "shard long, keys binary")
+    return packed.groupBy("part").applyInArrow(work, "part int, shard long, keys binary")
 
 
 class _Levels:
@@ -313,42 +333,41 @@ def words_and_pairs(index: DataFrame, parts: int) -> DataFrame:
     return index.select(*ROW).mapInArrow(work, PACKED)
 
 
-def _living_keys(table: pa.Table) -> np.ndarray:
-    return np.sort(np.concatenate([np.frombuffer(x, np.int64) for x in table.column("keys").to_pylist()]))
+def _living_slots(table: pa.Table) -> np.ndarray:
+    rows = zip(table.column("part").to_pylist(), table.column("keys").to_pylist())
+    return np.sort(np.concatenate([np.uint64(part << 32) | np.frombuffer(x, "<u4").astype(np.uint64) for part, x in rows]))
 
 
 def longer_phrases(index: DataFrame, living: DataFrame, parts: int) -> DataFrame:
     """Phrases of 3 and 4 words of each shard all of whose word pairs live (``PACKED``)."""
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        nothing = pa.table([pa.array([], t) for t in (pa.int32(), pa.int64(), pa.binary(), pa.binary())],
-                           names=["part", "shard", "keys", "counts"])
         if not left.num_rows or not right.num_rows:
-            return nothing
-        row, alive = _Row(left), _living_keys(right)
+            return _SCHEMA.empty_table()
+        row, alive = _Row(left), _living_slots(right)
         levels = _Levels(row)
         two, a, b = levels.pairs(*levels.words())
-        keep = _among(alive, levels.keys(a, b))
+        keep = _among(alive, _slots(levels.keys(a, b), parts))
         found = [(levels.keys(*words), n) for n, words in levels.longer(_take(two, keep), a[keep], b[keep])]
         return _packed(row.shard, *(np.concatenate(x) for x in zip(*found)), parts)
 
     return (index.select(*ROW).groupBy("shard").cogroup(living.groupBy("shard")).applyInArrow(work, PACKED))
 
 
-def _in_words(index: DataFrame, living: DataFrame, min_count: int) -> DataFrame:
+def _in_words(index: DataFrame, living: DataFrame, parts: int, min_count: int) -> DataFrame:
     """``(lang, phrase, size, f)``: the counts of all shards summed, phrases in words."""
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         schema = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("size", pa.int32()), ("n", pa.int64())])
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        row, alive = _Row(left), _living_keys(right)
+        row, alive = _Row(left), _living_slots(right)
         levels = _Levels(row)
         one, a1 = levels.words()
         two, a2, b2 = levels.pairs(one, a1)
-        keep = _among(alive, levels.keys(a2, b2))
+        keep = _among(alive, _slots(levels.keys(a2, b2), parts))
         two, a2, b2 = _take(two, keep), a2[keep], b2[keep]
         out = []
         for n, words in ((one["n"], [a1]), (two["n"], [a2, b2]), *levels.longer(two, a2, b2)):
-            keep = _among(alive, levels.keys(*words))
+            keep = _among(alive, _slots(levels.keys(*words), parts))
             ids = [w[keep].tolist() for w in words]
             out.append(pa.table([pa.array([row.langs[x] for x in row.lang_of[ids[0]]], pa.string()),
                                  pa.array([b" ".join([row.words[i] for i in gram]) for gram in zip(*ids)], pa.binary()),
@@ -367,14 +386,14 @@ def phrase_counts(docs: DataFrame, text: Column, lang: Column, min_count: int =
     """``(lang, phrase, size, f)`` of all phrases of up to ``DEPTH`` words that occur ``min_count`` times in
     their language, and ``(lang, total)``: all words of a language."""
     spark = docs.sparkSession
-    with arrow_rows(spark, TEXT_ROWS):
+    with lean_steps(spark, TEXT_ROWS):
         index = stored(build_shards(docs, text, lang, shard_words), "phrase-index")
     total = index.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0] or 0
     parts = max(1, -(-total // RANGE_WORDS))
-    with arrow_rows(spark, SHARD_ROWS):
+    with lean_steps(spark, SHARD_ROWS):
         living = stored(_living(words_and_pairs(index, parts), min_count), "living-pairs")
         longer = stored(_living(longer_phrases(index, living, parts), min_count), "living-phrases")
-        phrases = stored(_in_words(index, living.unionByName(longer), min_count), "phrases")
+        phrases = stored(_in_words(index, living.unionByName(longer), parts, min_count), "phrases")
     words = (index.select(F.explode(F.arrays_zip("langs", "sizes")).alias("x"))
              .groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.sizes").alias("total")).filter("total > 0"))
     return phrases, words
