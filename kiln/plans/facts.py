@@ -253,17 +253,26 @@ def _merge_lines(store: TableStore, judged: DataFrame, names: _Names, load_id: s
         store.publish(df, layer, table, [by])
 
 
-def _state(store: TableStore, judged: DataFrame, names: _Names) -> FactState:
-    batch = _line_batch(judged)
-    gold = orders_gold(batch)
-    return FactState(store.read("silver", names.name, batch.schema), store.read("gold", names.daily, gold.withColumn(
-        MONTH, month_start("date")).schema), store.read("gold", names.parent, parent_rollup(gold).schema))
+class LoadedState:
+    """The tables after a load; each is read when it is asked for."""
+
+    def __init__(self, store: TableStore, judged: DataFrame, names: _Names):
+        batch = _line_batch(judged)
+        gold = orders_gold(batch)
+        self._store = store
+        self._tables = {"silver": ("silver", names.name, batch.schema), "parent": ("gold", names.parent, parent_rollup(gold).schema),
+                        "gold": ("gold", names.daily, gold.withColumn(MONTH, month_start("date")).schema)}
+
+    def __getattr__(self, table: str) -> DataFrame:
+        if table not in ("silver", "gold", "parent"):
+            raise AttributeError(table)
+        return self._store.read(*self._tables[table])
 
 
 def run_fact_load(store: TableStore, bronze: DataFrame, products: DataFrame,
                   name: str = "orders", parent: str = "fact_orders", load_id: str | None = None,
                   sequence: Column | None = None, replace_periods: bool = False,
-                  change_feed: bool = False) -> FactState:
+                  change_feed: bool = False) -> LoadedState:
     """Load one landing batch: a full load when the child tables are absent,
     otherwise incremental — the same steps either way.
 
@@ -289,11 +298,11 @@ def run_fact_load(store: TableStore, bronze: DataFrame, products: DataFrame,
         judged = land_lines(store, bronze, products, name, load_id, sequence)
         _merge_lines(store, judged, names, load_id, replace_periods, change_feed)
         store.end(name, load_id)
-        return _state(store, judged, names)
+        return LoadedState(store, judged, names)
 
 
 def reload_rejects(store: TableStore, products: DataFrame, name: str = "orders", parent: str = "fact_orders",
-                   load_id: str | None = None) -> FactState:
+                   load_id: str | None = None) -> LoadedState:
     """Load the rejected lines whose product has arrived since, in the place of their own loads.
 
     The lines keep the sequence of the load they came with, so they do not overwrite later values.
@@ -322,4 +331,4 @@ def reload_rejects(store: TableStore, products: DataFrame, name: str = "orders",
             for row in emptied:
                 store.drop_load("silver", names.rejects, row[LOAD])
         store.end(name, load_id)
-        return _state(store, judged, names)
+        return LoadedState(store, judged, names)

@@ -330,7 +330,7 @@ both_ AS (
 feed AS (
   SELECT * EXCLUDE (was, had), 'insert' AS change_type FROM both_ WHERE NOT had
   UNION ALL SELECT * EXCLUDE (was, had), 'update_postimage' FROM both_ WHERE had AND was <> qty
-  UNION ALL SELECT * REPLACE (was AS qty) EXCLUDE (was, had), 'update_preimage' FROM both_ WHERE had AND was <> qty)
+  UNION ALL SELECT * EXCLUDE (was, had) REPLACE (was AS qty), 'update_preimage' FROM both_ WHERE had AND was <> qty)
 SELECT order_id, order_placement_date, customer_id, feed.product_id, qty AS order_qty, product_code, change_type
 FROM feed JOIN prod ON feed.product_id = prod.product_id""",
     "fact_stream_mixed_headers": f"""WITH {_LINES}, {_PRODUCTS},
