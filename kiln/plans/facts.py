@@ -21,6 +21,7 @@ later are loaded by ``reload_rejects`` and leave the rejects.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -201,30 +202,23 @@ def _merge_lines(store: TableStore, judged: DataFrame, names: _Names, load_id: s
                  change_feed: bool) -> None:
     """Merge judged lines into silver, gold and parent.
 
-    Every table that is there already is staged before any is published.
+    What reads the table it replaces is staged before anything is published; the three tables are
+    then written side by side.
     """
     name, daily, parent = names.name, names.daily, names.parent
     batch = materialize(_line_batch(judged), f"batch-{name}")
     months = _touched(judged)
-    staged: list[tuple[DataFrame, str, str, str]] = []
-
-    def put(df: DataFrame, layer: str, table: str, by: str, there: bool) -> DataFrame:
-        """Stage what may read its own table; a table that is not there yet is written at once."""
-        if not there:
-            return store.write(df, layer, table, partition_by=[by])
-        staged.append((store.stage(df, name, load_id, layer, table, [by]), layer, table, by))
-        return staged[-1][0]
-
     if store.exists("silver", name):
         # partition pruning by the join: exact, because the month is a function of the line key
         current = _both_columns(in_periods(store.read("silver", name, batch.schema), MONTH, months), batch)
         older = F.coalesce(F.substring_index(SEQ, "/", 1), F.lit("")) <= load_id
         base = current.filter(~older) if replace_periods else current
-        merged = upsert(base, batch, SILVER_KEYS, materialize=False, unique=True, sequence=SEQ)
+        silver = upsert(base, batch, SILVER_KEYS, materialize=False, unique=True, sequence=SEQ)
+        silver = store.stage(silver, name, load_id, "silver", name)
     elif store.exists("gold", daily):
         raise ValueError(f"the daily fact {daily} has no silver table {name} that it could be made from")
     else:
-        current, older, merged = batch.limit(0), F.lit(True), batch
+        current, older, silver = batch.limit(0), F.lit(True), batch
     if change_feed and not store.has_load("silver", names.changes, load_id):
         # a load taken again changes nothing: its feed stays that of the first time
         values = {c: c for c in batch.columns if c not in (*SILVER_KEYS, SEQ)}
@@ -233,24 +227,27 @@ def _merge_lines(store: TableStore, judged: DataFrame, names: _Names, load_id: s
             left = current.filter(older).join(batch.select(*SILVER_KEYS), list(SILVER_KEYS), "left_anti")
             changes = changes.unionByName(left.withColumn(CHANGE_TYPE, F.lit("delete")))
         store.write_load(changes.drop(SEQ, MONTH), "silver", names.changes, load_id)
-    silver = put(merged, "silver", name, MONTH, store.exists("silver", name))
 
     # silver's new months are complete, so gold's are their projection and the parent's sums final
-    gold = put(orders_gold(silver).withColumn(MONTH, month_start("date")), "gold", daily, MONTH, store.exists("gold", daily))
+    gold = orders_gold(silver).withColumn(MONTH, month_start("date"))
     sums = parent_rollup(gold)
-    there = store.exists("gold", parent)
-    if there:
+    if store.exists("gold", parent):
         held = in_periods(store.read("gold", parent, sums.schema), "date", months.withColumnRenamed(MONTH, "date"))
         if replace_periods:
             # not matched by source: the child's own keys that its daily fact no longer has
             was = orders_gold(current).select(month_start("date").alias("date"), *PARENT_KEYS[1:]).distinct()
             gone = was.join(sums.select(*PARENT_KEYS), list(PARENT_KEYS), "left_anti")
             held = held.join(gone, list(PARENT_KEYS), "left_anti")
-        sums = upsert(held, sums, PARENT_KEYS, unique=True)
-    put(sums, "gold", parent, "date", there)
+        sums = store.stage(upsert(held, sums, PARENT_KEYS, unique=True), name, load_id, "gold", parent)
 
-    for df, layer, table, by in staged:
-        store.publish(df, layer, table, [by])
+    tables = [(silver, "silver", name, MONTH), (gold, "gold", daily, MONTH), (sums, "gold", parent, "date")]
+    if not store.exists("silver", name):
+        # a first load that dies leaves no gold without silver, and can be run again
+        first, *tables = tables
+        store.publish(first[0], "silver", name, [MONTH])
+    with ThreadPoolExecutor(len(tables)) as pool:
+        for done in [pool.submit(store.publish, df, layer, table, [by]) for df, layer, table, by in tables]:
+            done.result()
 
 
 class LoadedState:
@@ -325,7 +322,7 @@ def reload_rejects(store: TableStore, products: DataFrame, name: str = "orders",
             loads = materialize(found.select(LOAD).distinct(), "reloaded")  # one row per load
             touched = held.join(F.broadcast(loads), LOAD, "left_semi")
             left = touched.join(known.withColumnRenamed("product_id", "__known"), gone == F.col("__known"), "left_anti")
-            left = store.stage(left, name, load_id, "silver", names.rejects, [LOAD])
+            left = store.stage(left, name, load_id, "silver", names.rejects)
             emptied = loads.join(left.select(LOAD).distinct(), LOAD, "left_anti").collect()
             store.publish(left, "silver", names.rejects, [LOAD])
             for row in emptied:

@@ -130,17 +130,17 @@ class TableStore:
         if left:
             raise RuntimeError(f"the load {sorted(left)} of {group} did not finish: run it again with its id first")
 
-    def stage(self, df: DataFrame, group: str, load_id: str, layer: str, name: str,
-              partition_by: Sequence[str] = ()) -> DataFrame:
+    def stage(self, df: DataFrame, group: str, load_id: str, layer: str, name: str) -> DataFrame:
         """Compute ``df`` into the stage of a table, unless that is complete already; returns the staged rows."""
         path = f"{self._stage_folder(group, load_id)}/{layer}/{name}"
         if not self._there(f"{path}/_SUCCESS"):
-            _rebalanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+            df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def publish(self, staged: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> None:
-        """Replace the partitions present in ``staged`` (the whole table if it is not partitioned)."""
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if partition_by else "static")
+        """Replace the partitions present in ``staged`` (the whole table if it is not partitioned), which does not
+        read the table."""
+        (_rebalanced(staged, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if partition_by else "static")
          .partitionBy(*partition_by).parquet(self.folder(layer, name)))
 
     def end(self, group: str, load_id: str) -> None:
@@ -153,7 +153,7 @@ class TableStore:
         ``finish`` has to run before ``df`` is made, if a run may have died here.
         """
         group, load_id = f"{layer}-{name}", "replace"
-        self.publish(self.stage(df, group, load_id, layer, name, partition_by), layer, name, partition_by)
+        self.publish(self.stage(df, group, load_id, layer, name), layer, name, partition_by)
         self.end(group, load_id)
 
     def finish(self, layer: str, name: str, partition_by: Sequence[str] = ()) -> None:
@@ -161,5 +161,5 @@ class TableStore:
         group, load_id = f"{layer}-{name}", "replace"
         path = f"{self._stage_folder(group, load_id)}/{layer}/{name}"
         if self._there(f"{path}/_SUCCESS"):
-            self.publish(self._scan(path), layer, name, partition_by)
+            self.publish(self.spark.read.parquet(path), layer, name, partition_by)
         self.end(group, load_id)
