@@ -32,6 +32,7 @@ from collections.abc import Iterator
 import ahocorasick
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -190,18 +191,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     return out.join(items, "item").select("doc_id", "item_id", "distance", "start", "end")
 
 
+def _cleaner(shared: Broadcast):
+    """A test for texts in which none of the broadcast items occurs."""
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = Matcher(shared.value)
+        for texts in batches:
+            yield pd.Series([not own.find(t, first_only=True) for t in texts], dtype=bool)
+
+    return clean
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that no item of ``REMOVAL_CHARS`` normalised characters or more contaminates."""
     for block in _blocks(_items(benchmark, item_col, item_text_col)):
         long_items = [(k, item) for k, item in enumerate(block) if len(normalised(item)) >= REMOVAL_CHARS]
-        shared = docs.sparkSession.sparkContext.broadcast(long_items)
-
-        @F.pandas_udf("boolean")
-        def clean(batches: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            own = Matcher(shared.value)
-            for texts in batches:
-                yield pd.Series([not own.find(t, first_only=True) for t in texts], dtype=bool)
-
+        clean = _cleaner(docs.sparkSession.sparkContext.broadcast(long_items))
         docs = docs.filter(clean(F.col(f"`{text_col}`").cast("string")))
     return docs
