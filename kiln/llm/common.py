@@ -40,11 +40,13 @@ def delete_stored(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def lean_steps(spark: SparkSession, rows: int) -> Iterator[None]:
-    """For jobs that each write a table: at most ``rows`` rows go to Python at once (for large
-    values), and a job's shuffle files are deleted when it has ended."""
+def lean_steps(spark: SparkSession, rows: int, max_bytes: int | None = None) -> Iterator[None]:
+    """For jobs that each write a table: at most ``rows`` rows (and about ``max_bytes``, one row at least)
+    go to Python at once, and a job's shuffle files are deleted when it has ended."""
     wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
               "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    if max_bytes:
+        wanted["spark.sql.execution.arrow.maxBytesPerBatch"] = str(max_bytes)
     before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():
         spark.conf.set(name, value)

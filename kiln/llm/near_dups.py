@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import process_wide, small_side, stored
+from kiln.llm.common import lean_steps, process_wide, small_side, stored
 from kiln.llm.components import components
 
 WORDS = 5
@@ -47,8 +47,10 @@ COORDINATES = 128
 MARGIN = 3.5
 #: buckets of the value-count sketch (a fixed size: one byte each is broadcast)
 SKETCH_BITS = 17
-#: members of a list block that are compared at once
-BLOCK = 512
+#: members of a list block that are compared at once, and the sum of their set sizes (about)
+BLOCK, BLOCK_SHINGLES = 512, 1 << 21
+#: rows and bytes (one row at least) that Python gets at once
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -177,10 +179,10 @@ def _postings(classes: DataFrame, levels: bytes, coordinates: int, prefix: int)
             first = np.argpartition(rank, prefix - 1, axis=1)[:, :prefix]
             keys = (first.astype(np.int64) << 32) | np.take_along_axis(values, first, 1).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel()), pa.array(np.repeat(batch.column("node").to_numpy(), prefix))],
-                names=["key", "node"])
+                [pa.array(keys.ravel()), *[pa.array(np.repeat(batch.column(c).to_numpy(), prefix))
+                                           for c in ("node", "n_shingles")]], names=["key", "node", "n_shingles"])
 
-    return classes.select("node", "signature").mapInArrow(post, "key long, node long")
+    return classes.select("node", "n_shingles", "signature").mapInArrow(post, "key long, node long, n_shingles long")
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -274,10 +276,10 @@ def _hits(group: dict, threshold: int, percent: int) -> list[tuple[int, np.ndarr
     return out
 
 
-def _block_links(group: dict, threshold: int, percent: int) -> list[tuple[int, int]]:
+def _block_links(group: dict, texts: pa.ChunkedArray, threshold: int, percent: int) -> list[tuple[int, int]]:
     """Links that join different components among the members of one block.
 
-    The candidates are confirmed on full sets, all at once by products of
+    ``texts`` stays in Arrow: one text at a time becomes a Python object.  The candidates are confirmed on full sets, all at once by products of
     document-by-shingle tables over bounded slices of the shingles.
     """
     hits = _hits(group, threshold, percent)
@@ -285,7 +287,7 @@ def _block_links(group: dict, threshold: int, percent: int) -> list[tuple[int, i
     if not used:
         return []
     place = {i: k for k, i in enumerate(used)}
-    sets = [shingle_set(group["text"][i]) for i in used]
+    sets = [shingle_set(texts[i].as_py()) for i in used]
     sizes = np.array([len(x) for x in sets])
     every, which = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -326,29 +328,31 @@ def _links_in_lists(members: DataFrame, classes: DataFrame, docs: DataFrame,
                     threshold: int, percent: int) -> DataFrame:
     """Links between different components that meet in one list.
 
-    ``members(key, node, label)``.  A list of up to ``BLOCK`` members is one
-    block.  A longer one is cut by set size (a class spans one similarity step,
-    so linked sets lie in the same or the next class) and by a hash into
-    parts; only members outside the list's largest component need asking, and
+    ``members(key, node, n_shingles, label)``.  A list of up to ``BLOCK`` members
+    with ``BLOCK_SHINGLES`` shingles together is one block.  A larger one is cut by
+    set size (a class spans one similarity step, so linked sets lie in the same or
+    the next class) and by a hash into parts that are bounded in both; only members outside the list's largest component need asking, and
     their parts meet all parts of a near size.  First only signature bytes are
     brought together; texts follow for the members that collide.
     """
-    labels = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    labels = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
     lists = labels.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.sum("n").alias("n"),
-                                      F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").drop("kinds")
+                                      F.sum("w").alias("w"), F.count(F.lit(1)).alias("kinds"))
+    lists = lists.filter("kinds > 1").drop("kinds")
     low = _low_bytes(classes)
     opened = stored(members.join(lists, "key").select(
-        "key", "node", "label", "n", (F.col("label") != F.col("largest")).alias("asks")), "open-lists")
+        "key", "node", "n_shingles", "label", "n", "w", (F.col("label") != F.col("largest")).alias("asks")), "open-lists")
     # a node is in as many lists as its prefix is long at most
     nodes = opened.groupBy("node").agg(F.transform(F.sort_array(F.collect_list(
         F.struct((-F.col("n")).alias("n"), "key"))), lambda x: x["key"]).alias("keys"))
-    nodes = stored(nodes.join(low, "node").withColumn(
-        "step", F.floor(F.log("n_shingles") / math.log(100 / percent))), "open-nodes")
-
-    short = opened.filter(F.col("n") <= BLOCK).select(F.xxhash64("key").alias("pair"), "key", "node", "label", "asks")
-    long = opened.filter(F.col("n") > BLOCK).join(nodes.select("node", "step"), "node")
-    counts = (long.groupBy("key", "step", "asks").agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("parts", F.ceil(2 * F.col("n") / BLOCK).cast("int")).drop("n"))
+    nodes = stored(nodes.join(low, "node"), "open-nodes")
+
+    in_one = (F.col("n") <= BLOCK) & (F.col("w") <= BLOCK_SHINGLES)
+    short = opened.filter(in_one).select(F.xxhash64("key").alias("pair"), "key", "node", "label", "asks")
+    long = opened.filter(~in_one).withColumn("step", F.floor(F.log("n_shingles") / math.log(100 / percent)))
+    counts = (long.groupBy("key", "step", "asks").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
+              .withColumn("parts", F.least("n", F.ceil(2 * F.greatest(F.col("n") / BLOCK, F.col("w") / BLOCK_SHINGLES)))
+                          .cast("int")).drop("n", "w"))
     placed = long.join(counts, ["key", "step", "asks"]).withColumn(
         "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     part = counts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
@@ -366,7 +370,7 @@ def _links_in_lists(members: DataFrame, classes: DataFrame, docs: DataFrame,
             F.struct(F.col("b_step").alias("step"), F.col("b_asks").alias("asks"), F.col("b_part").alias("part"))
         ))).alias("s")).select("key", "pair", "s.step", "s.asks", "s.part")
     seated = placed.join(seats, ["key", "step", "asks", "part"]).select("pair", "key", "node", "label", "asks")
-    seated = seated.unionByName(short).join(nodes.drop("step"), "node").select(*_SEAT)
+    seated = seated.unionByName(short).join(nodes, "node").select(*_SEAT)
 
     def colliding(key: tuple, group: pa.Table) -> pa.Table:
         hits = _hits(group.to_pydict(), threshold, percent)
@@ -377,7 +381,7 @@ def _links_in_lists(members: DataFrame, classes: DataFrame, docs: DataFrame,
     wanted = stored(rest.select("node").distinct(), "colliding-nodes")
 
     def links(key: tuple, group: pa.Table) -> pa.Table:
-        found = _block_links(group.to_pydict(), threshold, percent)
+        found = _block_links(group.drop_columns("text").to_pydict(), group.column("text"), threshold, percent)
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
                          "b": pa.array([b for _, b in found], pa.int64())})
 
@@ -396,6 +400,12 @@ def _same_id(known: DataFrame, owners: DataFrame) -> DataFrame:
 def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                               percent: int = 85, coordinates: int = COORDINATES) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs``."""
+    with lean_steps(docs.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        return _components_of(docs, id_col, text_col, percent, coordinates)
+
+
+def _components_of(docs: DataFrame, id_col: str, text_col: str, percent: int, coordinates: int) -> DataFrame:
+    """All steps with Python code are stored here; what is returned only joins their tables."""
     threshold = match_threshold(percent / 100, coordinates)
     prefix = coordinates - threshold + 1
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
@@ -411,7 +421,7 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     levels = _rarity_levels(classes, coordinates)
     postings = stored(_postings(classes, levels, coordinates, prefix), "postings")
     lists = postings.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).filter("n > 1")
-    members = stored(postings.join(lists, "key").filter("node <> hub").select("key", "n", "hub", "node"),
+    members = stored(postings.join(lists, "key").filter("node <> hub").select("key", "n", "hub", "node", "n_shingles"),
                      "list-members")
     pairs = stored(members.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "hub-pairs")
     links = stored(_confirmed(stored(_matching(pairs, classes, threshold, percent), "matching"), docs, percent),
@@ -419,8 +429,8 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     links = links.unionByName(_same_id(known, owners))
     found = stored(components(links), "components")
 
-    rest = (members.filter("n > 2").select("key", "node").join(found, "node", "left")
-            .select("key", "node", F.coalesce("component", "node").alias("label")))
+    rest = (members.filter("n > 2").select("key", "node", "n_shingles").join(found, "node", "left")
+            .select("key", "node", "n_shingles", F.coalesce("component", "node").alias("label")))
     more = stored(_links_in_lists(rest, classes, docs, threshold, percent), "list-links")
     if more.limit(1).count():
         found = stored(components(links.unionByName(more)), "components")

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 from helpers import awkward_documents, empty_like, frame, prose
 
 from kiln.llm import near_dups
@@ -71,12 +72,13 @@ def test_block_links_join_components_once():
     texts = [text, text + b" tail", prose(10, 100).encode(), text]
     sets = [shingle_set(t) for t in texts]
     group = {"node": [1, 2, 3, 4], "label": [1, 2, 3, 4], "key": [7] * 4, "keys": [[7], [7, 9], [7], [9, 7]], "asks": [True] * 4,
-             "n_shingles": [len(s) for s in sets], "text": texts,
+             "n_shingles": [len(s) for s in sets],
              "low": [_signature(s, adds, factors).astype("u1").tobytes() for s in sets]}
     # 2 and 4 share list 9 before list 7, so they do not meet here
-    assert sorted(map(sorted, _block_links(group, 94, 85))) == [[1, 2], [1, 4]]
+    texts = pa.chunked_array([texts])
+    assert sorted(map(sorted, _block_links(group, texts, 94, 85))) == [[1, 2], [1, 4]]
     group["keys"] = [[9, 7], [9, 7], [7], [9, 7]]
-    assert _block_links(group, 94, 85) == []
+    assert _block_links(group, texts, 94, 85) == []
 
 
 def test_long_lists_are_cut_into_blocks(spark, monkeypatch):
@@ -84,6 +86,12 @@ def test_long_lists_are_cut_into_blocks(spark, monkeypatch):
     test_lists_with_many_components_are_compared(spark)
 
 
+def test_lists_of_long_texts_are_cut_by_their_sizes(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "BLOCK_SHINGLES", 500)
+    monkeypatch.setattr(near_dups, "BATCH_BYTES", 2_000)
+    test_lists_with_many_components_are_compared(spark)
+
+
 def test_awkward_rows(spark):
     df = awkward_documents(spark)
     got = [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicate_components(df).collect()]
