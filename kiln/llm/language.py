@@ -17,8 +17,9 @@ The last two are counted over all rows by grouped aggregation of the text's
 own posterior.  A row is accepted if its best language is not ``und`` and
 has at least ``min_posterior``.
 
-Scale: one pass scores the texts and stores a narrow table (declaration, host,
-scores); counts are combined on the map side.  The host table grows with the
+Scale: one pass scores the texts and stores the scores beside the columns that are
+carried on, so no text is scored twice; counts read only the narrow columns of that table and are
+combined on the map side.  The host table grows with the
 hosts: it is joined as a stored table, so the planner broadcasts it only while
 its real size is small and else shuffles, splitting a hot host.
 
@@ -41,7 +42,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import hash32, stored
+from kiln.llm.common import hash32, lean_steps, stored
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -56,6 +57,8 @@ EVEN = 0.05
 #: strength of the smoothing of host and suffix
 STRENGTH = 20.0
 UNKNOWN_PRIOR = 1e-4
+#: rows and bytes (one row at least) that Python gets at once
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 #: digits, punctuation and white space say nothing about the language
 _LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -109,8 +112,9 @@ def fit_text_model(rows: DataFrame, text: Column, label: Column, train_rows: int
         which, bucket = np.nonzero(total)
         yield pd.DataFrame({"which": which, "bucket": bucket, "n": total[which, bucket]})
 
-    sums = (sample.mapInPandas(count, "which int, bucket int, n long")
-            .groupBy("which", "bucket").agg(F.sum("n").alias("n")).toPandas())  # languages x BUCKETS at most
+    with lean_steps(rows.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        sums = (sample.mapInPandas(count, "which int, bucket int, n long")
+                .groupBy("which", "bucket").agg(F.sum("n").alias("n")).toPandas())  # languages x BUCKETS at most
     counts = np.zeros((len(languages), BUCKETS))
     counts[sums["which"], sums["bucket"]] = sums["n"]
     return TextModel(languages, counts)
@@ -143,20 +147,30 @@ def address_suffix(host: Column) -> Column:
 
 
 def identify(rows: DataFrame, text: Column, declared: Column, host: Column, model: TextModel,
-             min_posterior: float = 0.5) -> DataFrame:
-    """``rows`` plus ``detected``, ``posterior``, ``text_language`` and ``accepted`` (columns of those names are replaced)."""
+             min_posterior: float = 0.5, carry: Sequence[str] | None = None) -> DataFrame:
+    """``rows`` plus ``detected``, ``posterior``, ``text_language`` and ``accepted`` (columns of those names are replaced).
+
+    ``carry`` names the columns of ``rows`` that come back (default: all).  They are stored once with the
+    scores of the text, which is so scored only once.
+    """
     n = len(model.languages)
     names = F.array(*[F.lit(x) for x in model.languages])
     score = _scorer(rows, model)
     known = {"__declared": F.coalesce(_declaration(declared), F.lit("\x00")),
              "__host": F.coalesce(host.cast("string"), F.lit("\x00"))}
-    marked = rows.withColumns({**known, "__suffix": address_suffix(host.cast("string")),
+    no_text = F.coalesce(F.trim(F.translate(text.cast("string"), "\t\n\x0b\x0c\r", "     ")), F.lit("")) == ""
+    kept = [c for c in (rows.columns if carry is None else carry)
+            if c not in ("detected", "posterior", "text_language", "accepted")]
+    marked = rows.withColumns({**known, "__suffix": F.coalesce(address_suffix(host.cast("string")), F.lit("\x00")),
+                               "__said": F.nullif(_declaration(declared), F.lit("")), "__no_text": no_text,
                                "__logs": score(text.cast("string"))})
-    marked = marked.withColumn("__suffix", F.coalesce("__suffix", F.lit("\x00")))
+    marked = marked.select(*[F.col(f"`{c}`") for c in kept], "__declared", "__host", "__suffix", "__said",
+                           "__no_text", "__logs")
+    with lean_steps(rows.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        marked = stored(marked, "language-scores")
     flat = F.array(*[F.lit(math.log((1 - UNKNOWN_PRIOR) / max(1, n - 1)))] * (n - 1) + [F.lit(math.log(UNKNOWN_PRIOR))])
-    narrow = stored(marked.select("__declared", "__host", "__suffix",
-                                  _softmax(F.zip_with("__logs", flat, lambda a, b: a + b)).alias("__p")),
-                    "language-scores")
+    narrow = marked.select("__declared", "__host", "__suffix",
+                           _softmax(F.zip_with("__logs", flat, lambda a, b: a + b)).alias("__p"))
 
     # --- grouped counts of the text's posterior -----------------------------
     sums = [F.sum(F.col("__p")[i]).alias(f"n{i}") for i in range(n)]
@@ -187,8 +201,7 @@ def identify(rows: DataFrame, text: Column, declared: Column, host: Column, mode
     fused = (marked.join(prior, (F.col("__host") == F.col("__h")) & (F.col("__suffix") == F.col("__hs")))
              .join(likely, F.col("__declared") == F.col("__d"))
              .withColumn("__post", _softmax(add(F.col("__logs"), add(F.col("__prior"), F.col("__declares"))))))
-    no_text = F.coalesce(F.trim(F.translate(text.cast("string"), "\t\n\x0b\x0c\r", "     ")), F.lit("")) == ""
-    said = F.nullif(_declaration(declared), F.lit(""))
+    no_text, said = F.col("__no_text"), F.col("__said")
     unmodelled = said.isNotNull() & ~said.isin(model.languages)
     best = lambda a: F.element_at(names, F.array_position(a, F.array_max(a)).cast("int"))
     fused = fused.withColumns({
@@ -198,11 +211,11 @@ def identify(rows: DataFrame, text: Column, declared: Column, host: Column, mode
     # in no modelled language, and declares one that has no model
     fused = fused.withColumn("__trusted", unmodelled & ~no_text & (F.col("__best") == UNKNOWN))
     fused = fused.withColumn("__best", F.when(F.col("__trusted"), said).otherwise(F.col("__best")))
-    return (fused.drop("detected", "posterior", "text_language", "accepted")
+    return (fused
             .withColumns({"detected": F.col("__best"), "posterior": F.round("__top", 9),
                           "text_language": F.col("__text"),
                           "accepted": F.col("__trusted") | (F.col("__best") != UNKNOWN) & (F.col("__top") >= min_posterior)})
-            .drop("__declared", "__host", "__suffix", "__logs", "__h", "__hs", "__prior", "__d", "__declares",
+            .drop("__declared", "__host", "__suffix", "__said", "__no_text", "__logs", "__h", "__hs", "__prior", "__d", "__declares",
                   "__post", "__best", "__text", "__top", "__trusted"))
 
 
@@ -215,5 +228,5 @@ def documents_in_known_languages(docs: DataFrame, text_col: str = "text", declar
     # the verdict's columns must not displace the table's own
     wrapped = docs.select(text.alias("__t"), declared.alias("__l"), host.alias("__src"), F.struct(*[
         F.col(f"`{c}`") for c in cols]).alias("__row"))
-    judged = identify(wrapped, F.col("__t"), F.col("__l"), F.col("__src"), model)
+    judged = identify(wrapped, F.col("__t"), F.col("__l"), F.col("__src"), model, carry=["__row"])
     return judged.filter("accepted").select("__row.*")

@@ -38,7 +38,7 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents: declared language ``lang``, the source in the place of the host."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     model = fit_text_model(docs, F.col("text"), F.col("lang"))
-    judged = identify(docs, F.col("text"), F.col("lang"), F.col("source"), model)
+    judged = identify(docs, F.col("text"), F.col("lang"), F.col("source"), model, carry=["doc_id", "lang", "source"])
     return judged.select("doc_id", F.col("lang").alias("declared"), "source", "text_language", "detected",
                          "posterior", "accepted")
 
@@ -50,7 +50,8 @@ def page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     plain = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[#\w]+;", " ")
     pages = pages.select("page_id", "url", declared.alias("declared"), plain.alias("plain"), host_of(F.col("url")).alias("host"))
     model = fit_text_model(pages, F.col("plain"), F.col("declared"))
-    judged = identify(pages, F.col("plain"), F.col("declared"), F.col("host"), model)
+    judged = identify(pages, F.col("plain"), F.col("declared"), F.col("host"), model,
+                      carry=["page_id", "url", "host", "declared"])
     return judged.select("page_id", "url", "host", "declared", "text_language", "detected", "posterior", "accepted")
 
 

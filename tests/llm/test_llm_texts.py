@@ -1,6 +1,7 @@
 """Language, line dedup, decontamination, packing, URL rules, extraction, SimHash."""
 
 import hashlib
+import math
 import random
 import re
 from collections import defaultdict
@@ -13,9 +14,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kiln.llm import decontaminate as leaks
-from kiln.llm import extract, packing, simhash, url_rules
+from kiln.llm import extract, language, packing, simhash, url_rules
 from kiln.llm.language import documents_in_known_languages, fit_text_model, identify
 from kiln.llm.lines import repeated_units, without_repeats
+from kiln.llm.queries import op3_language, page_language
 
 SF = "/root/testdata/sf0.001"
 
@@ -79,6 +81,73 @@ def test_short_texts_are_judged_by_declaration(spark):
     assert {r.doc_id for r in kept.collect()} == {*range(40), 100, 101, 102, 103, 104}
 
 
+def plain_verdicts(rows: dict, model) -> dict:
+    """Key to (language, posterior) by the formula of the module; ``rows``: key to (text, declared, host)."""
+    n = len(model.languages)
+
+    def score(text):
+        b = (text or "").lower().encode()
+        b = [0x20, *[c if 97 <= c <= 122 or c >= 128 else 0x20 for c in b], 0x20]
+        hit = [(((b[i - 1] << 16 | b[i] << 8 | b[i + 1]) * 2654435761) % 2**32) >> 16
+               for i in range(1, len(b) - 1) if b[i] != 0x20]
+        return [language.TEMPER * math.fsum(float(model.logs[x][k]) for x in hit) for k in range(n)]
+
+    def shares(logs):
+        parts = [math.exp(x - max(logs)) for x in logs]
+        return [x / sum(parts) for x in parts]
+
+    flat = [math.log((1 - language.UNKNOWN_PRIOR) / max(1, n - 1))] * (n - 1) + [math.log(language.UNKNOWN_PRIOR)]
+    scores = {k: score(t) for k, (t, _, _) in rows.items()}
+    by_host, by_suffix, by_declared, corpus = (defaultdict(lambda: [0.0] * n) for _ in range(4))
+    suffix = lambda h: h.rsplit(".", 1)[1].lower() if h and "." in h else "" if h is not None else None
+    said = lambda d: None if d is None else d.split("-")[0].lower()
+    for k, (_, d, h) in rows.items():
+        p = shares([x + y for x, y in zip(scores[k], flat)])
+        for table, key in ((by_host, h), (by_suffix, suffix(h)), (by_declared, said(d)), (corpus, 0)):
+            table[key] = [x + y for x, y in zip(table[key], p)]
+    base = [(x + 1) / (sum(corpus[0]) + n) for x in corpus[0]]
+    smooth = lambda c, p: [(x + language.STRENGTH * y) / (sum(c) + language.STRENGTH) for x, y in zip(c, p)]
+    out = {}
+    for k, (_, d, h) in rows.items():
+        prior = smooth(by_host[h], smooth(by_suffix[suffix(h)], base))
+        declares = [(x + 1) / (c + len(by_declared)) for x, c in zip(by_declared[said(d)], corpus[0])]
+        post = shares([a + math.log(b) + math.log(c) for a, b, c in zip(scores[k], prior, declares)])
+        out[k] = model.languages[post.index(max(post))], max(post)
+    return out
+
+
+def agree(got: dict, want: dict) -> None:
+    """``got``: key to row; texts without words or in a language without a model are not among ``want``'s cases here."""
+    assert got.keys() == want.keys()
+    for k, (name, top) in want.items():
+        assert got[k].detected == name and abs(got[k].posterior - top) < 1e-6, (k, name, top, got[k])
+        assert got[k].accepted == (name != "und" and top >= 0.5)
+
+
+def test_language_query_against_plain_recomputation(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = fit_text_model(docs, F.col("text"), F.col("lang"))
+    rows = {r.doc_id: (r.text, r.lang, r.source) for r in docs.collect()}
+    got = {r.doc_id: r for r in op3_language(spark, SF).collect()}
+    agree(got, plain_verdicts(rows, model))
+
+
+def test_page_language_query_against_plain_recomputation(spark):
+    rows = {}
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        html = r.html or ""
+        said = re.search(r"<html[^>]*\blang\s*=\s*[\"']?([a-zA-Z-]+)", html, re.I)
+        plain = re.sub(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[#\w]+;", " ", html, flags=re.I | re.S)
+        host = re.match(r"[^/?#]*", r.url.split("://", 1)[1])[0].lower()
+        rows[r.page_id] = (plain, said and said[1], host)
+    train = frame(spark, [(t, d) for t, d, _ in rows.values()], "plain string, declared string")
+    model = fit_text_model(train, F.col("plain"), F.col("declared"))
+    assert len(model.languages) > 1
+    got = {r.page_id: r for r in page_language(spark, SF).collect()}
+    assert {k: g.host for k, g in got.items()} == {k: h for k, (_, _, h) in rows.items()}
+    agree(got, plain_verdicts(rows, model))
+
+
 # --- lines ------------------------------------------------------------------
 
 def test_repeated_units_against_brute_force(spark):
