@@ -330,3 +330,50 @@ def test_broken_rows_are_rejects(spark, tmp):
     rejects = store.read("silver", "rejects_orders").collect()
     assert sorted((r.order_id, r.reject_reason, r._corrupt_record) for r in rejects) == [
         ("2", "broken_row", "2,2025-07-01,5,1,2,surplus"), ("3", "broken_row", "3,2025")]
+
+
+def test_dates_are_parsed_once(spark):
+    lines = spark.createDataFrame([("1", "2025-07-01", "789101", "1", "5"), ("2", "soon", "789101", "1", "3")], COLS)
+    clean = facts.orders_clean(lines)
+    plan = clean._jdf.queryExecution().optimizedPlan()
+    parses = [line for line in plan.toString().split("\n") if "gettimestamp" in line.lower()]
+    assert len(parses) == 1 and "Filter" not in parses[0]
+    assert [(r.order_id, r.order_placement_date) for r in clean.collect()] == [("1", dt.date(2025, 7, 1))]
+
+
+def test_order_lines_join_once(spark):
+    lines = _lines(spark)
+    assert lines._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").groupBy((F.col("l_linenumber") % 7 == 0).alias("twice")).count()
+    assert lines.count() == sum(r["count"] * (2 if r.twice else 1) for r in n.collect())
+
+
+def test_lines_move_without_their_codes(spark, tmp, monkeypatch):
+    """A merge moves each line once and no text of a code; stored codes that have changed since stay."""
+    long = "f" * 64
+    products = lambda *codes: spark.createDataFrame([(str(i), c) for i, c in enumerate(codes, 1)], "product_id string, product_code string")
+    own = spark.createDataFrame([(dt.date(2025, 7, 1), c, "0", 9) for c in ("own", "#1", "=1", None, None)],
+                                "date date, product_code string, customer_code string, sold_quantity bigint")
+    first = [("1", "2025-07-01", "789101", "1", "5", "web"), ("2", "2025-07-01", "789101", "2", "1", "web"), ("2", "2025-07-01", "789101", "3", "1", "web")]
+    again = [("1", "2025-07-02", "789101", "1", "4"), ("2", "2025-07-01", "789101", "2", "6")]
+    got = []
+    for late in (True, False):
+        monkeypatch.setattr(facts, "fits", lambda df, late=late: late)
+        store = TableStore(spark, f"{tmp}/{late}")
+        store.write(own, "gold", "fact_orders", partition_by=["date"])
+        facts.run_fact_load(store, spark.createDataFrame(first, COLS + ", channel string"), products(long, long, "c"), load_id="1")
+        state = facts.run_fact_load(store, spark.createDataFrame(again, COLS), products("new", "b", "c"), load_id="2", change_feed=True)
+        got.append([_rows(state.silver, *facts.SILVER_KEYS, "product_code", "channel", "order_qty", "load_seq"),
+                    _rows(state.gold, *facts.GOLD_KEYS, "product_code", "sold_quantity"), _rows(state.parent, *facts.PARENT_KEYS, "sold_quantity"),
+                    _rows(store.read("silver", "changes_orders"), "order_id", "product_code", "channel", "order_qty", "change_type")])
+    assert got[0] == got[1]
+    july, day = dt.date(2025, 7, 1), dt.date(2025, 7, 2)
+    assert got[0][0] == srt([("1", july, "789101", "1", long, "web", 5.0, "1"), ("1", day, "789101", "1", "new", None, 4.0, "2"),
+                             ("2", july, "789101", "2", "b", "web", 6.0, "2"), ("2", july, "789101", "3", "c", "web", 1.0, "1")])
+    assert got[0][2] == srt([*[(july, c, "0", 9) for c in ("own", "#1", "=1", None, None)], (july, long, "789101", 5), (july, "new", "789101", 4),
+                             (july, "b", "789101", 6), (july, "c", "789101", 1)])
+    monkeypatch.undo()
+    codes = facts._Codes(products(long, "b"))
+    lines = facts._accepted(facts._judged(spark.createDataFrame(again, COLS), codes, F.lit("2"), "t"))
+    plan = codes.restore(facts._latest_lines(lines, None, 1 << 30))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("- Exchange rangepartitioning") == plan.count("- Exchange ") == 1
