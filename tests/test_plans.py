@@ -377,3 +377,58 @@ def test_lines_move_without_their_codes(spark, tmp, monkeypatch):
     lines = facts._accepted(facts._judged(spark.createDataFrame(again, COLS), codes, F.lit("2"), "t"))
     plan = codes.restore(facts._latest_lines(lines, None, 1 << 30))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("- Exchange rangepartitioning") == plan.count("- Exchange ") == 1
+
+
+def test_a_merge_moves_lines_sums_and_parent_once(spark, tmp, monkeypatch):
+    """The parent's new rows come out of the shuffle of the lines, whatever fits a broadcast, and equal the plain rollup."""
+    products = spark.createDataFrame([(str(i), "f" * 60 + str(i % 3)) for i in range(1, 8)], "product_id string, product_code string")
+    line = lambda o, m, c, p, q: (str(o), f"2025-{m:02d}-{1 + o % 9:02d}", str(c), str(p), str(q))
+    first = [line(o, 7 + o % 2, 100 + o % 4, 1 + o % 7, 1 + o) for o in range(40)]
+    again = [line(o, 7, 100 + o % 4, 1 + o % 5, 2 + o) for o in range(0, 60, 2)] + [("90", "2025-07-02", None, "1", "3")]
+    own = spark.createDataFrame([(dt.date(2025, 7, 1), c, k, 9, "p") for c, k in (("own", "0"), ("f" * 60 + "1", "100"), (None, "100"), ("own", "0"))],
+                                "date date, product_code string, customer_code string, sold_quantity int, source string")
+    batches = [spark.createDataFrame(rows, COLS) for rows in (first, again)]
+    want = facts.full_load(batches[0], products)
+    parent = facts.upsert(own, want.parent, facts.PARENT_KEYS)
+    want = facts.incremental_load(batches[1], products, facts.FactState(want.silver, want.gold, parent))
+    for fitting in ((True, True), (True, False), (False, False)):  # codes, codes by product id
+        for replace in (False, True):
+            store = TableStore(spark, f"{tmp}/{fitting[0]}{fitting[1]}{replace}")
+            store.write(own, "gold", "fact_orders", partition_by=["date"])
+            for k, batch in enumerate(batches):
+                answers = iter(fitting)
+                monkeypatch.setattr(facts, "fits", lambda df, answers=answers: next(answers))
+                state = facts.run_fact_load(store, batch, products, load_id=str(k), replace_periods=replace and k == 1, change_feed=True)
+            got = _rows(state.parent, *own.columns)
+            if not replace:
+                assert got == _rows(want.parent, *own.columns)
+                assert _rows(state.gold, *facts.GOLD_KEYS, "product_code", "sold_quantity") == _rows(want.gold, *facts.GOLD_KEYS, "product_code", "sold_quantity")
+            else:
+                july = facts.parent_rollup(facts.orders_gold(facts.orders_silver(batches[1], products)))
+                keys = {tuple(r) for r in july.select(*facts.PARENT_KEYS).collect()}
+                mine = [r for r in got if r[0] == dt.date(2025, 7, 1) and r[1] not in ("own", None)]
+                assert {r[:3] for r in mine} == keys and sum(r[3] for r in mine) == sum(r.sold_quantity for r in july.collect())
+                assert [r[:4] for r in got if r[1] in ("own", None)] == srt([(dt.date(2025, 7, 1), c, k, 9) for c, k in (("own", "0"), (None, "100"), ("own", "0"))])
+    monkeypatch.undo()
+    codes = facts._Codes(products)
+    lines = facts._accepted(facts._judged(batches[1], codes, F.lit("2"), "t"))
+    moved = facts._latest_lines(lines, None, 1 << 30, held=facts._held_rows(own, codes))
+    plan = facts._with_sums(codes.refs(moved), False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("- Exchange rangepartitioning") == plan.count("- Exchange ") == 1
+
+
+def test_splits_of_a_load_are_bounded(spark, tmp):
+    from kiln.operators.sizing import smaller_splits
+    key = "spark.sql.files.maxPartitionBytes"
+    size = lambda: spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    before, seen = size(), []
+
+    class Store(TableStore):
+        def publish(self, *args):
+            seen.append(size())
+            super().publish(*args)
+
+    _load(spark, Store(spark, tmp), [("1", "2025-07-01", "789101", "1", "5")], "1")
+    assert seen == [facts.SPLIT_BYTES] * 3 and size() == before
+    with smaller_splits(spark, 1 << 40):
+        assert size() == before
