@@ -26,9 +26,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from kiln.operators.sizing import smaller_splits
 from kiln.operators.union import union_evolving
 from kiln.sources.csv import CORRUPT, LINEAGE_COLS, read_csv
 
+#: bytes of a file that are looked at for its header line; a task sorts that much text
+HEADER_SPLIT_BYTES = 16 << 20
+
 
 def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None,
                    archive_dir: str | None = None) -> DataFrame:
@@ -79,10 +83,12 @@ def ingest_available(spark: SparkSession, landing: str, columns: Sequence[str],
             process_batch(read_mixed(lines.sparkSession, groups, columns), batch_id)
         seen.append(batch_id)
 
-    q = (landing_stream(spark, landing, max_files_per_trigger, archive_dir)
-         .writeStream.foreachBatch(_run)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
+    # only the first split of a file is aggregated for its header; a micro-batch's scan is planned before it is handed on
+    with smaller_splits(spark, HEADER_SPLIT_BYTES):
+        q = (landing_stream(spark, landing, max_files_per_trigger, archive_dir)
+             .writeStream.foreachBatch(_run)
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True)
+             .start())
+        q.awaitTermination()
     return len(seen)

@@ -47,3 +47,22 @@ def test_archive_moves_taken_files(spark, tmp):
     # archiving trails the batches; taken files leave the landing folder
     assert "orders_2025_12_02.csv" in archived
     assert "orders_2025_12_02.csv" not in os.listdir(landing)
+
+
+def test_headers_are_looked_for_in_small_splits(spark, tmp, monkeypatch):
+    from kiln.streaming import ingest
+    os.makedirs(f"{tmp}/landing")
+    rows = 20_000
+    with open(f"{tmp}/landing/a.csv", "w") as f:
+        f.write("order_id,order_qty\n" + "".join(f"{i},1\n" for i in range(rows)))
+    splits, counts, real = [], [], ingest.files_by_header
+
+    def by_header(lines):
+        splits.append(lines.filter("start = 0").count())
+        return real(lines)
+
+    monkeypatch.setattr(ingest, "HEADER_SPLIT_BYTES", 32 << 10)
+    monkeypatch.setattr(ingest, "files_by_header", by_header)
+    ingest.ingest_available(spark, f"{tmp}/landing/*.csv", ["order_id", "order_qty"], f"{tmp}/checkpoint",
+                            lambda df, _: counts.append(df.count()))
+    assert counts == [rows] and splits[0] < rows // 2
