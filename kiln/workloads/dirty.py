@@ -36,8 +36,9 @@ def dirty_date(d: Column | str, key: Column | str, with_weekday: bool = True) ->
             .otherwise(F.date_format(d, "yyyy-MM-dd")))
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing-file shaped order lines (text columns) from lineitem ⋈ orders.
+def order_lines(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """Landing-file shaped order lines (text columns) from lineitem ⋈ orders; with ``partitions``, dealt to so many by
+    order before the join, which needs no other shuffle of the lines then.
 
     Defects: five date formats (one with a weekday); customer ids with
     letters (o_custkey % 23 = 0); placeholder product ids (l_orderkey % 13 =
@@ -48,6 +49,8 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
                                                   "l_quantity")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
+    if partitions:
+        li = li.repartition(partitions, "l_orderkey")
     lines = li.join(od, li.l_orderkey == od.o_orderkey)
     qty_text = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_quantity").cast("string")) \
         .otherwise(F.col("l_quantity").cast("bigint").cast("string"))

@@ -572,8 +572,8 @@ def fact_stream_load(spark, sf):
     runs the incremental fact load with its batch id as load id (M1 + L6)."""
     root = scratch_path(spark, "stream")
     files = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    (D.order_lines(spark, sf).select(*LINE_COLS)
-     .repartition(files, "order_id").write.option("header", "true").csv(f"{root}/landing"))
+    (D.order_lines(spark, sf, partitions=files).select(*LINE_COLS)
+     .write.option("header", "true").csv(f"{root}/landing"))
     store, products = _fact_store(spark, sf)
     return _streamed(spark, root, store, products, -(-files // 2))
 
