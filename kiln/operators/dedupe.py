@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
@@ -25,24 +25,27 @@ _RN = "__kiln_rn"
 
 
 def _orderable(df: DataFrame, exclude: set[str]) -> list[str]:
-    return [f.name for f in df.schema.fields if f.name not in exclude and _has_order(f.dataType)]
+    return [f.name for f in df.schema.fields if f.name not in exclude and has_order(f.dataType)]
 
 
-def _has_order(kind: DataType) -> bool:
+def has_order(kind: DataType) -> bool:
     """Everything but maps (and what holds one) can be sorted by."""
     if isinstance(kind, ArrayType):
-        return _has_order(kind.elementType)
+        return has_order(kind.elementType)
     if isinstance(kind, StructType):
-        return all(_has_order(f.dataType) for f in kind.fields)
+        return all(has_order(f.dataType) for f in kind.fields)
     return not isinstance(kind, (MapType, VariantType))
 
 
-def dedupe(df: DataFrame, keys: Sequence[str],
-           order_by: Sequence[Column | str] = (), besides: Column | None = None) -> DataFrame:
-    """One row per ``keys``: the first under ``order_by`` then all columns ascending; and all rows where ``besides`` is true."""
+def first_window(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] = ()) -> WindowSpec:
+    """The rows of one key under ``order_by`` then all columns ascending."""
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     tie = [F.col(c).asc_nulls_last() for c in _orderable(df, set(keys))]
     # with every column a key the rows of a group are equal and any order does
-    w = Window.partitionBy(*keys).orderBy(*(order + tie or [F.lit(1)]))
-    first = F.col(_RN) == 1
-    return df.withColumn(_RN, F.row_number().over(w)).filter(first if besides is None else first | besides).drop(_RN)
+    return Window.partitionBy(*keys).orderBy(*(order + tie or [F.lit(1)]))
+
+
+def dedupe(df: DataFrame, keys: Sequence[str],
+           order_by: Sequence[Column | str] = ()) -> DataFrame:
+    """One row per ``keys``: the first under ``order_by`` then all columns ascending."""
+    return df.withColumn(_RN, F.row_number().over(first_window(df, keys, order_by))).filter(F.col(_RN) == 1).drop(_RN)
