@@ -432,3 +432,70 @@ def test_splits_of_a_load_are_bounded(spark, tmp):
     assert seen == [facts.SPLIT_BYTES] * 3 and size() == before
     with smaller_splits(spark, 1 << 40):
         assert size() == before
+
+
+def test_a_load_writes_the_months_it_changes_only(spark, tmp):
+    store = TableStore(spark, tmp)
+    rows = [("1", "2025-07-01", "789101", "1", "5"), ("2", "2025-07-02", "789101", "1", "6"), ("3", "2025-08-01", "789102", "1", "7")]
+    tables = ("silver/orders", "gold/fact_orders_daily", "gold/fact_orders")
+
+    def files():
+        return {t: set(glob.glob(f"{tmp}/{t}/*/*.parquet")) for t in tables}
+
+    _load(spark, store, rows, "1")
+    first = files()
+    assert all(len(first[t]) >= 2 for t in tables)
+    _load(spark, store, rows, "1")
+    assert files() == first
+    state = _load(spark, store, [("3", "2025-08-01", "789102", "1", "8"), rows[0]], "1")  # 8 is more than 7
+    now = files()
+    for t in tables:
+        assert {f for f in now[t] if "=2025-07" in f} == {f for f in first[t] if "=2025-07" in f}
+        assert not {f for f in now[t] if "=2025-08" in f} & first[t]
+    assert sorted(r.sold_quantity for r in state.parent.collect()) == [8, 11]
+    # a sum that another has written over comes back, and a row of another stays
+    parent = store.read("gold", "fact_orders").withColumn("sold_quantity", F.lit(1).cast("bigint"))
+    own = parent.limit(1).withColumn("product_code", F.lit("own"))
+    store.replace(parent.unionByName(own), "gold", "fact_orders", ["date"])
+    state = _load(spark, store, rows[:2], "1")
+    assert sorted(r.sold_quantity for r in state.parent.collect() if r.date == dt.date(2025, 7, 1) and r.product_code != "own") == [11]
+    assert state.parent.filter("product_code = 'own'").count() == 1
+
+
+def test_change_feed_moves_no_line(spark, tmp):
+    """The feed is a projection of the staged merge and equals the difference of the snapshots."""
+    from kiln.operators.diff import snapshot_diff
+
+    products = lambda *codes: spark.createDataFrame([(str(i), c * 64) for i, c in enumerate(codes, 1)], "product_id string, product_code string")
+    line = lambda o, p, q: (str(o), f"2025-0{7 + o % 2}-{1 + o % 9:02d}", str(100 + o % 4), str(p), str(q))
+    feeds = []
+
+    class Store(TableStore):
+        def write_load(self, df, layer, name, load_id):
+            if name.startswith("changes"):
+                feeds.append(df._jdf.queryExecution().executedPlan().toString())
+            return super().write_load(df, layer, name, load_id)
+
+    store = Store(spark, tmp)
+    first = [line(o, 1 + o % 3, o) for o in range(30)]
+    facts.run_fact_load(store, spark.createDataFrame(first, COLS), products("a", "b", "c"), load_id="1")
+    before = store.read("silver", "orders").drop("load_seq", "month")
+    before = spark.createDataFrame(before.collect(), before.schema)
+    again = [line(o, 1 + o % 3, o + (o % 5 == 0)) for o in range(10, 40)]
+    facts.run_fact_load(store, spark.createDataFrame(again, COLS), products("a", "d", "c"), load_id="2", change_feed=True)
+    after = store.read("silver", "orders").drop("load_seq", "month")
+    cols = [*before.columns, "change_type"]
+    want = _rows(snapshot_diff(before, after, list(facts.SILVER_KEYS)), *cols)
+    got = _rows(store.read("silver", "changes_orders"), *cols)
+    assert got == want and len({r[-1] for r in got}) == 3
+    assert len(feeds) == 1 and "Exchange hashpartitioning" not in feeds[0] and "rangepartitioning" not in feeds[0]
+
+
+def test_order_lines_are_dealt_before_the_join(spark):
+    lines = D.order_lines(spark, SF_SMALL, partitions=9)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("RepartitionByExpression") and plan.count("RepartitionByExpression") == 1
+    at = lines.withColumn("at", F.spark_partition_id())
+    assert lines.rdd.getNumPartitions() == 9
+    assert at.groupBy("order_id").agg(F.count_distinct("at").alias("n")).filter("n > 1").isEmpty()
+    assert srt(map(tuple, lines.collect())) == srt(map(tuple, D.order_lines(spark, SF_SMALL).collect()))
