@@ -499,3 +499,27 @@ def test_order_lines_are_dealt_before_the_join(spark):
     assert lines.rdd.getNumPartitions() == 9
     assert at.groupBy("order_id").agg(F.count_distinct("at").alias("n")).filter("n > 1").isEmpty()
     assert srt(map(tuple, lines.collect())) == srt(map(tuple, D.order_lines(spark, SF_SMALL).collect()))
+
+
+def test_a_merge_task_sorts_few_megabytes(spark):
+    """Two sorts of a merge are in memory at once, 45 to 80 times as large as the stored lines."""
+    products = spark.createDataFrame([("1", "a")], "product_id string, product_code string")
+    lines = facts._accepted(facts._judged(spark.createDataFrame([("1", "2025-07-01", "789101", "1", "5")], COLS), facts._Codes(products), F.lit("1"), "t"))
+    for stored in (1, 24 << 20, 600 << 20):
+        tasks = facts._latest_lines(lines, None, stored)._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression ")[1]
+        assert int(tasks.split("], ")[1].split("\n")[0].split(",")[0]) >= stored / (4 << 20)
+
+
+def test_lines_are_typed_after_their_product_is_found(spark):
+    """Beyond the broadcast bound the join moves every line: as it came, not as text and typed as well."""
+    bronze = spark.createDataFrame([("1", "2025-07-01", "789101", " 1", "5", "web"), ("2", "soon", "x", "9", "3", None)], COLS + ", channel string")
+    products = spark.createDataFrame([("1", "a")], "product_id string, product_code string")
+    judged = facts.judge_lines(bronze, products)
+    assert judged.columns == ["product_id", "order_id", "order_placement_date", "customer_id", "order_qty", "channel", "__raw",
+                              "reject_reason", "product_code"]
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join "):]
+    assert "__raw" not in below and "gettimestamp" not in below.lower() and "gettimestamp" in plan.lower()
+    assert srt(tuple(r) for r in judged.drop("__raw").collect()) == srt([
+        ("1", "1", dt.date(2025, 7, 1), "789101", 5.0, "web", "", "a"), ("9", "2", None, "999999", 3.0, None, "bad_date", None)])
+    assert srt(r.product_id for r in judged.select("__raw.*").collect()) == [" 1", "9"]
