@@ -101,23 +101,62 @@ def format_guard(fmt: str) -> str:
     return "^" + "".join(out) + "$"
 
 
+def date_text(col: Column | str) -> Column:
+    """A date text without blanks around it and without a weekday."""
+    text = F.trim(_c(col).cast("string"))
+    return F.when(text.contains(","), strip_weekday(text)).otherwise(text)
+
+
+_MONTHS = {name.lower(): f"{k:02d}" for k, name in enumerate(
+    "January February March April May June July August September October November December".split(), 1)}
+
+
+def _plain_date(text: Column, fmt: str) -> Column | None:
+    """``try_to_date(text, fmt)`` of texts that have the shape of ``fmt`` to the digit, by a cast of their parts; NULL for all others.
+
+    For formats of ``yyyy``, ``dd`` and ``MM`` (or a leading ``MMMM``) between separators; None for another.
+    """
+    parts = re.findall(r"y+|M+|d+|[^A-Za-z'\[\]{}#]", fmt)
+    fields = [p for p in parts if p.isalpha()]
+    month = "MMMM" if parts[0] == "MMMM" and len(parts) > 1 and not parts[1].isalpha() else "MM"
+    if "".join(parts) != fmt or sorted(fields) != sorted(["yyyy", month, "dd"]):
+        return None
+    digits = {"yyyy": r"\d{4}", "MM": r"\d{2}", "dd": r"\d{2}", "MMMM": "[A-Za-z]+"}
+    shape = "^" + "".join(digits.get(p) or re.escape(p) for p in parts) + r"\z"
+    at, end = {}, 0  # places from the end
+    for p in reversed(parts):
+        end += len(p)
+        at[p] = F.substring(text, -end, len(p))
+    if month == "MMMM":
+        at[month] = F.try_element_at(_map_literal(_MONTHS), F.lower(F.substring_index(text, parts[1], 1)))
+        like = text.rlike(shape)
+    else:  # most texts of another format are told by a separator
+        apart = [(i, p) for i, p in enumerate(parts) if not p.isalpha()]
+        like = text.rlike(shape) if not apart else (
+            (F.substring(text, 1 + len("".join(parts[:apart[0][0]])), 1) == apart[0][1]) & text.rlike(shape))
+    iso = F.concat(at["yyyy"], F.lit("-"), at[month], F.lit("-"), at["dd"])
+    return F.when(like, iso.try_cast("date"))
+
+
 def parse_date(col: Column | str, formats: Iterable[str] = K.DATE_FORMATS,
                strip_prefix: bool = True) -> Column:
     """First format that parses wins; none parses -> NULL.
 
-    A failed ``try_to_date`` costs a JVM exception, so each format is tried
-    only on texts matching its shape (``format_guard``): a well-formed value
-    is parsed once.  Only texts that no guarded attempt parses fall through
-    to trying every format, which keeps the result identical to a plain
+    A failed ``try_to_date`` costs a JVM exception and a parse by a pattern
+    costs several casts, so each format is tried only on texts of its shape: by a cast of
+    the parts (``_plain_date``), or by its pattern behind ``format_guard``.  Only texts that none of these attempts
+    parses fall through to trying every format, which keeps the result identical to a plain
     ``coalesce`` over all formats.
     """
     formats = list(formats)
-    text = F.trim(_c(col).cast("string"))
-    if strip_prefix:
-        text = strip_weekday(text)
-    guarded = [F.when(text.rlike(format_guard(f)), F.try_to_date(text, f)) for f in formats]
+    text = date_text(col) if strip_prefix else F.trim(_c(col).cast("string"))
+
+    def attempt(fmt: str) -> Column:
+        plain = _plain_date(text, fmt)
+        return F.when(text.rlike(format_guard(fmt)), F.try_to_date(text, fmt)) if plain is None else plain
+
     every = F.coalesce(*[F.try_to_date(text, f) for f in formats])
-    return F.coalesce(*guarded, every)
+    return F.coalesce(*map(attempt, formats), every)
 
 
 def sanitize_id(col: Column | str, sentinel: str = K.BAD_CUSTOMER_ID,

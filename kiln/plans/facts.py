@@ -54,12 +54,13 @@ def _typed(bronze: DataFrame) -> DataFrame:
     """Typed order lines, every one of them, with ``reject_reason`` (NULL: none).
 
     A filter on the date would be pushed below the projection and parse every text there once more, in code too large
-    to be compiled.  It does not pass the ``explode``, of an array of one.
+    to be compiled.  It does not pass the ``explode``, of an array of one.  The text that the formats are tried on is a column of a
+    projection below, so that it is made once and the code of the parse stays small enough too.
     """
-    typed = bronze.withColumns({
+    typed = bronze.withColumn("order_placement_date", C.date_text("order_placement_date")).withColumns({
         "order_qty": C.to_double("order_qty"),
         "order_id": F.trim(F.col("order_id").cast("string")),
-        "order_placement_date": F.explode(F.array(C.parse_date("order_placement_date"))),
+        "order_placement_date": F.explode(F.array(C.parse_date("order_placement_date", strip_prefix=False))),
         "customer_id": C.sanitize_id("customer_id", K.BAD_CUSTOMER_ID),
         "product_id": F.trim(F.col("product_id").cast("string")),
     })

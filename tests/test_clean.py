@@ -104,3 +104,16 @@ def test_scale_conf_sizes_partitions():
     assert c["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     small = scale_conf(1 << 30, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_dates_by_parts_equal_dates_by_pattern(spark):
+    texts = ["2025-07-01", "2025/07/01", "01/07/2025", "01-07-2025", "July 01, 2025", "Tuesday, july 31, 2025", "Monday,2025-07-01", "X, Y, 2025-07-01",
+             "2025-02-29", "2024-02-29", "0000-01-01", "01/01/0000", "0001-01-01", "12025-01-01", "+12025-01-01", "-2025-01-01", "31/04/2025", "Foo 01, 2025",
+             "July 00, 2025", "July  01, 2025", "2025-07-01\n", "\t2025-07-01", " 2025-07-01 ", "2025-07-01T00:00", "1/7/2025", "20250701", "01.07.2025", "Jul 01, 2025",
+             "٢٠٢٥-07-01", "soon", ",", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    for formats in (K.DATE_FORMATS, ("yyyyMMdd", "dd.MM.yyyy", "MMM dd, yyyy", "MM/dd/yyyy", "d/M/yyyy", "MMMM dd, yyyy")):
+        plain = F.coalesce(*[F.try_to_date(C.strip_weekday(F.trim("v")), f) for f in formats])
+        rows = df.select("v", C.parse_date("v", formats).cast("string").alias("got"), plain.cast("string").alias("want")).collect()
+        assert [(r.v, r.got) for r in rows] == [(r.v, r.want) for r in rows]
+        assert sum(r.got is not None for r in rows) > 4

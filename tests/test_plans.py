@@ -523,3 +523,25 @@ def test_lines_are_typed_after_their_product_is_found(spark):
     assert srt(tuple(r) for r in judged.drop("__raw").collect()) == srt([
         ("1", "1", dt.date(2025, 7, 1), "789101", 5.0, "web", "", "a"), ("9", "2", None, "999999", 3.0, None, "bad_date", None)])
     assert srt(r.product_id for r in judged.select("__raw.*").collect()) == [" 1", "9"]
+
+
+def test_judging_stays_small_enough_to_be_compiled(spark, monkeypatch):
+    """The JVM compiles no method of more than 8,000 bytes of code; lines judged by one took three times as long."""
+    import re
+
+    lines = spark.createDataFrame([("1", "2025-07-01", "789101", "1", "5")], COLS)
+    products = spark.createDataFrame([("1", "a")], "product_id string, product_code string")
+    judged = {}
+    for late in (True, False):
+        codes = facts._Codes(products)
+        codes.late = late
+        with monkeypatch.context() as m:
+            m.setattr(facts, "materialize", lambda df, name: judged.setdefault(late, df))
+            facts._judged(lines, codes, F.lit("1"), "t")
+    debug = spark._jvm.org.apache.spark.sql.execution.debug.package
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [int(n) for df in judged.values() for n in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(df.repartition(2)._jdf.queryExecution().executedPlan()))]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) >= 2 and max(sizes) < 7000
