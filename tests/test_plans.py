@@ -545,3 +545,32 @@ def test_judging_stays_small_enough_to_be_compiled(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(sizes) >= 2 and max(sizes) < 7000
+
+
+def test_a_merge_sorts_by_numbers_and_writes_without_a_sort(spark, tmp):
+    """Sorts of a merge begin with a hash, a join of lines hashes its small side, a write by month needs no sort."""
+    import re
+
+    products = spark.createDataFrame([("1", "a")], "product_id string, product_code string")
+    codes = facts._Codes(products)
+    lines = facts._accepted(facts._judged(spark.createDataFrame([("1", "2025-07-01", "789101", "1", "5")], COLS), codes, F.lit("1"), "t"))
+    current = lines.withColumn(facts.MONTH, F.lit(None).cast("date"))
+    plan = facts._with_sums(facts._latest_lines(lines, current, 1 << 20), False)._jdf.queryExecution().executedPlan().toString()
+    sorts = re.findall(r"- \*?(?:\(\d+\) )?Sort \[(\w+)#", plan)
+    assert sorts == ["__group", "__line"] and plan.count("Window ") == 2
+    first = facts._latest_lines(lines, None, 1 << 20)._jdf.queryExecution().optimizedPlan().toString()
+    assert "first(" not in first  # no older value is looked for where there is none
+    keys = ("spark.sql.maxConcurrentOutputFileWriters", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold")
+    before, seen = [spark.conf.get(k) for k in keys], set()
+
+    class Store(TableStore):
+        def stage(self, *args):
+            seen.add(tuple(spark.conf.get(k) for k in keys))
+            return super().stage(*args)
+
+    # more months than files that are open at once
+    rows = [(str(k), f"20{10 + k // 12}-{1 + k % 12:02d}-01", "789101", "1", "5") for k in range(3 * facts.OPEN_MONTHS)]
+    state = _load(spark, Store(spark, tmp), rows, "1")
+    assert seen == {(str(facts.OPEN_MONTHS), str(64 << 20))} and [spark.conf.get(k) for k in keys] == before
+    assert state.silver.count() == state.gold.count() == state.parent.count() == len(rows)
+    assert state.silver.select("month").distinct().count() == len(rows)
