@@ -574,3 +574,22 @@ def test_a_merge_sorts_by_numbers_and_writes_without_a_sort(spark, tmp):
     assert seen == {(str(facts.OPEN_MONTHS), str(64 << 20))} and [spark.conf.get(k) for k in keys] == before
     assert state.silver.count() == state.gold.count() == state.parent.count() == len(rows)
     assert state.silver.select("month").distinct().count() == len(rows)
+
+
+def test_codes_of_a_small_file_are_no_large_broadcast(spark, tmp, monkeypatch):
+    """A file holds a repeated code once, a hashed relation once a row; the driver would hold that."""
+    from kiln.operators.materialize import materialize
+    from kiln.operators.sizing import fits, hashed_fits
+
+    ids = spark.range(30_000).select(F.col("id").cast("string").alias("product_id"), F.repeat(F.lit("f"), 64).alias("product_code"))
+    stored, bound = materialize(ids, "codes"), 4 << 20
+    assert fits(stored, bound) and not hashed_fits(stored, bound) and hashed_fits(stored, 16 << 20)
+    lines = [("1", "2025-07-01", "789101", " 7 ", "5"), ("2", "2025-07-01", "789101", "8", "2"), ("3", "2025-07-01", "789101", "x", "2")]
+    got = []
+    for most in (256 << 20, 1 << 20, 0):  # all, the codes only, nothing
+        monkeypatch.setattr(facts, "hashed_fits", lambda df, most=most: hashed_fits(df, most))
+        codes = facts._Codes(ids)
+        assert (codes._short, codes.late) == (most > 0, most > 1 << 20)
+        state = facts.run_fact_load(TableStore(spark, f"{tmp}/{most}"), spark.createDataFrame(lines, COLS), ids, load_id="1")
+        got.append([_rows(state.gold, *facts.GOLD_KEYS, "product_code", "sold_quantity"), _rows(state.parent, *facts.PARENT_KEYS, "sold_quantity")])
+    assert got[0] == got[1] == got[2] and got[0][1] == [(dt.date(2025, 7, 1), "f" * 64, "789101", 7)]
